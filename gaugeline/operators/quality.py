@@ -1,0 +1,19 @@
+"""Failure of whole files on single bad rows, for readings that are already long."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+
+def bad_files(rows: DataFrame, keys: list[str], raw_time: Column, parsed_time: Column) -> DataFrame:
+    """Keys of the files that hold a present but unparsable time. Partial maxima keep a huge file cheap."""
+    bad = raw_time.isNotNull() & parsed_time.isNull()
+    return rows.groupBy(*keys).agg(F.max(bad).alias("bad")).where("bad").select(*keys)
+
+
+def quarantine(
+    rows: DataFrame, keys: list[str], raw_time: Column, parsed_time: Column
+) -> tuple[DataFrame, DataFrame]:
+    """Split rows into those of good files and the keys of bad files."""
+    bad = bad_files(rows, keys, raw_time, parsed_time)
+    return rows.join(bad, keys, "left_anti"), bad
