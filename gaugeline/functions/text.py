@@ -1,4 +1,9 @@
-"""Column helpers for paths, CSV fields and text clean-up. All of them stay inside the JVM."""
+"""Expressions for paths, CSV fields, times and text clean-up. All of them stay inside the JVM.
+
+Functions on ``Column`` come first. Those that are used inside array lambdas or nest deeply are SQL fragments: they
+take the name of a column (or lambda variable) and return text for ``F.expr`` and ``selectExpr``. A fragment names its
+argument more than once, so give it a name and not another fragment.
+"""
 
 from __future__ import annotations
 
@@ -7,11 +12,12 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 # Control characters removed before storing (tab, line feed and carriage return stay).
 CONTROL_CHARACTERS = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]"
 
-# Unicode noncharacters that stand for a comma and a newline inside quotes while a text is split.
-_QUOTED_COMMA = "\ufdd0"
-_QUOTED_NEWLINE = "\ufdd1"
+# The accepted shape of a time, and Unicode white space at either end of a text.
+TIME_SHAPE = r"\A\d{4}/\d{1,2}/\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}\z"
+OUTER_SPACE = r"(?U)^\s+|\s+$"
 
-_TIME_SHAPE = r"\A\d{4}/\d{1,2}/\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}\z"
+# Unicode noncharacters that stand for a comma and a newline inside quotes while a text is split.
+_HIDDEN = "\ufdd0\ufdd1"
 
 
 def basename(path: Column) -> Column:
@@ -20,7 +26,7 @@ def basename(path: Column) -> Column:
 
 def unicode_strip(text: Column) -> Column:
     """Strip leading and trailing Unicode white space, the ideographic space included."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    return F.regexp_replace(text, OUTER_SPACE, "")
 
 
 def is_placeholder(name: Column, unit: Column) -> Column:
@@ -42,76 +48,82 @@ def scrub_control_chars(df: DataFrame) -> DataFrame:
     )
 
 
-def protect_quoted(text: Column) -> Column:
+def content_hash(content: Column) -> Column:
+    return F.sha2(content, 256)
+
+
+def local_path(uri: Column) -> Column:
+    """Drop the ``file:`` scheme of local paths; other schemes stay."""
+    return F.regexp_replace(uri, r"^file:/+", "/")
+
+
+def metadata_path(encoded: Column) -> Column:
+    """``_metadata.file_path`` is percent-encoded while a plus sign in it stands for itself."""
+    return local_path(F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B"))))
+
+
+# --- SQL fragments --------------------------------------------------------------------------------------------
+
+
+def has_open_quote(text: str) -> str:
+    return f"contains({text}, '\"') AND size(split({text}, '\"')) % 2 = 0"
+
+
+def protect_quoted(text: str) -> str:
     """Hide commas and newlines that sit inside double quotes, in time linear in the text.
 
     Cutting at the quotes leaves the quoted stretches at the odd positions. A text without a quote is untouched.
     """
-    pieces = F.split(text, '"')
-    hidden = F.transform(
-        pieces,
-        lambda piece, i: F.when(i % 2 == 1, F.translate(piece, ",\n", _QUOTED_COMMA + _QUOTED_NEWLINE)).otherwise(piece),
+    hidden = f"CASE WHEN i % 2 = 1 THEN translate(piece, ',\\n', '{_HIDDEN}') ELSE piece END"
+    return (
+        f"CASE WHEN contains({text}, '\"')"
+        f" THEN array_join(transform(split({text}, '\"'), (piece, i) -> {hidden}), '\"') ELSE {text} END"
     )
-    return F.when(F.contains(text, F.lit('"')), F.array_join(hidden, '"')).otherwise(text)
-
-
-def has_open_quote(text: Column) -> Column:
-    return F.when(F.contains(text, F.lit('"')), F.size(F.split(text, '"')) % 2 == 0).otherwise(F.lit(False))
 
 
-def split_lines(protected: Column) -> Column:
+def split_lines(protected: str) -> str:
     """Cut at LF or CRLF and leave out blank lines."""
-    unix = F.rtrim(F.replace(protected, F.lit("\r\n"), F.lit("\n")), F.lit("\r"))
-    return F.filter(F.split(unix, "\n"), lambda line: line != "")
+    return f"filter(split(rtrim('\\r', replace({protected}, '\\r\\n', '\\n')), '\\n'), line -> line != '')"
 
 
-def chomp(line: Column) -> Column:
-    return F.rtrim(line, F.lit("\r"))
+def chomp(line: str) -> str:
+    return f"rtrim('\\r', {line})"
 
 
-def split_fields(protected_line: Column) -> Column:
+def split_fields(protected_line: str) -> str:
     """Fields of one protected line, still quoted; read each with ``field_value``."""
-    return F.split(protected_line, ",")
+    return f"split({protected_line}, ',')"
 
 
-def first_field(protected_line: Column) -> Column:
-    return F.substring_index(protected_line, ",", 1)
+def first_field(protected_line: str) -> str:
+    return f"substring_index({protected_line}, ',', 1)"
 
 
-def _unquote(raw: Column) -> Column:
-    inner = F.replace(F.substring(raw, F.lit(2), F.length(raw) - 2), F.lit('""'), F.lit('"'))
-    quoted = F.startswith(raw, F.lit('"')) & F.endswith(raw, F.lit('"')) & (F.length(raw) >= 2)
-    return F.translate(F.when(quoted, inner).otherwise(raw), _QUOTED_COMMA + _QUOTED_NEWLINE, ",\n")
-
-
-def field_value(raw: Column) -> Column:
-    """Text of one cut field; an empty field is null. Pass a plain column: it is named several times."""
+def field_value(raw: str) -> str:
+    """Text of one cut field; an empty field is null."""
+    inner = f"replace(substring({raw}, 2, length({raw}) - 2), '\"\"', '\"')"
+    quoted = f"startswith({raw}, '\"') AND endswith({raw}, '\"') AND length({raw}) >= 2"
     return (
-        F.when((raw == "") | (raw == '""'), None).when(F.contains(raw, F.lit('"')), _unquote(raw)).otherwise(raw)
+        f"CASE WHEN {raw} = '' OR {raw} = '\"\"' THEN NULL"
+        f" WHEN contains({raw}, '\"') THEN translate(CASE WHEN {quoted} THEN {inner} ELSE {raw} END, '{_HIDDEN}', ',\\n')"
+        f" ELSE {raw} END"
     )
 
 
-def _parse_bare(text: Column) -> Column:
-    return F.when(F.rlike(text, F.lit(_TIME_SHAPE)), F.translate(text, "/", "-").try_cast("timestamp_ntz"))
-
-
-def parse_time(text: Column) -> Column:
+def parse_time(text: str) -> str:
     """``yyyy/M/d H:m:s`` with padded or unpadded parts as a zone-free timestamp; null when it does not fit.
 
     The shape is tested first so that only this format passes; stripping runs only for texts that need it.
     """
-    return F.coalesce(_parse_bare(text), _parse_bare(unicode_strip(text)))
 
+    def bare(t: str) -> str:
+        return f"CASE WHEN {t} RLIKE r'{TIME_SHAPE}' THEN try_cast(translate({t}, '/', '-') AS timestamp_ntz) END"
 
-def content_hash(content: Column) -> Column:
-    return F.sha2(content, 256)
+    return f"coalesce({bare(text)}, {bare(f'''regexp_replace({text}, r'{OUTER_SPACE}', '')''')})"
 
 
-def local_path(uri: Column) -> Column:
-    """Drop the ``file:`` scheme of local paths; other schemes stay."""
-    return F.regexp_replace(uri, r"^file:/+", "/")
+def placeholder(name: str, unit: str) -> str:
+    def strip(t: str) -> str:
+        return f"regexp_replace({t}, r'{OUTER_SPACE}', '')"
 
-
-def metadata_path(encoded: Column) -> Column:
-    """``_metadata.file_path`` is percent-encoded while a plus sign in it stands for itself."""
-    return local_path(F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B"))))
+    return f"({strip(name)} = '-' AND {strip(unit)} = '-')"

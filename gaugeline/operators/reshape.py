@@ -1,0 +1,47 @@
+"""The steps of wide-to-long as separate relational operators, for data that is already in tables."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+from gaugeline.functions.text import is_placeholder
+from gaugeline.operators.wide import DROP_IF_BLANK, DROP_LAST
+
+
+def unpivot_columns(wide: DataFrame, ids: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """One row per input row and value column. Null values stay."""
+    return wide.unpivot(list(ids), list(values), "sensor_column", "value")
+
+
+def join_sensors(long: DataFrame, sensors: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join of readings to the sensor dimension. The dimension is broadcast if Spark measures it as small."""
+    return long.join(sensors, list(keys), "left")
+
+
+def drop_placeholders(readings: DataFrame) -> DataFrame:
+    """Keep rows for which 'name and unit are both a dash' is false; null counts as not false."""
+    return readings.where(~is_placeholder(F.col("sensor_name"), F.col("unit")))
+
+
+def drop_trailing_column(rows: DataFrame, keys: Sequence[str], trailing: str = DROP_IF_BLANK) -> DataFrame:
+    """Cut the last column of every file from its ``fields``.
+
+    The width of a file is that of its longest row. ``drop_if_blank`` cuts the last column only when it is blank or
+    absent in all rows of the file; ``drop_last`` always cuts it. The lookup is one row per file, found with partial
+    maxima; a file with very many rows is split by the adaptive skew join.
+    """
+    filled = F.expr("coalesce(array_max(transform(fields, (f, i) -> CASE WHEN f <> '' THEN i + 1 END)), 0)")
+    per_file = (
+        rows.select(*keys, F.size("fields").alias("n"), filled.alias("filled"))
+        .groupBy(*keys)
+        .agg(F.max("n").alias("width"), F.max("filled").alias("filled"))
+    )
+    cut: Column = F.lit(True) if trailing == DROP_LAST else F.col("filled") < F.col("width")
+    keep = per_file.select(*keys, (F.col("width") - cut.cast("int")).alias("keep"))
+    return (
+        rows.join(keep, list(keys))
+        .withColumn("fields", F.expr("slice(fields, 1, greatest(least(keep, size(fields)), 0))"))
+        .drop("keep")
+    )

@@ -10,9 +10,7 @@ Two input shapes share one core:
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gaugeline.functions.decode import decode_text
 from gaugeline.functions.text import (
@@ -20,8 +18,8 @@ from gaugeline.functions.text import (
     field_value,
     first_field,
     has_open_quote,
-    is_placeholder,
     parse_time,
+    placeholder,
     protect_quoted,
     split_fields,
     split_lines,
@@ -37,63 +35,43 @@ DROP_LAST = "drop_last"
 BROADCAST_BYTES = 64 << 20
 
 
-# --- header ---------------------------------------------------------------------------------------------------
+# --- header (SQL fragments) -----------------------------------------------------------------------------------
 
 
-def header_cells(protected_line: Column) -> Column:
-    return F.transform(split_fields(protected_line), field_value)
+def header_cells(protected_line: str) -> str:
+    return f"transform({split_fields(protected_line)}, cell -> {field_value('cell')})"
 
 
-def kept_sensors(ids: Column, names: Column, units: Column, width: Column | None = None) -> Column:
+def kept_sensors(ids: str, names: str, units: str, width: str | None = None) -> str:
     """Sensors of one file, placeholders left out, as ``array<struct>``.
 
     A column that has neither name nor unit makes the placeholder test null and is left out as well. That covers
     the blank trailing column, so the width of the file matters only when ``width`` is given: then the last column
-    goes whatever it holds. ``twin_idx`` is the first column with the same id, name and unit, if that is another one.
+    goes whatever it holds.
     """
-    last = F.greatest(F.size(ids), F.size(names), F.size(units)) - 1
+    last = f"greatest(size({ids}), size({names}), size({units})) - 1"
     if width is not None:
-        last = F.least(last, width - 2)
-
-    def sensor(i: Column) -> Column:
-        return F.struct(
-            i.alias("col_idx"),
-            F.get(ids, i).alias("sensor_id"),
-            F.get(names, i).alias("sensor_name"),
-            F.get(units, i).alias("unit"),
-        )
-
-    every = F.when(last >= 1, F.transform(F.sequence(F.lit(1), last), sensor)).otherwise(
-        F.expr("array()").cast("array<struct<col_idx:int,sensor_id:string,sensor_name:string,unit:string>>")
+        last = f"least({last}, {width} - 2)"
+    sensor = (
+        f"named_struct('col_idx', i, 'sensor_id', get({ids}, i), 'sensor_name', get({names}, i), 'unit', get({units}, i))"
     )
-    return F.filter(every, lambda s: ~is_placeholder(s["sensor_name"], s["unit"]))
-
-
-def _same_sensor(a: Column, b: Column) -> Column:
-    return reduce(
-        lambda x, y: x & y, [a[k].eqNullSafe(b[k]) for k in ("sensor_id", "sensor_name", "unit")]
+    return (
+        f"filter(transform(sequence(1, greatest({last}, 1)), i -> {sensor}),"
+        f" s -> s.col_idx <= {last} AND NOT {placeholder('s.sensor_name', 's.unit')})"
     )
 
 
-def mark_twins(sensors: Column) -> Column:
+def mark_twins(sensors: str) -> str:
     """Add ``twin_idx`` (first earlier column of the same sensor) and ``copies`` (how many columns come earlier)."""
-
-    def marked(s: Column) -> Column:
-        earlier = F.filter(sensors, lambda o: (o["col_idx"] < s["col_idx"]) & _same_sensor(o, s))
-        return F.struct(
-            s["col_idx"].alias("col_idx"),
-            F.get(earlier, F.lit(0))["col_idx"].alias("twin_idx"),
-            F.size(earlier).alias("copies"),
-            s["sensor_id"].alias("sensor_id"),
-            s["sensor_name"].alias("sensor_name"),
-            s["unit"].alias("unit"),
-        )
-
-    return F.transform(sensors, marked)
+    same = " AND ".join(f"o.{k} <=> s.{k}" for k in ("sensor_id", "sensor_name", "unit"))
+    earlier = f"filter({sensors}, o -> o.col_idx < s.col_idx AND {same})"
+    return (
+        f"transform({sensors}, s -> named_struct('col_idx', s.col_idx, 'twin_idx', get({earlier}, 0).col_idx,"
+        f" 'copies', size({earlier}), 'sensor_id', s.sensor_id, 'sensor_name', s.sensor_name, 'unit', s.unit))"
+    )
 
 
-def _many_copies(sensors: Column) -> Column:
-    return F.exists(sensors, lambda s: s["copies"] > 1)
+_MANY_COPIES = "exists(sensors, s -> s.copies > 1)"
 
 
 # --- whole files ----------------------------------------------------------------------------------------------
@@ -118,59 +96,42 @@ def parse_files(
         F.length("content").alias("n_bytes"),
         decode_text(spark, F.col("content"), encoding).alias("text"),
     )
-    guarded = text.select(
-        *carried,
-        "read_error",
-        "n_bytes",
-        has_open_quote(F.col("text")).alias("open_quote"),
-        protect_quoted(F.col("text")).alias("text"),
+    facts = [*carried, "read_error", "n_bytes"]
+    guarded = text.selectExpr(*facts, f"{has_open_quote('text')} AS open_quote", f"{protect_quoted('text')} AS text")
+    facts.append("open_quote")
+    lines = guarded.selectExpr(*facts, f"{split_lines('text')} AS lines")
+    heads = lines.selectExpr(*facts, "lines", *[f"get(lines, {i}) AS h{i}" for i in range(3)])
+    width = f"array_max(transform(lines, x -> size({split_fields('x')})))" if trailing == DROP_LAST else "0"
+    cut = heads.selectExpr(
+        *facts,
+        "size(lines) AS n_lines",
+        f"{width} AS width",
+        *[f"{header_cells(f'h{i}')} AS h{i}" for i in range(3)],
+        "CASE WHEN size(lines) > 3 THEN slice(lines, 4, size(lines) - 3) END AS data",
     )
-    lines = guarded.select(
-        *carried, "read_error", "n_bytes", "open_quote", split_lines(F.col("text")).alias("lines")
-    )
-    heads = lines.withColumns({f"h{i}": header_cells(F.get("lines", F.lit(i))) for i in range(3)})
-    width = None
-    if trailing == DROP_LAST:
-        width = F.array_max(F.transform("lines", lambda x: F.size(split_fields(x))))
-    data = F.when(F.size("lines") > 3, F.slice("lines", F.lit(4), F.size("lines") - 3))
-    cut = heads.select(
-        *carried,
-        "read_error",
-        "n_bytes",
-        "open_quote",
-        F.size("lines").alias("n_lines"),
-        kept_sensors(F.col("h0"), F.col("h1"), F.col("h2"), width).alias("sensors"),
-        data.alias("data"),
-        F.transform(data, first_field).alias("first"),
+    facts.append("n_lines")
+    sensors = kept_sensors("h0", "h1", "h2", "width" if trailing == DROP_LAST else None)
+    known = cut.selectExpr(
+        *facts, f"{sensors} AS sensors", "data", f"transform(data, line -> {first_field('line')}) AS first"
     )
-    named = cut.select(
-        *carried,
-        "read_error",
-        "n_bytes",
-        "open_quote",
-        "n_lines",
-        mark_twins(F.col("sensors")).alias("sensors"),
+    named = known.selectExpr(
+        *facts,
+        f"{mark_twins('sensors')} AS sensors",
         "data",
-        F.transform("first", field_value).alias("raw_times"),
+        f"transform(first, cell -> {field_value('cell')}) AS raw_times",
     )
-    timed = named.withColumn("times", F.transform("raw_times", parse_time))
-    unparsed = F.size(F.array_compact("raw_times")) > F.size(F.array_compact("times"))
-    error = (
-        F.when(F.col("read_error").isNotNull(), F.col("read_error"))
-        .when(F.col("n_bytes").isNull(), "no content")
-        .when(F.col("n_bytes") == 0, "empty file")
-        .when(F.col("open_quote"), "unbalanced quotes")
-        .when(F.col("n_lines") < 3, "fewer than 3 header rows")
-        .when((F.size("sensors") > 0) & unparsed, "unparsable Time")
-    )
-    repeats = F.size(F.array_distinct("times")) < F.size("times")
-    return timed.select(
-        *carried,
-        error.alias("error"),
-        F.coalesce(repeats | _many_copies(F.col("sensors")), F.lit(False)).alias("needs_distinct"),
-        "sensors",
-        "times",
-        "data",
+    timed = named.selectExpr(*facts, "sensors", "data", "raw_times", f"transform(raw_times, t -> {parse_time('t')}) AS times")
+    error = """
+        CASE WHEN read_error IS NOT NULL THEN read_error
+             WHEN n_bytes IS NULL THEN 'no content'
+             WHEN n_bytes = 0 THEN 'empty file'
+             WHEN open_quote THEN 'unbalanced quotes'
+             WHEN n_lines < 3 THEN 'fewer than 3 header rows'
+             WHEN size(sensors) > 0 AND size(array_compact(raw_times)) > size(array_compact(times))
+             THEN 'unparsable Time' END"""
+    repeats = f"coalesce(size(array_distinct(times)) < size(times) OR {_MANY_COPIES}, false)"
+    return timed.selectExpr(
+        *carried, f"{error} AS error", f"{repeats} AS needs_distinct", "sensors", "times", "data"
     )
 
 
@@ -184,7 +145,7 @@ def explode_lines(parsed: DataFrame) -> DataFrame:
     return (
         parsed.select(*FILE_KEYS, "sensors", "times", F.posexplode_outer(good).alias("row", "line"))
         .where(F.col("line").isNotNull())
-        .select(*FILE_KEYS, "sensors", F.get("times", F.col("row")).alias("Time"), "line")
+        .selectExpr(*FILE_KEYS, "sensors", "get(times, row) AS Time", "line")
     )
 
 
@@ -194,20 +155,17 @@ def cells(lines: DataFrame) -> DataFrame:
     The fields of a line are cut once; every sensor then picks its own. A cell that repeats the value of the
     sensor's first column in the same line is the same reading and is left out here.
     """
-    wide = lines.select(*FILE_KEYS, "Time", "sensors", split_fields(F.col("line")).alias("fields"))
-    per_sensor = wide.select(*FILE_KEYS, "Time", "fields", F.explode_outer("sensors").alias("s")).where(
-        F.col("s").isNotNull()
-    )
-    picked = per_sensor.select(
-        *FILE_KEYS,
-        "Time",
-        "s",
-        F.get("fields", F.col("s.col_idx")).alias("raw"),
-        F.get("fields", F.col("s.twin_idx")).alias("raw_twin"),
+    wide = lines.selectExpr(*FILE_KEYS, "Time", "sensors", f"{split_fields('line')} AS fields")
+    picked = (
+        wide.select(*FILE_KEYS, "Time", "fields", F.explode_outer("sensors").alias("s"))
+        .where(F.col("s").isNotNull())
+        .selectExpr(
+            *FILE_KEYS, "Time", "s", "get(fields, s.col_idx) AS raw", "get(fields, s.twin_idx) AS raw_twin"
+        )
     )
-    repeated = F.col("s.twin_idx").isNotNull() & field_value(F.col("raw")).eqNullSafe(field_value(F.col("raw_twin")))
-    return picked.where(~repeated).select(
-        *FILE_KEYS, "Time", field_value(F.col("raw")).alias("value"), "s.sensor_id", "s.sensor_name", "s.unit"
+    repeated = f"s.twin_idx IS NOT NULL AND ({field_value('raw')}) <=> ({field_value('raw_twin')})"
+    return picked.where(f"NOT ({repeated})").selectExpr(
+        *FILE_KEYS, "Time", f"{field_value('raw')} AS value", "s.sensor_id", "s.sensor_name", "s.unit"
     )
 
 
@@ -231,7 +189,8 @@ def file_errors(parsed: DataFrame) -> DataFrame:
 
 
 def decode_lines(spark: SparkSession, raw_lines: DataFrame, encoding: str) -> DataFrame:
-    return raw_lines.withColumn("line", chomp(decode_text(spark, F.col("raw"), encoding)))
+    decoded = raw_lines.withColumn("line", decode_text(spark, F.col("raw"), encoding))
+    return decoded.withColumn("line", F.expr(chomp("line")))
 
 
 def profile_lines(lines: DataFrame, trailing: str = DROP_IF_BLANK) -> DataFrame:
@@ -244,73 +203,60 @@ def profile_lines(lines: DataFrame, trailing: str = DROP_IF_BLANK) -> DataFrame:
     line hashes and the header rows. It does not see the order of data lines, which the readings do not depend on
     either. Its prefix keeps it apart from byte hashes.
     """
-    is_data = F.col("header_no").isNull()
     kept = [*FILE_KEYS, "chunk", "header_no"]
-    safe = lines.select(
-        *kept, "line", has_open_quote(F.col("line")).alias("open_quote"), protect_quoted(F.col("line")).alias("safe")
+    safe = lines.selectExpr(
+        *kept, "line", f"{has_open_quote('line')} AS open_quote", f"{protect_quoted('line')} AS safe"
     )
-    raw = safe.select(
+    raw = safe.selectExpr(
         *kept,
         "open_quote",
-        F.when(~is_data, F.col("line")).alias("header"),
-        F.xxhash64("line").alias("hash_a"),
-        F.xxhash64(F.lit(7), "line").alias("hash_b"),
-        (F.size(split_fields(F.col("safe"))) if trailing == DROP_LAST else F.lit(0)).alias("width"),
-        F.when(is_data, first_field(F.col("safe"))).alias("first"),
+        "CASE WHEN header_no IS NOT NULL THEN line END AS header",
+        "xxhash64(line) AS hash_a",
+        "xxhash64(7, line) AS hash_b",
+        f"{f'size({split_fields('safe')})' if trailing == DROP_LAST else '0'} AS width",
+        f"CASE WHEN header_no IS NULL THEN {first_field('safe')} END AS first",
     )
-    valued = raw.withColumn("first", field_value(F.col("first")))
-    timed = valued.withColumn("Time", parse_time(F.col("first"))).withColumn("has_time", F.col("first").isNotNull())
+    valued = raw.withColumn("first", F.expr(field_value("first")))
+    timed = valued.withColumns({"Time": F.expr(parse_time("first")), "has_time": F.col("first").isNotNull()})
     by_time = timed.groupBy(*FILE_KEYS, "header_no", "Time", "has_time").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.col("hash_a").cast("decimal(38,0)")).alias("sum_a"),
-        F.bit_xor("hash_b").alias("xor_b"),
-        F.max("open_quote").alias("open_quote"),
-        F.max("width").alias("width"),
-        F.max("chunk").alias("chunk"),
-        F.collect_list("header").alias("header"),
-    )
-    head = F.sort_array(
-        F.collect_list(F.when(~is_data, F.struct("header_no", F.get("header", F.lit(0)).alias("line"))))
+        F.expr("count(1) AS n"),
+        F.expr("sum(cast(hash_a AS decimal(38,0))) AS sum_a"),
+        F.expr("bit_xor(hash_b) AS xor_b"),
+        F.expr("max(open_quote) AS open_quote"),
+        F.expr("max(width) AS width"),
+        F.expr("max(chunk) AS chunk"),
+        F.expr("collect_list(header) AS header"),
     )
     per_file = by_time.groupBy(*FILE_KEYS).agg(
-        F.sum("n").alias("n"),
-        F.sum("sum_a").alias("sum_a"),
-        F.bit_xor("xor_b").alias("xor_b"),
-        F.max("open_quote").alias("open_quote"),
-        F.max("width").alias("width"),
-        F.max(is_data & F.col("has_time") & F.col("Time").isNull()).alias("bad_time"),
-        F.max(is_data & (F.col("n") > 1)).alias("repeats"),
-        F.max("chunk").alias("last_chunk"),
-        head.alias("head"),
-    )
-    heads = (
-        per_file.withColumns({f"h{i}": F.get("head", F.lit(i))["line"] for i in range(3)})
-        .withColumns({f"h{i}": protect_quoted(F.col(f"h{i}")) for i in range(3)})
-        .withColumns({f"h{i}": header_cells(F.col(f"h{i}")) for i in range(3)})
-    )
-    width = F.col("width") if trailing == DROP_LAST else None
-    sensors = heads.withColumn("sensors", kept_sensors(F.col("h0"), F.col("h1"), F.col("h2"), width)).withColumn(
-        "sensors", mark_twins(F.col("sensors"))
-    )
-    error = (
-        F.when(F.col("open_quote"), "quoted newline or unbalanced quotes in a large file")
-        .when(F.size("head") < 3, "fewer than 3 header rows")
-        .when((F.size("sensors") > 0) & F.col("bad_time"), "unparsable Time")
-    )
-    fingerprint = F.concat(
-        F.lit("L:"),
-        F.sha2(
-            F.concat_ws("\n", F.col("n"), F.col("sum_a"), F.col("xor_b"), F.array_join(F.col("head.line"), "\n")).cast(
-                "binary"
-            ),
-            256,
+        F.expr("sum(n) AS n"),
+        F.expr("sum(sum_a) AS sum_a"),
+        F.expr("bit_xor(xor_b) AS xor_b"),
+        F.expr("max(open_quote) AS open_quote"),
+        F.expr("max(width) AS width"),
+        F.expr("max(header_no IS NULL AND has_time AND Time IS NULL) AS bad_time"),
+        F.expr("max(header_no IS NULL AND n > 1) AS repeats"),
+        F.expr("max(chunk) AS last_chunk"),
+        F.expr(
+            "sort_array(collect_list(CASE WHEN header_no IS NOT NULL"
+            " THEN named_struct('no', header_no, 'line', get(header, 0)) END)) AS head"
         ),
     )
-    return sensors.select(
+    facts = ["n", "sum_a", "xor_b", "open_quote", "width", "bad_time", "repeats", "last_chunk", "head"]
+    facts = [*FILE_KEYS, *facts]
+    texts = per_file.selectExpr(*facts, *[f"get(head, {i}).line AS h{i}" for i in range(3)])
+    shielded = texts.selectExpr(*facts, *[f"{protect_quoted(f'h{i}')} AS h{i}" for i in range(3)])
+    heads = shielded.selectExpr(*facts, *[f"{header_cells(f'h{i}')} AS h{i}" for i in range(3)])
+    sensors = heads.selectExpr(
+        *facts, f"{kept_sensors('h0', 'h1', 'h2', 'width' if trailing == DROP_LAST else None)} AS sensors"
+    ).withColumn("sensors", F.expr(mark_twins("sensors")))
+    return sensors.selectExpr(
         *FILE_KEYS,
-        fingerprint.alias("file_hash"),
-        error.alias("error"),
-        (F.col("repeats") | _many_copies(F.col("sensors"))).alias("needs_distinct"),
+        "concat('L:', sha2(cast(concat_ws('\\n', n, sum_a, xor_b, array_join(head.line, '\\n')) AS binary), 256))"
+        " AS file_hash",
+        """CASE WHEN open_quote THEN 'quoted newline or unbalanced quotes in a large file'
+                WHEN size(head) < 3 THEN 'fewer than 3 header rows'
+                WHEN size(sensors) > 0 AND bad_time THEN 'unparsable Time' END AS error""",
+        f"repeats OR coalesce({_MANY_COPIES}, false) AS needs_distinct",
         "last_chunk",
         "sensors",
     )
@@ -320,8 +266,8 @@ def attach_sensors(lines: DataFrame, profiles: DataFrame, broadcastable: bool) -
     """Join data lines to the sensors of their file.
 
     ``broadcastable`` is the answer of a size check on ``profiles`` (see ``lookup_fits``). Otherwise both sides are
-    keyed by file and chunk, the profile repeated once per chunk seen, so that even a file holding a third of all
-    lines is spread over as many groups as it has chunks.
+    keyed by file and chunk, the profile repeated once per chunk of the file, so that even a file holding a third of
+    all lines is spread over as many groups as it has chunks.
     """
     data = lines.where(F.col("header_no").isNull())
     lookup = profiles.where(F.col("error").isNull())
@@ -346,6 +292,7 @@ def lookup_fits(profiles: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
 def readings_from_lines(lines: DataFrame, profiles: DataFrame, broadcastable: bool) -> DataFrame:
     """Readings of large files, before the distinct."""
     joined = attach_sensors(lines, profiles, broadcastable)
-    guarded = joined.select(*FILE_KEYS, "sensors", protect_quoted(F.col("line")).alias("line"))
-    first = guarded.withColumn("first", first_field(F.col("line"))).withColumn("first", field_value(F.col("first")))
-    return cells(first.select(*FILE_KEYS, "sensors", parse_time(F.col("first")).alias("Time"), "line"))
+    guarded = joined.selectExpr(*FILE_KEYS, "sensors", f"{protect_quoted('line')} AS line")
+    first = guarded.selectExpr(*FILE_KEYS, "sensors", "line", f"{first_field('line')} AS first")
+    valued = first.selectExpr(*FILE_KEYS, "sensors", "line", f"{field_value('first')} AS first")
+    return cells(valued.selectExpr(*FILE_KEYS, "sensors", f"{parse_time('first')} AS Time", "line"))

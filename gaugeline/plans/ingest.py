@@ -15,7 +15,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 import uuid
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -53,10 +53,12 @@ class Options:
     max_paths: int = MAX_PATHS
 
 
-def waves(rows: DataFrame, column: str, max_paths: int) -> Iterator[list[str]]:
-    """Distinct values of a column in lists of about ``max_paths`` at most, split by hash."""
-    keys = rows.select(column).distinct()
-    n = math.ceil(keys.count() / max_paths)
+def waves(rows: DataFrame, column: str, max_paths: int, n_rows: int) -> Iterator[list[str]]:
+    """Distinct values of a column in lists of about ``max_paths`` at most, split by hash. ``n_rows`` bounds them."""
+    if not n_rows:
+        return
+    keys = rows.select(column).distinct() if column == "source_zip" else rows.select(column)
+    n = math.ceil(n_rows / max_paths)
     for i in range(n):
         mine = keys if n == 1 else keys.where(F.pmod(F.xxhash64(column), F.lit(n)) == i)
         yield [r[0] for r in mine.collect()]
@@ -77,8 +79,8 @@ def _line_charset(content: Column) -> tuple[Column, ...]:
     text = content.cast("string")
     return (
         F.min(F.is_valid_utf8(text)).alias("utf8"),
-        F.min(~F.contains(F.decode(content, "windows-31j"), F.lit("�"))).alias("sjis"),
-        F.min(~F.contains(F.decode(content, "EUC-JP"), F.lit("�"))).alias("euc"),
+        F.min(~F.contains(F.decode(content, "windows-31j"), F.lit("\ufffd"))).alias("sjis"),
+        F.min(~F.contains(F.decode(content, "EUC-JP"), F.lit("\ufffd"))).alias("euc"),
         F.max(F.substring(content, 1, 2).isin(b"\xff\xfe", b"\xfe\xff")).alias("utf16"),
     )
 
@@ -97,7 +99,9 @@ def decoded_lines(spark: SparkSession, paths: list[str], opt: Options) -> DataFr
     )
     # One row per path, and a wave holds at most max_paths of them: a bounded broadcast.
     chosen = F.broadcast(votes.select("path", charset.alias("charset")))
-    return raw.join(chosen, "path").withColumn("line", chomp(decode_by(F.col("raw"), F.col("charset"))))
+    return raw.join(chosen, "path").withColumn(
+        "line", decode_by(F.col("raw"), F.col("charset"))
+    ).withColumn("line", F.expr(chomp("line")))
 
 
 def _lines_name(wave: int) -> str:
@@ -110,9 +114,20 @@ def profile(lake: Lake, new_files: DataFrame, ingest_id: str, opt: Options) -> D
     by_row = opt.whole_file_bytes
     if opt.encoding.lower() != AUTO and is_two_byte(java_charset(spark, opt.encoding)):
         by_row = ROW_BYTES
-    loose_files = new_files.where((F.col("source_zip") == "") & F.col("error").isNull() & (F.col("length") > 0))
+    readable = F.col("error").isNull() & (F.col("length") > 0)
+    kind = (
+        F.when(~F.coalesce(readable, F.lit(False)), "known")
+        .when(F.col("source_zip") != "", _ARCHIVE)
+        .when(F.col("length") <= by_row, _WHOLE)
+        .otherwise(_LINES)
+    )
+    sorted_files = new_files.withColumn("kind", kind)
+    n = {r["kind"]: r["count"] for r in sorted_files.groupBy("kind").count().collect()}
+
+    def of_kind(name: str) -> DataFrame:
+        return sorted_files.where(F.col("kind") == name).drop("kind")
 
-    known = new_files.where(F.col("error").isNotNull() | (F.col("length") == 0)).select(
+    known = of_kind("known").select(
         "path",
         "source_zip",
         "length",
@@ -126,17 +141,17 @@ def profile(lake: Lake, new_files: DataFrame, ingest_id: str, opt: Options) -> D
     def add(rows: DataFrame) -> None:
         rows.select(*PROFILE.fieldNames()).write.mode("append").parquet(at)
 
-    for paths in waves(loose_files.where(F.col("length") <= by_row), "path", opt.max_paths):
+    for paths in waves(of_kind(_WHOLE), "path", opt.max_paths, n.get(_WHOLE, 0)):
         add(profile_whole(spark, loose.read_contents(spark, paths), opt, _WHOLE))
 
-    for wave, paths in enumerate(waves(loose_files.where(F.col("length") > by_row), "path", opt.max_paths)):
+    for wave, paths in enumerate(waves(of_kind(_LINES), "path", opt.max_paths, n.get(_LINES, 0))):
         table = lake.work_path(ingest_id, _lines_name(wave))
         wide.profile_lines(decoded_lines(spark, paths, opt), opt.trailing).write.mode("overwrite").parquet(table)
         profiled = spark.read.parquet(table).join(new_files.select("path", "source_zip", "length"), wide.FILE_KEYS)
         add(profiled.withColumn("mode", F.lit(_LINES)))
 
-    archived = new_files.where((F.col("source_zip") != "") & F.col("error").isNull() & (F.col("length") > 0))
-    for names in waves(archived, "source_zip", opt.max_paths):
+    archived = of_kind(_ARCHIVE)
+    for names in waves(archived, "source_zip", opt.max_paths, n.get(_ARCHIVE, 0)):
         entries = archives.read_entries(spark, names)
         add(profile_whole(spark, entries, opt, _ARCHIVE).join(archived, wide.FILE_KEYS, "left_semi"))
 
@@ -202,27 +217,25 @@ def emit(lake: Lake, todo: DataFrame, ingest_id: str, opt: Options) -> int:
         rows += write_batch(final, lake.readings_path, ingest_id, mode)
         mode = "append"
 
-    def parse(contents: DataFrame, needs_distinct: bool) -> DataFrame:
-        cells = wide.cells(wide.explode_lines(wide.parse_files(spark, contents, opt.encoding, opt.trailing)))
-        return wide.distinct_readings(cells) if needs_distinct else cells
-
-    for distinct in (False, True):
-        group = todo.where(F.col("needs_distinct") == distinct)
-        for paths in waves(group.where(F.col("mode") == _WHOLE), "path", opt.max_paths):
-            put(parse(loose.read_contents(spark, paths), distinct))
-        zipped = group.where(F.col("mode") == _ARCHIVE)
-        for names in waves(zipped, "source_zip", opt.max_paths):
-            put(parse(_chosen(archives.read_entries(spark, names), zipped), distinct))
-
-    by_lines = todo.where(F.col("mode") == _LINES)
-    for distinct in (False, True):
-        for paths in waves(by_lines.where(F.col("needs_distinct") == distinct), "path", opt.max_paths):
-            tables = f"{lake.work_path(ingest_id, 'lines-')}*"
-            profiles = spark.read.parquet(tables).join(
-                by_lines.where(F.col("needs_distinct") == distinct), wide.FILE_KEYS, "left_semi"
-            )
-            lines = decoded_lines(spark, paths, opt)
-            readings = wide.readings_from_lines(lines, profiles, wide.lookup_fits(profiles))
+    counted = todo.groupBy("mode", "needs_distinct").count().collect()
+    n = {(r["mode"], r["needs_distinct"]): r["count"] for r in counted}
+
+    for (mode_of, distinct), n_files in sorted(n.items()):
+        group = todo.where((F.col("mode") == mode_of) & (F.col("needs_distinct") == distinct))
+        column = "source_zip" if mode_of == _ARCHIVE else "path"
+        for names in waves(group, column, opt.max_paths, n_files):
+            if mode_of == _LINES:
+                tables = f"{lake.work_path(ingest_id, 'lines-')}*"
+                profiles = spark.read.parquet(tables).join(group, wide.FILE_KEYS, "left_semi")
+                lines = decoded_lines(spark, names, opt)
+                readings = wide.readings_from_lines(lines, profiles, wide.lookup_fits(profiles))
+            else:
+                if mode_of == _ARCHIVE:
+                    contents = _chosen(archives.read_entries(spark, names), group)
+                else:
+                    contents = loose.read_contents(spark, names)
+                parsed = wide.parse_files(spark, contents, opt.encoding, opt.trailing)
+                readings = wide.cells(wide.explode_lines(parsed))
             put(wide.distinct_readings(readings) if distinct else readings)
     return rows
 
@@ -293,7 +306,3 @@ def ingest_folder(
 ) -> DataFrame:
     listing = find_files(lake.spark, folder or DEFAULTS["folder"], pattern or DEFAULTS["pattern"])
     return ingest_files(lake, listing, ingest_id, options, **changes)
-
-
-def make_ingest(lake: Lake, options: Options) -> Callable[[DataFrame, str], DataFrame]:
-    return lambda listing, ingest_id: ingest_files(lake, listing, ingest_id, options)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gaugeline.functions.text import scrub_control_chars
 from gaugeline.operators import ledger as ledger_ops
@@ -23,10 +23,6 @@ from gaugeline.schemas import (
 )
 from gaugeline.session import configure
 
-_ONE_FILE = T.StructType(
-    [T.StructField("path", T.StringType()), T.StructField("source_zip", T.StringType()), T.StructField("file_hash", T.StringType())]
-)
-
 
 class Lake:
     """Readings and ledger below ``root``.
@@ -111,8 +107,10 @@ class Lake:
         self.append_events(ledger_ops.removal_events(files, now, ledger_key=self.ledger_key))
 
     def commit(self, ingest_id: str) -> None:
-        row = [(ingest_id, dt.datetime.now(dt.timezone.utc))]
-        self.spark.createDataFrame(row, COMMITS).coalesce(1).write.mode("append").parquet(self.commits_path)
+        row = self.spark.range(1).select(
+            F.lit(ingest_id).alias("ingest_id"), F.lit(dt.datetime.now(dt.timezone.utc)).alias("committed_at")
+        )
+        row.coalesce(1).write.mode("append").parquet(self.commits_path)
 
     def rollback(self, ingest_id: str) -> None:
         """Give up a batch. Nothing of it is visible before ``commit``; its directory is emptied."""
@@ -123,7 +121,8 @@ class Lake:
     # --- one file at a time, for interactive use ---------------------------------------------------------------
 
     def _one(self, path: str, source_zip: str | None, file_hash: str = "") -> DataFrame:
-        return self.spark.createDataFrame([(str(path), str(source_zip or ""), file_hash)], _ONE_FILE)
+        values = {"path": str(path), "source_zip": str(source_zip or ""), "file_hash": file_hash}
+        return self.spark.range(1).select(*[F.lit(value).alias(name) for name, value in values.items()])
 
     def update_file_status(self, path: str, file_hash: str, source_zip: str | None, status: str) -> bool:
         self.append_status(self._one(path, source_zip, file_hash), status)
