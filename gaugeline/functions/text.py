@@ -17,7 +17,7 @@ TIME_SHAPE = r"\A\d{4}/\d{1,2}/\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}\z"
 OUTER_SPACE = r"(?U)^\s+|\s+$"
 
 # Unicode noncharacters that stand for a comma and a newline inside quotes while a text is split.
-_HIDDEN = "\ufdd0\ufdd1"
+_COMMA, _NEWLINE = "\ufdd0", "\ufdd1"
 
 
 def basename(path: Column) -> Column:
@@ -74,7 +74,7 @@ def protect_quoted(text: str) -> str:
 
     Cutting at the quotes leaves the quoted stretches at the odd positions. A text without a quote is untouched.
     """
-    hidden = f"CASE WHEN i % 2 = 1 THEN translate(piece, ',\\n', '{_HIDDEN}') ELSE piece END"
+    hidden = f"CASE WHEN i % 2 = 1 THEN replace(replace(piece, ',', '{_COMMA}'), '\\n', '{_NEWLINE}') ELSE piece END"
     return (
         f"CASE WHEN contains({text}, '\"')"
         f" THEN array_join(transform(split({text}, '\"'), (piece, i) -> {hidden}), '\"') ELSE {text} END"
@@ -103,9 +103,10 @@ def field_value(raw: str) -> str:
     """Text of one cut field; an empty field is null."""
     inner = f"replace(substring({raw}, 2, length({raw}) - 2), '\"\"', '\"')"
     quoted = f"startswith({raw}, '\"') AND endswith({raw}, '\"') AND length({raw}) >= 2"
+    bare = f"CASE WHEN {quoted} THEN {inner} ELSE {raw} END"
     return (
         f"CASE WHEN {raw} = '' OR {raw} = '\"\"' THEN NULL"
-        f" WHEN contains({raw}, '\"') THEN translate(CASE WHEN {quoted} THEN {inner} ELSE {raw} END, '{_HIDDEN}', ',\\n')"
+        f" WHEN contains({raw}, '\"') THEN replace(replace({bare}, '{_COMMA}', ','), '{_NEWLINE}', '\\n')"
         f" ELSE {raw} END"
     )
 
@@ -117,7 +118,7 @@ def parse_time(text: str) -> str:
     """
 
     def bare(t: str) -> str:
-        return f"CASE WHEN {t} RLIKE r'{TIME_SHAPE}' THEN try_cast(translate({t}, '/', '-') AS timestamp_ntz) END"
+        return f"CASE WHEN {t} RLIKE r'{TIME_SHAPE}' THEN try_cast(replace({t}, '/', '-') AS timestamp_ntz) END"
 
     return f"coalesce({bare(text)}, {bare(f'''regexp_replace({text}, r'{OUTER_SPACE}', '')''')})"
 

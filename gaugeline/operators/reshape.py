@@ -32,12 +32,9 @@ def drop_trailing_column(rows: DataFrame, keys: Sequence[str], trailing: str = D
     absent in all rows of the file; ``drop_last`` always cuts it. The lookup is one row per file, found with partial
     maxima; a file with very many rows is split by the adaptive skew join.
     """
-    filled = F.expr("coalesce(array_max(transform(fields, (f, i) -> CASE WHEN f <> '' THEN i + 1 END)), 0)")
-    per_file = (
-        rows.select(*keys, F.size("fields").alias("n"), filled.alias("filled"))
-        .groupBy(*keys)
-        .agg(F.max("n").alias("width"), F.max("filled").alias("filled"))
-    )
+    # The last column of the file is filled exactly when some row of full width ends with a value.
+    ends_filled = F.when(F.element_at("fields", -1) != "", F.size("fields")).otherwise(0)
+    per_file = rows.groupBy(*keys).agg(F.max(F.size("fields")).alias("width"), F.max(ends_filled).alias("filled"))
     cut: Column = F.lit(True) if trailing == DROP_LAST else F.col("filled") < F.col("width")
     keep = per_file.select(*keys, (F.col("width") - cut.cast("int")).alias("keep"))
     return (

@@ -140,12 +140,16 @@ def explode_lines(parsed: DataFrame) -> DataFrame:
 
     Files with an error explode nothing. A filter on ``error`` would be pushed below the parse and make it run twice,
     and so would the size test that the optimizer adds below a plain ``explode``; hence the outer form.
+
+    The lambda inside the explode keeps it out of generated code on purpose: generated code would hold all readings of
+    a file in memory before passing on the first one, while the iterator form streams line by line.
     """
-    good = F.when(F.col("error").isNull(), F.col("data"))
+    rows = "transform(data, (line, i) -> named_struct('Time', get(times, i), 'line', line))"
+    good = F.when(F.col("error").isNull(), F.expr(rows))
     return (
-        parsed.select(*FILE_KEYS, "sensors", "times", F.posexplode_outer(good).alias("row", "line"))
-        .where(F.col("line").isNotNull())
-        .selectExpr(*FILE_KEYS, "sensors", "get(times, row) AS Time", "line")
+        parsed.select(*FILE_KEYS, "sensors", F.explode_outer(good).alias("row"))
+        .where(F.col("row").isNotNull())
+        .select(*FILE_KEYS, "sensors", "row.Time", "row.line")
     )
 
 

@@ -58,6 +58,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows of a table with fewer files than there are cores, dealt out evenly for work that is heavy per row."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if len(rows._jdf.inputFiles()) < cores else rows
+
+
 # --- readings derived from events -----------------------------------------------------------------------------
 
 TIME_FORMAT = "yyyy/MM/dd HH:mm:ss"
@@ -425,7 +431,7 @@ def decode_roundtrip(spark, sf_dir):
 def csv_fields(spark, sf_dir):
     """Whole texts as one quoted CSV field each: quotes, commas and newlines must come back."""
     quoted = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
-    lines = table(spark, sf_dir, "documents").select(
+    lines = spread(table(spark, sf_dir, "documents")).select(
         "doc_id", F.concat_ws(",", "lang", quoted, F.col("n_chars").cast("string"), F.lit("")).alias("line")
     )
     fields = lines.selectExpr("doc_id", f"{protect_quoted('line')} AS line").selectExpr(
@@ -457,7 +463,7 @@ def whole_file_readings(spark, sf_dir):
                 concat('"', replace(line, '"', '""'), '"'), length(line),
                 CASE WHEN i % 2 = 0 THEN concat('"', replace(line, '"', '""'), '"') ELSE 'odd' END, '0', '')"""
     body = f"array_join(transform(split(text, '\\n'), (line, i) -> {row}), '\\n')"
-    docs = table(spark, sf_dir, "documents").select(
+    docs = spread(table(spark, sf_dir, "documents")).select(
         F.format_string("/doc_%d.csv", F.col("doc_id")).alias("path"),
         F.lit("").alias("source_zip"),
         F.encode(F.concat(F.lit(_HEAD), F.expr(body)), "UTF-8").alias("content"),
@@ -586,7 +592,7 @@ def _zip_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def document_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.mapInArrow(_zip_up, "path string, content binary")
 
 
