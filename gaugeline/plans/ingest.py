@@ -153,7 +153,8 @@ def profile(lake: Lake, new_files: DataFrame, ingest_id: str, opt: Options) -> D
     archived = of_kind(_ARCHIVE)
     for names in waves(archived, "source_zip", opt.max_paths, n.get(_ARCHIVE, 0)):
         entries = archives.read_entries(spark, names)
-        add(profile_whole(spark, entries, opt, _ARCHIVE).join(archived, wide.FILE_KEYS, "left_semi"))
+        # An inner join: a semi join would be pushed below the parse, where it would shuffle the bytes.
+        add(profile_whole(spark, entries, opt, _ARCHIVE).join(archived.select(*wide.FILE_KEYS), wide.FILE_KEYS))
 
     seen = read_or_empty(spark, at, PROFILE)
     lost = new_files.join(seen, wide.FILE_KEYS, "left_anti").select(
