@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
+from gaugeline.functions.text import CONTROL_CHARACTERS, scrub_control_chars, scrub_text
 from gaugeline.schemas import DEFAULTS, META_KEYS, READING_COLUMNS
 
 
@@ -32,3 +34,11 @@ def add_meta(
             **{key: F.lit(values.get(key, "")) for key in META_KEYS},
         }
     ).select(*READING_COLUMNS)
+
+
+def for_storage(readings: DataFrame, meta: Mapping[str, str] | None = None, named: bool = False) -> DataFrame:
+    """Table rows without control characters. ``named`` says that file and sensor names are clean already."""
+    if not named:
+        return scrub_control_chars(add_meta(readings, meta))
+    values = {k: re.sub(CONTROL_CHARACTERS, "", v) for k, v in (default_meta() if meta is None else meta).items()}
+    return add_meta(readings.withColumn("value", scrub_text(F.col("value"))), values)

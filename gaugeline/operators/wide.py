@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gaugeline.functions.decode import decode_text
 from gaugeline.functions.text import (
+    CONTROL_CHARACTERS,
     chomp,
     field_value,
     first_field,
@@ -71,7 +72,17 @@ def mark_twins(sensors: str) -> str:
     )
 
 
-_MANY_COPIES = "exists(sensors, s -> s.copies > 1)"
+_MANY_COPIES = "coalesce(exists(sensors, s -> s.copies > 1), false)"
+
+# Where equal rows can occur in a file: nowhere, among lines that share their time, or anywhere.
+NOWHERE, SAME_TIME, ANYWHERE = "nowhere", "same time", "anywhere"
+
+# The two shares of a file's lines that ``explode_lines`` can give.
+CLEAR, DOUBTFUL = "clear", "doubtful"
+
+
+def _repeats(same_time: str) -> str:
+    return f"CASE WHEN {_MANY_COPIES} THEN '{ANYWHERE}' WHEN {same_time} THEN '{SAME_TIME}' ELSE '{NOWHERE}' END"
 
 
 # --- whole files ----------------------------------------------------------------------------------------------
@@ -80,13 +91,13 @@ _MANY_COPIES = "exists(sensors, s -> s.copies > 1)"
 def parse_files(
     spark: SparkSession, files: DataFrame, encoding: str = "shift-jis", trailing: str = DROP_IF_BLANK
 ) -> DataFrame:
-    """Per file: ``sensors``, ``data`` (lines), ``times`` (of the lines), ``error`` and ``needs_distinct``.
+    """Per file: ``sensors``, ``data`` (lines), ``times`` (of the lines), ``error`` and ``repeats``.
 
     Each step is a projection of its own, so that no step's text appears twice in the next one.
 
     ``files`` has ``path, source_zip, content`` and may carry more columns, among them an ``error`` from reading.
-    ``needs_distinct`` is false when no two rows of the file can be equal: times do not repeat and a sensor fills
-    at most two columns, whose values are compared while the cells are made.
+    ``repeats`` tells where equal rows can occur: nowhere if times do not repeat and a sensor fills at most two
+    columns, whose values are compared while the cells are made.
     """
     carried = [c for c in files.columns if c not in ("content", "error")]
     known_error = F.col("error") if "error" in files.columns else F.lit(None).cast("string")
@@ -129,15 +140,16 @@ def parse_files(
              WHEN n_lines < 3 THEN 'fewer than 3 header rows'
              WHEN size(sensors) > 0 AND size(array_compact(raw_times)) > size(array_compact(times))
              THEN 'unparsable Time' END"""
-    repeats = f"coalesce(size(array_distinct(times)) < size(times) OR {_MANY_COPIES}, false)"
-    return timed.selectExpr(
-        *carried, f"{error} AS error", f"{repeats} AS needs_distinct", "sensors", "times", "data"
-    )
+    repeats = _repeats("size(array_distinct(times)) < size(times)")
+    return timed.selectExpr(*carried, f"{error} AS error", f"{repeats} AS repeats", "sensors", "times", "data")
 
 
-def explode_lines(parsed: DataFrame) -> DataFrame:
+def explode_lines(parsed: DataFrame, share: str | None = None) -> DataFrame:
     """One row per data line of the files without an error.
 
+    ``share`` picks the lines whose cells are sure to be unique (``clear``) or the others (``doubtful``); the two make
+    up the whole. In a file where only times repeat, lines are sorted by time and compared with their neighbours.
+
     Files with an error explode nothing. A filter on ``error`` would be pushed below the parse and make it run twice,
     and so would the size test that the optimizer adds below a plain ``explode``; hence the outer form.
 
@@ -145,9 +157,19 @@ def explode_lines(parsed: DataFrame) -> DataFrame:
     a file in memory before passing on the first one, while the iterator form streams line by line.
     """
     rows = "transform(data, (line, i) -> named_struct('Time', get(times, i), 'line', line))"
-    good = F.when(F.col("error").isNull(), F.expr(rows))
+    if share is not None:
+        parsed = parsed.withColumn(
+            "by_time", F.expr(f"CASE WHEN error IS NULL AND repeats = '{SAME_TIME}' THEN sort_array({rows}) END")
+        )
+        again = (
+            "(i > 0 AND get(by_time, i - 1).Time <=> r.Time)"
+            " OR (i < size(by_time) - 1 AND get(by_time, i + 1).Time <=> r.Time)"
+        )
+        mine = f"filter(by_time, (r, i) -> {'NOT' if share == CLEAR else ''} ({again}))"
+        whole = NOWHERE if share == CLEAR else ANYWHERE
+        rows = f"CASE WHEN repeats = '{SAME_TIME}' THEN {mine} WHEN repeats = '{whole}' THEN {rows} END"
     return (
-        parsed.select(*FILE_KEYS, "sensors", F.explode_outer(good).alias("row"))
+        parsed.select(*FILE_KEYS, "sensors", F.explode_outer(F.expr(f"CASE WHEN error IS NULL THEN {rows} END")).alias("row"))
         .where(F.col("row").isNotNull())
         .select(*FILE_KEYS, "sensors", "row.Time", "row.line")
     )
@@ -178,11 +200,32 @@ def distinct_readings(readings: DataFrame) -> DataFrame:
     return readings.dropDuplicates([*FILE_KEYS, *READING_KEYS])
 
 
+def scrub_names(files: DataFrame) -> DataFrame:
+    """Remove control characters from file keys and sensor texts, per file instead of per reading.
+
+    Only for cells that are not made distinct afterwards: names that differ in such characters alone would meet there.
+    """
+    clean = "regexp_replace({0}, r'" + CONTROL_CHARACTERS + "', '')"
+    texts = ", ".join(f"'{k}', {clean.format('s.' + k)}" for k in ("sensor_id", "sensor_name", "unit"))
+    return files.withColumns(
+        {
+            **{k: F.expr(clean.format(k)) for k in FILE_KEYS},
+            "sensors": F.expr(f"transform(sensors, s -> named_struct('col_idx', s.col_idx, 'twin_idx', s.twin_idx, {texts}))"),
+        }
+    )
+
+
+def readings_of(parsed: DataFrame) -> DataFrame:
+    """Readings of parsed files. Only lines whose cells may repeat are shuffled; the price is a second parse."""
+    doubtful = distinct_readings(cells(explode_lines(parsed, DOUBTFUL)))
+    return cells(explode_lines(parsed, CLEAR)).unionByName(doubtful)
+
+
 def wide_to_long(
     spark: SparkSession, files: DataFrame, encoding: str = "shift-jis", trailing: str = DROP_IF_BLANK
 ) -> DataFrame:
     """All readings of the files that parse; see ``file_errors`` for the others."""
-    return distinct_readings(cells(explode_lines(parse_files(spark, files, encoding, trailing))))
+    return readings_of(parse_files(spark, files, encoding, trailing))
 
 
 def file_errors(parsed: DataFrame) -> DataFrame:
@@ -198,7 +241,7 @@ def decode_lines(spark: SparkSession, raw_lines: DataFrame, encoding: str) -> Da
 
 
 def profile_lines(lines: DataFrame, trailing: str = DROP_IF_BLANK) -> DataFrame:
-    """One row per file: fingerprint, sensors, error, needs_distinct.
+    """One row per file: fingerprint, sensors, error, repeats.
 
     Lines are first grouped by file and time (partial sums on the map side), which tells whether times repeat; the
     second grouping is by file. No group is gathered: only sums, and the three header rows.
@@ -260,7 +303,7 @@ def profile_lines(lines: DataFrame, trailing: str = DROP_IF_BLANK) -> DataFrame:
         """CASE WHEN open_quote THEN 'quoted newline or unbalanced quotes in a large file'
                 WHEN size(head) < 3 THEN 'fewer than 3 header rows'
                 WHEN size(sensors) > 0 AND bad_time THEN 'unparsable Time' END AS error""",
-        f"repeats OR coalesce({_MANY_COPIES}, false) AS needs_distinct",
+        f"{_repeats('repeats')} AS repeats",
         "last_chunk",
         "sensors",
     )

@@ -21,9 +21,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gaugeline.functions.decode import AUTO, decode_by, is_two_byte, java_charset
-from gaugeline.functions.text import chomp, content_hash, scrub_control_chars
+from gaugeline.functions.text import chomp, content_hash
 from gaugeline.operators import skip, wide
-from gaugeline.operators.enrich import add_meta
+from gaugeline.operators.enrich import for_storage
 from gaugeline.operators.ledger import status_events
 from gaugeline.operators.sinks import read_or_empty, write_batch
 from gaugeline.plans.lake import Lake
@@ -71,7 +71,7 @@ def profile_whole(spark: SparkSession, contents: DataFrame, opt: Options, mode:
     hashed = contents.withColumn("file_hash", content_hash(F.col("content")))
     parsed = wide.parse_files(spark, hashed, opt.encoding, opt.trailing)
     return parsed.select(
-        "path", "source_zip", "length", "file_hash", "error", "needs_distinct", F.lit(mode).alias("mode")
+        "path", "source_zip", "length", "file_hash", "error", "repeats", F.lit(mode).alias("mode")
     )
 
 
@@ -133,7 +133,7 @@ def profile(lake: Lake, new_files: DataFrame, ingest_id: str, opt: Options) -> D
         "length",
         F.when(F.col("length") == 0, _EMPTY_HASH).alias("file_hash"),
         F.coalesce("error", F.lit("empty file")).alias("error"),
-        F.lit(False).alias("needs_distinct"),
+        F.lit(wide.NOWHERE).alias("repeats"),
         F.lit(_WHOLE).alias("mode"),
     )
     known.select(*PROFILE.fieldNames()).write.mode("overwrite").parquet(at)
@@ -163,7 +163,7 @@ def profile(lake: Lake, new_files: DataFrame, ingest_id: str, opt: Options) -> D
         "length",
         F.lit(None).cast("string").alias("file_hash"),
         F.lit("missing file").alias("error"),
-        F.lit(False).alias("needs_distinct"),
+        F.lit(wide.NOWHERE).alias("repeats"),
         F.lit(_WHOLE).alias("mode"),
     )
     return seen.unionByName(lost)
@@ -212,32 +212,45 @@ def emit(lake: Lake, todo: DataFrame, ingest_id: str, opt: Options) -> int:
     spark = lake.spark
     rows, mode = 0, "overwrite"
 
-    def put(readings: DataFrame) -> None:
+    def put(stored: DataFrame) -> None:
         nonlocal rows, mode
-        final = scrub_control_chars(add_meta(readings, opt.meta))
-        rows += write_batch(final, lake.readings_path, ingest_id, mode)
+        rows += write_batch(stored, lake.readings_path, ingest_id, mode)
         mode = "append"
 
-    counted = todo.groupBy("mode", "needs_distinct").count().collect()
-    n = {(r["mode"], r["needs_distinct"]): r["count"] for r in counted}
+    def clear(cells: DataFrame) -> DataFrame:
+        return for_storage(cells, opt.meta, named=True)
 
-    for (mode_of, distinct), n_files in sorted(n.items()):
-        group = todo.where((F.col("mode") == mode_of) & (F.col("needs_distinct") == distinct))
+    def doubtful(cells: DataFrame) -> DataFrame:
+        return for_storage(wide.distinct_readings(cells), opt.meta)
+
+    counted = todo.groupBy("mode", "repeats").count().collect()
+    n = {(r["mode"], r["repeats"]): r["count"] for r in counted}
+
+    for (mode_of, repeats), n_files in sorted(n.items()):
+        group = todo.where((F.col("mode") == mode_of) & (F.col("repeats") == repeats))
         column = "source_zip" if mode_of == _ARCHIVE else "path"
         for names in waves(group, column, opt.max_paths, n_files):
             if mode_of == _LINES:
                 tables = f"{lake.work_path(ingest_id, 'lines-')}*"
-                profiles = spark.read.parquet(tables).join(group, wide.FILE_KEYS, "left_semi")
+                profiles = spark.read.parquet(tables).join(group.select(*wide.FILE_KEYS), wide.FILE_KEYS, "left_semi")
                 lines = decoded_lines(spark, names, opt)
-                readings = wide.readings_from_lines(lines, profiles, wide.lookup_fits(profiles))
-            else:
-                if mode_of == _ARCHIVE:
-                    contents = _chosen(archives.read_entries(spark, names), group)
+                fits = wide.lookup_fits(profiles)
+                if repeats == wide.NOWHERE:
+                    put(for_storage(wide.readings_from_lines(lines, profiles, fits), opt.meta))
                 else:
-                    contents = loose.read_contents(spark, names)
-                parsed = wide.parse_files(spark, contents, opt.encoding, opt.trailing)
-                readings = wide.cells(wide.explode_lines(parsed))
-            put(wide.distinct_readings(readings) if distinct else readings)
+                    put(doubtful(wide.readings_from_lines(lines, profiles, fits)))
+                continue
+            if mode_of == _ARCHIVE:
+                contents = _chosen(archives.read_entries(spark, names), group)
+            else:
+                contents = loose.read_contents(spark, names)
+            parsed = wide.parse_files(spark, contents, opt.encoding, opt.trailing)
+            named = wide.scrub_names(parsed)
+            if repeats == wide.NOWHERE:
+                put(clear(wide.cells(wide.explode_lines(named))))
+            else:
+                unique = clear(wide.cells(wide.explode_lines(named, wide.CLEAR)))
+                put(unique.unionByName(doubtful(wide.cells(wide.explode_lines(parsed, wide.DOUBTFUL)))))
     return rows
 
 

@@ -63,7 +63,7 @@ PROFILE = _schema(
     ("length", _L, True),
     ("file_hash", _S, True),
     ("error", _S, True),
-    ("needs_distinct", _B, True),
+    ("repeats", _S, True),
     ("mode", _S, False),
 )
 

@@ -20,7 +20,7 @@ def test_lines_mode_equals_whole_file_mode(spark, folder):
     assert {r.header_no for r in lines.select("header_no").distinct().collect()} == {None, 0, 1, 2}
     assert lines.select("path").distinct().collect()[0].path == path
     profiles = wide.profile_lines(lines).persist()
-    assert profiles.first().error is None and not profiles.first().needs_distinct
+    assert profiles.first().error is None and profiles.first().repeats == wide.NOWHERE
     small = spark.createDataFrame([(path, "", open(path, "rb").read())], "path string, source_zip string, content binary")
     want = readings(wide.wide_to_long(spark, small, "utf-8"))
     assert len(want) == 4 * 4000
@@ -47,7 +47,7 @@ def test_profile_flags(spark, folder):
         "fine": HEAD + body(50),
     }
     at = {folder.put(f"{name}.csv", text): name for name, text in paths.items()}
-    got = {at[r.path]: (r.error, r.needs_distinct) for r in wide.profile_lines(lines_of(spark, list(at))).collect()}
+    got = {at[r.path]: (r.error, r.repeats == wide.SAME_TIME) for r in wide.profile_lines(lines_of(spark, list(at))).collect()}
     assert got == {
         "repeat": (None, True),
         "bad": ("unparsable Time", False),

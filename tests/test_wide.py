@@ -69,26 +69,43 @@ def test_duplicates_collapse_within_a_file_only(spark):
     assert sorted((r.path, r.value) for r in df.collect()) == [("/1.csv", "1"), ("/1.csv", "2"), ("/2.csv", "1"), ("/2.csv", "2")]
 
 
-def test_needs_distinct(spark):
+def test_where_rows_can_repeat(spark):
     twins = ",A,A\n,a,a\n,x,x\n"
     triples = ",A,A,A\n,a,a,a\n,x,x,x\n"
     row, later = "2024/1/1 0:0:0,1,1,1\n", "2024/01/01 00:00:00,1,1,1\n"
     df = contents(
         spark, ("once", twins + row), ("again", twins + row + later), ("triple", triples + row), ("none", twins)
     )
-    got = {r.path: r.needs_distinct for r in wide.parse_files(spark, df, "utf-8").select("path", "needs_distinct").collect()}
-    assert got == {"once": False, "again": True, "triple": True, "none": False}
+    got = {r.path: r.repeats for r in wide.parse_files(spark, df, "utf-8").select("path", "repeats").collect()}
+    assert got == {"once": wide.NOWHERE, "again": wide.SAME_TIME, "triple": wide.ANYWHERE, "none": wide.NOWHERE}
 
 
-def test_cells_need_no_distinct_when_told_so(spark):
+def test_no_distinct_where_nothing_repeats(spark):
     body = ",A,B,A\n,a,b,a\n,x,y,x\n2024/1/1 0:0:0,1,2,1,\n2024/1/1 0:0:1,,2,,\n2024/1/1 0:0:2,1,2,\"1\",\n2024/1/1 0:0:3,1,2,3,\n"
     parsed = wide.parse_files(spark, contents(spark, ("/f", body)), "utf-8")
-    assert not parsed.first().needs_distinct
+    assert parsed.first().repeats == wide.NOWHERE
     cells = wide.cells(wide.explode_lines(parsed))
     assert readings(cells) == readings(wide.distinct_readings(cells))
     assert cells.count() == 9
 
 
+def test_shares_make_up_the_whole(spark):
+    """Repeated times in any order, null times and three columns of one sensor."""
+    head = ",A,B,A\n,a,b,a\n,x,y,x\n"
+    mixed = "".join(f"2024/1/1 0:{i % 40 if i % 3 else 50}:0,{i % 4},{i % 2},{i % 4}\n" for i in range(90)) + ",1,2,1\n,1,2,1\n,1,3,1\n"
+    df = contents(spark, ("/mixed", head + mixed), ("/triple", head.replace("B", "A").replace("b", "a").replace("y", "x") + mixed), ("/once", HEAD + ROWS))
+    parsed = wide.parse_files(spark, df, "utf-8").persist()
+    every = wide.explode_lines(parsed)
+    clear, doubtful = wide.explode_lines(parsed, wide.CLEAR), wide.explode_lines(parsed, wide.DOUBTFUL)
+    count = lambda d: {r.path: r["count"] for r in d.groupBy("path").count().collect()}
+    assert count(every) == {"/mixed": 93, "/triple": 93, "/once": 2}
+    assert count(clear.unionByName(doubtful)) == count(every)
+    assert 0 < count(clear)["/mixed"] < 93 and "/triple" not in count(clear) and "/once" not in count(doubtful)
+    want = wide.distinct_readings(wide.cells(every))
+    got = wide.readings_of(parsed)
+    assert readings(got) == readings(want) and got.exceptAll(want).isEmpty() and got.count() == want.count()
+
+
 def test_quoted_newline_and_crlf(spark):
     body = ',A,B\r\n,"na,me",b\r\n,x,y\r\n2024/1/1 0:0:0,"1,\n""2""",e,\r\n\r\n\n2024/1/1 0:0:1,"",z,\r\n'
     assert long(spark, body) == [
@@ -160,14 +177,13 @@ def test_bad_file_does_not_touch_others(spark):
 
 
 def test_plan_of_the_parse_is_not_repeated(spark):
-    """One decode, one shuffle (the distinct), no join."""
-    df = wide.wide_to_long(spark, contents(spark, ("/f", HEAD + ROWS)), "shift-jis")
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("StringDecode") <= 1
-    assert plan.count("Exchange hashpartitioning") == 1
-    assert "Join" not in plan
-    cells = wide.cells(wide.explode_lines(wide.parse_files(spark, contents(spark, ("/f", HEAD + ROWS)), "shift-jis")))
-    assert "Exchange" not in cells._jdf.queryExecution().executedPlan().toString()
+    """One decode and no shuffle for the clear lines; the doubtful ones add a second parse and one shuffle, no join."""
+    files = contents(spark, ("/f", HEAD + ROWS))
+    parsed = wide.parse_files(spark, files, "shift-jis")
+    clear = wide.cells(wide.explode_lines(parsed))._jdf.queryExecution().executedPlan().toString()
+    assert clear.count("StringDecode") == 1 and "Exchange" not in clear and "Join" not in clear
+    both = wide.wide_to_long(spark, files, "shift-jis")._jdf.queryExecution().executedPlan().toString()
+    assert both.count("StringDecode") == 2 and both.count("Exchange hashpartitioning") == 1 and "Join" not in both
 
 
 CELL = st.one_of(st.none(), st.text(st.characters(codec="utf-8", exclude_categories=["Cc", "Cs", "Cn"]), min_size=1, max_size=6), st.sampled_from(['a,b', 'q"q', "l\nm", '"', "表"]))
