@@ -2,20 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from gaugeline.schemas import READING_COLUMNS
+from gaugeline.session import empty, path_exists
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A Parquet table, or no rows while nothing has been written."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return spark.createDataFrame([], schema)
-        raise
+    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else empty(spark, schema)
 
 
 def write_batch(readings: DataFrame, table: str, ingest_id: str, mode: str = "overwrite") -> int:

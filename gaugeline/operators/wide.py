@@ -246,9 +246,9 @@ def profile_lines(lines: DataFrame, trailing: str = DROP_IF_BLANK) -> DataFrame:
     Lines are first grouped by file and time (partial sums on the map side), which tells whether times repeat; the
     second grouping is by file. No group is gathered: only sums, and the three header rows.
 
-    The fingerprint stands in for SHA-256, which needs all bytes in one place: line count, two independent sums of
-    line hashes and the header rows. It does not see the order of data lines, which the readings do not depend on
-    either. Its prefix keeps it apart from byte hashes.
+    The fingerprint stands in for SHA-256, which needs all bytes in one place: line count, sums over the thirds of one
+    line hash (they cannot overflow below 10^12 lines), the xor of another and the header rows. It does not see the
+    order of data lines, which the readings do not depend on either. Its prefix keeps it apart from byte hashes.
     """
     kept = [*FILE_KEYS, "chunk", "header_no"]
     safe = lines.selectExpr(
@@ -265,18 +265,18 @@ def profile_lines(lines: DataFrame, trailing: str = DROP_IF_BLANK) -> DataFrame:
     )
     valued = raw.withColumn("first", F.expr(field_value("first")))
     timed = valued.withColumns({"Time": F.expr(parse_time("first")), "has_time": F.col("first").isNotNull()})
-    by_time = timed.groupBy(*FILE_KEYS, "header_no", "Time", "has_time").agg(
+    # The header text is a key (null on data rows): as an aggregate it would rule out hashing.
+    by_time = timed.groupBy(*FILE_KEYS, "header_no", "header", "Time", "has_time").agg(
         F.expr("count(1) AS n"),
-        F.expr("sum(cast(hash_a AS decimal(38,0))) AS sum_a"),
+        *[F.expr(f"sum(shiftrightunsigned(hash_a, {21 * i}) & 2097151L) AS sum_{i}") for i in range(3)],
         F.expr("bit_xor(hash_b) AS xor_b"),
         F.expr("max(open_quote) AS open_quote"),
         F.expr("max(width) AS width"),
         F.expr("max(chunk) AS chunk"),
-        F.expr("collect_list(header) AS header"),
     )
     per_file = by_time.groupBy(*FILE_KEYS).agg(
         F.expr("sum(n) AS n"),
-        F.expr("sum(sum_a) AS sum_a"),
+        *[F.expr(f"sum(sum_{i}) AS sum_{i}") for i in range(3)],
         F.expr("bit_xor(xor_b) AS xor_b"),
         F.expr("max(open_quote) AS open_quote"),
         F.expr("max(width) AS width"),
@@ -285,10 +285,10 @@ def profile_lines(lines: DataFrame, trailing: str = DROP_IF_BLANK) -> DataFrame:
         F.expr("max(chunk) AS last_chunk"),
         F.expr(
             "sort_array(collect_list(CASE WHEN header_no IS NOT NULL"
-            " THEN named_struct('no', header_no, 'line', get(header, 0)) END)) AS head"
+            " THEN named_struct('no', header_no, 'line', header) END)) AS head"
         ),
     )
-    facts = ["n", "sum_a", "xor_b", "open_quote", "width", "bad_time", "repeats", "last_chunk", "head"]
+    facts = ["n", "sum_0", "sum_1", "sum_2", "xor_b", "open_quote", "width", "bad_time", "repeats", "last_chunk", "head"]
     facts = [*FILE_KEYS, *facts]
     texts = per_file.selectExpr(*facts, *[f"get(head, {i}).line AS h{i}" for i in range(3)])
     shielded = texts.selectExpr(*facts, *[f"{protect_quoted(f'h{i}')} AS h{i}" for i in range(3)])
@@ -298,7 +298,7 @@ def profile_lines(lines: DataFrame, trailing: str = DROP_IF_BLANK) -> DataFrame:
     ).withColumn("sensors", F.expr(mark_twins("sensors")))
     return sensors.selectExpr(
         *FILE_KEYS,
-        "concat('L:', sha2(cast(concat_ws('\\n', n, sum_a, xor_b, array_join(head.line, '\\n')) AS binary), 256))"
+        "concat('L:', sha2(cast(concat_ws('\\n', n, sum_0, sum_1, sum_2, xor_b, array_join(head.line, '\\n')) AS binary), 256))"
         " AS file_hash",
         """CASE WHEN open_quote THEN 'quoted newline or unbalanced quotes in a large file'
                 WHEN size(head) < 3 THEN 'fewer than 3 header rows'

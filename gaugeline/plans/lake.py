@@ -21,7 +21,7 @@ from gaugeline.schemas import (
     STORED_READINGS,
     TIMEOUT,
 )
-from gaugeline.session import configure
+from gaugeline.session import configure, empty
 
 
 class Lake:
@@ -116,7 +116,7 @@ class Lake:
         """Give up a batch. Nothing of it is visible before ``commit``; its directory is emptied."""
         if ingest_id in self.committed_ids():
             raise ValueError(f"batch {ingest_id} is committed")
-        write_batch(self.spark.createDataFrame([], STORED_READINGS), self.readings_path, ingest_id)
+        write_batch(empty(self.spark, STORED_READINGS), self.readings_path, ingest_id)
 
     # --- one file at a time, for interactive use ---------------------------------------------------------------
 

@@ -182,7 +182,7 @@ _LONG = " UNION ALL ".join(
 
 
 def wide_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select(
+    return spread(table(spark, sf_dir, "lineitem")).select(
         "l_orderkey",
         "l_linenumber",
         F.col("l_shipdate").alias("Time"),
@@ -245,7 +245,7 @@ def drop_trailing_col(spark, sf_dir):
         F.when(F.col("l_linestatus") == "F", ",").otherwise(""),
         F.when(F.col("l_discount") > 0.09, ",x").otherwise(""),
     )
-    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.split(line, ",").alias("fields"))
+    rows = spread(table(spark, sf_dir, "lineitem")).select("l_orderkey", "l_linenumber", F.split(line, ",").alias("fields"))
     cut = reshape.drop_trailing_column(rows, ["l_orderkey"])
     return cut.select(
         "l_orderkey", "l_linenumber", F.size("fields").alias("n_fields"), F.array_join("fields", "|").alias("line")
@@ -637,7 +637,7 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Users with an event above 400 have one broken time.
     """
-    events = table(spark, sf_dir, "events")
+    events = spread(table(spark, sf_dir, "events"))
     path = F.format_string("/plant/test_%d.csv", F.col("user_id")).alias("path")
     time = F.when(F.col("value") > 400, "broken").otherwise(F.date_format("ts", "yyyy/M/d HH:mm:ss"))
     value = decimal_text("value")
@@ -697,9 +697,9 @@ def flagship_ingest(spark, sf_dir):
     readings = wide.readings_from_lines(lines, profiles, wide.lookup_fits(profiles))
     final = scrub_control_chars(add_meta(wide.distinct_readings(readings), META))
     write_batch(final, lake.readings_path, run)
-    outcome = profiles.withColumn("reason", F.col("error"))
-    lake.append_status(outcome.where(F.col("error").isNull()), COMPLETED, run, 1)
-    lake.append_status(outcome.where(F.col("error").isNotNull()), FAILED, run, 1)
+    known = profiles.withColumn("reason", F.col("error"))
+    done = led.status_events(known.where(F.col("error").isNull()), COMPLETED, ingest_id=run)
+    lake.append_events(done.unionByName(led.status_events(known.where(F.col("error").isNotNull()), FAILED, ingest_id=run)))
     lake.commit(run)
     return lake.readings()
 

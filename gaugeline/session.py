@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 #: Needed by ``decode``: Japanese charsets, and bad bytes replaced by U+FFFD instead of failing the job.
 DECODE_CONF = {
@@ -50,3 +50,13 @@ def shared_dir(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="gaugeline-")
     return f"{base.rstrip('/')}/gaugeline/{label}-{uuid.uuid4().hex}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
+def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows, in a form the optimizer recognises, so that joins with it fall away."""
+    return spark.range(1).where(F.lit(False)).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])

@@ -5,11 +5,11 @@ from __future__ import annotations
 import re
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from gaugeline.functions.text import basename, local_path, metadata_path
 from gaugeline.schemas import LISTING
+from gaugeline.session import empty, path_exists
 
 _BINARY_FILE = T.StructType(
     [
@@ -24,17 +24,14 @@ _BINARY_FILE = T.StructType(
 def binary_files(spark: SparkSession, folder: str, glob: str) -> DataFrame:
     """``binaryFile`` scan below a folder; a missing folder gives no rows. Select what you need: without
     ``content`` the scan lists only."""
-    try:
-        return (
-            spark.read.format("binaryFile")
-            .option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", glob)
-            .load(folder)
-        )
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e):
-            return spark.createDataFrame([], _BINARY_FILE)
-        raise
+    if not path_exists(spark, folder):
+        return empty(spark, _BINARY_FILE)
+    return (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", glob)
+        .load(escape_glob(folder))
+    )
 
 
 def with_empty_files(files: DataFrame) -> DataFrame:
@@ -64,10 +61,10 @@ def listing_of(spark: SparkSession, paths: list[str]) -> DataFrame:
     """A listing from paths the caller names. A path that is not there is kept, with an error."""
     rows = []
     for path in paths:
-        at = spark._jvm.org.apache.hadoop.fs.Path(path)
-        fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
-        if fs.exists(at):
-            rows.append((path, "", fs.getFileStatus(at).getLen(), None))
+        if path_exists(spark, path):
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            size = at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at).getLen()
+            rows.append((path, "", size, None))
         else:
             rows.append((path, "", None, "missing file"))
     return spark.createDataFrame(rows, LISTING)
@@ -94,8 +91,7 @@ def escape_glob(path: str) -> str:
 def read_contents(spark: SparkSession, paths: list[str]) -> DataFrame:
     """One row per file with its bytes, for a bounded list of paths."""
     if not paths:
-        empty = T.StructType(LISTING.fields[:3] + [T.StructField("content", T.BinaryType())])
-        return spark.createDataFrame([], empty)
+        return empty(spark, T.StructType(LISTING.fields[:3] + [T.StructField("content", T.BinaryType())]))
     return (
         spark.read.format("binaryFile")
         .load([escape_glob(p) for p in paths])
