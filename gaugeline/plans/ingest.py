@@ -81,7 +81,6 @@ def _line_charset(content: Column) -> tuple[Column, ...]:
         F.min(F.is_valid_utf8(text)).alias("utf8"),
         F.min(~F.contains(F.decode(content, "windows-31j"), F.lit("\ufffd"))).alias("sjis"),
         F.min(~F.contains(F.decode(content, "EUC-JP"), F.lit("\ufffd"))).alias("euc"),
-        F.max(F.substring(content, 1, 2).isin(b"\xff\xfe", b"\xfe\xff")).alias("utf16"),
     )
 
 
@@ -91,8 +90,7 @@ def decoded_lines(spark: SparkSession, paths: list[str], opt: Options) -> DataFr
         return wide.decode_lines(spark, raw, opt.encoding)
     votes = raw.groupBy("path").agg(*_line_charset(F.col("raw")))
     charset = (
-        F.when(F.col("utf16"), "UTF-16LE")
-        .when(F.col("utf8"), "UTF-8")
+        F.when(F.col("utf8"), "UTF-8")
         .when(F.col("sjis"), "windows-31j")
         .when(F.col("euc"), "EUC-JP")
         .otherwise("windows-31j")
@@ -104,6 +102,34 @@ def decoded_lines(spark: SparkSession, paths: list[str], opt: Options) -> DataFr
     ).withColumn("line", F.expr(chomp("line")))
 
 
+def two_byte_files(spark: SparkSession, paths: list[str], opt: Options) -> DataFrame:
+    """Those of the given files that begin with a UTF-16 byte order mark."""
+    first = wide_text.read_lines(spark, paths, opt.split_bytes).where(F.col("header_no") == 0)
+    return first.where(F.substring("raw", 1, 2).isin(b"\xff\xfe", b"\xfe\xff")).select("path", F.lit(True).alias("two_byte"))
+
+
+def _sorted(files: DataFrame, opt: Options) -> DataFrame:
+    """Add the way each file is read. A charset with two-byte newlines cannot be cut into lines before decoding."""
+    limit = F.when(F.col("two_byte"), ROW_BYTES).otherwise(opt.whole_file_bytes)
+    loose_file = F.col("source_zip") == ""
+    too_large = loose_file & F.col("two_byte") & (F.col("length") > ROW_BYTES)
+    files = files.withColumn(
+        "error", F.coalesce("error", F.when(too_large, "two-byte charset in a file of more than one row"))
+    )
+    readable = F.coalesce(F.col("error").isNull() & (F.col("length") > 0), F.lit(False))
+    kind = (
+        F.when(~readable, "known")
+        .when(~loose_file, _ARCHIVE)
+        .when(F.col("length") <= limit, _WHOLE)
+        .otherwise(_LINES)
+    )
+    return files.withColumn("kind", kind)
+
+
+def _counts(sorted_files: DataFrame) -> dict[str, int]:
+    return {r["kind"]: r["count"] for r in sorted_files.groupBy("kind").count().collect()}
+
+
 def _lines_name(wave: int) -> str:
     return f"lines-{wave}"
 
@@ -111,21 +137,20 @@ def _lines_name(wave: int) -> str:
 def profile(lake: Lake, new_files: DataFrame, ingest_id: str, opt: Options) -> DataFrame:
     """Write and return one profile row per new file."""
     spark, at = lake.spark, lake.work_path(ingest_id, "profile")
-    by_row = opt.whole_file_bytes
-    if opt.encoding.lower() != AUTO and is_two_byte(java_charset(spark, opt.encoding)):
-        by_row = ROW_BYTES
-    readable = F.col("error").isNull() & (F.col("length") > 0)
-    kind = (
-        F.when(~F.coalesce(readable, F.lit(False)), "known")
-        .when(F.col("source_zip") != "", _ARCHIVE)
-        .when(F.col("length") <= by_row, _WHOLE)
-        .otherwise(_LINES)
-    )
-    sorted_files = new_files.withColumn("kind", kind)
-    n = {r["kind"]: r["count"] for r in sorted_files.groupBy("kind").count().collect()}
+    forced_two_byte = opt.encoding.lower() != AUTO and is_two_byte(java_charset(spark, opt.encoding))
+    sorted_files = _sorted(new_files.withColumn("two_byte", F.lit(forced_two_byte)), opt)
+    n = _counts(sorted_files)
+    if opt.encoding.lower() == AUTO and n.get(_LINES):
+        two_byte = lake.work_path(ingest_id, "two-byte")
+        for i, paths in enumerate(waves(sorted_files.where(F.col("kind") == _LINES), "path", opt.max_paths, n[_LINES])):
+            found = two_byte_files(spark, paths, opt)
+            found.write.mode("append" if i else "overwrite").parquet(two_byte)
+        marked = new_files.join(spark.read.parquet(two_byte), "path", "left")
+        sorted_files = _sorted(marked.withColumn("two_byte", F.coalesce("two_byte", F.lit(False))), opt)
+        n = _counts(sorted_files)
 
     def of_kind(name: str) -> DataFrame:
-        return sorted_files.where(F.col("kind") == name).drop("kind")
+        return sorted_files.where(F.col("kind") == name).drop("kind", "two_byte")
 
     known = of_kind("known").select(
         "path",

@@ -114,7 +114,7 @@ def test_large_files_give_the_same_rows(spark, folder, tmp_path):
     assert run(lines, folder, whole_file_bytes=1000) == (4, 2, 1, 0, 1, 0)
 
 
-@pytest.mark.parametrize("encoding, codec", [("auto", "shift_jis"), ("auto", "utf-8-sig"), ("shift-jis", "shift_jis"), ("utf-16", "utf-16")])
+@pytest.mark.parametrize("encoding, codec", [("auto", "shift_jis"), ("auto", "utf-8-sig"), ("auto", "utf-16"), ("shift-jis", "shift_jis"), ("utf-16", "utf-16")])
 def test_large_files_in_other_charsets(spark, lake, folder, encoding, codec):
     body = "".join(f"2024/1/1 {i // 60}:{i % 60}:00,能{i},2,\n" for i in range(600))
     folder.put("test.csv", (",1,2\n,温度ソ,表\n,℃,-\n" + body).encode(codec))
@@ -124,6 +124,17 @@ def test_large_files_in_other_charsets(spark, lake, folder, encoding, codec):
     assert lake.readings().count() == 1200
 
 
+def test_two_byte_charset_beyond_a_row_fails(spark, lake, folder, monkeypatch):
+    monkeypatch.setattr(plan, "ROW_BYTES", 100)
+    folder.put("test.csv", (HEAD + ROWS).encode("utf-16"))
+    for encoding in ("auto", "utf-16"):
+        stats = ingest_folder(lake, folder.path, "test", encoding=encoding, whole_file_bytes=50)
+        assert tuple(stats.first()) == (1, 0, 0, 0, 1, 0)
+    assert {r.reason for r in lake.events().where("status = 'FAILED'").collect()} == {
+        "two-byte charset in a file of more than one row"
+    }
+
+
 def test_waves_cover_everything(spark, lake, folder):
     for i in range(12):
         folder.put(f"test_{i}.csv", HEAD + ROWS.replace(",1,", f",{i},"))
