@@ -200,19 +200,25 @@ def distinct_readings(readings: DataFrame) -> DataFrame:
     return readings.dropDuplicates([*FILE_KEYS, *READING_KEYS])
 
 
+_CLEAN = "regexp_replace({0}, r'" + CONTROL_CHARACTERS + "', '')"
+
+
+def scrub_keys(files: DataFrame) -> DataFrame:
+    return files.withColumns({k: F.expr(_CLEAN.format(k)) for k in FILE_KEYS})
+
+
+def scrub_sensors(files: DataFrame) -> DataFrame:
+    texts = ", ".join(f"'{k}', {_CLEAN.format('s.' + k)}" for k in ("sensor_id", "sensor_name", "unit"))
+    clean = f"transform(sensors, s -> named_struct('col_idx', s.col_idx, 'twin_idx', s.twin_idx, {texts}))"
+    return files.withColumn("sensors", F.expr(clean))
+
+
 def scrub_names(files: DataFrame) -> DataFrame:
     """Remove control characters from file keys and sensor texts, per file instead of per reading.
 
     Only for cells that are not made distinct afterwards: names that differ in such characters alone would meet there.
     """
-    clean = "regexp_replace({0}, r'" + CONTROL_CHARACTERS + "', '')"
-    texts = ", ".join(f"'{k}', {clean.format('s.' + k)}" for k in ("sensor_id", "sensor_name", "unit"))
-    return files.withColumns(
-        {
-            **{k: F.expr(clean.format(k)) for k in FILE_KEYS},
-            "sensors": F.expr(f"transform(sensors, s -> named_struct('col_idx', s.col_idx, 'twin_idx', s.twin_idx, {texts}))"),
-        }
-    )
+    return scrub_sensors(scrub_keys(files))
 
 
 def readings_of(parsed: DataFrame) -> DataFrame:
@@ -336,9 +342,13 @@ def lookup_fits(profiles: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     return (total or 0) * 3 <= limit
 
 
-def readings_from_lines(lines: DataFrame, profiles: DataFrame, broadcastable: bool) -> DataFrame:
-    """Readings of large files, before the distinct."""
-    joined = attach_sensors(lines, profiles, broadcastable)
+def readings_from_lines(
+    lines: DataFrame, profiles: DataFrame, broadcastable: bool, scrub: bool = False
+) -> DataFrame:
+    """Readings of large files, before the distinct. ``scrub`` cleans names as ``scrub_names`` does."""
+    joined = attach_sensors(lines, scrub_sensors(profiles) if scrub else profiles, broadcastable)
+    if scrub:
+        joined = scrub_keys(joined)
     guarded = joined.selectExpr(*FILE_KEYS, "sensors", f"{protect_quoted('line')} AS line")
     first = guarded.selectExpr(*FILE_KEYS, "sensors", "line", f"{first_field('line')} AS first")
     valued = first.selectExpr(*FILE_KEYS, "sensors", "line", f"{field_value('first')} AS first")

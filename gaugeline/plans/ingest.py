@@ -261,7 +261,7 @@ def emit(lake: Lake, todo: DataFrame, ingest_id: str, opt: Options) -> int:
                 lines = decoded_lines(spark, names, opt)
                 fits = wide.lookup_fits(profiles)
                 if repeats == wide.NOWHERE:
-                    put(for_storage(wide.readings_from_lines(lines, profiles, fits), opt.meta))
+                    put(clear(wide.readings_from_lines(lines, profiles, fits, scrub=True)))
                 else:
                     put(doubtful(wide.readings_from_lines(lines, profiles, fits)))
                 continue
