@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from gaugeline.llm.common import labelled_sample, slices
 
 #: Most labelled rows used for fitting.
-FIT_ROWS = 12_000
+FIT_ROWS = 8_000
 #: Hashed features of the classifier.
 BUCKETS = 1 << 18
 STEMS = (4, 5)
@@ -49,20 +49,31 @@ def _terms(text: str) -> tuple[dict[str, int], int]:
     return counts, len(words)
 
 
-def _vector(text: str, cache: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed features: square root of a term's count per hundred words, at most 2."""
+def _vector(text: str, cache: dict[str, int], voters: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed terms (square root of a term's count per hundred words, at most 2), then the voters' own features.
+
+    Voter ``j`` has feature ``BUCKETS + j``, the log of one plus its count, whatever the length of the text; two more features
+    hold the log of one plus all hits, and whether two different voters fire.
+    """
     counts, n = _terms(text)
     if not n:
         return np.zeros(0, np.int32), np.zeros(0, np.float32)
-    ids = []
-    for t in counts:
+    ids, hits, own = [], [], []
+    for t, c in counts.items():
         i = cache.get(t)
         if i is None:
             if len(cache) > 2_000_000:
                 cache.clear()
             i = cache[t] = zlib.crc32(t.encode()) % BUCKETS
         ids.append(i)
-    return np.array(ids, np.int32), np.minimum(np.sqrt(np.fromiter(counts.values(), np.float32) * (100.0 / n)), 2.0).astype(np.float32)
+        if t in voters:
+            hits.append(BUCKETS + voters[t])
+            own.append(c)
+    values = np.minimum(np.sqrt(np.fromiter(counts.values(), np.float32) * (100.0 / n)), 2.0)
+    if not hits:
+        return np.array(ids, np.int32), values.astype(np.float32)
+    first = BUCKETS + len(voters)
+    return np.array([*ids, *hits, first, first + 1], np.int32), np.concatenate([values, np.log1p(own), [np.log1p(sum(own)), float(len(hits) > 1)]]).astype(np.float32)
 
 
 @dataclass
@@ -141,12 +152,12 @@ class Model:
     label_model: LabelModel | None = None
 
 
-def _voters(terms: list[dict[str, int]], y: np.ndarray, most: int = 120) -> list[str]:
+def _voters(texts: list[str], y: np.ndarray, most: int = 120) -> list[str]:
     """Insults, and the terms that point most surely to label 1 (a Wald bound of the log odds over 1.5)."""
     seen: list[dict[str, int]] = [{}, {}]
-    for t, label in zip(terms, y, strict=True):
+    for text, label in zip(texts, y, strict=True):
         d = seen[int(label)]
-        for k in t:
+        for k in _terms(text)[0]:
             d[k] = d.get(k, 0) + 1
     n0, n1 = max(1, int((y == 0).sum())), max(1, int((y == 1).sum()))
     found = []
@@ -159,10 +170,11 @@ def _voters(terms: list[dict[str, int]], y: np.ndarray, most: int = 120) -> list
     return list(dict.fromkeys([*INSULTS, *(k for _, k in sorted(found)[:most])]))
 
 
-def _votes(voters: list[str], terms: list[dict[str, int]], sizes: list[int], texts: list[str]) -> np.ndarray:
+def _votes(voters: list[str], texts: list[str]) -> np.ndarray:
     """A column per term, then patterns: two terms, many terms for the length, none, shouting, second person with a term."""
-    out = np.zeros((len(terms), len(voters) + 5), dtype=int)
-    for i, (t, n, text) in enumerate(zip(terms, sizes, texts, strict=True)):
+    out = np.zeros((len(texts), len(voters) + 5), dtype=int)
+    for i, text in enumerate(texts):
+        t, n = _terms(text)
         hit = [j for j, v in enumerate(voters) if v in t]
         out[i, hit] = 1
         total = sum(t[voters[j]] for j in hit)
@@ -170,28 +182,37 @@ def _votes(voters: list[str], terms: list[dict[str, int]], sizes: list[int], tex
     return out
 
 
-def _logistic(ids: list[np.ndarray], vals: list[np.ndarray], q: np.ndarray, epochs: int = 40, l2: float = 2e-7, seed: int = 5) -> tuple[np.ndarray, float]:
-    """Adagrad on soft labels; both classes weigh the same up to a factor of four."""
-    w, b = np.zeros(BUCKETS), float(np.log((q.mean() + 1e-3) / (1 - q.mean() + 1e-3)))
-    gw, gb = np.full(BUCKETS, 1e-2), 1e-2
+def _logistic(vectors: list[tuple[np.ndarray, np.ndarray]], q: np.ndarray, size: int, epochs: int = 15, l2: float = 1e-6, seed: int = 5) -> tuple[np.ndarray, float]:
+    """Adagrad on soft labels over features of three texts or more; the rarer class weighs up to four times as much."""
+    lens = np.array([len(i) for i, _ in vectors])
+    kept = np.flatnonzero(np.bincount(np.concatenate([i for i, _ in vectors]), minlength=size) >= 3)
+    place = np.full(size, -1)
+    place[kept] = np.arange(len(kept))
+    f_all, x_all, r_all = place[np.concatenate([i for i, _ in vectors])], np.concatenate([v for _, v in vectors]), np.repeat(np.arange(len(vectors)), lens)
+    use = f_all >= 0
+    f_all, x_all, r_all = f_all[use], x_all[use], r_all[use]
+    starts = np.searchsorted(r_all, np.arange(len(vectors) + 1))
+    w, b = np.zeros(len(kept)), float(np.log((q.mean() + 1e-3) / (1 - q.mean() + 1e-3)))
+    gw, gb = np.full(len(kept), 1e-2), 1e-2
     up = float(np.clip((1 - q.mean()) / max(q.mean(), 1e-3), 1, 4))
     order = np.random.default_rng(seed)
     for _ in range(epochs):
         perm = order.permutation(len(q))
         for at in range(0, len(perm), 128):
             part = perm[at : at + 128]
-            lens = [len(ids[i]) for i in part]
-            f, x, row = np.concatenate([ids[i] for i in part]), np.concatenate([vals[i] for i in part]), np.repeat(np.arange(len(part)), lens)
+            take = np.concatenate([np.arange(starts[i], starts[i + 1]) for i in part])
+            f, x, row = f_all[take], x_all[take], np.repeat(np.arange(len(part)), starts[part + 1] - starts[part])
             z = np.bincount(row, w[f] * x, len(part)) + b
             y = q[part]
-            g = (1 / (1 + np.exp(-z)) - y) * np.where(y > 0.5, up, 1.0) / len(part)
-            touched, back = np.unique(f, return_inverse=True)
-            grad = np.bincount(back, g[row] * x) + l2 * w[touched]
-            gw[touched] += grad**2
-            w[touched] -= 0.3 * grad / np.sqrt(gw[touched])
+            g = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y) * np.where(y > 0.5, up, 1.0) / len(part)
+            grad = np.bincount(f, g[row] * x, len(kept)) + l2 * w
+            gw += grad**2
+            w -= 0.3 * grad / np.sqrt(gw)
             gb += g.sum() ** 2
             b -= 0.1 * g.sum() / np.sqrt(gb)
-    return w, b
+    out = np.zeros(size)
+    out[kept] = w
+    return out, b
 
 
 def fit_rows(rows: list[tuple[str, int]]) -> Model:
@@ -199,15 +220,14 @@ def fit_rows(rows: list[tuple[str, int]]) -> Model:
     y = np.array([label for _, label in rows], dtype=int)
     if not len(rows) or y.min() == y.max():
         share = float(y.mean()) if len(rows) else 0.0
-        return Model(np.zeros(BUCKETS, np.float32), 40.0 if share else -40.0)
-    pairs = [_terms(text) for text, _ in rows]
-    terms, sizes = [t for t, _ in pairs], [n for _, n in pairs]
-    voters = _voters(terms, y)
+        return Model(np.zeros(BUCKETS + 2, np.float32), 40.0 if share else -40.0)
+    texts = [text for text, _ in rows]
+    voters = _voters(texts, y)
     label_model = LabelModel()
-    q = label_model.fit(_votes(voters, terms, sizes, [text for text, _ in rows]), y)
+    q = label_model.fit(_votes(voters, texts), y)
     cache: dict[str, int] = {}
-    vectors = [_vector(text, cache) for text, _ in rows]
-    w, b = _logistic([i for i, _ in vectors], [v for _, v in vectors], q)
+    index = {v: j for j, v in enumerate(voters)}
+    w, b = _logistic([_vector(text, cache, index) for text in texts], q, BUCKETS + len(voters) + 2)
     return Model(w.astype(np.float32), b, voters, label_model)
 
 
@@ -219,18 +239,19 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column, most_rows: int = FI
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id`` and ``score`` of every row."""
     used = np.flatnonzero(np.abs(model.weights) > 1e-4).astype(np.int32)
-    shared = docs.sparkSession.sparkContext.broadcast((used, model.weights[used], model.bias))  # at most BUCKETS numbers
+    shared = docs.sparkSession.sparkContext.broadcast((used, model.weights[used], model.bias, model.voters, len(model.weights)))  # about BUCKETS numbers at most
 
     def run(batches):
-        used, values, bias = shared.value
-        w = np.zeros(BUCKETS, np.float32)
+        used, values, bias, voters, size = shared.value
+        w = np.zeros(size, np.float32)
         w[used] = values
+        index = {v: j for j, v in enumerate(voters)}
         cache: dict[str, int] = {}
         for batch in slices(batches):
-            z = np.empty(batch.num_rows)
+            z = np.full(batch.num_rows, bias)
             for i, text in enumerate(batch.column(1).to_pylist()):
-                ids, vals = _vector(text or "", cache)
-                z[i] = float(w[ids] @ vals) + bias
+                ids, vals = _vector(text or "", cache, index)
+                z[i] += float(w[ids] @ vals)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(z, -40, 40))))], ["doc_id", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
