@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gaugeline.llm import factor_machine, quality_rules, toxicity
+from gaugeline.llm import bpe, factor_machine, pii, quality_rules, toxicity
 from gaugeline.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,16 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@query
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_factor_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -39,3 +49,51 @@ def op9_factor_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality_rules.judge(docs, quality_rules.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def _pii_sql() -> str:
+    """The contract's patterns in DuckDB's dialect. Positions are sums of the lengths of pieces and matches."""
+    patterns = {
+        "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+        "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        "card": r"[0-9]([\x20-]?[0-9])+",
+        "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+        "iban": r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}",
+        "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
+    }
+    alone = "NOT regexp_matches(right(p, 1), '^[A-Za-z0-9]$') AND NOT regexp_matches(left(q, 1), '^[A-Za-z0-9]$')"
+    digits = "regexp_replace(m, '[^0-9]', '', 'g')"
+    luhn = f"list_sum(list_transform(string_split(reverse({digits}), ''), lambda c, i: CASE WHEN i % 2 = 1 THEN c::INT WHEN c::INT > 4 THEN c::INT * 2 - 9 ELSE c::INT * 2 END)) % 10 = 0"
+    moved = "concat(substr(replace(m, ' ', ''), 5), left(m, 4))"
+    mod97 = f"list_reduce(list_prepend(0, list_transform(string_split({moved}, ''), lambda c: ascii(c))), lambda a, n: CASE WHEN n >= 65 THEN (a * 100 + n - 55) % 97 ELSE (a * 10 + n - 48) % 97 END) = 1"
+    near = "lower(concat(right(p, 40), ' ', left(q, 40)))"
+    good = {
+        "email": "true",
+        "ip": "len(list_filter(string_split(m, '.'), lambda x: ltrim(x, '0') <> '' AND (length(ltrim(x, '0')) > 3 OR ltrim(x, '0')::INT > 255))) = 0",
+        "card": f"CASE WHEN length({digits}) BETWEEN 12 AND 19 THEN {luhn} ELSE false END",
+        "phone": f"length({digits}) BETWEEN 9 AND 15",
+        "iban": f"{alone} AND CASE WHEN true THEN {mod97} END",
+        "ssn": f"{alone} AND regexp_matches({near}, 'ssn|social|security')",
+    }
+    parts = []
+    for rank, (kind, pattern) in enumerate(patterns.items()):
+        parts.append(f"""
+        {kind}_ AS (
+          SELECT r, {rank} AS k, s, s + length(m) AS e,
+                 least(1.0, {pii.SCORES[kind]} + CASE WHEN regexp_matches({near}, '{pii.CONTEXT[kind]}') THEN 0.3 ELSE 0 END)::DOUBLE AS score
+          FROM (SELECT r, a[i] AS p, m[i] AS m, a[i + 1] AS q,
+                       (list_sum(list_transform(a[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0))::BIGINT AS s
+                FROM (SELECT r, a, m, unnest(range(1, len(m) + 1)) AS i
+                      FROM (SELECT r, string_split_regex(t, '{pattern}') AS a, regexp_extract_all(t, '{pattern}') AS m
+                            FROM docs WHERE regexp_matches(t, '{pattern}'))))
+          WHERE {good[kind]})""")
+    return f"""WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents), {",".join(parts)},
+      spans AS ({" UNION ALL ".join(f"SELECT '{k}' AS kind, * FROM {k}_" for k in patterns)})
+      SELECT doc_id, {", ".join(f"count(s) FILTER (k = {i}) AS n_{k}" for i, k in enumerate(pii.BASE))},
+             sha256(coalesce(string_agg(concat(kind, ':', s, ':', e), ',' ORDER BY s, k) FILTER (k < 4), '')) AS base_sha256,
+             coalesce(string_agg(concat(kind, ':', s, ':', e), ',' ORDER BY s, k), '') AS spans,
+             coalesce(string_agg(format('{{:.1f}}', score), ',' ORDER BY s, k), '') AS scores
+      FROM docs LEFT JOIN spans USING (r) GROUP BY r, doc_id"""
+
+
+ORACLES["op7_pii"] = _pii_sql()
