@@ -10,9 +10,9 @@ between two characters that aren't white space. The pattern that splits texts be
 token before it, so ids on the two sides of a safe point don't depend on each other. A chunk without a safe point is
 re-encoded with its neighbours, in the extreme the whole text at once.
 
-Plan: chunk hashes of each distinct text are counted (hashes only, no text). Texts are shuffled once, compressed, by their
-digest, equal texts meeting in one row; that exchange is read twice, for the owners of shared chunks and for all texts. No
-group is larger than the chunks of one text.
+Plan: chunk hashes of each distinct text are counted (hashes only, no text). Texts with a shared chunk are shuffled, compressed,
+by their digest, equal texts meeting in one row; all others are encoded where they are read. No group is larger than the
+chunks of one text.
 
 Defined cases: a null text counts as empty; an empty text has no ids; equal texts in several rows, null or repeated ids
 give a row each; other columns are ignored.
@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from gaugeline.llm.common import saved, slices
 
@@ -192,29 +192,66 @@ def join(pieces: list[Piece], own: Codec) -> np.ndarray:
     return np.concatenate([x.ids if isinstance(x, Piece) else x for x in out])
 
 
-_pack = zstandard.ZstdCompressor(level=3)
-_unpack = zstandard.ZstdDecompressor()
+@lru_cache(maxsize=1)
+def _zstd() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
+    return zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+
+
+def _packed(data: bytes) -> bytes:
+    return _zstd()[0].compress(data)
+
 
+def _unpacked(data: bytes) -> bytes:
+    return _zstd()[1].decompress(data)
 
-def _digest(text: Column) -> Column:
-    return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
+
+def _flags(digests: DataFrame) -> np.ndarray:
+    """A bitmap of 2^24 bits over the first three bytes of digests: 512 rows of 4 KiB at most, whatever the input's size."""
+    at = F.conv(F.hex(F.substring("digest", 1, 3)), 16, 10).cast("long") + 1
+    rows = digests.select(at.alias("n")).groupBy(F.bitmap_bucket_number("n").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("n")).alias("bits")).collect()
+    out = np.zeros((512, 4096), np.uint8)
+    for r in rows:
+        out[r["b"] - 1] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    return out.reshape(-1)
 
 
 def encode(docs: DataFrame, tokenizer: str | None = None, least: int = 2) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` and the share of chunks reused, for every row of ``docs``."""
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256, n_reused`` (chunks taken from elsewhere) for every row of ``docs``.
+
+    Texts without a shared chunk are encoded where they are read, without a shuffle. A fixed-size bitmap says which may have
+    one; its errors only send a text the longer way.
+    """
     path = tokenizer or default_tokenizer()
+    result = ["n_tokens", "ids_sha256", "decoded_sha256", "n_reused"]
+    kinds = "n_tokens bigint, ids_sha256 string, decoded_sha256 string, n_reused bigint"
 
     def refs(batches):
         for batch in slices(batches):
             data = [(t or "").encode() for t in batch.column(0).to_pylist()]
             cut = [borders(d) for d in data]
             keys = [[xxhash.xxh3_128_digest(d[a:b]) if b - a >= LEAST_SHARED else b"" for a, b in zip(c, c[1:], strict=False)] for d, c in zip(data, cut, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array([hashlib.sha256(d).digest() for d in data]), pa.array(keys, pa.list_(pa.binary()))], ["digest", "keys"])
+            yield pa.RecordBatch.from_arrays([pa.array([hashlib.sha256(d).digest() for d in data], pa.binary()), pa.array(keys, pa.list_(pa.binary()))], ["digest", "keys"])
+
+    def row(ids: list[int], own: Codec, names: list[str], reused: int) -> tuple:
+        return len(ids), hashlib.sha256(",".join(map(names.__getitem__, ids)).encode()).hexdigest(), hashlib.sha256(own.decode(ids).encode()).hexdigest(), reused
+
+    def arrays(rows: list[tuple]) -> list[pa.Array]:
+        columns = list(zip(*rows, strict=True)) or [[]] * 4
+        return [pa.array(c, k) for c, k in zip(columns, [pa.int64(), pa.string(), pa.string(), pa.int64()], strict=True)]
+
+    def alone(batches):
+        own, bits = codec(path), flags.value
+        names = [str(i) for i in range(len(own.bytes_of))]
+        for batch in slices(batches, 128):
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            plain = [i for i, t in enumerate(texts) if not _flagged(bits, hashlib.sha256(t.encode()).digest())]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(plain, pa.int64())), *arrays([row(own.encode(texts[i]).tolist(), own, names, 0) for i in plain])], ["doc_id", *result])
 
     def packed(batches):
+        bits = flags.value
         for batch in slices(batches):
-            data = [(t or "").encode() for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([hashlib.sha256(d).digest() for d in data], pa.binary()), pa.array([_pack.compress(d) for d in data], pa.binary())], ["digest", "z"])
+            found = [(h, d) for t in batch.column(0).to_pylist() if _flagged(bits, h := hashlib.sha256(d := (t or "").encode()).digest())]
+            yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in found], pa.binary()), pa.array([_packed(d) for _, d in found], pa.binary())], ["digest", "z"])
 
     def owned(batches):
         """Ids between the safe points of the chunks that a text owns."""
@@ -222,53 +259,59 @@ def encode(docs: DataFrame, tokenizer: str | None = None, least: int = 2) -> Dat
         for batch in slices(batches, 64):
             keys, blobs = [], []
             for z, seqs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                data = _unpack.decompress(z)
+                data = _unpacked(z)
                 at = borders(data)
                 for s in seqs:
                     chunk = data[at[s] : at[s + 1]]
                     keys.append(xxhash.xxh3_128_digest(chunk))
                     p = piece(chunk.decode(), own)
-                    blobs.append(_pack.compress(np.array([p.first, p.last], np.int32).tobytes() + p.ids.astype("<u4").tobytes()))
+                    blobs.append(_packed(np.array([p.first, p.last], np.int32).tobytes() + p.ids.astype("<u4").tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(blobs, pa.binary())], ["key", "blob"])
 
-    def whole(batches):
+    def spliced(batches):
         own = codec(path)
         names = [str(i) for i in range(len(own.bytes_of))]
         for batch in slices(batches, 64):
-            out: list[list] = [[], [], [], []]
+            rows = []
             for z, shared in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                data = _unpack.decompress(z)
+                data = _unpacked(z)
                 at = borders(data)
                 known = {x["seq"]: x["blob"] for x in shared or []}
                 pieces, run = [], 0
-                for s in range(len(at) - 1):
-                    if s in known:
-                        if run < s:
-                            pieces.append(piece(data[at[run] : at[s]].decode(), own))
-                        raw = _unpack.decompress(known[s])
-                        first, last = np.frombuffer(raw[:8], np.int32)
-                        pieces.append(Piece(data[at[s] : at[s + 1]].decode(), int(first), int(last), np.frombuffer(raw[8:], "<u4")))
-                        run = s + 1
+                for s in sorted(known):
+                    if run < s:
+                        pieces.append(piece(data[at[run] : at[s]].decode(), own))
+                    raw = _unpacked(known[s])
+                    first, last = np.frombuffer(raw[:8], np.int32).tolist()
+                    pieces.append(Piece(data[at[s] : at[s + 1]].decode(), first, last, np.frombuffer(raw[8:], "<u4")))
+                    run = s + 1
                 if run < len(at) - 1:
                     pieces.append(piece(data[at[run] :].decode(), own))
-                ids = join(pieces, own).tolist()
-                out[0].append(len(ids))
-                out[1].append(hashlib.sha256(",".join(map(names.__getitem__, ids)).encode()).hexdigest())
-                out[2].append(hashlib.sha256(own.decode(ids).encode()).hexdigest())
-                out[3].append(len(known))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()), pa.array(out[2], pa.string()), pa.array(out[3], pa.int64())], ["digest", "n_tokens", "ids_sha256", "decoded_sha256", "n_reused"])
+                rows.append(row(join(pieces, own).tolist(), own, names, len(known)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays(rows)], ["digest", *result])
 
     text = docs.select("text")
     uses = saved(text.mapInArrow(refs, "digest binary, keys array<binary>").groupBy("digest").agg(F.count("*").alias("copies"), F.first("keys").alias("keys")), "bpe-keys")
     chunks = uses.select("digest", "copies", F.posexplode("keys").alias("seq", "key")).where(F.length("key") > 0)
     shared = saved(chunks.groupBy("key").agg(F.sum("copies").alias("n"), F.min(F.struct("digest", "seq")).alias("owner")).where(F.col("n") >= least).select("key", "owner"), "bpe-shared")
+    wanted = saved(chunks.join(shared.select("key"), "key").select("digest", "seq", "key"), "bpe-wanted")
+    flags = docs.sparkSession.sparkContext.broadcast(_flags(wanted.select("digest")))
+
     texts = text.mapInArrow(packed, "digest binary, z binary").groupBy("digest").agg(F.first("z").alias("z"))
     owners = shared.select("owner.digest", "owner.seq").groupBy("digest").agg(F.collect_list("seq").alias("seqs"))
     ids = saved(texts.join(owners, "digest").select("z", "seqs").mapInArrow(owned, "key binary, blob binary"), "bpe-ids")
-    known = chunks.join(ids, "key").groupBy("digest").agg(F.collect_list(F.struct("seq", "blob")).alias("shared"))
-    results = texts.join(known, "digest", "left").select("digest", "z", "shared").mapInArrow(whole, "digest binary, n_tokens bigint, ids_sha256 string, decoded_sha256 string, n_reused bigint")
-    rows = docs.select("doc_id", _digest(F.col("text")).alias("digest"))
-    return rows.join(saved(results, "bpe-results"), "digest").select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_reused")
+    known = wanted.join(ids, "key").groupBy("digest").agg(F.collect_list(F.struct("seq", "blob")).alias("shared"))
+    results = saved(texts.join(known, "digest", "left").select("digest", "z", "shared").mapInArrow(spliced, f"digest binary, {kinds}"), "bpe-results")
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = docs.select("doc_id", F.unhex(F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)).alias("digest"))
+    long_way = rows.join(results, "digest").select("doc_id", *result)
+    return docs.select("doc_id", "text").mapInArrow(alone, f"doc_id {kind}, {kinds}").unionByName(long_way)
+
+
+def _flagged(bits: np.ndarray, digest: bytes) -> bool:
+    at = int.from_bytes(digest[:3], "big")
+    return bool(bits[at >> 3] >> (at & 7) & 1)
 
 
 def decode(ids: DataFrame, tokenizer: str | None = None) -> DataFrame:
