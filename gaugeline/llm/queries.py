@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gaugeline.llm import bpe, factor_machine, packing, pii, quality_rules, toxicity
+from gaugeline.llm import bpe, embed, factor_machine, lines, minhash, packing, pii, quality_rules, toxicity, warc
 from gaugeline.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,17 +32,39 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.roundtrip(table(spark, sf_dir, "pages"))
+
+
+@query
+def op4_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed.neighbours(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = packing.sequences(table(spark, sf_dir, "documents"))
     return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "loss")
 
 
+@query
+def op6_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.classes(table(spark, sf_dir, "documents")).drop("mark")
+
+
 @query
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    kept = lines.remove(docs)
+    return kept.select("doc_id", F.char_length("text").alias("kept_chars"), F.sha2("text", 256).alias("text_sha256"))
+
+
 @query
 def op9_factor_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -103,3 +125,16 @@ def _pii_sql() -> str:
 
 
 ORACLES["op7_pii"] = _pii_sql()
+
+#: Base32 of a SHA-1 has 32 characters of 5 bits, read from its binary form.
+ORACLES["op3_warc"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+     d AS (SELECT page_id, strlen(h) AS payload_bytes, max(page_id) OVER (PARTITION BY h) AS top,
+                  list_aggregate(list_transform(string_split(sha1(h), ''), lambda c: lpad(bin(strpos('0123456789abcdef', c) - 1), 4, '0')), 'string_agg', '') AS bits
+           FROM p)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+       list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         list_sum(list_transform(range(0, 5), lambda j: substr(bits, (i * 5 + j + 1)::INT, 1)::INT * (16 // (2 ** j)::INT)))::INT + 1, 1)), 'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
+FROM d"""
