@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeline.llm import quality_rules
+from gaugeline.llm import lines, minhash, packing, pii, quality_rules
 from gaugeline.llm.common import saved, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -20,8 +20,32 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs, quality_rules.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that occurred before are cut out; documents of which nothing is left go."""
+    return lines.remove(docs, drop_emptied=True)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays, the one of smallest id."""
+    return minhash.keep_first(docs)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data are replaced by tags."""
+    return pii.redact(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences, with the sequence and offset of each."""
+    return packing.sequences(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", quality),
+    ("line dedup", line_dedup),
+    ("near dedup", near_dedup),
+    ("personal data", personal_data),
+    ("packing", pack),
 ]
 
 
