@@ -96,10 +96,10 @@ def _spans(text: Column, kind: str) -> Column:
 
     def step(acc: Column, z: Column) -> Column:
         start = acc["at"] + F.char_length(z["0"])
-        end = start + F.char_length(z["1"])
+        end = start + F.char_length(z["m"])
         near = F.lower(F.concat_ws(" ", F.substr(z["0"], F.lit(-NEARBY), F.lit(NEARBY)), F.substr(z["2"], F.lit(1), F.lit(NEARBY))))
         score = F.least(F.lit(1.0), F.lit(SCORES[kind]) + F.when(near.rlike(CONTEXT[kind]), CONTEXT_BONUS).otherwise(0.0))
-        good = _confirmed(kind, z["1"], z["0"], z["2"]) & (F.lit(kind in BASE) | (score >= ACCEPT))
+        good = _confirmed(kind, z["m"], z["0"], z["2"]) & (F.lit(kind in BASE) | (score >= ACCEPT))
         span = F.struct(start.alias("s"), F.lit(rank).alias("k"), end.alias("e"), score.alias("score"))
         return F.struct(end.alias("at"), F.when(good, F.array_append(acc["out"], span)).otherwise(acc["out"]).alias("out"))
 
@@ -126,7 +126,8 @@ def find(docs: DataFrame) -> DataFrame:
     s = F.col("__spans")
     base = F.filter(s, lambda x: x["k"] < len(BASE))
     joined = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.get(kinds, x["k"]), x["s"], x["e"])), ",")
-    counts = [F.size(F.filter(s, lambda x, k=k: x["k"] == k)).cast("long").alias(f"n_{kind}") for k, kind in enumerate(BASE)]
+    of_kind = lambda k: F.size(F.filter(s, lambda x: x["k"] == k)).cast("long")
+    counts = [of_kind(k).alias(f"n_{kind}") for k, kind in enumerate(BASE)]
     scores = F.array_join(F.transform(s, lambda x: F.format_number(x["score"], 1)), ",")
     return with_spans(docs.select("doc_id", "text")).select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(s).alias("spans"), scores.alias("scores"))
 

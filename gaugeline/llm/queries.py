@@ -119,8 +119,8 @@ def _pii_sql() -> str:
       spans AS ({" UNION ALL ".join(f"SELECT '{k}' AS kind, * FROM {k}_" for k in patterns)})
       SELECT doc_id, {", ".join(f"count(s) FILTER (k = {i}) AS n_{k}" for i, k in enumerate(pii.BASE))},
              sha256(coalesce(string_agg(concat(kind, ':', s, ':', e), ',' ORDER BY s, k) FILTER (k < 4), '')) AS base_sha256,
-             coalesce(string_agg(concat(kind, ':', s, ':', e), ',' ORDER BY s, k), '') AS spans,
-             coalesce(string_agg(format('{{:.1f}}', score), ',' ORDER BY s, k), '') AS scores
+             coalesce(string_agg(concat(kind, ':', s, ':', e), ',' ORDER BY s, k) FILTER (s IS NOT NULL), '') AS spans,
+             coalesce(string_agg(format('{{:.1f}}', score), ',' ORDER BY s, k) FILTER (s IS NOT NULL), '') AS scores
       FROM docs LEFT JOIN spans USING (r) GROUP BY r, doc_id"""
 
 
