@@ -9,9 +9,11 @@ costs little more than reading the set.
 Elements are runs of five words. By default every element weighs 1, and similarity is that of sets; ``weights="counts"``
 weighs by the number of occurrences.
 
-Plan: equal sets are one class from the start. Bands of signatures are grouped to their smallest member (a partial minimum);
-members are compared with it, exactly, and joined to components. Then, in buckets that still hold several components, pairs
-across components are compared, so no link between different components is lost, while copies are never expanded into pairs.
+Plan: equal sets are one class from the start. In each bucket of equal bands the member whose own buckets are the fullest, most
+likely what the others were copied from, is the center (a partial maximum); members are compared with it, exactly, and joined
+to components. In buckets that still hold several components, sets of different components are compared with each other: as
+pairs where a bucket is small, else in blocks of ``CHUNK`` sets that return one link per two components at most. So no link
+between different components is lost, while copies are never expanded into pairs and no group is collected.
 
 Defined cases: a null or word-less text is in no class but its own; a text of fewer than five words is one element; rows with a
 null id are classes of their own and kept; rows of one id and text count as one; ties go to the smallest id; an empty table
@@ -36,6 +38,9 @@ SIMILARITY = 0.8
 #: Coordinates, and coordinates per band: 25 bands of 5 find a pair of similarity 0.8 with probability 0.99995.
 HASHES = 125
 ROWS = 5
+#: Members of a bucket that are compared as pairs at most, and sets in a block beyond that.
+SMALL = 16
+CHUNK = 256
 #: Ranks below 2^FINEST are one level.
 FINEST = -4
 _U = np.uint64
@@ -153,16 +158,52 @@ def jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
     return float(both / (a[1].sum() + b[1].sum() - both))
 
 
+def _weights(elements: np.ndarray, blob: bytes) -> np.ndarray:
+    """Stored weights; none are stored where every element weighs 1."""
+    return np.frombuffer(blob, np.float64) if blob else np.ones(len(elements))
+
+
+def _stored(blob: bytes, weights: bytes) -> tuple[np.ndarray, np.ndarray]:
+    elements = np.frombuffer(blob, _U)
+    return elements, _weights(elements, weights)
+
+
+def block_links(sets: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, one: np.ndarray, two: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """One pair of similar sets for any two labels, among sets ``one`` and sets ``two`` (indexes)."""
+    values, back, often = np.unique(np.concatenate([e for e, _ in sets]), return_inverse=True, return_counts=True)
+    weight = np.concatenate([w for _, w in sets])
+    row = np.repeat(np.arange(len(sets)), [len(e) for e, _ in sets])
+    place = np.cumsum(often > 1) - 1  # elements of one set alone meet nothing
+    shared = often[back] > 1
+    row, column, weight = row[shared], place[back[shared]], weight[shared]
+    total = np.array([w.sum() for _, w in sets])
+    both = np.zeros((len(one), len(two)))
+    levels = np.unique(weight)
+    below = 0.0
+    for level in levels:  # min(v, w) is the sum of the steps that both reach
+        reach = weight >= level
+        for at in range(0, int(place[-1]) + 1 if len(place) else 0, 8192):
+            use = reach & (column >= at) & (column < at + 8192)
+            m = np.zeros((len(sets), 8192), np.float32)
+            m[row[use], column[use] - at] = 1
+            both += (level - below) * (m[one] @ m[two].T)
+        below = level
+    alike = both / (total[one][:, None] + total[two][None, :] - both) >= least
+    alike &= labels[one][:, None] != labels[two][None, :]
+    found: dict[tuple, tuple[int, int]] = {}
+    for i, j in np.argwhere(alike):
+        found.setdefault((labels[one[i]], labels[two[j]]), (int(one[i]), int(two[j])))
+    return list(found.values())
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """Those of ``pairs`` (``a, b``: classes) whose sets are similar enough."""
 
     def run(batches):
         for batch in slices(batches, 256):
-            keep, last, right = [], None, None
+            keep = []
             for i, (x, wx, y, wy) in enumerate(zip(*(batch.column(c).to_pylist() for c in (2, 3, 4, 5)), strict=True)):
-                if y is not last:
-                    last, right = y, (np.frombuffer(y, _U), np.frombuffer(wy, np.float64))
-                if jaccard((np.frombuffer(x, _U), np.frombuffer(wx, np.float64)), right) >= least:
+                if jaccard(_stored(x, wx), _stored(y, wy)) >= least:
                     keep.append(i)
             yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
@@ -194,14 +235,24 @@ def classes(docs: DataFrame, least: float = SIMILARITY, weights: str = "set") ->
         cache: dict[str, int] = {}
         for batch in slices(batches, 128):
             made = [_set(t, cache, counts) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([e.tobytes() for e, _ in made], pa.binary()), pa.array([w.tobytes() for _, w in made], pa.binary())], ["digest", "elements", "weights"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([e.tobytes() for e, _ in made], pa.binary()), pa.array([w.tobytes() if counts else b"" for _, w in made], pa.binary())], ["digest", "elements", "weights"])
+
+    def blocks(group: pa.Table) -> pa.Table:
+        digests, labels, chunk = group["digest"].to_pylist(), np.array(group["label"].to_pylist(), object), group["chunk"].to_numpy()
+        p, q = group["p"][0].as_py(), group["q"][0].as_py()
+        found = block_links([_stored(e, w) for e, w in zip(group["elements"].to_pylist(), group["weights"].to_pylist(), strict=True)], labels, np.flatnonzero(chunk == p), np.flatnonzero(chunk == q), least)
+        return pa.table({"a": pa.array([digests[i] for i, _ in found], pa.binary()), "b": pa.array([digests[j] for _, j in found], pa.binary())})
 
     texts = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("mark"), "text")
     base = saved(texts.mapInArrow(signed, f"doc_id {kind}, mark bigint, digest binary, bands array<bigint>"), "minhash-bands")
     sets = saved(base.groupBy("digest").agg(F.min(F.struct("doc_id", "mark")).alias("rep"), F.first("bands").alias("bands")), "minhash-sets")
     slots = sets.select("digest", F.explode("bands").alias("key"))
-    buckets = saved(slots.groupBy("key").agg(F.min("digest").alias("center"), F.max("digest").alias("other")).where("center < other").drop("other"), "minhash-buckets")
-    members = saved(slots.join(buckets, "key"), "minhash-members")
+    often = saved(slots.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "minhash-often")
+    held = saved(slots.join(often, "key"), "minhash-held")
+    fullest = saved(held.groupBy("digest").agg(F.sum("n").alias("score")), "minhash-scores")
+    scored = held.join(fullest, "digest")
+    centers = saved(scored.groupBy("key").agg(F.max(F.struct("score", "digest")).alias("top")).select("key", F.col("top.digest").alias("center")), "minhash-centers")
+    members = saved(held.join(centers, "key"), "minhash-members")
 
     wanted = members.select("digest").distinct().join(sets.select("digest", "rep"), "digest").select("digest", "rep.doc_id", "rep.mark")
     own = saved(texts.dropDuplicates(["doc_id", "mark"]).join(wanted, ["doc_id", "mark"]).select("digest", "text").mapInArrow(elements, "digest binary, elements binary, weights binary"), "minhash-elements")
@@ -209,14 +260,22 @@ def classes(docs: DataFrame, least: float = SIMILARITY, weights: str = "set") ->
     links = _verified(pairs, own, least)
     labels = saved(components(links), "minhash-labels")
 
-    named = members.join(labels.withColumnRenamed("node", "digest"), "digest", "left").select("key", "digest", "center", F.coalesce("label", "digest").alias("label"))
+    named = members.join(labels.withColumnRenamed("node", "digest"), "digest", "left").select("key", "n", "digest", "center", F.coalesce("label", "digest").alias("label"))
     named = saved(named, "minhash-named")
     mixed = saved(named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").drop("high"), "minhash-mixed")
-    left = named.join(mixed, "key")
-    other = left.where("label != low").select("key", F.col("digest").alias("a"), F.col("label").alias("la"))
-    across = left.select("key", F.col("digest").alias("b"), F.col("label").alias("lb"), "low", "center")
+    left = saved(named.join(mixed, "key"), "minhash-left")
+    small = left.where(F.col("n") <= SMALL)
+    other = small.where("label != low").select("key", F.col("digest").alias("a"), F.col("label").alias("la"))
+    across = small.select("key", F.col("digest").alias("b"), F.col("label").alias("lb"), "low", "center")
     rest = other.join(across, "key").where("la != lb and (lb = low or a < b) and a != center and b != center").select("a", "b").distinct()
     more = _verified(rest, own, least)
+
+    parts = F.ceil(F.col("n") / CHUNK).cast("int")
+    large = left.where(F.col("n") > SMALL).select("key", "digest", "label", parts.alias("parts"), F.pmod(F.xxhash64("digest"), parts).cast("int").alias("chunk"))
+    dealt = large.select("*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("with")).join(own, "digest")
+    tasks = dealt.select("key", F.least("chunk", "with").alias("p"), F.greatest("chunk", "with").alias("q"), "digest", "label", "chunk", "elements", "weights")
+    across_blocks = saved(tasks.groupBy("key", "p", "q").applyInArrow(blocks, "a binary, b binary"), "minhash-block-links")
+    more = more.union(across_blocks)
     if not more.isEmpty():
         labels = saved(components(links.union(more)), "minhash-labels")
 
