@@ -16,10 +16,6 @@ CONTROL_CHARACTERS = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]"
 TIME_SHAPE = r"\A\d{4}/\d{1,2}/\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}\z"
 OUTER_SPACE = r"(?U)^\s+|\s+$"
 
-# Unicode noncharacters that stand for a comma and a newline inside quotes while a text is split.
-_COMMA, _NEWLINE = "\ufdd0", "\ufdd1"
-
-
 def basename(path: Column) -> Column:
     return F.regexp_extract(path, r"[^/\\]+$", 0)
 
@@ -29,11 +25,6 @@ def unicode_strip(text: Column) -> Column:
     return F.regexp_replace(text, OUTER_SPACE, "")
 
 
-def is_placeholder(name: Column, unit: Column) -> Column:
-    """Three-valued: null when one side is null and the other is '-', or when both are null."""
-    return (unicode_strip(name) == "-") & (unicode_strip(unit) == "-")
-
-
 def scrub_text(text: Column) -> Column:
     return F.regexp_replace(text, CONTROL_CHARACTERS, "")
 
@@ -65,50 +56,47 @@ def metadata_path(encoded: Column) -> Column:
 # --- SQL fragments --------------------------------------------------------------------------------------------
 
 
-def has_open_quote(text: str) -> str:
-    return f"contains({text}, '\"') AND size(split({text}, '\"')) % 2 = 0"
-
+# A quote opens a field only at the field's start; inside, two quotes stand for one. Anywhere else it is ordinary text.
+# All repetitions are possessive, so that matching is linear and needs no stack.
+_QUOTED = r'"[^"]*+(?:""[^"]*+)*+"'
+_FIELD_OF_TEXT = rf"(?:{_QUOTED}(?=[,\r\n]|\z)|[^,\n]*+)"
+_FIELD_OF_LINE = rf"(?:{_QUOTED}(?=,|\z)|[^,]*+)"
+_LINE = rf"(?<![^\n]){_FIELD_OF_TEXT}(?:,{_FIELD_OF_TEXT})*+"
 
-def protect_quoted(text: str) -> str:
-    """Hide commas and newlines that sit inside double quotes, in time linear in the text.
 
-    Cutting at the quotes leaves the quoted stretches at the odd positions. A text without a quote is untouched.
-    """
-    hidden = f"CASE WHEN i % 2 = 1 THEN replace(replace(piece, ',', '{_COMMA}'), '\\n', '{_NEWLINE}') ELSE piece END"
-    return (
-        f"CASE WHEN contains({text}, '\"')"
-        f" THEN array_join(transform(split({text}, '\"'), (piece, i) -> {hidden}), '\"') ELSE {text} END"
-    )
+def has_open_quote(text: str) -> str:
+    """A quote that opens a field and is followed by no other: the field never ends."""
+    closed = rf"regexp_replace({text}, r'(?<![^,\n]){_QUOTED}(?=[,\r\n]|\z)', '')"
+    return rf"""contains({text}, '"') AND {closed} RLIKE r'(?<![^,\n])"[^"]*+\z'"""
 
 
-def split_lines(protected: str) -> str:
-    """Cut at LF or CRLF and leave out blank lines."""
-    return f"filter(split(rtrim('\\r', replace({protected}, '\\r\\n', '\\n')), '\\n'), line -> line != '')"
+def split_lines(text: str) -> str:
+    """Cut at LF or CRLF outside quoted fields, and leave out blank lines."""
+    plain = f"replace({text}, '\\r\\n', '\\n')"
+    lines = f"CASE WHEN contains({text}, '\"') THEN regexp_extract_all({plain}, r'{_LINE}', 0) ELSE split({plain}, '\\n') END"
+    return f"transform(filter({lines}, line -> line != '' AND line != '\\r'), line -> rtrim('\\r', line))"
 
 
 def chomp(line: str) -> str:
     return f"rtrim('\\r', {line})"
 
 
-def split_fields(protected_line: str) -> str:
-    """Fields of one protected line, still quoted; read each with ``field_value``."""
-    return f"split({protected_line}, ',')"
+def split_fields(line: str) -> str:
+    """Fields of one line, still quoted; read each with ``field_value``."""
+    fields = rf"regexp_extract_all({line}, r'(?<![^,])({_FIELD_OF_LINE})(?:,|\z)', 1)"
+    return f"CASE WHEN contains({line}, '\"') THEN {fields} ELSE split({line}, ',') END"
 
 
-def first_field(protected_line: str) -> str:
-    return f"substring_index({protected_line}, ',', 1)"
+def first_field(line: str) -> str:
+    quoted = f"regexp_extract({line}, r'^{_FIELD_OF_LINE}', 0)"
+    return f"CASE WHEN startswith({line}, '\"') THEN {quoted} ELSE substring_index({line}, ',', 1) END"
 
 
 def field_value(raw: str) -> str:
     """Text of one cut field; an empty field is null."""
     inner = f"replace(substring({raw}, 2, length({raw}) - 2), '\"\"', '\"')"
     quoted = f"startswith({raw}, '\"') AND endswith({raw}, '\"') AND length({raw}) >= 2"
-    bare = f"CASE WHEN {quoted} THEN {inner} ELSE {raw} END"
-    return (
-        f"CASE WHEN {raw} = '' OR {raw} = '\"\"' THEN NULL"
-        f" WHEN contains({raw}, '\"') THEN replace(replace({bare}, '{_COMMA}', ','), '{_NEWLINE}', '\\n')"
-        f" ELSE {raw} END"
-    )
+    return f"CASE WHEN {raw} = '' OR {raw} = '\"\"' THEN NULL WHEN {quoted} THEN {inner} ELSE {raw} END"
 
 
 def parse_time(text: str) -> str:

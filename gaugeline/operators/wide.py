@@ -21,7 +21,6 @@ from gaugeline.functions.text import (
     has_open_quote,
     parse_time,
     placeholder,
-    protect_quoted,
     split_fields,
     split_lines,
 )
@@ -39,8 +38,8 @@ BROADCAST_BYTES = 64 << 20
 # --- header (SQL fragments) -----------------------------------------------------------------------------------
 
 
-def header_cells(protected_line: str) -> str:
-    return f"transform({split_fields(protected_line)}, cell -> {field_value('cell')})"
+def header_cells(line: str) -> str:
+    return f"transform({split_fields(line)}, cell -> {field_value('cell')})"
 
 
 def kept_sensors(ids: str, names: str, units: str, width: str | None = None) -> str:
@@ -62,13 +61,23 @@ def kept_sensors(ids: str, names: str, units: str, width: str | None = None) ->
     )
 
 
-def mark_twins(sensors: str) -> str:
-    """Add ``twin_idx`` (first earlier column of the same sensor) and ``copies`` (how many columns come earlier)."""
-    same = " AND ".join(f"o.{k} <=> s.{k}" for k in ("sensor_id", "sensor_name", "unit"))
-    earlier = f"filter({sensors}, o -> o.col_idx < s.col_idx AND {same})"
+def sensor_keys(sensors: str) -> str:
+    """One text per sensor, equal where id, name and unit are (nulls equal)."""
+    parts = ", ".join(f"coalesce(concat(length(s.{k}), ':', s.{k}), '-')" for k in ("sensor_id", "sensor_name", "unit"))
+    return f"transform({sensors}, s -> concat_ws(' ', {parts}))"
+
+
+def mark_twins(sensors: str, keys: str) -> str:
+    """Add ``twin_idx`` (first earlier column of the same sensor) and ``copies`` (how many columns come earlier).
+
+    ``keys`` is the column of ``sensor_keys``. Each sensor looks for its first equal; only the few that have one count them.
+    """
+    first = f"cast(array_position({keys}, get({keys}, i)) AS int)"
     return (
-        f"transform({sensors}, s -> named_struct('col_idx', s.col_idx, 'twin_idx', get({earlier}, 0).col_idx,"
-        f" 'copies', size({earlier}), 'sensor_id', s.sensor_id, 'sensor_name', s.sensor_name, 'unit', s.unit))"
+        f"transform({sensors}, (s, i) -> named_struct('col_idx', s.col_idx,"
+        f" 'twin_idx', CASE WHEN {first} <= i THEN get({sensors}, {first} - 1).col_idx END,"
+        f" 'copies', CASE WHEN {first} <= i THEN size(filter(slice({keys}, 1, i), k -> k = get({keys}, i))) ELSE 0 END,"
+        f" 'sensor_id', s.sensor_id, 'sensor_name', s.sensor_name, 'unit', s.unit))"
     )
 
 
@@ -108,9 +117,8 @@ def parse_files(
         decode_text(spark, F.col("content"), encoding).alias("text"),
     )
     facts = [*carried, "read_error", "n_bytes"]
-    guarded = text.selectExpr(*facts, f"{has_open_quote('text')} AS open_quote", f"{protect_quoted('text')} AS text")
+    lines = text.selectExpr(*facts, f"{has_open_quote('text')} AS open_quote", f"{split_lines('text')} AS lines")
     facts.append("open_quote")
-    lines = guarded.selectExpr(*facts, f"{split_lines('text')} AS lines")
     heads = lines.selectExpr(*facts, "lines", *[f"get(lines, {i}) AS h{i}" for i in range(3)])
     width = f"array_max(transform(lines, x -> size({split_fields('x')})))" if trailing == DROP_LAST else "0"
     cut = heads.selectExpr(
@@ -125,9 +133,10 @@ def parse_files(
     known = cut.selectExpr(
         *facts, f"{sensors} AS sensors", "data", f"transform(data, line -> {first_field('line')}) AS first"
     )
-    named = known.selectExpr(
+    keyed = known.selectExpr(*facts, "sensors", f"{sensor_keys('sensors')} AS keys", "data", "first")
+    named = keyed.selectExpr(
         *facts,
-        f"{mark_twins('sensors')} AS sensors",
+        f"{mark_twins('sensors', 'keys')} AS sensors",
         "data",
         f"transform(first, cell -> {field_value('cell')}) AS raw_times",
     )
@@ -257,17 +266,14 @@ def profile_lines(lines: DataFrame, trailing: str = DROP_IF_BLANK) -> DataFrame:
     order of data lines, which the readings do not depend on either. Its prefix keeps it apart from byte hashes.
     """
     kept = [*FILE_KEYS, "chunk", "header_no"]
-    safe = lines.selectExpr(
-        *kept, "line", f"{has_open_quote('line')} AS open_quote", f"{protect_quoted('line')} AS safe"
-    )
-    raw = safe.selectExpr(
+    raw = lines.selectExpr(
         *kept,
-        "open_quote",
+        f"{has_open_quote('line')} AS open_quote",
         "CASE WHEN header_no IS NOT NULL THEN line END AS header",
         "xxhash64(line) AS hash_a",
         "xxhash64(7, line) AS hash_b",
-        f"{f'size({split_fields('safe')})' if trailing == DROP_LAST else '0'} AS width",
-        f"CASE WHEN header_no IS NULL THEN {first_field('safe')} END AS first",
+        f"{f'size({split_fields('line')})' if trailing == DROP_LAST else '0'} AS width",
+        f"CASE WHEN header_no IS NULL THEN {first_field('line')} END AS first",
     )
     valued = raw.withColumn("first", F.expr(field_value("first")))
     timed = valued.withColumns({"Time": F.expr(parse_time("first")), "has_time": F.col("first").isNotNull()})
@@ -297,11 +303,11 @@ def profile_lines(lines: DataFrame, trailing: str = DROP_IF_BLANK) -> DataFrame:
     facts = ["n", "sum_0", "sum_1", "sum_2", "xor_b", "open_quote", "width", "bad_time", "repeats", "last_chunk", "head"]
     facts = [*FILE_KEYS, *facts]
     texts = per_file.selectExpr(*facts, *[f"get(head, {i}).line AS h{i}" for i in range(3)])
-    shielded = texts.selectExpr(*facts, *[f"{protect_quoted(f'h{i}')} AS h{i}" for i in range(3)])
-    heads = shielded.selectExpr(*facts, *[f"{header_cells(f'h{i}')} AS h{i}" for i in range(3)])
+    heads = texts.selectExpr(*facts, *[f"{header_cells(f'h{i}')} AS h{i}" for i in range(3)])
     sensors = heads.selectExpr(
         *facts, f"{kept_sensors('h0', 'h1', 'h2', 'width' if trailing == DROP_LAST else None)} AS sensors"
-    ).withColumn("sensors", F.expr(mark_twins("sensors")))
+    )
+    sensors = sensors.selectExpr("*", f"{sensor_keys('sensors')} AS keys").withColumn("sensors", F.expr(mark_twins("sensors", "keys")))
     return sensors.selectExpr(
         *FILE_KEYS,
         "concat('L:', sha2(cast(concat_ws('\\n', n, sum_0, sum_1, sum_2, xor_b, array_join(head.line, '\\n')) AS binary), 256))"
@@ -349,7 +355,6 @@ def readings_from_lines(
     joined = attach_sensors(lines, scrub_sensors(profiles) if scrub else profiles, broadcastable)
     if scrub:
         joined = scrub_keys(joined)
-    guarded = joined.selectExpr(*FILE_KEYS, "sensors", f"{protect_quoted('line')} AS line")
-    first = guarded.selectExpr(*FILE_KEYS, "sensors", "line", f"{first_field('line')} AS first")
+    first = joined.selectExpr(*FILE_KEYS, "sensors", "line", f"{first_field('line')} AS first")
     valued = first.selectExpr(*FILE_KEYS, "sensors", "line", f"{field_value('first')} AS first")
     return cells(valued.selectExpr(*FILE_KEYS, "sensors", f"{parse_time('first')} AS Time", "line"))

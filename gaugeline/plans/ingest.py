@@ -27,7 +27,7 @@ from gaugeline.operators.enrich import for_storage
 from gaugeline.operators.ledger import status_events
 from gaugeline.operators.sinks import read_or_empty, write_batch
 from gaugeline.plans.lake import Lake
-from gaugeline.schemas import COMPLETED, DEFAULTS, FAILED, IN_PROGRESS, LISTING, PROFILE
+from gaugeline.schemas import COMPLETED, DEFAULTS, FAILED, IN_PROGRESS, LISTING, PROFILE, STAT_COLUMNS
 from gaugeline.sources import archives, files as loose, wide_text
 
 #: Paths handed to one reader at most.
@@ -167,7 +167,7 @@ def profile(lake: Lake, new_files: DataFrame, ingest_id: str, opt: Options) -> D
         rows.select(*PROFILE.fieldNames()).write.mode("append").parquet(at)
 
     for paths in waves(of_kind(_WHOLE), "path", opt.max_paths, n.get(_WHOLE, 0)):
-        add(profile_whole(spark, loose.read_contents(spark, paths), opt, _WHOLE))
+        add(profile_whole(spark, loose.read_contents(spark, paths, missing_ok=True), opt, _WHOLE))
 
     for wave, paths in enumerate(waves(of_kind(_LINES), "path", opt.max_paths, n.get(_LINES, 0))):
         table = lake.work_path(ingest_id, _lines_name(wave))
@@ -287,41 +287,59 @@ def ingest_files(
 ) -> DataFrame:
     """Bring all files of a listing into the lake; returns the one-row run statistics.
 
-    Running again with the same ``ingest_id`` after a crash starts the batch over. A committed id is not run again.
+    Running again with the same ``ingest_id`` after a crash starts the batch over, from empty folders. A committed id is not
+    run again and gives its statistics; with another listing it is refused, because its files would be lost.
     """
     opt = options or Options(**changes)
     spark = lake.spark
     ingest_id = ingest_id or f"run-{uuid.uuid4().hex}"
     listed_at, plan_at = lake.work_path(ingest_id, "listing"), lake.work_path(ingest_id, "plan")
-    if ingest_id not in lake.committed_ids():
-        named = listing.select(*LISTING.fieldNames())
-        processed = lake.processed_files()
-        if opt.process_all:
-            named = named.withColumn("by_name", F.lit(False))
-        else:
-            named = skip.flag_by_name(named, processed, lake.ledger_key)
-        named.write.mode("overwrite").parquet(listed_at)
-        new_files = spark.read.parquet(listed_at).where(~F.col("by_name")).drop("by_name")
-
-        profiles = profile(lake, new_files, ingest_id, opt)
-        decide(profiles, processed, opt).write.mode("overwrite").parquet(plan_at)
-        plan = spark.read.parquet(plan_at)
-
-        todo = plan.where(F.col("outcome") == skip.PROCESS)
-        started = dt.datetime.now(dt.timezone.utc)
-        lake.append_events(status_events(todo, IN_PROGRESS, started, ingest_id, 0, lake.ledger_key))
-        emit(lake, todo, ingest_id, opt)
-
-        now = dt.datetime.now(dt.timezone.utc)
-        failed = plan.where(F.col("outcome") == skip.FAILED_OUTCOME).withColumn("reason", F.col("error"))
-        lake.append_events(
-            status_events(todo, COMPLETED, now, ingest_id, 1, lake.ledger_key).unionByName(
-                status_events(failed, FAILED, now, ingest_id, 1, lake.ledger_key)
-            )
+    lake.clear_work(ingest_id)
+    named = listing.select(*LISTING.fieldNames())
+    processed = lake.processed_files(settled=True)
+    if opt.process_all:
+        named = named.withColumn("by_name", F.lit(False))
+    else:
+        named = skip.flag_by_name(named, processed, lake.ledger_key)
+    named.write.mode("overwrite").parquet(listed_at)
+    listed = spark.read.parquet(listed_at)
+    file = F.xxhash64("path", "source_zip", "length")
+    mark = listed.agg(F.concat_ws(":", F.count(F.lit(1)), F.bit_xor(file), F.bit_xor(F.xxhash64(file)))).first()[0]
+
+    done = lake.commit_of(ingest_id)
+    if done is None:
+        lake.clear_batch(ingest_id)
+        stats = _run(lake, listed, processed, ingest_id, opt, plan_at)
+        lake.commit(ingest_id, mark, stats)
+    else:
+        if done["listing"] not in (None, mark):
+            raise ValueError(f"batch {ingest_id} is committed with other files")
+        stats = {name: done[name] for name in STAT_COLUMNS}
+    lake.clear_work(ingest_id)
+    return spark.createDataFrame([tuple(stats.values())], ", ".join(f"{name} bigint" for name in stats))
+
+
+def _run(lake: Lake, listed: DataFrame, processed: DataFrame, ingest_id: str, opt: Options, plan_at: str) -> dict[str, int]:
+    """One batch up to its commit; the statistics."""
+    spark = lake.spark
+    profiles = profile(lake, listed.where(~F.col("by_name")).drop("by_name"), ingest_id, opt)
+    decide(profiles, processed, opt).write.mode("overwrite").parquet(plan_at)
+    plan = spark.read.parquet(plan_at)
+
+    todo = plan.where(F.col("outcome") == skip.PROCESS)
+    started = dt.datetime.now(dt.timezone.utc)
+    lake.append_events(status_events(todo, IN_PROGRESS, started, ingest_id, 0, lake.ledger_key))
+    emit(lake, todo, ingest_id, opt)
+
+    now = dt.datetime.now(dt.timezone.utc)
+    failed = plan.where(F.col("outcome") == skip.FAILED_OUTCOME).withColumn("reason", F.col("error"))
+    lake.append_events(
+        status_events(todo, COMPLETED, now, ingest_id, 1, lake.ledger_key).unionByName(
+            status_events(failed, FAILED, now, ingest_id, 1, lake.ledger_key)
         )
-        lake.commit(ingest_id)
-    by_name = spark.read.parquet(listed_at).where("by_name").select(F.lit(skip.BY_NAME).alias("outcome"))
-    return skip.run_stats(spark.read.parquet(plan_at).select("outcome").unionByName(by_name))
+    )
+    by_name = listed.where("by_name").select(F.lit(skip.BY_NAME).alias("outcome"))
+    return skip.run_stats(plan.select("outcome").unionByName(by_name)).first().asDict()
 
 
 def find_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:

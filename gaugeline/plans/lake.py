@@ -5,9 +5,11 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Mapping
 
-from gaugeline.functions.text import scrub_control_chars
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+
+from gaugeline.functions.text import scrub_control_chars, scrub_text
 from gaugeline.operators import ledger as ledger_ops
 from gaugeline.operators.sinks import read_or_empty, write_batch
 from gaugeline.operators.skip import completed_hashes
@@ -18,10 +20,11 @@ from gaugeline.schemas import (
     IN_PROGRESS,
     LEDGER_EVENT,
     READING_COLUMNS,
+    STAT_COLUMNS,
     STORED_READINGS,
     TIMEOUT,
 )
-from gaugeline.session import configure, empty
+from gaugeline.session import configure, delete_path, path_exists, rename_path
 
 
 class Lake:
@@ -57,34 +60,42 @@ class Lake:
     def commits(self) -> DataFrame:
         return read_or_empty(self.spark, self.commits_path, COMMITS)
 
-    def committed_ids(self) -> list[str]:
-        """Batch ids, as many as the readings table has directories."""
-        return [row.ingest_id for row in self.commits().select("ingest_id").distinct().collect()]
+    def commit_of(self, ingest_id: str) -> Row | None:
+        return self.commits().where(F.col("ingest_id") == ingest_id).first()
+
+    def _published(self) -> DataFrame:
+        return self.commits().select("ingest_id").distinct()
 
     def readings(self, latest_only: bool = False) -> DataFrame:
-        """Readings of committed batches. The batches are chosen by directory, without a join.
+        """Readings of committed batches, by a join with the commits: no list of batches is held on the driver.
 
         ``latest_only`` keeps, per file, only its newest completed batch, for files ingested again on purpose.
         """
         stored = read_or_empty(self.spark, self.readings_path, STORED_READINGS)
-        visible = stored.where(F.col("ingest_id").isin(self.committed_ids()))
+        visible = stored.join(self._published(), "ingest_id", "left_semi")
         if latest_only:
             done = self.events().where((F.col("status") == COMPLETED) & ~F.col("is_tombstone"))
             newest = (
-                done.groupBy(F.col("full_path").alias("source_file"), "source_zip")
+                done.groupBy(scrub_text(F.col("full_path")).alias("source_file"), scrub_text(F.col("source_zip")).alias("source_zip"))
                 .agg(F.max_by("ingest_id", F.struct("event_ts", "seq")).alias("ingest_id"))
             )
             visible = visible.join(newest, ["source_file", "source_zip", "ingest_id"], "left_semi")
         return visible.select(*READING_COLUMNS)
 
-    def events(self) -> DataFrame:
-        """Ledger events that count: all but the completions of batches that were not committed."""
+    def events(self, settled: bool = False) -> DataFrame:
+        """Ledger events that count: all but the completions of batches that were not committed.
+
+        ``settled`` leaves out everything that such batches wrote, so that a run which died changes no decision.
+        """
         events = read_or_empty(self.spark, self.ledger_path, LEDGER_EVENT)
-        pending = F.col("ingest_id").isNotNull() & (F.col("status") == COMPLETED)
-        return events.where(~pending | F.col("ingest_id").isin(self.committed_ids()))
+        flagged = events.join(self._published().withColumn("published", F.lit(True)), "ingest_id", "left")
+        counts = F.col("ingest_id").isNull() | F.col("published").isNotNull()
+        if not settled:
+            counts = counts | (F.col("status") != COMPLETED)
+        return flagged.where(counts).select(*LEDGER_EVENT.fieldNames())
 
-    def processed_files(self) -> DataFrame:
-        return ledger_ops.processed_files(self.events())
+    def processed_files(self, settled: bool = False) -> DataFrame:
+        return ledger_ops.processed_files(self.events(settled))
 
     def execute(self, query: str, params: list | dict | None = None) -> DataFrame:
         """Run SQL over the views ``sensor_data`` and ``processed_files``; ``?`` or ``:name`` mark parameters."""
@@ -106,17 +117,38 @@ class Lake:
         now = dt.datetime.now(dt.timezone.utc)
         self.append_events(ledger_ops.removal_events(files, now, ledger_key=self.ledger_key))
 
-    def commit(self, ingest_id: str) -> None:
-        row = self.spark.range(1).select(
-            F.lit(ingest_id).alias("ingest_id"), F.lit(dt.datetime.now(dt.timezone.utc)).alias("committed_at")
-        )
+    def commit(self, ingest_id: str, listing: str | None = None, stats: Mapping[str, int] | None = None) -> None:
+        now = dt.datetime.now(dt.timezone.utc)
+        counts = [(stats or {}).get(name) for name in STAT_COLUMNS]
+        row = self.spark.createDataFrame([(ingest_id, now, listing, *counts)], COMMITS)
         row.coalesce(1).write.mode("append").parquet(self.commits_path)
 
+    def clear_batch(self, ingest_id: str) -> None:
+        """Empty the readings of a batch that was not committed."""
+        delete_path(self.spark, f"{self.readings_path}/ingest_id={ingest_id}")
+
+    def clear_work(self, ingest_id: str) -> None:
+        delete_path(self.spark, f"{self.root}/work/{ingest_id}")
+
+    def compact(self) -> None:
+        """Rewrite ledger and commits, which grow by a few small files with every batch, as one file per task.
+
+        Readers and writers must be at rest. The new table is complete before the old one goes.
+        """
+        for path, schema in ((self.ledger_path, LEDGER_EVENT), (self.commits_path, COMMITS)):
+            rows = read_or_empty(self.spark, path, schema)
+            if not path_exists(self.spark, path):
+                continue
+            rows.coalesce(max(1, len(rows._jdf.inputFiles()) // 1000)).write.mode("overwrite").parquet(f"{path}.compact")
+            delete_path(self.spark, path)
+            rename_path(self.spark, f"{path}.compact", path)
+
     def rollback(self, ingest_id: str) -> None:
-        """Give up a batch. Nothing of it is visible before ``commit``; its directory is emptied."""
-        if ingest_id in self.committed_ids():
+        """Give up a batch. Nothing of it is visible before ``commit``; its folders are emptied."""
+        if self.commit_of(ingest_id) is not None:
             raise ValueError(f"batch {ingest_id} is committed")
-        write_batch(empty(self.spark, STORED_READINGS), self.readings_path, ingest_id)
+        self.clear_batch(ingest_id)
+        self.clear_work(ingest_id)
 
     # --- one file at a time, for interactive use ---------------------------------------------------------------
 
@@ -156,7 +188,7 @@ class Lake:
         return self.get_file_status(path, source_zip) == COMPLETED
 
     def is_file_processed_by_hash(self, file_hash: str) -> bool:
-        return not completed_hashes(self.processed_files()).where(F.col("file_hash") == file_hash).isEmpty()
+        return not completed_hashes(self.processed_files(settled=True)).where(F.col("file_hash") == file_hash).isEmpty()
 
     def insert_sensor_data(self, readings: DataFrame | None, ingest_id: str | None = None) -> int:
         """Scrub and append readings in table form as a batch of their own, committed at once. Returns the row count."""

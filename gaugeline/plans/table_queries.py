@@ -21,13 +21,12 @@ from gaugeline.functions.text import (
     content_hash,
     field_value,
     parse_time,
-    protect_quoted,
     scrub_control_chars,
     split_fields,
 )
-from gaugeline.operators import ledger as led, quality, reshape, skip, wide
+from gaugeline.operators import ledger as led, skip, wide
 from gaugeline.operators.enrich import add_meta
-from gaugeline.operators.sinks import rows_per_file, write_batch
+from gaugeline.operators.sinks import rows_per_file
 from gaugeline.plans.ingest import Options, ingest_folder
 from gaugeline.plans.lake import Lake
 from gaugeline.schemas import COMPLETED, FAILED, LEDGER_EVENT, PENDING, STATUSES
@@ -58,12 +57,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Rows of a table with fewer files than there are cores, dealt out evenly for work that is heavy per row."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if len(rows._jdf.inputFiles()) < cores else rows
-
-
 # --- readings derived from events -----------------------------------------------------------------------------
 
 TIME_FORMAT = "yyyy/MM/dd HH:mm:ss"
@@ -107,8 +100,12 @@ _KEPT = f"NOT ({_STRIP.format('sensor_name')} = '-' AND {_STRIP.format('unit')}
     f"SELECT event_id, sensor_id, sensor_name, unit FROM ({_EVENT_READINGS}) WHERE {_KEPT}",
 )
 def placeholder_filter(spark, sf_dir):
-    kept = reshape.drop_placeholders(event_readings(spark, sf_dir))
-    return kept.select("event_id", "sensor_id", "sensor_name", "unit")
+    """Every reading as a file of its own, so that each name and unit stands in a header."""
+    cells = [F.coalesce(F.col(c), F.lit("")) for c in ("sensor_id", "sensor_name", "unit")]
+    text = F.concat(*[part for cell in cells for part in (F.lit(","), cell, F.lit("\n"))], F.col("Time"), F.lit(","), F.col("value"))
+    files_ = event_readings(spark, sf_dir).select("event_id", "path", "source_zip", F.encode(text, "UTF-8").alias("content"))
+    kept = wide.parse_files(spark, files_, "utf-8").select("event_id", F.explode("sensors").alias("s"))
+    return kept.select("event_id", "s.sensor_id", "s.sensor_name", "s.unit")
 
 
 @query(
@@ -151,105 +148,63 @@ def meta(spark, sf_dir):
     return add_meta(readings, META)
 
 
-@query(
-    "quarantine",
-    f"""WITH r AS (SELECT *, CAST(value AS DOUBLE) > 300 AS bad FROM ({_EVENT_READINGS}))
-        SELECT path, "Time", value, sensor_id FROM r
-        WHERE path NOT IN (SELECT path FROM r WHERE bad)""",
-)
-def quarantine(spark, sf_dir):
-    """A file with one unparsable time drops out whole, the others stay whole."""
-    readings = event_readings(spark, sf_dir)
-    broken = readings.withColumn("raw", F.when(F.col("value").cast("double") > 300, "xx").otherwise(F.col("Time")))
-    rows = broken.withColumn("Time", F.expr(parse_time("raw")))
-    good, _ = quality.quarantine(rows, ["path"], F.col("raw"), F.col("Time"))
-    return good.select("path", "Time", "value", "sensor_id")
-
-
-# --- wide rows derived from lineitem --------------------------------------------------------------------------
-
-_WIDE = """
-    SELECT l_orderkey, l_linenumber, l_shipdate AS "Time",
-           CAST(CAST(l_quantity AS DECIMAL(18,4)) AS VARCHAR) AS col_1,
-           CAST(CAST(l_extendedprice AS DECIMAL(18,4)) AS VARCHAR) AS col_2,
-           CAST(CAST(l_discount AS DECIMAL(18,4)) AS VARCHAR) AS col_3,
-           CAST(CAST(l_tax AS DECIMAL(18,4)) AS VARCHAR) AS col_4,
-           CAST(NULL AS VARCHAR) AS col_5
-    FROM lineitem"""
-_LONG = " UNION ALL ".join(
-    f"""SELECT l_orderkey, l_linenumber, "Time", 'col_{i}' AS sensor_column, col_{i} AS value FROM w""" for i in range(1, 6)
-)
+# --- wide files derived from lineitem -------------------------------------------------------------------------
 
+_ORDER_HEAD = [", L1, L2, L3, L4, L5", ", quantity, price, discount, -, spare", ", pcs, yen,, -, x"]
+_ORDER_CELLS = """
+    SELECT '/plant/order_' || l_orderkey || '.csv' AS path, l_shipdate + to_seconds(l_linenumber) AS "Time", v.*
+    FROM lineitem, LATERAL (VALUES (CAST(CAST(l_quantity AS DECIMAL(18,4)) AS VARCHAR), ' L1', ' quantity', ' pcs'),
+        (CAST(CAST(l_extendedprice AS DECIMAL(18,4)) AS VARCHAR), ' L2', ' price', ' yen'),
+        (CAST(CAST(l_discount AS DECIMAL(18,4)) AS VARCHAR), ' L3', ' discount', NULL),
+        (NULL, ' L5', ' spare', ' x')) AS v(value, sensor_id, sensor_name, unit)"""
+
+
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of one wide file per order: three header rows, then a row per item; the fourth sensor is a dash."""
+    items = table(spark, sf_dir, "lineitem")
+    path = F.format_string("/plant/order_%d.csv", F.col("l_orderkey")).alias("path")
+    time = F.date_format(F.expr("timestampadd(SECOND, l_linenumber, l_shipdate)"), "yyyy/M/d H:mm:ss")
+    cells = [decimal_text(c) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")]
+    data = items.select(path, F.lit(1).cast("long").alias("chunk"), F.lit(None).cast("int").alias("header_no"), F.concat_ws(",", time, *cells, F.lit("")).alias("line"))
+    heads = F.posexplode(F.array(*[F.lit(h) for h in _ORDER_HEAD])).alias("header_no", "line")
+    head = items.select(path).distinct().select("path", F.lit(0).cast("long").alias("chunk"), heads)
+    return data.unionByName(head).withColumn("source_zip", F.lit(""))
 
-def wide_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "lineitem")).select(
-        "l_orderkey",
-        "l_linenumber",
-        F.col("l_shipdate").alias("Time"),
-        decimal_text("l_quantity").alias("col_1"),
-        decimal_text("l_extendedprice").alias("col_2"),
-        decimal_text("l_discount").alias("col_3"),
-        decimal_text("l_tax").alias("col_4"),
-        F.lit(None).cast("string").alias("col_5"),
-    )
 
+def order_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = order_lines(spark, sf_dir)
+    return wide.readings_from_lines(lines, wide.profile_lines(lines), broadcastable=False)
 
-@query("wide_to_long", f"WITH w AS ({_WIDE}) {_LONG}")
+
+@query("wide_to_long", f'SELECT path, "Time", value, sensor_id FROM ({_ORDER_CELLS})')
 def wide_to_long(spark, sf_dir):
-    values = [f"col_{i}" for i in range(1, 6)]
-    return reshape.unpivot_columns(wide_lineitem(spark, sf_dir), ["l_orderkey", "l_linenumber", "Time"], values)
+    return order_readings(spark, sf_dir).select("path", "Time", "value", "sensor_id")
 
 
-@query(
-    "sensor_join",
-    f"""WITH w AS ({_WIDE}), long AS ({_LONG}),
-             dim(sensor_column, sensor_id, sensor_name, unit) AS (VALUES ('col_1', ' 1000', 'quantity', 'pcs'),
-                 ('col_2', ' 1001', 'price', 'yen'), ('col_3', ' 1002', 'discount', NULL), ('col_4', ' 1003', '-', '-'),
-                 ('col_6', ' 1005', 'surplus', 'x'))
-        SELECT l_orderkey, l_linenumber, "Time", sensor_column, value, sensor_id, sensor_name, unit
-        FROM long LEFT JOIN dim USING (sensor_column)""",
-)
+@query("sensor_join", f'SELECT path, "Time", sensor_id, sensor_name, unit FROM ({_ORDER_CELLS})')
 def sensor_join(spark, sf_dir):
-    dim = spark.createDataFrame(
-        [
-            ("col_1", " 1000", "quantity", "pcs"),
-            ("col_2", " 1001", "price", "yen"),
-            ("col_3", " 1002", "discount", None),
-            ("col_4", " 1003", "-", "-"),
-            ("col_6", " 1005", "surplus", "x"),
-        ],
-        "sensor_column string, sensor_id string, sensor_name string, unit string",
-    )
-    return reshape.join_sensors(wide_to_long(spark, sf_dir), dim, ["sensor_column"])
+    """Lines joined with the sensors of their file, by file and chunk."""
+    return order_readings(spark, sf_dir).select("path", "Time", "sensor_id", "sensor_name", "unit")
 
 
 @query(
     "drop_trailing_col",
-    """WITH f AS (SELECT l_orderkey, l_linenumber, l_quantity, string_split(CAST(CAST(l_quantity AS DECIMAL(18,4)) AS VARCHAR)
-                  || ',' || l_returnflag || CASE WHEN l_linestatus = 'F' THEN ',' ELSE '' END
-                  || CASE WHEN l_discount > 0.09 THEN ',x' ELSE '' END, ',') AS fields FROM lineitem),
-            k AS (SELECT l_orderkey, max(len(fields)) AS width,
-                         max(list_max(list_transform(range(1, len(fields) + 1),
-                             lambda i: CASE WHEN fields[i] <> '' THEN i ELSE 0 END))) AS filled
-                  FROM f GROUP BY l_orderkey)
-       SELECT l_orderkey, l_linenumber, CAST(least(len(fields), width - CAST(filled < width AS INT)) AS INT) AS n_fields,
-              array_to_string(fields[1:width - CAST(filled < width AS INT)], '|') AS line
-       FROM f JOIN k USING (l_orderkey)""",
+    """WITH f AS (SELECT l_orderkey, greatest(4, max(3 + CAST(l_linestatus = 'F' AS INT) + CAST(l_discount > 0.09 AS INT))) AS width
+                  FROM lineitem GROUP BY l_orderkey)
+       SELECT '/plant/order_' || l_orderkey || '.csv' AS path, v.col_idx, v.sensor_id
+       FROM f, (VALUES (1, ' A'), (2, ' B'), (3, ' C')) AS v(col_idx, sensor_id) WHERE v.col_idx <= width - 2""",
 )
 def drop_trailing_col(spark, sf_dir):
-    """Ragged rows, an order being a file: some rows end with a blank field, some with a real one."""
-    line = F.concat(
-        decimal_text("l_quantity"),
-        F.lit(","),
-        F.col("l_returnflag"),
-        F.when(F.col("l_linestatus") == "F", ",").otherwise(""),
-        F.when(F.col("l_discount") > 0.09, ",x").otherwise(""),
-    )
-    rows = spread(table(spark, sf_dir, "lineitem")).select("l_orderkey", "l_linenumber", F.split(line, ",").alias("fields"))
-    cut = reshape.drop_trailing_column(rows, ["l_orderkey"])
-    return cut.select(
-        "l_orderkey", "l_linenumber", F.size("fields").alias("n_fields"), F.array_join("fields", "|").alias("line")
+    """Ragged files, one per order, whose last column goes whatever it holds: the longest line tells which it is."""
+    tail = F.concat(F.when(F.col("l_linestatus") == "F", ",").otherwise(""), F.when(F.col("l_discount") > 0.09, ",x").otherwise(""))
+    line = F.concat(F.date_format("l_shipdate", "yyyy/M/d H:mm:ss"), F.lit(",1,2"), tail)
+    orders = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(line).alias("lines"))
+    text = F.concat(F.lit(", A, B, C\n, a, b, c\n, u, v, w\n"), F.array_join("lines", "\n"))
+    files_ = orders.select(
+        F.format_string("/plant/order_%d.csv", F.col("l_orderkey")).alias("path"), F.lit("").alias("source_zip"), F.encode(text, "UTF-8").alias("content")
     )
+    sensors = wide.parse_files(spark, files_, "utf-8", wide.DROP_LAST).select("path", F.explode("sensors").alias("s"))
+    return sensors.select("path", "s.col_idx", "s.sensor_id")
 
 
 # --- files derived from documents and pages -------------------------------------------------------------------
@@ -427,19 +382,25 @@ def decode_roundtrip(spark, sf_dir):
     )
 
 
-@query("csv_fields", "SELECT doc_id, nullif(text, '') AS text, lang, CAST(n_chars AS VARCHAR) AS n_chars FROM documents")
+@query(
+    "csv_fields",
+    """SELECT doc_id, nullif(text, '') AS text, lang, CAST(n_chars AS VARCHAR) AS n_chars, n_chars || '" pipe' AS inch,
+              ' "' || lang || '"' AS late FROM documents""",
+)
 def csv_fields(spark, sf_dir):
-    """Whole texts as one quoted CSV field each: quotes, commas and newlines must come back."""
+    """Whole texts as one quoted CSV field each: quotes, commas and newlines must come back.
+
+    Two more fields hold quotes that open nothing, because they don't stand at the start.
+    """
     quoted = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
-    lines = spread(table(spark, sf_dir, "documents")).select(
-        "doc_id", F.concat_ws(",", "lang", quoted, F.col("n_chars").cast("string"), F.lit("")).alias("line")
-    )
-    fields = lines.selectExpr("doc_id", f"{protect_quoted('line')} AS line").selectExpr(
-        "doc_id", f"{split_fields('line')} AS fields"
+    lines = table(spark, sf_dir, "documents").select(
+        "doc_id", F.concat_ws(",", "lang", quoted, F.col("n_chars").cast("string"), F.concat("n_chars", F.lit('" pipe')), F.concat(F.lit(' "'), "lang", F.lit('"')), F.lit("")).alias("line")
     )
-    cells = fields.selectExpr("doc_id", "fields[0] AS a", "fields[1] AS b", "fields[2] AS c")
+    fields = lines.selectExpr("doc_id", f"{split_fields('line')} AS fields")
+    cells = fields.selectExpr("doc_id", *[f"fields[{i}] AS {name}" for i, name in enumerate("abcde")])
     return cells.selectExpr(
-        "doc_id", f"{field_value('b')} AS text", f"{field_value('a')} AS lang", f"{field_value('c')} AS n_chars"
+        "doc_id", f"{field_value('b')} AS text", f"{field_value('a')} AS lang", f"{field_value('c')} AS n_chars",
+        f"{field_value('d')} AS inch", f"{field_value('e')} AS late",
     )
 
 
@@ -463,7 +424,7 @@ def whole_file_readings(spark, sf_dir):
                 concat('"', replace(line, '"', '""'), '"'), length(line),
                 CASE WHEN i % 2 = 0 THEN concat('"', replace(line, '"', '""'), '"') ELSE 'odd' END, '0', '')"""
     body = f"array_join(transform(split(text, '\\n'), (line, i) -> {row}), '\\n')"
-    docs = spread(table(spark, sf_dir, "documents")).select(
+    docs = table(spark, sf_dir, "documents").select(
         F.format_string("/doc_%d.csv", F.col("doc_id")).alias("path"),
         F.lit("").alias("source_zip"),
         F.encode(F.concat(F.lit(_HEAD), F.expr(body)), "UTF-8").alias("content"),
@@ -539,9 +500,9 @@ def ledger_status(spark, sf_dir):
 
 _MERGE_SIDES = """
     a AS (SELECT 'user_' || user_id || '.csv' AS file_path, '' AS source_zip, arg_max(sha256(props), event_id) AS file_hash,
-                 max(ts) AS changed, 'COMPLETED' AS status FROM events WHERE event_type IN ('view', 'click') GROUP BY user_id),
+                 max(ts) AS changed, 'COMPLETED' AS status FROM events WHERE event_type NOT IN ('purchase', 'error') GROUP BY user_id),
     b AS (SELECT 'user_' || user_id || '.csv' AS file_path, '' AS source_zip, arg_max(sha256(props), event_id) AS file_hash,
-                 max(ts) AS changed, 'FAILED' AS status FROM events WHERE event_type = 'purchase' AND value > 50 GROUP BY user_id)"""
+                 max(ts) AS changed, 'FAILED' AS status FROM events WHERE event_type IN ('purchase', 'error') GROUP BY user_id)"""
 
 
 @query(
@@ -553,10 +514,10 @@ _MERGE_SIDES = """
 )
 def ledger_merge(spark, sf_dir):
     changes = user_events(spark, sf_dir).withColumns({"source_zip": F.lit(""), "is_tombstone": F.lit(False)})
-    views = changes.where(F.col("full_path").isin("view", "click")).withColumn("status", F.lit(COMPLETED))
-    events = table(spark, sf_dir, "events").where(F.col("value") > 50).select(F.col("event_id").alias("seq"))
-    sold = changes.where(F.col("full_path") == "purchase").withColumn("status", F.lit(FAILED)).join(events, "seq", "left_semi")
-    return _naive(led.merge_ledgers(led.processed_files(views), led.processed_files(sold)))
+    other = F.col("full_path").isin("purchase", "error")
+    main = changes.where(~other).withColumn("status", F.lit(COMPLETED))
+    more = changes.where(other).withColumn("status", F.lit(FAILED))
+    return _naive(led.merge_ledgers(led.processed_files(main), led.processed_files(more)))
 
 
 @query(
@@ -592,7 +553,7 @@ def _zip_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def document_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return docs.mapInArrow(_zip_up, "path string, content binary")
 
 
@@ -629,7 +590,7 @@ def archive_lookup(spark, sf_dir):
 
 # --- whole jobs -----------------------------------------------------------------------------------------------
 
-_EVENT_HEAD = [", 1000, 1001, 1000, 1002", ", value, level, value, -", ", V, m, V,　-"]
+_EVENT_HEAD = [", E1, E2, E1, E9", ", value, level, value, -", ", V, m, V,　-"]
 
 
 def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -637,7 +598,7 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Users with an event above 400 have one broken time.
     """
-    events = spread(table(spark, sf_dir, "events"))
+    events = table(spark, sf_dir, "events")
     path = F.format_string("/plant/test_%d.csv", F.col("user_id")).alias("path")
     time = F.when(F.col("value") > 400, "broken").otherwise(F.date_format("ts", "yyyy/M/d HH:mm:ss"))
     value = decimal_text("value")
@@ -651,20 +612,10 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return data.unionByName(head).withColumn("source_zip", F.lit(""))
 
 
-_EVENT_CELLS = """
-    SELECT DISTINCT "Time", value, sensor_id, sensor_name, unit, path FROM (
-        SELECT date_trunc('second', ts) AS "Time", '/plant/test_' || user_id || '.csv' AS path, v.* FROM events e,
-        LATERAL (VALUES (CAST(CAST(e.value AS DECIMAL(18,4)) AS VARCHAR), ' 1000', ' value', ' V'),
-                        (e.event_type, ' 1001', ' level', ' m'),
-                        (CASE WHEN e.event_type = 'view' THEN CAST(CAST(e.value AS DECIMAL(18,4)) AS VARCHAR) ELSE e.props END,
-                         ' 1000', ' value', ' V')) AS v(value, sensor_id, sensor_name, unit)
-        WHERE user_id NOT IN (SELECT user_id FROM events WHERE value > 400))"""
-
-
 @query(
     "header_dim",
     """SELECT DISTINCT '/plant/test_' || user_id || '.csv' AS path, v.* FROM events,
-       (VALUES (1, ' 1000', ' value', ' V'), (2, ' 1001', ' level', ' m'), (3, ' 1000', ' value', ' V'))
+       (VALUES (1, ' E1', ' value', ' V'), (2, ' E2', ' level', ' m'), (3, ' E1', ' value', ' V'))
            AS v(col_idx, sensor_id, sensor_name, unit)""",
 )
 def header_dim(spark, sf_dir):
@@ -683,35 +634,34 @@ def file_errors(spark, sf_dir):
 
 
 @query(
-    "flagship_ingest",
-    f"""SELECT "Time", value, sensor_id, sensor_name, unit, path AS source_file, '' AS source_zip, 'F1' AS factory,
-               'M7' AS machine_id, '２０２４年点検' AS data_label FROM ({_EVENT_CELLS})""",
+    "quarantine",
+    """SELECT '/plant/test_' || user_id || '.csv' AS path, date_trunc('second', ts) AS "Time", v.* FROM events e,
+        LATERAL (VALUES (CAST(CAST(e.value AS DECIMAL(18,4)) AS VARCHAR), ' E1'), (e.event_type, ' E2'),
+                        (CASE WHEN e.event_type <> 'view' THEN e.props END, ' E1')) AS v(value, sensor_id)
+        WHERE user_id NOT IN (SELECT user_id FROM events WHERE value > 400) AND v.value IS NOT NULL""",
 )
-def flagship_ingest(spark, sf_dir):
-    """Profile all files, reshape the good ones, write, record both kinds in the ledger, commit, read back."""
-    lake = Lake(spark, shared_dir(spark, "flagship"))
-    lines, run = event_lines(spark, sf_dir), "events"
-    profiles_at = lake.work_path(run, "lines-0")
-    wide.profile_lines(lines).write.parquet(profiles_at)
-    profiles = spark.read.parquet(profiles_at)
-    readings = wide.readings_from_lines(lines, profiles, wide.lookup_fits(profiles))
-    final = scrub_control_chars(add_meta(wide.distinct_readings(readings), META))
-    write_batch(final, lake.readings_path, run)
-    known = profiles.withColumn("reason", F.col("error"))
-    done = led.status_events(known.where(F.col("error").isNull()), COMPLETED, ingest_id=run)
-    lake.append_events(done.unionByName(led.status_events(known.where(F.col("error").isNotNull()), FAILED, ingest_id=run)))
-    lake.commit(run)
-    return lake.readings()
-
-
-def write_wide_files(spark: SparkSession, sf_dir: str, folder: str) -> None:
-    """Events as Shift-JIS files of at most ``ROWS_PER_FILE`` data rows, header rows first, with a trailing comma."""
+def quarantine(spark, sf_dir):
+    """A file with one unparsable time drops out whole, the others stay whole."""
+    lines = event_lines(spark, sf_dir)
+    readings = wide.readings_from_lines(lines, wide.profile_lines(lines), broadcastable=False)
+    return readings.select("path", "Time", "value", "sensor_id")
+
+
+def write_wide_files(
+    spark: SparkSession, sf_dir: str, folder: str, rows_per_file: int = ROWS_PER_FILE, which: Column | None = None, broken: Column | None = None
+) -> None:
+    """Events as Shift-JIS files of at most ``rows_per_file`` data rows, header rows first, with a trailing comma.
+
+    ``which`` chooses files by ``file_no``; the time of events that are ``broken`` doesn't parse.
+    """
     configure(spark)
     head = [", S001, S002, S001, S004", ", 温度, 状態, 温度, -", ", ℃,, ℃,-"]
-    file_no = F.floor(F.col("event_id") / ROWS_PER_FILE).alias("file_no")
+    file_no = F.floor(F.col("event_id") / rows_per_file).alias("file_no")
     events = table(spark, sf_dir, "events")
+    events = events if which is None else events.select("*", file_no).where(which).drop("file_no")
+    time = F.date_format("ts", "yyyy/M/d H:mm:ss")
     line = F.concat_ws(
-        ",", F.date_format("ts", "yyyy/M/d H:mm:ss"), decimal_text("value"), "event_type", decimal_text("value"), F.lit("0"), F.lit("")
+        ",", time if broken is None else F.when(broken, "broken").otherwise(time), decimal_text("value"), "event_type", decimal_text("value"), F.lit("0"), F.lit("")
     )
     data = events.select(file_no, F.lit(3).alias("no"), line.alias("line"))
     heads = F.posexplode(F.array(*[F.lit(h) for h in head])).alias("no", "line")
@@ -738,6 +688,75 @@ def _numbered(readings: DataFrame) -> DataFrame:
     return readings.select(number.alias("file_no"), "Time", "value", "sensor_id", "sensor_name", "unit")
 
 
+_SMALL_FILES = 500
+
+
+@query(
+    "flagship_ingest",
+    f"""SELECT DISTINCT CAST(event_id // {_SMALL_FILES} AS BIGINT) AS file_no, date_trunc('second', ts) AS "Time", v.*, '' AS source_zip,
+               'F1' AS factory, 'M7' AS machine_id, '２０２４年点検' AS data_label
+        FROM events e, LATERAL (VALUES (CAST(CAST(e.value AS DECIMAL(18,4)) AS VARCHAR), ' S001', ' 温度', ' ℃'),
+                                       (e.event_type, ' S002', ' 状態', NULL)) AS v(value, sensor_id, sensor_name, unit)
+        WHERE event_id // {_SMALL_FILES} NOT IN (SELECT event_id // {_SMALL_FILES} FROM events WHERE event_id % 2003 = 7)""",
+)
+def flagship_ingest(spark, sf_dir):
+    """Shift-JIS files, some with a broken time, through the whole job; the readings of the good ones."""
+    folder, root = shared_dir(spark, "files"), shared_dir(spark, "lake")
+    write_wide_files(spark, sf_dir, folder, _SMALL_FILES, broken=F.col("event_id") % 2003 == 7)
+    lake = Lake(spark, root)
+    ingest_folder(lake, folder, "part", options=Options(encoding="shift-jis", meta=META))
+    readings = lake.readings()
+    number = F.regexp_extract("source_file", r"file_no=(\d+)", 1).cast("bigint")
+    return readings.select(number.alias("file_no"), *[c for c in readings.columns if c != "source_file"])
+
+
+class _Dying(Lake):
+    """A lake whose batches die before their commit."""
+
+    def commit(self, *args, **kwargs) -> None:
+        raise InterruptedError("before the commit")
+
+
+@query("ingest_retry", _FILE_CELLS)
+def ingest_retry(spark, sf_dir):
+    """A batch dies before its commit, another takes up its files, then the first is retried: nothing twice."""
+    folder, root = shared_dir(spark, "files"), shared_dir(spark, "lake")
+    write_wide_files(spark, sf_dir, folder)
+    lake, options = Lake(spark, root), Options(encoding="shift-jis", meta=META)
+    try:
+        ingest_folder(_Dying(spark, root), folder, "part", "one", options)
+    except InterruptedError:
+        ingest_folder(lake, folder, "part", "two", options)
+    ingest_folder(lake, folder, "part", "one", options)
+    return _numbered(lake.readings())
+
+
+@query("stream_two_folders", _FILE_CELLS)
+def stream_two_folders(spark, sf_dir):
+    """Two streams of the default name, each with its own checkpoint, into one lake."""
+    folder, root = shared_dir(spark, "files"), shared_dir(spark, "lake")
+    lake = Lake(spark, root)
+    for part in (0, 1):
+        write_wide_files(spark, sf_dir, f"{folder}/{part}", which=F.col("file_no") % 2 == part)
+        options = Options(encoding="shift-jis", meta=META)
+        stream_ingest(lake, f"{folder}/{part}", f"{root}-checkpoint-{part}", "part", options=options).awaitTermination()
+    return _numbered(lake.readings())
+
+
+@query("rolled_back", f"SELECT 0 AS n_readings, count(DISTINCT event_id // {ROWS_PER_FILE}) AS n_files FROM events")
+def rolled_back(spark, sf_dir):
+    """A batch that dies and is rolled back leaves no readings; the files are found by their extension."""
+    folder, root = shared_dir(spark, "files"), shared_dir(spark, "lake")
+    write_wide_files(spark, sf_dir, folder)
+    lake = Lake(spark, root)
+    try:
+        ingest_folder(_Dying(spark, root), folder, "part", "one", Options(encoding="shift-jis", meta=META))
+    except InterruptedError:
+        lake.rollback("one")
+    found = files.find_files_with_extension(spark, folder, "csv").where(F.col("length") > 0)
+    return found.agg(F.lit(lake.readings().count()).cast("int").alias("n_readings"), F.count("*").alias("n_files"))
+
+
 @query("folder_ingest", _FILE_CELLS)
 def folder_ingest(spark, sf_dir):
     """Real Shift-JIS files in folders, discovered, hashed, parsed, written and committed."""

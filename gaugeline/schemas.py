@@ -91,12 +91,6 @@ PROCESSED_FILES = _schema(
     ("status_updated_at", T.TimestampType(), True),
 )
 
-#: One row per published batch; its presence is what makes the batch visible.
-COMMITS = _schema(
-    ("ingest_id", _S, False),
-    ("committed_at", T.TimestampType(), False),
-)
-
 STAT_COLUMNS = (
     "total_found",
     "already_processed_by_path",
@@ -106,6 +100,15 @@ STAT_COLUMNS = (
     "timeout",
 )
 
+#: One row per published batch; its presence is what makes the batch visible. ``listing`` is a hash of the files that the
+#: batch was given, the rest its statistics.
+COMMITS = _schema(
+    ("ingest_id", _S, False),
+    ("committed_at", T.TimestampType(), False),
+    ("listing", _S, True),
+    *[(name, _L, True) for name in STAT_COLUMNS],
+)
+
 
 def check_status(status: str) -> str:
     if status not in STATUSES:

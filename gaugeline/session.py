@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -42,13 +41,10 @@ def build_session(app_name: str = "gaugeline", master: str | None = None, **conf
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, which every executor can reach.
 
-    Only a local session without that setting falls back to a temporary folder of this machine.
+    Where that isn't set, the warehouse takes its place, which the executors share as well.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="gaugeline-")
+    base = base or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/gaugeline/{label}-{uuid.uuid4().hex}"
 
 
@@ -57,6 +53,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder, if it is there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def rename_path(spark: SparkSession, old: str, new: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(old)
+    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).rename(at, spark._jvm.org.apache.hadoop.fs.Path(new)):
+        raise OSError(f"{old} can't be renamed to {new}")
+
+
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """No rows, in a form the optimizer recognises, so that joins with it fall away."""
     return spark.range(1).where(F.lit(False)).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])

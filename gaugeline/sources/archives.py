@@ -10,9 +10,11 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gaugeline.functions.text import basename, local_path
+from gaugeline.schemas import LISTING
+from gaugeline.session import empty
 from gaugeline.sources.files import binary_files, escape_glob
 
 # The functions below travel to the executors with the job, which need not have this package installed.
@@ -85,13 +87,37 @@ def explode_archives(
     return archives.select("path", "content").mapInArrow(run, ENTRY_SCHEMA)
 
 
+def _fits(spark: SparkSession) -> Column:
+    """Files that a row can hold. The condition reaches the reader, which opens no other."""
+    return F.col("length") <= int(spark.conf.get("spark.sql.sources.binaryFile.maxLength", str((1 << 31) - 1)))
+
+
 def archive_contents(spark: SparkSession, folder: str) -> DataFrame:
-    return binary_files(spark, folder, "*.zip").select(local_path(F.col("path")).alias("path"), "content")
+    found = binary_files(spark, folder, "*.zip").where(_fits(spark))
+    return found.select(local_path(F.col("path")).alias("path"), "content")
+
+
+def _listed(spark: SparkSession, files: DataFrame, pattern: str) -> DataFrame:
+    """Matching entries of scanned archives, and a row with an error for each that is too large to be opened."""
+    zips = files.where(_fits(spark)).select(local_path(F.col("path")).alias("path"), "content")
+    large = files.where(~_fits(spark)).select(local_path(F.col("path")).alias("source_zip"))
+    entries = explode_archives(zips, pattern, with_content=False).drop("content")
+    none = {f.name: F.lit(None).cast(f.dataType) for f in entries.schema.fields if f.name not in ("source_zip", "error")}
+    refused = large.withColumns({**none, "error": F.lit("archive larger than a row can hold")})
+    return entries.unionByName(refused)
 
 
 def find_csv_in_archives(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     """Matching entries of all archives below a folder, without their bytes. Rows with a null path are bad archives."""
-    return explode_archives(archive_contents(spark, folder), pattern, with_content=False).drop("content")
+    return _listed(spark, binary_files(spark, folder, "*.zip"), pattern)
+
+
+def entries_of(spark: SparkSession, archives: list[str], pattern: str) -> DataFrame:
+    """Matching entries of a bounded list of archives, in the form of a listing."""
+    if not archives:
+        return empty(spark, LISTING)
+    files = spark.read.format("binaryFile").load([escape_glob(p) for p in archives])
+    return _listed(spark, files, pattern).where(F.col("path").isNotNull()).select(*LISTING.fieldNames())
 
 
 def read_entries(spark: SparkSession, archives: list[str]) -> DataFrame:
@@ -102,6 +128,7 @@ def read_entries(spark: SparkSession, archives: list[str]) -> DataFrame:
     chosen = (
         spark.read.format("binaryFile")
         .load([escape_glob(p) for p in archives])
+        .where(_fits(spark))
         .select(local_path(F.col("path")).alias("path"), "content")
     )
     return explode_archives(chosen).where(F.col("path").isNotNull()).hint("rebalance")

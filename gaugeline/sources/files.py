@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from gaugeline.functions.text import basename, local_path, metadata_path
@@ -88,15 +89,18 @@ def escape_glob(path: str) -> str:
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
-def read_contents(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """One row per file with its bytes, for a bounded list of paths."""
+def read_contents(spark: SparkSession, paths: list[str], missing_ok: bool = False) -> DataFrame:
+    """One row per file with its bytes, for a bounded list of paths. ``missing_ok`` leaves out files that are gone."""
     if not paths:
         return empty(spark, T.StructType(LISTING.fields[:3] + [T.StructField("content", T.BinaryType())]))
-    return (
-        spark.read.format("binaryFile")
-        .load([escape_glob(p) for p in paths])
-        .select(local_path(F.col("path")).alias("path"), F.lit("").alias("source_zip"), "length", "content")
-    )
+    reader = spark.read.format("binaryFile").option("ignoreMissingFiles", missing_ok)
+    try:
+        found = reader.load([escape_glob(p) for p in paths])
+    except AnalysisException as e:
+        if not missing_ok or e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return read_contents(spark, [p for p in paths if path_exists(spark, p)], missing_ok)
+    return found.select(local_path(F.col("path")).alias("path"), F.lit("").alias("source_zip"), "length", "content")
 
 
 def file_hashes(files: DataFrame) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql.streaming import StreamingQuery
 from gaugeline.functions.text import local_path
 from gaugeline.plans.ingest import Options, ingest_files
 from gaugeline.plans.lake import Lake
-from gaugeline.sources.files import as_listing, match_names
+from gaugeline.sources.archives import entries_of
+from gaugeline.sources.files import as_listing, escape_glob, match_names, union_listings
 from gaugeline.schemas import DEFAULTS
 
 _SOURCE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
@@ -26,26 +27,32 @@ def stream_ingest(
 ) -> StreamingQuery:
     """Start a stream over the CSV files below a folder.
 
-    The source remembers which files it has seen and bounds each micro-batch. A micro-batch has a fixed ingest id, so
-    one that is repeated after a failure is started over or, if it was committed, left alone. By default everything
-    available is processed and the query ends; pass e.g. ``processingTime="1 minute"`` to keep it running.
+    The source remembers which files it has seen and bounds each micro-batch, and with it the list of archives that are opened.
+    A micro-batch has a fixed ingest id, made from the query's own id, so one that is repeated after a failure is started over
+    or, if it was committed, left alone; a stream with another checkpoint has other ids. By default everything available is
+    processed and the query ends; pass e.g. ``processingTime="1 minute"`` to keep it running. The source doesn't show files
+    without a byte.
     """
+    zipped = F.col("path").endswith(".zip")
     source = (
         lake.spark.readStream.format("binaryFile")
         .schema(_SOURCE_SCHEMA)
         .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.csv")
+        .option("pathGlobFilter", "*.{csv,zip}")
         .option("maxFilesPerTrigger", max_files_per_trigger)
-        .load(folder)
+        .load(escape_glob(folder))
         .select(local_path(F.col("path")).alias("path"), "length")
     )
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        ingest_files(lake, as_listing(batch), f"stream-{name}-{batch_id}", options)
+        # Kept in the checkpoint from before the first batch on; another checkpoint is another query.
+        query_id = lake.spark.read.json(f"{checkpoint}/metadata").first()["id"]
+        loose = as_listing(match_names(batch.where(~zipped), pattern))
+        packed = entries_of(lake.spark, [r.path for r in batch.where(zipped).select("path").collect()], pattern)
+        ingest_files(lake, union_listings(loose, packed), f"stream-{name}-{query_id}-{batch_id}", options)
 
     return (
-        as_listing(match_names(source, pattern))
-        .select("path", "length")
+        source
         .writeStream.foreachBatch(run)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from gaugeline.functions.decode import decode_text, java_charset
 from gaugeline.operators import wide
 
-JAPANESE = ",1,2\n,温度ソ,表能\n,℃,\n2024/1/1 0:0:0,高,1,\n"
+JAPANESE = ",1,2\n,温度ソ,表能\n,℃,\n2024/3/5 7:30:0,高,1,\n"
 
 
 def decoded(spark, data, encoding):

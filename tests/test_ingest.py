@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from gaugeline import Lake, Options, ingest_files, ingest_folder, stream_ingest
 from gaugeline.plans import ingest as plan
 from gaugeline.plans.cli import main
-from gaugeline.schemas import READINGS, READING_COLUMNS
+from gaugeline.schemas import LISTING, READINGS, READING_COLUMNS
 from gaugeline.sources.files import listing_of
 
 META = {"factory": "F1", "machine_id": "M7", "data_label": "２０２４年点検"}
@@ -83,7 +83,7 @@ def test_archives_next_to_loose_files(spark, lake, folder):
     for name, day in (("a.zip", 2), ("s/b.zip", 3)):
         buffer = io.BytesIO()
         with zipfile.ZipFile(buffer, "w") as z:
-            z.writestr("d/User_1.csv", HEAD + ROWS.replace("1/1 ", f"1/{day} "))
+            z.writestr("d/User_1.csv", HEAD + ROWS.replace("3/5 ", f"3/{day} "))
             z.writestr("d/bad_test.csv", HEAD + "never,1,2,3,4,\n")
             z.writestr("notes.txt", "x")
         folder.put(name, buffer.getvalue())
@@ -143,7 +143,7 @@ def test_waves_cover_everything(spark, lake, folder):
 
 
 def test_control_characters(spark, lake, folder):
-    folder.put("test.csv", ",A\n,a\x0b,\n,x\n2024/1/1 0:0:0,1\x00\x7f\t2,\n")
+    folder.put("test.csv", ",A\n,a\x0b,\n,x\n2024/3/5 7:30:0,1\x00\x7f\t2,\n")
     run(lake, folder)
     row = lake.readings().first()
     assert (row.value, row.sensor_name) == ("1\t2", "a")
@@ -206,11 +206,70 @@ def test_insert(spark, lake):
     assert lake.execute("SELECT count(*) AS n FROM sensor_data").first().n == 2
 
 
-def test_committed_batches_are_found_by_directory(spark, lake, folder):
-    folder.put("test.csv", HEAD + ROWS)
-    run(lake, folder, ingest_id="one")
-    plan_text = lake.readings()._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan_text and "one" in plan_text and "Join" not in plan_text
+class Dying(Lake):
+    """A lake whose batches die before their commit."""
+
+    def commit(self, *args, **kwargs):
+        raise RuntimeError("dead")
+
+
+def test_retries_publish_nothing_twice(spark, lake, folder):
+    folder.put("test_1.csv", HEAD + ROWS)
+    folder.put("test_2.csv", HEAD + ROWS.replace(",1,", ",9,"))
+    dying = Dying(spark, lake.root)
+    for process_all in (False, True):
+        with pytest.raises(RuntimeError):
+            run(dying, folder, ingest_id="one", process_all=process_all, max_paths=1, whole_file_bytes=1)
+    assert lake.readings().count() == 0
+    run(lake, folder, ingest_id="two")
+    rows = table(lake)
+    with pytest.raises(RuntimeError):
+        run(dying, folder, ingest_id="three", process_all=True)
+    assert run(lake, folder, ingest_id="one")[1] == 2 and table(lake) == rows
+    assert run(lake, folder)[1] == 2 and table(lake) == rows
+
+
+def test_a_committed_id_takes_no_other_files(lake, folder):
+    folder.put("test_1.csv", HEAD + ROWS)
+    first = run(lake, folder, ingest_id="one")
+    assert run(lake, folder, ingest_id="one") == first
+    folder.put("test_2.csv", HEAD + ROWS)
+    with pytest.raises(ValueError):
+        run(lake, folder, ingest_id="one")
+
+
+def test_compaction_changes_nothing(lake, folder):
+    for i in range(3):
+        folder.put(f"test_{i}.csv", HEAD + ROWS.replace(",1,", f",{i},"))
+        run(lake, folder)
+    before = table(lake), sorted(map(tuple, lake.processed_files().collect()))
+    lake.compact()
+    assert (table(lake), sorted(map(tuple, lake.processed_files().collect()))) == before
+
+
+def test_streams_with_other_checkpoints_and_archives(spark, lake, folder, tmp_path):
+    options = Options(encoding="utf-8", meta=META)
+    folder.put("x[1]/test_1.csv", HEAD + ROWS)
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as z:
+        z.writestr("User_2.csv", HEAD + ROWS.replace(",1,", ",2,"))
+    folder.put("x[1]/a.zip", data.getvalue())
+    folder.put("y/test_3.csv", HEAD + ROWS.replace(",1,", ",3,"))
+    for name in ("x[1]", "y"):
+        stream_ingest(lake, f"{folder.path}/{name}", str(tmp_path / f"checkpoint-{name[0]}"), "(test|User)", options=options).awaitTermination()
+    assert len(table(lake)) == 24
+
+
+def test_a_vanished_file_fails_alone(spark, lake, folder):
+    import os
+
+    here, gone = folder.put("test_1.csv", HEAD + ROWS), folder.put("test_2.csv", HEAD + ROWS + ROWS.replace("2024", "2025"))
+    from gaugeline.plans.ingest import find_files
+
+    listing = spark.createDataFrame(find_files(spark, folder.path, "test").collect(), LISTING)
+    os.remove(gone)
+    assert tuple(ingest_files(lake, listing, options=Options(encoding="utf-8", meta=META)).first())[3:5] == (1, 1)
+    assert os.path.exists(here) and len(table(lake)) == 8
 
 
 def test_stream_equals_batch(spark, folder, tmp_path):
@@ -224,9 +283,9 @@ def test_stream_equals_batch(spark, folder, tmp_path):
         folder.put(f"test_{i}.csv", HEAD + ROWS.replace(",1,", f",{i},"))
     folder.put("other.csv", HEAD + ROWS)
     trickle()
-    assert len(streamed.committed_ids()) == 2
+    assert len(streamed.commits().collect()) == 2
     trickle()
-    assert len(streamed.committed_ids()) == 2
+    assert len(streamed.commits().collect()) == 2
     folder.put("test_3.csv", HEAD + ROWS.replace(",1,", ",33,"))
     trickle()
     ingest_folder(batch, folder.path, "test", options=options)

@@ -61,7 +61,7 @@ def test_fingerprint(spark, folder):
     a = folder.put("a.csv", HEAD + body(500))
     b = folder.put("b.csv", HEAD + body(500))
     c = folder.put("c.csv", HEAD + body(499) + body(1, 900))
-    d = folder.put("d.csv", HEAD.replace("param_A", "param_Z") + body(500))
+    d = folder.put("d.csv", HEAD.replace("boiler", "kettle") + body(500))
     e = folder.put("e.csv", HEAD + body(500) + body(1) * 2)
     prints = {r.path: r.file_hash for r in wide.profile_lines(lines_of(spark, [a, b, c, d, e], split=5000)).collect()}
     other_splits = {r.path: r.file_hash for r in wide.profile_lines(lines_of(spark, [a], split=3000)).collect()}
@@ -71,7 +71,7 @@ def test_fingerprint(spark, folder):
 
 
 def test_drop_last_in_lines_mode(spark, folder):
-    path = folder.put("t.csv", ",A,B\n,a,b\n,x,y\n2024/1/1 0:0:0,1,2\n")
+    path = folder.put("t.csv", ",A,B\n,a,b\n,x,y\n2024/3/5 7:30:0,1,2\n")
     lines = lines_of(spark, [path])
     profiles = wide.profile_lines(lines, "drop_last")
     assert [r[1] for r in readings(wide.readings_from_lines(lines, profiles, True))] == ["1"]
