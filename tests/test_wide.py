@@ -72,7 +72,7 @@ def test_duplicates_collapse_within_a_file_only(spark):
 def test_where_rows_can_repeat(spark):
     twins = ",A,A\n,a,a\n,x,x\n"
     triples = ",A,A,A\n,a,a,a\n,x,x,x\n"
-    row, later = "2024/3/5 7:30:0,1,1,1\n", "2024/01/01 00:00:00,1,1,1\n"
+    row, later = "2024/3/5 7:30:0,1,1,1\n", "2024/03/05 07:30:00,1,1,1\n"
     df = contents(
         spark, ("once", twins + row), ("again", twins + row + later), ("triple", triples + row), ("none", twins)
     )
@@ -119,7 +119,7 @@ def test_quoted_newline_and_crlf(spark):
 @pytest.mark.parametrize(
     "text, parsed",
     [
-        ("2024/3/5 7:30:0", dt.datetime(2024, 1, 1)),
+        ("2024/3/5 7:30:0", dt.datetime(2024, 3, 5, 7, 30)),
         ("2024/01/01 00:00:00", dt.datetime(2024, 1, 1)),
         (" 　2024/12/31 23:59:59\t", dt.datetime(2024, 12, 31, 23, 59, 59)),
         ("2024/2/30 00:00:00", None),
