@@ -55,6 +55,28 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, allowed: Col
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
 
 
+#: Bits of the map that ``split_by_key`` uses: 512 rows of 4 KiB at most.
+_MAP_BITS = 24
+
+
+def split_by_key(rows: DataFrame, key: list[str], wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` that may have their ``key`` in ``wanted``, and those that surely don't, so that only the first need a shuffle.
+
+    The test is a bitmap of fixed size over a hash of the key, broadcast whatever the input's size. Where it fills up, more
+    rows are taken for possible matches; the result of a join of those with ``wanted`` is the same.
+    """
+    place = lambda: F.pmod(F.xxhash64(*key), F.lit(1 << _MAP_BITS)) + 1
+    bits = wanted.select(place().alias("n")).groupBy(F.bitmap_bucket_number("n").alias("__bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("n")).alias("__bits"))
+    found = [(r["__bucket"], r["__bits"]) for r in bits.collect()]
+    known = F.broadcast(rows.sparkSession.createDataFrame(found, "__bucket bigint, __bits binary"))
+    at = F.bitmap_bit_position(F.col("__place"))
+    byte = F.conv(F.hex(F.substring(F.col("__bits"), (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    bit = F.coalesce(F.floor(byte / F.pow(F.lit(2), at % 8)).cast("int") % 2 == 1, F.lit(False))
+    marked = rows.withColumn("__place", place()).withColumn("__bucket", F.bitmap_bucket_number("__place")).join(known, "__bucket", "left")
+    columns = [F.col(f"`{c}`") for c in rows.columns]
+    return marked.where(bit).select(*columns), marked.where(~bit).select(*columns)
+
+
 def slices(batches: Iterator, rows: int = 512) -> Iterator:
     """Arrow batches cut into small ones, so that Python objects of few rows exist at once."""
     for batch in batches:

@@ -1,12 +1,12 @@
 """Line dedup by content-defined chunks of lines.
 
 A text is cut into chunks of whole lines. A border follows a line where a rolling hash over that line and the one before it
-falls on one of ``1 / BORDER`` values, so borders move with the lines around them and a passage shared by several texts is
+is a multiple of ``BORDER``, whatever came before, so borders move with the lines around them and a passage shared by several texts is
 cut alike in each, wherever it stands. Chunks of two lines or more that occur more than once in the corpus are removed but
 for their first occurrence (by document id, then place), after their bytes were compared. A line of ``LONG_LINE`` words or more
 is a passage by itself too: texts with a paragraph per line repeat single paragraphs.
 
-Plan: chunk hashes are counted first, without text. The texts that hold repeated chunks are shuffled once by document; only
+Plan: chunk hashes are counted first, without text. Only texts that hold repeated chunks are shuffled, by document; only
 those chunks' bytes are grouped, by hash and bytes, with partial aggregation, so a chunk in a third of all documents is a few rows
 per task. Nothing grows with a group.
 
@@ -21,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from gaugeline.llm.common import saved, slices
+from gaugeline.llm.common import saved, slices, split_by_key
 
 #: Lines per border on average.
 BORDER = 4
@@ -97,8 +97,9 @@ def repeated(docs: DataFrame) -> DataFrame:
     places = saved(texts.mapInArrow(hashes, f"doc_id {kind}, mark bigint, key binary, start bigint"), "line-chunks")
     place = F.struct("doc_id", "mark", "start")
     often = saved(places.groupBy("key").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a < b").select("key"), "line-keys")
-    wanted = places.join(often, "key").groupBy("doc_id", "mark").agg(F.collect_set("start").alias("starts"))
-    shared = texts.dropDuplicates(["doc_id", "mark"]).join(wanted, ["doc_id", "mark"]).select("doc_id", "mark", "text", "starts")
+    wanted = saved(places.join(often, "key").groupBy("doc_id", "mark").agg(F.collect_set("start").alias("starts")), "line-wanted")
+    possible, _ = split_by_key(texts, ["doc_id", "mark"], wanted)
+    shared = possible.join(wanted, ["doc_id", "mark"]).select("doc_id", "mark", "text", "starts")
     found = saved(shared.mapInArrow(bodies, f"doc_id {kind}, mark bigint, key binary, start bigint, end bigint, part string"), "line-bodies")
     #: Equal hashes of unequal bytes are different groups here.
     first = saved(found.groupBy("key", "part").agg(F.min(place).alias("first")), "line-firsts").select(F.col("key").alias("k"), F.col("part").alias("p"), "first")
@@ -109,7 +110,9 @@ def repeated(docs: DataFrame) -> DataFrame:
 def remove(docs: DataFrame, drop_emptied: bool = False) -> DataFrame:
     """``docs`` without repeated passages. ``drop_emptied`` leaves out documents of which no word remains and one was there."""
     cuts = repeated(docs).groupBy("doc_id", "mark").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("__cuts"))
-    cuts = saved(cuts, "line-cuts").select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"), "__cuts")
+    cuts = saved(cuts, "line-cuts")
+    possible, others = split_by_key(docs.withColumn("__key", F.xxhash64("text")), ["doc_id", "__key"], cuts.withColumnRenamed("mark", "__key"))
+    cuts = cuts.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"), "__cuts")
 
     def step(a, x):
         gap = F.substr(F.col("text"), a["at"] + 1, F.greatest(x["start"].cast("int") - a["at"], F.lit(0)))
@@ -117,8 +120,8 @@ def remove(docs: DataFrame, drop_emptied: bool = False) -> DataFrame:
 
     start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("out"))
     rest = F.aggregate("__cuts", start, step, lambda a: F.concat(F.array_join(a["out"], ""), F.substr(F.col("text"), a["at"] + 1)))
-    joined = docs.join(cuts, (F.col("doc_id") == F.col("__id")) & (F.xxhash64("text") == F.col("__mark")), "left")
+    joined = possible.join(cuts, (F.col("doc_id") == F.col("__id")) & (F.col("__key") == F.col("__mark")), "left")
     changed = joined.select(*[F.when(F.col("__cuts").isNull(), F.col("text")).otherwise(rest).alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns], F.col("__cuts").isNotNull().alias("__cut"))
     if drop_emptied:
         changed = changed.where(~(F.col("__cut") & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")))
-    return changed.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return changed.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(others.drop("__key"))

@@ -30,7 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from gaugeline.llm.common import saved, slices
+from gaugeline.llm.common import saved, slices, split_by_key
 from gaugeline.llm.components import components
 
 WORDS = 5
@@ -255,7 +255,10 @@ def classes(docs: DataFrame, least: float = SIMILARITY, weights: str = "set") ->
     members = saved(held.join(centers, "key"), "minhash-members")
 
     wanted = members.select("digest").distinct().join(sets.select("digest", "rep"), "digest").select("digest", "rep.doc_id", "rep.mark")
-    own = saved(texts.dropDuplicates(["doc_id", "mark"]).join(wanted, ["doc_id", "mark"]).select("digest", "text").mapInArrow(elements, "digest binary, elements binary, weights binary"), "minhash-elements")
+    wanted = saved(wanted, "minhash-wanted")
+    possible, _ = split_by_key(texts, ["doc_id", "mark"], wanted)
+    own = possible.join(wanted, ["doc_id", "mark"]).select("digest", "text").mapInArrow(elements, "digest binary, elements binary, weights binary")
+    own = saved(own.dropDuplicates(["digest"]), "minhash-elements")
     pairs = members.where("digest != center").select(F.col("digest").alias("a"), F.col("center").alias("b")).distinct()
     links = _verified(pairs, own, least)
     labels = saved(components(links), "minhash-labels")
