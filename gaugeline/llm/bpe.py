@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from gaugeline.llm.common import saved, slices
 
@@ -324,4 +324,4 @@ def decode(ids: DataFrame, tokenizer: str | None = None) -> DataFrame:
             texts = pa.array([None if x is None else codec(path).decode(x) for x in batch.column(at).to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], [*batch.schema.names, "decoded"])
 
-    return ids.mapInArrow(run, ids.schema.add("decoded", "string"))
+    return ids.mapInArrow(run, T.StructType([*ids.schema.fields, T.StructField("decoded", T.StringType())]))
