@@ -96,14 +96,15 @@ def repeated(docs: DataFrame) -> DataFrame:
     texts = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("mark"), "text")
     places = saved(texts.mapInArrow(hashes, f"doc_id {kind}, mark bigint, key binary, start bigint"), "line-chunks")
     place = F.struct("doc_id", "mark", "start")
-    often = saved(places.groupBy("key").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a < b").select("key"), "line-keys")
+    often = saved(places.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "line-keys")
     wanted = saved(places.join(often, "key").groupBy("doc_id", "mark").agg(F.collect_set("start").alias("starts")), "line-wanted")
     possible, _ = split_by_key(texts, ["doc_id", "mark"], wanted)
     shared = possible.join(wanted, ["doc_id", "mark"]).select("doc_id", "mark", "text", "starts")
     found = saved(shared.mapInArrow(bodies, f"doc_id {kind}, mark bigint, key binary, start bigint, end bigint, part string"), "line-bodies")
-    #: Equal hashes of unequal bytes are different groups here.
-    first = saved(found.groupBy("key", "part").agg(F.min(place).alias("first")), "line-firsts").select(F.col("key").alias("k"), F.col("part").alias("p"), "first")
-    pairs = found.join(first, (F.col("key") == F.col("k")) & (F.col("part") == F.col("p")))
+    # Grouped by their bytes: equal keys of unequal parts are different passages, told apart by a second hash from here on.
+    own = F.xxhash64("part").alias("own")
+    first = saved(found.groupBy("key", "part").agg(F.min(place).alias("first")).select("key", own, "first"), "line-firsts")
+    pairs = found.select("doc_id", "mark", "start", "end", "key", own).join(first, ["key", "own"])
     return pairs.where(place != F.col("first")).select("doc_id", "mark", "start", "end")
 
 
