@@ -40,7 +40,11 @@ HASHES = 125
 ROWS = 5
 #: Members of a bucket that are compared as pairs at most, and sets in a block beyond that.
 SMALL = 16
-CHUNK = 256
+CHUNK = 128
+#: Elements that are compared at once, so that long texts take no more memory.
+BLOCK_ELEMENTS = 1 << 17
+#: Distinct words whose hashes a task remembers.
+REMEMBERED = 300_000
 #: Ranks below 2^FINEST are one level.
 FINEST = -4
 _U = np.uint64
@@ -75,7 +79,7 @@ def shingles(text: str, cache: dict[str, int]) -> np.ndarray:
     words = text.split()
     if not words:
         return np.zeros(0, _U)
-    if len(cache) > 2_000_000:
+    if len(cache) > REMEMBERED:
         cache.clear()
     h = []
     for w in words:
@@ -168,31 +172,45 @@ def _stored(blob: bytes, weights: bytes) -> tuple[np.ndarray, np.ndarray]:
     return elements, _weights(elements, weights)
 
 
-def block_links(sets: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, one: np.ndarray, two: np.ndarray, least: float) -> list[tuple[int, int]]:
-    """One pair of similar sets for any two labels, among sets ``one`` and sets ``two`` (indexes)."""
-    values, back, often = np.unique(np.concatenate([e for e, _ in sets]), return_inverse=True, return_counts=True)
-    weight = np.concatenate([w for _, w in sets])
-    row = np.repeat(np.arange(len(sets)), [len(e) for e, _ in sets])
+def _pieces(index: np.ndarray, sets: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+    """Indexes in runs of sets that hold ``BLOCK_ELEMENTS`` elements together (or one set)."""
+    if not len(index):
+        return []
+    run = np.cumsum([len(sets[i][0]) for i in index]) // BLOCK_ELEMENTS
+    return np.split(index, np.flatnonzero(np.diff(run)) + 1)
+
+
+def _similar(own: list[tuple[np.ndarray, np.ndarray]], n: int, least: float) -> np.ndarray:
+    """Which of the first ``n`` sets are similar to which of the others."""
+    values, back, often = np.unique(np.concatenate([e for e, _ in own]), return_inverse=True, return_counts=True)
+    weight = np.concatenate([w for _, w in own])
+    row = np.repeat(np.arange(len(own)), [len(e) for e, _ in own])
     place = np.cumsum(often > 1) - 1  # elements of one set alone meet nothing
     shared = often[back] > 1
     row, column, weight = row[shared], place[back[shared]], weight[shared]
-    total = np.array([w.sum() for _, w in sets])
-    both = np.zeros((len(one), len(two)))
-    levels = np.unique(weight)
+    total = np.array([w.sum() for _, w in own])
+    both = np.zeros((n, len(own) - n))
     below = 0.0
-    for level in levels:  # min(v, w) is the sum of the steps that both reach
+    for level in np.unique(weight):  # min(v, w) is the sum of the steps that both reach
         reach = weight >= level
-        for at in range(0, int(place[-1]) + 1 if len(place) else 0, 8192):
-            use = reach & (column >= at) & (column < at + 8192)
-            m = np.zeros((len(sets), 8192), np.float32)
+        for at in range(0, int(place[-1]) + 1, 4096):
+            use = reach & (column >= at) & (column < at + 4096)
+            m = np.zeros((len(own), 4096), np.float32)
             m[row[use], column[use] - at] = 1
-            both += (level - below) * (m[one] @ m[two].T)
+            both += (level - below) * (m[:n] @ m[n:].T)
         below = level
-    alike = both / (total[one][:, None] + total[two][None, :] - both) >= least
-    alike &= labels[one][:, None] != labels[two][None, :]
+    return both / (total[:n, None] + total[None, n:] - both) >= least
+
+
+def block_links(sets: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, one: np.ndarray, two: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """One pair of similar sets for any two labels, among sets ``one`` and sets ``two`` (indexes)."""
     found: dict[tuple, tuple[int, int]] = {}
-    for i, j in np.argwhere(alike):
-        found.setdefault((labels[one[i]], labels[two[j]]), (int(one[i]), int(two[j])))
+    for a in _pieces(one, sets):
+        for b in _pieces(two, sets):
+            differ = labels[a][:, None] != labels[b][None, :]
+            if differ.any():
+                for i, j in np.argwhere(_similar([sets[k] for k in (*a, *b)], len(a), least) & differ):
+                    found.setdefault((labels[a[i]], labels[b[j]]), (int(a[i]), int(b[j])))
     return list(found.values())
 
 
