@@ -65,7 +65,7 @@ def features(text: str, extra: list[float], cache: dict[str, int]) -> tuple[np.n
     for w in counts:
         i = cache.get(w)
         if i is None:
-            if len(cache) > 2_000_000:
+            if len(cache) > 500_000:
                 cache.clear()
             i = cache[w] = zlib.crc32(w.encode()) % BUCKETS
         ids.append(first + i)

@@ -62,7 +62,7 @@ def _vector(text: str, cache: dict[str, int], voters: dict[str, int]) -> tuple[n
     for t, c in counts.items():
         i = cache.get(t)
         if i is None:
-            if len(cache) > 2_000_000:
+            if len(cache) > 500_000:
                 cache.clear()
             i = cache[t] = zlib.crc32(t.encode()) % BUCKETS
         ids.append(i)
