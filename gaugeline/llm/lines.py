@@ -97,14 +97,15 @@ def repeated(docs: DataFrame) -> DataFrame:
     places = saved(texts.mapInArrow(hashes, f"doc_id {kind}, mark bigint, key binary, start bigint"), "line-chunks")
     place = F.struct("doc_id", "mark", "start")
     often = saved(places.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "line-keys")
-    wanted = saved(places.join(often, "key").groupBy("doc_id", "mark").agg(F.collect_set("start").alias("starts")), "line-wanted")
+    wanted = saved(places.join(often.hint("merge"), "key").groupBy("doc_id", "mark").agg(F.collect_set("start").alias("starts")), "line-wanted")
     possible, _ = split_by_key(texts, ["doc_id", "mark"], wanted)
-    shared = possible.join(wanted, ["doc_id", "mark"]).select("doc_id", "mark", "text", "starts")
+    # Merge joins at every size: the plan doesn't change with the input, and a hot document can be split.
+    shared = possible.join(wanted.hint("merge"), ["doc_id", "mark"]).select("doc_id", "mark", "text", "starts")
     found = saved(shared.mapInArrow(bodies, f"doc_id {kind}, mark bigint, key binary, start bigint, end bigint, part string"), "line-bodies")
     # Grouped by their bytes: equal keys of unequal parts are different passages, told apart by a second hash from here on.
     own = F.xxhash64("part").alias("own")
     first = saved(found.groupBy("key", "part").agg(F.min(place).alias("first")).select("key", own, "first"), "line-firsts")
-    pairs = found.select("doc_id", "mark", "start", "end", "key", own).join(first, ["key", "own"])
+    pairs = found.select("doc_id", "mark", "start", "end", "key", own).join(first.hint("merge"), ["key", "own"])
     return pairs.where(place != F.col("first")).select("doc_id", "mark", "start", "end")
 
 
@@ -121,7 +122,7 @@ def remove(docs: DataFrame, drop_emptied: bool = False) -> DataFrame:
 
     start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("out"))
     rest = F.aggregate("__cuts", start, step, lambda a: F.concat(F.array_join(a["out"], ""), F.substr(F.col("text"), a["at"] + 1)))
-    joined = possible.join(cuts, (F.col("doc_id") == F.col("__id")) & (F.col("__key") == F.col("__mark")), "left")
+    joined = possible.join(cuts.hint("merge"), (F.col("doc_id") == F.col("__id")) & (F.col("__key") == F.col("__mark")), "left")
     changed = joined.select(*[F.when(F.col("__cuts").isNull(), F.col("text")).otherwise(rest).alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns], F.col("__cuts").isNotNull().alias("__cut"))
     if drop_emptied:
         changed = changed.where(~(F.col("__cut") & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")))
