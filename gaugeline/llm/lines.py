@@ -1,16 +1,20 @@
-"""Line dedup by content-defined chunks of lines.
+"""Line dedup by content-defined chunks of lines and by windows of whole lines.
 
 A text is cut into chunks of whole lines. A border follows a line where a rolling hash over that line and the one before it
 is a multiple of ``BORDER``, whatever came before, so borders move with the lines around them and a passage shared by several texts is
-cut alike in each, wherever it stands. Chunks of two lines or more that occur more than once in the corpus are removed but
-for their first occurrence (by document id, then place), after their bytes were compared. A line of ``LONG_LINE`` words or more
-is a passage by itself too: texts with a paragraph per line repeat single paragraphs.
+cut alike in each, wherever it stands. A chunk of two lines or more and ``LEAST_WORDS`` words is a passage. So is, whatever the
+borders, each shortest run of lines from a line on, or up to a line, that has ``RUN_WORDS`` words: a run of lines of
+so many words is the union of such windows, hence a repeated one is removed whole, to its first and last line. A paragraph in
+one line is a window by itself. Passages that occur more than once in the corpus are removed but for their first occurrence
+(by document id, then place), after their bytes were compared; where an occurrence overlaps the first one, only what follows that goes.
 
-Plan: chunk hashes are counted first, without text. Only texts that hold repeated chunks are shuffled, by document; only
-those chunks' bytes are grouped, by hash and bytes, with partial aggregation, so a chunk in a third of all documents is a few rows
-per task. Nothing grows with a group.
+Plan: passage hashes are counted first, without text. Only texts that hold repeated passages are shuffled, by document; only
+those passages' bytes are grouped, by hash and bytes, with partial aggregation, so a passage in a third of all documents is a few rows
+per task. Nothing grows with a group; a line is in as many windows as ``RUN_WORDS`` words have lines, twice.
 
-Defined cases: a null text has no lines and stays null; an empty text stays empty; lines without a word end no chunk and
+Limits: a passage that begins or ends within a line is seen only from line to line.
+
+Defined cases: a null text has no lines and stays null; an empty text stays empty; lines without a word end no passage and
 don't count as lines, so blank lines are never a passage; rows with a null id lose nothing and don't count; rows of equal id
 and text count as one document, rows of equal id and different texts as different ones; extra columns stay.
 """
@@ -28,26 +32,26 @@ BORDER = 4
 #: Lines and words that a chunk must have to be a passage: short boilerplate is left to other rules.
 LEAST_LINES = 2
 LEAST_WORDS = 20
-#: A single line of so many words is a passage of its own, also inside a chunk.
-LONG_LINE = 50
+#: A run of lines of so many words is a passage wherever borders fall, also a single line.
+RUN_WORDS = 50
 
 
 def passages(text: str) -> list[tuple[int, int]]:
-    """Passages as (start, end), end exclusive, in characters: chunks of lines, and long lines."""
-    out: list[tuple[int, int]] = []
+    """Passages as (start, end), end exclusive, in characters: chunks of lines, and windows of ``RUN_WORDS`` words."""
+    out: dict[tuple[int, int], int] = {}  # by start and end of the last line with a word, as blank lines after it don't count
+    spans: list[tuple[int, int, int]] = []  # start, end and words of the lines with a word
     at = start = lines = words = before = 0
 
     def close(end: int) -> None:
         if lines >= LEAST_LINES and words >= LEAST_WORDS:
-            out.append((start, end))
+            out[start, spans[-1][1]] = end
 
     for line in text.split("\n"):
         end = min(len(text), at + len(line) + 1)
         n = len(line.split())
         if n:
             lines, words = lines + 1, words + n
-            if n >= LONG_LINE:
-                out.append((at, end))
+            spans.append((at, end, n))
             h = xxhash.xxh64_intdigest(line.encode())
             if xxhash.xxh64_intdigest(before.to_bytes(8, "little") + h.to_bytes(8, "little")) % BORDER == 0:
                 close(end)
@@ -55,7 +59,17 @@ def passages(text: str) -> list[tuple[int, int]]:
             before = h
         at = end
     close(len(text))
-    return out
+    low = total = 0
+    for _, end, n in spans:
+        # From each line on the first end that suffices; up to each line the last start that does.
+        known, total = total >= RUN_WORDS, total + n
+        while total - spans[low][2] >= RUN_WORDS:
+            if not known:
+                out.setdefault((spans[low][0], end), end)
+            known, total, low = False, total - spans[low][2], low + 1
+        if total >= RUN_WORDS:
+            out.setdefault((spans[low][0], end), end)
+    return sorted((start, end) for (start, _), end in out.items())
 
 
 def _key(text: str) -> bytes:
@@ -95,7 +109,7 @@ def repeated(docs: DataFrame) -> DataFrame:
 
     texts = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("mark"), "text")
     places = saved(texts.mapInArrow(hashes, f"doc_id {kind}, mark bigint, key binary, start bigint"), "line-chunks")
-    place = F.struct("doc_id", "mark", "start")
+    place = F.struct("doc_id", "mark", "start", "end")
     often = saved(places.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "line-keys")
     wanted = saved(places.join(often.hint("merge"), "key").groupBy("doc_id", "mark").agg(F.collect_set("start").alias("starts")), "line-wanted")
     possible, _ = split_by_key(texts, ["doc_id", "mark"], wanted)
@@ -106,7 +120,10 @@ def repeated(docs: DataFrame) -> DataFrame:
     own = F.xxhash64("part").alias("own")
     first = saved(found.groupBy("key", "part").agg(F.min(place).alias("first")).select("key", own, "first"), "line-firsts")
     pairs = found.select("doc_id", "mark", "start", "end", "key", own).join(first.hint("merge"), ["key", "own"])
-    return pairs.where(place != F.col("first")).select("doc_id", "mark", "start", "end")
+    # A text that repeats itself line by line overlaps its first passage, which stays whole.
+    own_text = (F.col("doc_id") == F.col("first.doc_id")) & (F.col("mark") == F.col("first.mark"))
+    rest = F.when(own_text, F.greatest("start", "first.end")).otherwise(F.col("start"))
+    return pairs.select("doc_id", "mark", rest.alias("start"), "end").where("start < end")
 
 
 def remove(docs: DataFrame, drop_emptied: bool = False) -> DataFrame:

@@ -168,3 +168,35 @@ def test_line_chunks_of_odd_rows(documents):
     got = sorted(((r["doc_id"] or 0), r["text"] == text) for r in lines.remove(docs).collect())
     assert got[:3] == [(0, True), (2, True), (2, True)] and got[3] == (9, False)
     assert lines.remove(documents([])).count() == 0
+
+
+def brute_runs(texts):
+    """Of every run of lines with 50 words or more, found without ``passages``, the first place stays, the rest goes."""
+    places = {}
+    for d, text in enumerate(texts):
+        rows = text.split("\n")
+        for i in range(len(rows)):
+            for j in range(i + 1, len(rows) + 1):
+                if len(" ".join(rows[i:j]).split()) >= 50:
+                    places.setdefault("\n".join(rows[i:j]), []).append((d, i, j))
+    gone = {}
+    for (d, i, j), *later in places.values():
+        for e, a, b in later:
+            gone.setdefault(e, set()).update(range(max(a, j) if e == d else a, b))
+    return ["".join(r + "\n" for k, r in enumerate(t.split("\n")) if k not in gone.get(d, ())) for d, t in enumerate(texts)]
+
+
+def test_repeated_runs_go_whole_wherever_borders_fall(documents):
+    rng = random.Random(8)
+    line = lambda n: " ".join(words(rng, n))
+    passages = [[line(n) for _ in range(k)] for k, n in ((6, 10), (5, 12), (3, 40), (12, 9), (12, 12), (1, 70), (2, 25))] + [[line(40), line(40), line(1)]]
+    texts = []
+    for passage in passages * 5:
+        texts.append("\n".join([line(rng.randrange(3, 15)) for _ in range(rng.randrange(4))] + passage + [line(rng.randrange(3, 15)) for _ in range(rng.randrange(4))]))
+    texts.append("\n".join([line(10)] * 9 + [line(7), line(9)]))
+    texts.append("\n".join([line(9), line(8)] * 7))
+    got = [r["text"] for r in lines.remove(documents(texts)).orderBy("doc_id").collect()]
+    want = brute_runs(texts)
+    assert [[x for x in t.split("\n") if x] for t in got] == [[x for x in t.split("\n") if x] for t in want]
+    for passage in passages:
+        assert all(sum(x in t.split("\n") for t in got) == 1 for x in passage)
