@@ -22,12 +22,21 @@ from gaugeline.llm.common import let
 BASE = ["email", "ip", "card", "phone"]
 ADDED = ["iban", "ssn"]
 _LOCAL = "[A-Za-z0-9._%+-]"
+#: Countries by the length of their IBAN.
+IBANS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_KNOWN = f"(?:{'|'.join(' '.join(IBANS.values()).split())})[0-9]{{2}}"
+_EXACT = "|".join(rf"(?:{c.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, c in IBANS.items())
 PATTERNS = {
     "email": rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}",
     "card": r"(?<![0-9])[0-9](?:[\x20-]?[0-9]){11,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}",
+    # As long as the country's are; of unknown countries as long as it gets, but not into one of a known country.
+    "iban": rf"(?<![A-Za-z0-9])(?:(?:{_EXACT})(?![A-Za-z0-9])|(?!{_KNOWN})[A-Z]{{2}}[0-9]{{2}}(?:[A-Z0-9]|\x20(?!{_KNOWN})[A-Z0-9]){{11,30}})",
     "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
 }
 #: A cheap condition without which a kind can't occur.

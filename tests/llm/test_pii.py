@@ -78,3 +78,13 @@ def test_redaction_keeps_rows_columns_and_other_text(documents):
 
 def test_empty_table(documents):
     assert pii.find(documents([])).collect() == [] and pii.redact(documents([])).collect() == []
+
+
+def test_ibans_before_capitals_and_numbers(documents):
+    gb, de, no = "GB82 WEST 1234 5698 7654 32", "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947"
+    texts = [f"{gb} Please", f"{de} EUR", f"{de} 100", f"to {de} BIC COBADEFF", f"{gb} {de} {no}", f"AB12 {gb} PAY", f"X{gb}", f"{gb}X", f"{no} 12 A", "GB82 WEST 1234 5698 7654 33 OK", "DE89370400440532013000 EUR", "XX32 ABCD 1234 5678 901, GB"]
+    rows = pii.find(documents(texts)).orderBy("doc_id").collect()
+    found = [[t[int(s) : int(e)] for k, s, e in (x.split(":") for x in r["spans"].split(",") if x) if k == "iban"] for t, r in zip(texts, rows, strict=True)]
+    assert found == [[gb], [de], [de], [de], [gb, de, no], [gb], [], [], [no], [], [de.replace(" ", "")], ["XX32 ABCD 1234 5678 901"]]
+    clean = [r["text"] for r in pii.redact(documents(texts)).orderBy("doc_id").collect()]
+    assert clean[0] == "[IBAN] Please" and clean[4] == "[IBAN] [IBAN] [IBAN]"
