@@ -47,6 +47,8 @@ CONTEXT_BONUS = 0.3
 ACCEPT = 0.5
 #: Code points looked at on either side, and words that raise the score there.
 NEARBY = 40
+#: So many matches, of four code points at least, fill ``NEARBY``.
+_REACH = NEARBY // 4
 CONTEXT = {
     "email": "mail|contact|reach",
     "ip": "address|host|server|login",
@@ -98,6 +100,27 @@ def _confirmed(kind: str, m: Column, before: Column, after: Column) -> Column:
     return alone if kind == "ssn" else F.lit(True)
 
 
+def _with_context(parts: Column) -> Column:
+    """``parts`` (piece, match, next piece) with ``near``: the text around a match, other matches included.
+
+    As many neighbours are joined as ``NEARBY`` code points can hold, each cut to that length, so the work is linear.
+    """
+    last = lambda x: F.substr(x, F.lit(-NEARBY), F.lit(NEARBY))
+    first = lambda x: F.substr(x, F.lit(1), F.lit(NEARBY))
+    sides = F.transform(parts, lambda z: F.struct(F.concat(last(z["0"]), last(z["m"])).alias("l"), F.concat(first(z["m"]), first(z["2"])).alias("r")))
+
+    def around(sides: Column) -> Column:
+        def near(z: Column, i: Column) -> Column:
+            reach = F.least(i, F.lit(_REACH))
+            before = F.concat(F.array_join(F.slice(sides["l"], i - reach + 1, reach), ""), last(z["0"]))
+            after = F.concat(first(z["2"]), F.array_join(F.slice(sides["r"], i + 2, F.lit(_REACH)), ""))
+            return F.struct(z["0"].alias("0"), z["m"].alias("m"), z["2"].alias("2"), F.concat_ws(" ", last(before), first(after)).alias("near"))
+
+        return F.transform(parts, near)
+
+    return let(sides, around)
+
+
 def _spans(text: Column, kind: str) -> Column:
     """Spans of a kind. The pieces between matches and the matches, laid end to end, give the positions."""
     pattern, none = PATTERNS[kind], F.expr(f"cast(array() as {_SPANS})")
@@ -106,7 +129,7 @@ def _spans(text: Column, kind: str) -> Column:
     def step(acc: Column, z: Column) -> Column:
         start = acc["at"] + F.char_length(z["0"])
         end = start + F.char_length(z["m"])
-        near = F.lower(F.concat_ws(" ", F.substr(z["0"], F.lit(-NEARBY), F.lit(NEARBY)), F.substr(z["2"], F.lit(1), F.lit(NEARBY))))
+        near = F.lower(z["near"])
         score = F.least(F.lit(1.0), F.lit(SCORES[kind]) + F.when(near.rlike(CONTEXT[kind]), CONTEXT_BONUS).otherwise(0.0))
         good = _confirmed(kind, z["m"], z["0"], z["2"]) & (F.lit(kind in BASE) | (score >= ACCEPT))
         span = F.struct(start.alias("s"), F.lit(rank).alias("k"), end.alias("e"), score.alias("score"))
@@ -115,7 +138,7 @@ def _spans(text: Column, kind: str) -> Column:
     def walk(p: Column) -> Column:
         n = F.size(p["m"])
         parts = F.arrays_zip(F.slice(p["p"], 1, n), p["m"], F.slice(p["p"], 2, n))
-        return F.aggregate(parts, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda a: a["out"])
+        return F.aggregate(let(parts, _with_context), F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda a: a["out"])
 
     found = let(F.struct(F.split(text, pattern, -1).alias("p"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m")), walk)
     gate = text.contains(GATES[kind]) if kind in GATES else F.lit(True)

@@ -88,3 +88,15 @@ def test_ibans_before_capitals_and_numbers(documents):
     assert found == [[gb], [de], [de], [de], [gb, de, no], [gb], [], [], [no], [], [de.replace(" ", "")], ["XX32 ABCD 1234 5678 901"]]
     clean = [r["text"] for r in pii.redact(documents(texts)).orderBy("doc_id").collect()]
     assert clean[0] == "[IBAN] Please" and clean[4] == "[IBAN] [IBAN] [IBAN]"
+
+
+def test_context_reaches_over_other_matches(documents):
+    far = "x" * 41
+    texts = ["Social security numbers: 123-45-6789, 987-65-4321, 111-22-3333", "123-45-6789, 987-65-4321 (ssn)", f"ssn {far} 123-45-6789", f"987-65-4321 {far} 123-45-6789 ssn", "order 123-45-6789, 987-65-4321"]
+    rows = pii.find(documents(texts)).orderBy("doc_id").collect()
+    found = [[int(x.split(":")[1]) for x in r["spans"].split(",") if x.startswith("ssn:")] for r in rows]
+    want = []
+    for t in texts:
+        near = lambda m: (t[max(0, m.start() - 40) : m.start()] + " " + t[m.end() : m.end() + 40]).lower()  # noqa: B023, E731
+        want.append([m.start() for m in re.finditer(r"\d{3}-\d{2}-\d{4}", t) if re.search(pii.CONTEXT["ssn"], near(m))])
+    assert found == want and list(map(len, want)) == [2, 2, 0, 1, 0]
