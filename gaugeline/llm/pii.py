@@ -36,7 +36,7 @@ PATTERNS = {
     "card": r"(?<![0-9])[0-9](?:[\x20-]?[0-9]){11,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     # As long as the country's are; of unknown countries as long as it gets, but not into one of a known country.
-    "iban": rf"(?<![A-Za-z0-9])(?:(?:{_EXACT})(?![A-Za-z0-9])|(?!{_KNOWN})[A-Z]{{2}}[0-9]{{2}}(?:[A-Z0-9]|\x20(?!{_KNOWN})[A-Z0-9]){{11,30}})",
+    "iban": rf"(?=[A-Z]{{2}}[0-9]{{2}})(?<![A-Za-z0-9])(?:(?:{_EXACT})(?![A-Za-z0-9])|(?!{_KNOWN})[A-Z]{{2}}[0-9]{{2}}(?:[A-Z0-9]|\x20(?!{_KNOWN})[A-Z0-9]){{11,30}})",
     "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
 }
 #: A cheap condition without which a kind can't occur.
