@@ -243,8 +243,22 @@ def wide_to_long(
     return readings_of(parse_files(spark, files, encoding, trailing))
 
 
+def _each(rows: DataFrame, keys: list[str], items: str, name: str) -> DataFrame:
+    """One row per element of the array ``items`` (an expression), none for null or no elements.
+
+    The only way to explode what a parse gave. A plain ``explode`` after the parse, or a filter on one of its columns, makes
+    the optimizer copy the text of all its steps into a filter at the scan, where it is interpreted for every row.
+    """
+    return rows.select(*keys, F.explode_outer(F.expr(items)).alias(name)).where(F.col(name).isNotNull())
+
+
+def sensors_of(parsed: DataFrame, *keys: str) -> DataFrame:
+    """One row per kept sensor of every parsed or profiled file: ``keys``, then the struct ``s``."""
+    return _each(parsed, list(keys) or FILE_KEYS, "sensors", "s")
+
+
 def file_errors(parsed: DataFrame) -> DataFrame:
-    return parsed.where(F.col("error").isNotNull()).select(*FILE_KEYS, "error")
+    return _each(parsed, FILE_KEYS, "CASE WHEN error IS NOT NULL THEN array(error) END", "error")
 
 
 # --- lines of large files -------------------------------------------------------------------------------------
@@ -329,13 +343,11 @@ def attach_sensors(lines: DataFrame, profiles: DataFrame, broadcastable: bool) -
     all lines is spread over as many groups as it has chunks.
     """
     data = lines.where(F.col("header_no").isNull())
-    lookup = profiles.where(F.col("error").isNull())
     if broadcastable:
-        return data.join(F.broadcast(lookup.select(*FILE_KEYS, "sensors")), FILE_KEYS)
-    spread = lookup.select(
-        *FILE_KEYS, "sensors", F.explode(F.sequence(F.lit(0).cast("long"), "last_chunk")).alias("chunk")
-    )
-    return data.join(spread, [*FILE_KEYS, "chunk"])
+        good = _each(profiles, FILE_KEYS, "CASE WHEN error IS NULL THEN array(sensors) END", "sensors")
+        return data.join(F.broadcast(good), FILE_KEYS)
+    chunks = "CASE WHEN error IS NULL THEN sequence(0L, last_chunk) END"
+    return data.join(_each(profiles, [*FILE_KEYS, "sensors"], chunks, "chunk"), [*FILE_KEYS, "chunk"])
 
 
 def lookup_fits(profiles: DataFrame, limit: int = BROADCAST_BYTES) -> bool:

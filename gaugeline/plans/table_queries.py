@@ -57,6 +57,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """Input for files that a query makes: a table that lies in fewer Parquet files than there are cores is dealt out first,
+    because one row group is one task."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores, key)
+
+
 # --- readings derived from events -----------------------------------------------------------------------------
 
 TIME_FORMAT = "yyyy/MM/dd HH:mm:ss"
@@ -104,7 +111,7 @@ def placeholder_filter(spark, sf_dir):
     cells = [F.coalesce(F.col(c), F.lit("")) for c in ("sensor_id", "sensor_name", "unit")]
     text = F.concat(*[part for cell in cells for part in (F.lit(","), cell, F.lit("\n"))], F.col("Time"), F.lit(","), F.col("value"))
     files_ = event_readings(spark, sf_dir).select("event_id", "path", "source_zip", F.encode(text, "UTF-8").alias("content"))
-    kept = wide.parse_files(spark, files_, "utf-8").select("event_id", F.explode("sensors").alias("s"))
+    kept = wide.sensors_of(wide.parse_files(spark, files_, "utf-8"), "event_id")
     return kept.select("event_id", "s.sensor_id", "s.sensor_name", "s.unit")
 
 
@@ -160,14 +167,18 @@ _ORDER_CELLS = """
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of one wide file per order: three header rows, then a row per item; the fourth sensor is a dash."""
+    """Lines of one wide file per order: three header rows, then a row per item; the fourth sensor is a dash.
+
+    Orders without items are files with a header only.
+    """
     items = table(spark, sf_dir, "lineitem")
     path = F.format_string("/plant/order_%d.csv", F.col("l_orderkey")).alias("path")
     time = F.date_format(F.expr("timestampadd(SECOND, l_linenumber, l_shipdate)"), "yyyy/M/d H:mm:ss")
     cells = [decimal_text(c) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")]
     data = items.select(path, F.lit(1).cast("long").alias("chunk"), F.lit(None).cast("int").alias("header_no"), F.concat_ws(",", time, *cells, F.lit("")).alias("line"))
     heads = F.posexplode(F.array(*[F.lit(h) for h in _ORDER_HEAD])).alias("header_no", "line")
-    head = items.select(path).distinct().select("path", F.lit(0).cast("long").alias("chunk"), heads)
+    named = table(spark, sf_dir, "orders").select(F.format_string("/plant/order_%d.csv", F.col("o_orderkey")).alias("path"))
+    head = named.select("path", F.lit(0).cast("long").alias("chunk"), heads)
     return data.unionByName(head).withColumn("source_zip", F.lit(""))
 
 
@@ -203,7 +214,7 @@ def drop_trailing_col(spark, sf_dir):
     files_ = orders.select(
         F.format_string("/plant/order_%d.csv", F.col("l_orderkey")).alias("path"), F.lit("").alias("source_zip"), F.encode(text, "UTF-8").alias("content")
     )
-    sensors = wide.parse_files(spark, files_, "utf-8", wide.DROP_LAST).select("path", F.explode("sensors").alias("s"))
+    sensors = wide.sensors_of(wide.parse_files(spark, files_, "utf-8", wide.DROP_LAST), "path")
     return sensors.select("path", "s.col_idx", "s.sensor_id")
 
 
@@ -424,7 +435,7 @@ def whole_file_readings(spark, sf_dir):
                 concat('"', replace(line, '"', '""'), '"'), length(line),
                 CASE WHEN i % 2 = 0 THEN concat('"', replace(line, '"', '""'), '"') ELSE 'odd' END, '0', '')"""
     body = f"array_join(transform(split(text, '\\n'), (line, i) -> {row}), '\\n')"
-    docs = table(spark, sf_dir, "documents").select(
+    docs = dealt(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id").select(
         F.format_string("/doc_%d.csv", F.col("doc_id")).alias("path"),
         F.lit("").alias("source_zip"),
         F.encode(F.concat(F.lit(_HEAD), F.expr(body)), "UTF-8").alias("content"),
@@ -553,7 +564,7 @@ def _zip_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def document_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = dealt(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     return docs.mapInArrow(_zip_up, "path string, content binary")
 
 
@@ -620,7 +631,7 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def header_dim(spark, sf_dir):
     """Sensor dimension of every file, gathered from its three header rows among all lines."""
-    sensors = wide.profile_lines(event_lines(spark, sf_dir)).select("path", F.explode("sensors").alias("s"))
+    sensors = wide.sensors_of(wide.profile_lines(event_lines(spark, sf_dir)), "path")
     return sensors.select("path", "s.col_idx", "s.sensor_id", "s.sensor_name", "s.unit")
 
 

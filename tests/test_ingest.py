@@ -307,5 +307,5 @@ def test_command_line(spark, folder, tmp_path):
 def test_shared_dir_follows_the_session(spark):
     from gaugeline.session import shared_dir
 
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    base = spark.conf.get("spark.checkpoint.dir")
     assert shared_dir(spark, "x").startswith(base) and shared_dir(spark, "x") != shared_dir(spark, "x")
