@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gaugeline.llm import bpe, embed, factor_machine, lines, minhash, packing, pii, quality_rules, toxicity, warc
+from gaugeline.llm import bpe, embed, factor_machine, filter_audit, lines, minhash, packing, pii, quality_rules, toxicity, warc
 from gaugeline.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,41 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, quality_rules.fit(docs, table(spark, sf_dir, "labels")))
 
 
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))
+
+
+#: Orders are five-fold joins of the letters; Shapley sums are taken over all orders as they stand.
+ORACLES["op12_filter_audit"] = r"""
+WITH w AS (SELECT doc_id, part, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY t) AS least
+           FROM (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents)),
+     l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+     m AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+                  (len(words) < 200)::INT + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::INT
+                  + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t))::INT
+                  + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(doc_id > least, false)::INT AS mask
+           FROM w LEFT JOIN l USING (doc_id)),
+     g AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY part, mask),
+     f(name, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+     o AS (SELECT a.name || b.name || c.name || d.name || e.name AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+           FROM f a JOIN f b ON b.bit <> a.bit JOIN f c ON c.bit NOT IN (a.bit, b.bit)
+           JOIN f d ON d.bit NOT IN (a.bit, b.bit, c.bit) JOIN f e ON e.bit NOT IN (a.bit, b.bit, c.bit, d.bit)),
+     s AS (SELECT filter_order, step, bits[step] AS own, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS earlier FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+     r AS (SELECT part, filter_order, step, own,
+                  coalesce(sum(n) FILTER (mask & (own | earlier) = 0), 0) AS kept,
+                  coalesce(sum(n) FILTER (mask & own <> 0 AND mask & earlier = 0), 0) AS removed,
+                  coalesce(sum(n) FILTER (mask & own <> 0 AND mask & earlier <> 0), 0) AS redundant,
+                  coalesce(sum(n) FILTER (mask = own), 0) AS unique_fails,
+                  coalesce(sum(good) FILTER (mask & own <> 0 AND mask & earlier = 0), 0) AS good_lost,
+                  coalesce(sum(toxic) FILTER (mask & own <> 0 AND mask & earlier = 0), 0) AS toxic_lost
+           FROM g, s GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+       unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley
+FROM r"""
+
+
 def _pii_sql() -> str:
     """The contract's patterns in DuckDB's dialect. Positions are sums of the lengths of pieces and matches."""
     patterns = {
