@@ -179,6 +179,8 @@ def counters(spark: SparkSession, path: str, labels: DataFrame, checkpoint: str
     if not path_exists(spark, f"{home}/buckets"):
         own.createDataFrame([(max(1, math.ceil(own.read.parquet(path).count() / BUCKET_TEXTS)),)], "n bigint").write.parquet(f"{home}/buckets")
     n_buckets = own.read.parquet(f"{home}/buckets").first()["n"]
+    # A state partition is a store of its own; more of them than buckets would stay empty.
+    own.conf.set("spark.sql.shuffle.partitions", min(n_buckets, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     folder, name = _source(own, path)
     table = own.read.parquet(path)
     n_files = len(table._jdf.inputFiles())
