@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gaugeline.llm import bpe, embed, factor_machine, filter_audit, lines, minhash, packing, pii, quality_rules, toxicity, warc
+from gaugeline.llm import bpe, embed, factor_machine, filter_audit, lines, minhash, packing, pii, quality_rules, token_files, toxicity, warc
 from gaugeline.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +84,11 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))
 
 
+@query
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.roundtrip(table(spark, sf_dir, "documents"))
+
+
 #: Orders are five-fold joins of the letters; Shapley sums are taken over all orders as they stand.
 ORACLES["op12_filter_audit"] = r"""
 WITH w AS (SELECT doc_id, part, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY t) AS least
