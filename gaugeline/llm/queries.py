@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gaugeline.llm import bpe, embed, factor_machine, filter_audit, lines, minhash, packing, pii, quality_rules, token_files, toxicity, warc
+from gaugeline.llm import bpe, embed, factor_machine, filter_audit, lines, minhash, packing, pii, quality_rules, token_files, toxicity, vector_codes, warc
 from gaugeline.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,36 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, quality_rules.fit(docs, table(spark, sf_dir, "labels")))
 
 
+@query
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.codes(table(spark, sf_dir, "embeddings")).drop("label")
+
+
+def _codes_sql(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    """Every distance of every part to every entry, round by round; distances of integers are exact in doubles."""
+    steps = []
+    for n in range(rounds + 1):
+        steps.append(f"""
+     m{n} AS (SELECT r, i, min((list_inner_product(x, x) - 2 * list_inner_product(x, c) + list_inner_product(c, c))::BIGINT * {entries} + k) AS m
+            FROM p JOIN c{n} USING (i) GROUP BY r, i)""")
+        if n < rounds:
+            steps.append(f"""
+     u{n} AS (SELECT i, m % {entries} AS k, j, sum(x[j]::BIGINT) AS s, count(*) AS n FROM m{n} JOIN p USING (r, i), (SELECT unnest(range(1, (SELECT max(len(x)) FROM p) + 1)) AS j) GROUP BY ALL),
+     c{n + 1} AS (SELECT i, k, coalesce(w, c) AS c FROM c{n} LEFT JOIN (
+            SELECT i, k, list(((s - ((s % n + n) % n)) // n)::DOUBLE ORDER BY j) AS w FROM u{n} GROUP BY i, k) USING (i, k))""")
+    return f"""
+WITH v AS (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding, label) AS r, vec_id, label, list_transform(embedding, lambda x: floor({vector_codes.SCALE} * x::DOUBLE)) AS v
+           FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     p AS (SELECT r, i, v[i * (len(v) // {parts}) + 1 : (i + 1) * (len(v) // {parts})] AS x FROM v, (SELECT unnest(range({parts})) AS i)),
+     c0 AS (SELECT i, r - 1 AS k, x AS c FROM p WHERE r <= {entries}),{",".join(steps)},
+     e AS (SELECT r, string_agg(format('{{:02x}}', (m % {entries})::INT), '' ORDER BY i) AS code, sum(m // {entries})::BIGINT AS error FROM m{rounds} GROUP BY r),
+     h AS (SELECT sha256(string_agg(array_to_string(list_transform(c, lambda x: x::BIGINT), ','), ',' ORDER BY i, k)) AS codebooks_sha256 FROM c{rounds})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM v JOIN e USING (r), h"""
+
+
+ORACLES["op11_vector_codes"] = _codes_sql()
+
+
 @query
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))
