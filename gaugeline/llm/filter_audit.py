@@ -32,6 +32,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from gaugeline.llm.common import BLANK
 from gaugeline.session import empty, path_exists, shared_dir
 
 FILTERS = "ABCDE"
@@ -39,6 +40,16 @@ FILTERS = "ABCDE"
 BATCHES = 4
 #: Texts in a bucket of the state, on average.
 BUCKET_TEXTS = 4096
+#: Buckets in a partition of the state, at least: a partition is a store of its own, with its own memory and files.
+STORE_BUCKETS = 8
+#: Settings of the stores, which share this much memory on an executor.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "8",
+}
 #: Rows that a task reduces at once before it passes them on.
 HELD_TEXTS = 100_000
 #: Copies of an id's labels, so that one id's rows don't meet in one task.
@@ -51,12 +62,12 @@ _DUPLICATE = 1 << FILTERS.index("E")
 
 def failures(text: Column) -> Column:
     """Bits of the filters A to D that a text fails."""
-    words = F.filter(F.split(F.translate(text, "\t\n\x0b\x0c\r", " " * 5), " "), lambda w: w != "")
+    words = F.filter(F.split(text, f"[{BLANK}]+"), lambda w: w != "")  # a blank at either end leaves an empty word
     parts = F.struct(words.alias("words"), text.alias("text"))
 
     def bits(row: Column) -> Column:
         n, t = F.size(row["words"]), row["text"]
-        capitals = F.length(t) - F.length(F.translate(t, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))
+        capitals = F.regexp_count(t, F.lit("[A-Z]"))
         fails = (
             n < 200,
             F.lit(100) * F.size(F.array_distinct(row["words"])) < F.lit(50) * n,
@@ -173,14 +184,13 @@ def counters(spark: SparkSession, path: str, labels: DataFrame, checkpoint: str
     if not path_exists(spark, path):
         return empty(spark, spark.createDataFrame([], _COUNTS).schema)
     own = spark.newSession()
-    own.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    own.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    for key, value in STATE_CONF.items():
+        own.conf.set(key, value)
     # The bucket of a text must stay the same for the life of a checkpoint.
     if not path_exists(spark, f"{home}/buckets"):
         own.createDataFrame([(max(1, math.ceil(own.read.parquet(path).count() / BUCKET_TEXTS)),)], "n bigint").write.parquet(f"{home}/buckets")
     n_buckets = own.read.parquet(f"{home}/buckets").first()["n"]
-    # A state partition is a store of its own; more of them than buckets would stay empty.
-    own.conf.set("spark.sql.shuffle.partitions", min(n_buckets, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    own.conf.set("spark.sql.shuffle.partitions", min(math.ceil(n_buckets / STORE_BUCKETS), int(spark.conf.get("spark.sql.shuffle.partitions"))))
     folder, name = _source(own, path)
     table = own.read.parquet(path)
     n_files = len(table._jdf.inputFiles())
