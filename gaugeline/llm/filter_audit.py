@@ -9,7 +9,7 @@ the counters are those of all rows so far, whatever order the files come in.
 Plan of a micro-batch: masks and digests of texts inside the JVM (texts go no further); labels joined by id; in every task,
 rows of one text are reduced to the smallest id and counts, so a text that a third of all rows share is a few rows per task;
 state, grouped by buckets of digests, answers with changes of counters; a sum of these is written under the batch's number, so
-a repeated batch replaces its own. State lives in RocksDB and is checkpointed to the shared folder. A bucket holds about
+a repeated batch replaces its own. State is checkpointed to the shared folder. A bucket holds about
 ``BUCKET_TEXTS`` texts, because one call of Python for every text costs a millisecond.
 
 The audit itself is arithmetic on 32 masks per part: no document is looked at again.
@@ -17,7 +17,7 @@ The audit itself is arithmetic on 32 masks per part: no document is looked at ag
 Defined cases: a null text counts as empty, a null part as ''; a row without id is in no other row's way and never fails E;
 rows that share a text's smallest id all pass E (no *smaller* id has the text); repeated rows count each; several labels of
 one id count as the largest, rows without labels as neither good nor toxic; an empty table or a missing path gives no rows;
-other columns are ignored. Texts are compared whole, by SHA-256.
+other columns are ignored. Texts are compared whole, by 128 bits of SHA-256.
 """
 
 from __future__ import annotations
@@ -42,13 +42,14 @@ BATCHES = 4
 BUCKET_TEXTS = 4096
 #: Buckets in a partition of the state, at least: a partition is a store of its own, with its own memory and files.
 STORE_BUCKETS = 8
-#: Settings of the stores, which share this much memory on an executor.
-STATE_CONF = {
-    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+#: State of more buckets than this goes to RocksDB, which keeps it on disk, where the session doesn't name a store itself. One
+#: such store takes some megabytes of disk however little it holds.
+HEAP_BUCKETS = 4096
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_STORES = "org.apache.spark.sql.execution.streaming.state."
+ROCKSDB = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
-    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "8",
 }
 #: Rows that a task reduces at once before it passes them on.
 HELD_TEXTS = 100_000
@@ -88,7 +89,7 @@ def masked(docs: DataFrame, labels: DataFrame) -> DataFrame:
     at = F.col("_metadata.row_index")
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", F.coalesce(F.col("source"), F.lit("")).alias("part"), text.alias("text"), at.alias("at"))
-    rows = rows.select("at", F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("digest"), "part", failures(F.col("text")).alias("bits"), F.col("doc_id").cast("long").alias("doc_id"))
+    rows = rows.select("at", F.substring(F.unhex(F.sha2(F.col("text").cast("binary"), 256)), 1, 16).alias("digest"), "part", failures(F.col("text")).alias("bits"), F.col("doc_id").cast("long").alias("doc_id"))
     salt = F.when(F.col("doc_id").isNull(), SALTS + F.pmod("at", F.lit(1024))).otherwise(F.pmod("at", F.lit(SALTS)))
     rows = rows.withColumns({"key": F.coalesce("doc_id", F.lit(0)), "salt": salt})
     known = labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("key"))
@@ -184,12 +185,15 @@ def counters(spark: SparkSession, path: str, labels: DataFrame, checkpoint: str
     if not path_exists(spark, path):
         return empty(spark, spark.createDataFrame([], _COUNTS).schema)
     own = spark.newSession()
-    for key, value in STATE_CONF.items():
-        own.conf.set(key, value)
-    # The bucket of a text must stay the same for the life of a checkpoint.
+    # The bucket of a text and the kind of store must stay the same for the life of a checkpoint.
     if not path_exists(spark, f"{home}/buckets"):
-        own.createDataFrame([(max(1, math.ceil(own.read.parquet(path).count() / BUCKET_TEXTS)),)], "n bigint").write.parquet(f"{home}/buckets")
-    n_buckets = own.read.parquet(f"{home}/buckets").first()["n"]
+        n = max(1, math.ceil(own.read.parquet(path).count() / BUCKET_TEXTS))
+        default = _STORES + ("RocksDBStateStoreProvider" if n > HEAP_BUCKETS else "HDFSBackedStateStoreProvider")
+        named = spark.conf.get(_PROVIDER, default) if _PROVIDER in spark.conf.getAll else default
+        own.createDataFrame([(n, named)], "n bigint, store string").write.parquet(f"{home}/buckets")
+    n_buckets, store = own.read.parquet(f"{home}/buckets").first()
+    for key, value in {_PROVIDER: store, **ROCKSDB}.items():
+        own.conf.set(key, value)
     own.conf.set("spark.sql.shuffle.partitions", min(math.ceil(n_buckets / STORE_BUCKETS), int(spark.conf.get("spark.sql.shuffle.partitions"))))
     folder, name = _source(own, path)
     table = own.read.parquet(path)
