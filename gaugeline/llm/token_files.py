@@ -41,7 +41,7 @@ MAX_BITS = 18
 BLOCK_IDS = 1 << 18
 EVERY = 512
 #: Ids in a file, about. There are never more than ``MAX_FILES`` files.
-FILE_IDS = 1 << 26
+FILE_IDS = 1 << 24
 MAX_FILES = 100_000
 #: No beginning of it is also an ending, so it is found wherever it stands.
 SEPARATOR = "=ids-block\n"
