@@ -4,12 +4,12 @@ score = sigmoid(w0 + sum w_i x_i + 1/2 sum_f ((sum v_if x_i)^2 - sum v_if^2 x_i^
 in the features of a text. It is trained on the driver from a sample of labelled rows bounded by ``FIT_ROWS`` (features only,
 computed on the executors), and applied to whole texts without shuffle.
 
-Metadata are numeric columns named by the caller (the registered query passes none, because the tables' are labels in
-disguise or forbidden).
+Metadata are numeric columns named by the caller, taken on a logarithmic scale; the registered query names ``n_chars``.
 
 Defined cases: a null text counts as empty; a text without words has only the statistics' values at 0; null or non-finite
 metadata count as 0; rows are scored one by one, so repeated rows, ties and null ids each give their own row; other columns
-are ignored; with no labels or only one class every score is that class share (0 without labels).
+are ignored; an empty table gives no rows; texts of any length are read whole; with no labels or only one class every score is
+that class share (0 without labels).
 """
 
 from __future__ import annotations
@@ -70,7 +70,10 @@ def features(text: str, extra: list[float], cache: dict[str, int]) -> tuple[np.n
             i = cache[w] = zlib.crc32(w.encode()) % BUCKETS
         ids.append(first + i)
     share = np.sqrt(np.fromiter(counts.values(), np.float32) / max(1, len(words)))
-    return np.array(ids, np.int32), np.concatenate([np.array(_stats(text, words, counts) + extra, np.float32), share])
+    values = np.concatenate([np.array(_stats(text, words, counts) + extra, np.float32), share])
+    # Words that meet in a bucket are one feature: their values add up here, before any product of features.
+    kept, place = np.unique(np.array(ids, np.int32), return_inverse=True)
+    return kept, np.bincount(place, values, len(kept)).astype(np.float32)
 
 
 @dataclass
@@ -80,7 +83,7 @@ class Machine:
     factors: np.ndarray
 
     def margin(self, ids: np.ndarray, vals: np.ndarray) -> float:
-        """The sum-of-squares identity; features that meet in one bucket act as one."""
+        """The sum-of-squares identity, for distinct features."""
         v = self.factors[ids] * vals[:, None]
         return float(self.bias + self.linear[ids] @ vals + 0.5 * np.sum(v.sum(0) ** 2 - (v**2).sum(0)))
 
@@ -118,7 +121,7 @@ def _extra(batch: pa.RecordBatch, row: int, metadata: list[str]) -> list[float]:
     out = []
     for name in metadata:
         x = batch.column(name)[row].as_py()
-        out.append(float(x) if x is not None and np.isfinite(float(x)) else 0.0)
+        out.append(float(np.copysign(np.log1p(abs(float(x))), float(x))) / 8 if x is not None and np.isfinite(float(x)) else 0.0)
     return out
 
 

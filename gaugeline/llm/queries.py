@@ -68,8 +68,8 @@ def op8_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_factor_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    machine = factor_machine.fit(docs, table(spark, sf_dir, "labels"), fold(F.col("doc_id"), 4) != 2)
-    scored = factor_machine.score(docs, machine)
+    machine = factor_machine.fit(docs, table(spark, sf_dir, "labels"), fold(F.col("doc_id"), 4) != 2, ["n_chars"])
+    scored = factor_machine.score(docs, machine, ["n_chars"])
     return scored.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 

@@ -113,6 +113,25 @@ def test_machine_equals_all_pairs():
     assert abs(machine.margin(ids, vals) - want) < 1e-9
 
 
+def test_words_that_share_a_bucket_are_one_feature():
+    """A text with far more words than buckets: the score equals the sum over all pairs of distinct features."""
+    text = " ".join(f"w{i}" for i in range(5000)) + " w1 w1 w2"
+    ids, vals = factor_machine.features(text, [0.7], {})
+    size = factor_machine.STATS + 1 + factor_machine.BUCKETS
+    assert len(set(ids.tolist())) == len(ids) <= size < 5000
+    first = factor_machine.STATS + 1
+    counts = {w: text.split().count(w) for w in ("w1", "w2")} | {f"w{i}": 1 for i in (0, *range(3, 5000))}
+    dense = np.zeros(size)
+    dense[:first] = vals[:first]
+    for w, c in counts.items():
+        dense[first + factor_machine.zlib.crc32(w.encode()) % factor_machine.BUCKETS] += np.sqrt(c / 5003)
+    rng = np.random.default_rng(4)
+    machine = factor_machine.Machine(-0.2, rng.normal(size=size) / 10, rng.normal(size=(size, 8)) / 10)
+    pairs = machine.factors @ machine.factors.T
+    want = -0.2 + machine.linear @ dense + sum(pairs[i, j] * dense[i] * dense[j] for i in range(size) for j in range(i) if dense[i] and dense[j])
+    assert abs(machine.margin(ids, vals) - want) < 1e-3
+
+
 def test_no_labels_one_class_and_odd_rows(spark, documents):
     docs = documents([None, "", "some words", "long " * 20_000, "some words"], [1, 2, None, 4, 4])
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
