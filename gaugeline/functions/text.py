@@ -65,9 +65,9 @@ _LINE = rf"(?<![^\n]){_FIELD_OF_TEXT}(?:,{_FIELD_OF_TEXT})*+"
 
 
 def has_open_quote(text: str) -> str:
-    """A quote that opens a field and is followed by no other: the field never ends."""
+    """A quote that opens a field and is followed by none that closes it: the field never ends."""
     closed = rf"regexp_replace({text}, r'(?<![^,\n]){_QUOTED}(?=[,\r\n]|\z)', '')"
-    return rf"""contains({text}, '"') AND {closed} RLIKE r'(?<![^,\n])"[^"]*+\z'"""
+    return rf"""contains({text}, '"') AND {closed} RLIKE r'(?<![^,\n])"[^"]*+(?:""[^"]*+)*+\z'"""
 
 
 def split_lines(text: str) -> str:

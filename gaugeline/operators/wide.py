@@ -273,48 +273,39 @@ def profile_lines(lines: DataFrame, trailing: str = DROP_IF_BLANK) -> DataFrame:
     """One row per file: fingerprint, sensors, error, repeats.
 
     Lines are first grouped by file and time (partial sums on the map side), which tells whether times repeat; the
-    second grouping is by file. No group is gathered: only sums, and the three header rows.
-
-    The fingerprint stands in for SHA-256, which needs all bytes in one place: line count, sums over the thirds of one
-    line hash (they cannot overflow below 10^12 lines), the xor of another and the header rows. It does not see the
-    order of data lines, which the readings do not depend on either. Its prefix keeps it apart from byte hashes.
+    second grouping is by file. No group is gathered: only maxima, and the three header rows. Lines may carry an ``error`` from
+    reading, which becomes the file's.
     """
-    kept = [*FILE_KEYS, "chunk", "header_no"]
+    kept = [*FILE_KEYS, "chunk", "header_no", "error AS read_error" if "error" in lines.columns else "CAST(NULL AS string) AS read_error"]
     raw = lines.selectExpr(
         *kept,
         f"{has_open_quote('line')} AS open_quote",
         "CASE WHEN header_no IS NOT NULL THEN line END AS header",
-        "xxhash64(line) AS hash_a",
-        "xxhash64(7, line) AS hash_b",
         f"{f'size({split_fields('line')})' if trailing == DROP_LAST else '0'} AS width",
         f"CASE WHEN header_no IS NULL THEN {first_field('line')} END AS first",
     )
     valued = raw.withColumn("first", F.expr(field_value("first")))
     timed = valued.withColumns({"Time": F.expr(parse_time("first")), "has_time": F.col("first").isNotNull()})
-    # The header text is a key (null on data rows): as an aggregate it would rule out hashing.
-    by_time = timed.groupBy(*FILE_KEYS, "header_no", "header", "Time", "has_time").agg(
+    # The texts are keys (null on data rows): as aggregates they would rule out hashing.
+    by_time = timed.groupBy(*FILE_KEYS, "header_no", "header", "read_error", "Time", "has_time").agg(
         F.expr("count(1) AS n"),
-        *[F.expr(f"sum(shiftrightunsigned(hash_a, {21 * i}) & 2097151L) AS sum_{i}") for i in range(3)],
-        F.expr("bit_xor(hash_b) AS xor_b"),
         F.expr("max(open_quote) AS open_quote"),
         F.expr("max(width) AS width"),
         F.expr("max(chunk) AS chunk"),
     )
     per_file = by_time.groupBy(*FILE_KEYS).agg(
-        F.expr("sum(n) AS n"),
-        *[F.expr(f"sum(sum_{i}) AS sum_{i}") for i in range(3)],
-        F.expr("bit_xor(xor_b) AS xor_b"),
+        F.expr("max(read_error) AS read_error"),
         F.expr("max(open_quote) AS open_quote"),
         F.expr("max(width) AS width"),
         F.expr("max(header_no IS NULL AND has_time AND Time IS NULL) AS bad_time"),
-        F.expr("max(header_no IS NULL AND n > 1) AS repeats"),
+        F.expr("max(header_no IS NULL AND read_error IS NULL AND n > 1) AS repeats"),
         F.expr("max(chunk) AS last_chunk"),
         F.expr(
             "sort_array(collect_list(CASE WHEN header_no IS NOT NULL"
             " THEN named_struct('no', header_no, 'line', header) END)) AS head"
         ),
     )
-    facts = ["n", "sum_0", "sum_1", "sum_2", "xor_b", "open_quote", "width", "bad_time", "repeats", "last_chunk", "head"]
+    facts = ["read_error", "open_quote", "width", "bad_time", "repeats", "last_chunk", "head"]
     facts = [*FILE_KEYS, *facts]
     texts = per_file.selectExpr(*facts, *[f"get(head, {i}).line AS h{i}" for i in range(3)])
     heads = texts.selectExpr(*facts, *[f"{header_cells(f'h{i}')} AS h{i}" for i in range(3)])
@@ -324,9 +315,8 @@ def profile_lines(lines: DataFrame, trailing: str = DROP_IF_BLANK) -> DataFrame:
     sensors = sensors.selectExpr("*", f"{sensor_keys('sensors')} AS keys").withColumn("sensors", F.expr(mark_twins("sensors", "keys")))
     return sensors.selectExpr(
         *FILE_KEYS,
-        "concat('L:', sha2(cast(concat_ws('\\n', n, sum_0, sum_1, sum_2, xor_b, array_join(head.line, '\\n')) AS binary), 256))"
-        " AS file_hash",
-        """CASE WHEN open_quote THEN 'quoted newline or unbalanced quotes in a large file'
+        """CASE WHEN read_error IS NOT NULL THEN read_error
+                WHEN open_quote THEN 'unbalanced quotes'
                 WHEN size(head) < 3 THEN 'fewer than 3 header rows'
                 WHEN size(sensors) > 0 AND bad_time THEN 'unparsable Time' END AS error""",
         f"{_repeats('repeats')} AS repeats",
@@ -343,6 +333,8 @@ def attach_sensors(lines: DataFrame, profiles: DataFrame, broadcastable: bool) -
     all lines is spread over as many groups as it has chunks.
     """
     data = lines.where(F.col("header_no").isNull())
+    if "error" in lines.columns:
+        data = data.where(F.col("error").isNull()).drop("error")
     if broadcastable:
         good = _each(profiles, FILE_KEYS, "CASE WHEN error IS NULL THEN array(sensors) END", "sensors")
         return data.join(F.broadcast(good), FILE_KEYS)

@@ -6,38 +6,37 @@ The bytes of a new file are read twice, as they must be when a content hash deci
 2. ``emit``: readings of the files that remain. Files that cannot hold equal rows are written without a shuffle.
 
 Between the two everything is one row per file, kept in small tables below the lake's work folder, which also cut the
-lineage: a lost executor never re-reads source files for a decision already taken. File lists reach the readers in
-waves of at most ``MAX_PATHS`` paths; no list grows with the data.
+lineage: a lost executor never re-reads source files for a decision already taken. Both passes hand work lists to tasks that
+open the files themselves (``sources.opened``), so no names pass through the driver and a file that can't be read, in either
+pass, fails alone. Files up to ``whole_file_bytes`` are one row while they are parsed, larger ones are lines of many tasks; hashes,
+charsets, quoted line ends and all results are the same on both ways, for loose files and for archive entries.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import math
 import uuid
-from collections.abc import Iterator, Mapping
+from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from gaugeline.functions.decode import AUTO, decode_by, is_two_byte, java_charset
-from gaugeline.functions.text import chomp, content_hash
+from gaugeline.functions.text import content_hash
 from gaugeline.operators import skip, wide
 from gaugeline.operators.enrich import for_storage
 from gaugeline.operators.ledger import status_events
-from gaugeline.operators.sinks import read_or_empty, write_batch
+from gaugeline.operators.sinks import write_batch
 from gaugeline.plans.lake import Lake
 from gaugeline.schemas import COMPLETED, DEFAULTS, FAILED, IN_PROGRESS, LISTING, PROFILE, STAT_COLUMNS
-from gaugeline.sources import archives, files as loose, wide_text
+from gaugeline.sources import archives, files as loose, opened, wide_text
 
-#: Paths handed to one reader at most.
-MAX_PATHS = 50_000
-#: Loose files above this size are read as lines, over many tasks.
+#: Files above this size are read as lines, loose ones over many tasks.
 WHOLE_FILE_BYTES = 32 << 20
-#: A row cannot hold more; charsets whose newline has two bytes cannot be cut into lines before decoding.
-ROW_BYTES = 1 << 30
+#: How often the readings of a batch are written anew without files that failed meanwhile.
+ATTEMPTS = 4
 
-_WHOLE, _LINES, _ARCHIVE = "whole", "lines", "archive"
+_WHOLE, _LINES, _KNOWN = "whole", "lines", "known"
 _EMPTY_HASH = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
 
 
@@ -49,149 +48,113 @@ class Options:
     dedup_within_batch: bool = True
     trailing: str = wide.DROP_IF_BLANK
     whole_file_bytes: int = WHOLE_FILE_BYTES
-    split_bytes: int = 128 << 20
-    max_paths: int = MAX_PATHS
+    split_bytes: int = wide_text.SPLIT_BYTES
 
 
-def waves(rows: DataFrame, column: str, max_paths: int, n_rows: int) -> Iterator[list[str]]:
-    """Distinct values of a column in lists of about ``max_paths`` at most, split by hash. ``n_rows`` bounds them."""
-    if not n_rows:
-        return
-    keys = rows.select(column).distinct() if column == "source_zip" else rows.select(column)
-    n = math.ceil(n_rows / max_paths)
-    for i in range(n):
-        mine = keys if n == 1 else keys.where(F.pmod(F.xxhash64(column), F.lit(n)) == i)
-        yield [r[0] for r in mine.collect()]
+# --- work lists -----------------------------------------------------------------------------------------------
 
 
-# --- pass 1 ---------------------------------------------------------------------------------------------------
-
-
-def profile_whole(spark: SparkSession, contents: DataFrame, opt: Options, mode: str) -> DataFrame:
-    hashed = contents.withColumn("file_hash", content_hash(F.col("content")))
-    parsed = wide.parse_files(spark, hashed, opt.encoding, opt.trailing)
-    return parsed.select(
-        "path", "source_zip", "length", "file_hash", "error", "repeats", F.lit(mode).alias("mode")
-    )
-
-
-def _line_charset(content: Column) -> tuple[Column, ...]:
-    text = content.cast("string")
-    return (
-        F.min(F.is_valid_utf8(text)).alias("utf8"),
-        F.min(~F.contains(F.decode(content, "windows-31j"), F.lit("\ufffd"))).alias("sjis"),
-        F.min(~F.contains(F.decode(content, "EUC-JP"), F.lit("\ufffd"))).alias("euc"),
-    )
-
+def work_list(lake: Lake, listed: DataFrame, ingest_id: str, opt: Options) -> DataFrame:
+    """Listed files with the place of their bytes, their error if they have none, and ``kind``, the way they are read.
 
-def decoded_lines(spark: SparkSession, paths: list[str], opt: Options) -> DataFrame:
-    raw = wide_text.read_lines(spark, paths, opt.split_bytes)
-    if opt.encoding.lower() != AUTO:
-        return wide.decode_lines(spark, raw, opt.encoding)
-    votes = raw.groupBy("path").agg(*_line_charset(F.col("raw")))
-    charset = (
-        F.when(F.col("utf8"), "UTF-8")
-        .when(F.col("sjis"), "windows-31j")
-        .when(F.col("euc"), "EUC-JP")
-        .otherwise("windows-31j")
-    )
-    # One row per path, and a wave holds at most max_paths of them: a bounded broadcast.
-    chosen = F.broadcast(votes.select("path", charset.alias("charset")))
-    return raw.join(chosen, "path").withColumn(
-        "line", decode_by(F.col("raw"), F.col("charset"))
-    ).withColumn("line", F.expr(chomp("line")))
-
-
-def two_byte_files(spark: SparkSession, paths: list[str], opt: Options) -> DataFrame:
-    """Those of the given files that begin with a UTF-16 byte order mark."""
-    first = wide_text.read_lines(spark, paths, opt.split_bytes).where(F.col("header_no") == 0)
-    return first.where(F.substring("raw", 1, 2).isin(b"\xff\xfe", b"\xfe\xff")).select("path", F.lit(True).alias("two_byte"))
-
-
-def _sorted(files: DataFrame, opt: Options) -> DataFrame:
-    """Add the way each file is read. A charset with two-byte newlines cannot be cut into lines before decoding."""
-    limit = F.when(F.col("two_byte"), ROW_BYTES).otherwise(opt.whole_file_bytes)
-    loose_file = F.col("source_zip") == ""
-    too_large = loose_file & F.col("two_byte") & (F.col("length") > ROW_BYTES)
-    files = files.withColumn(
-        "error", F.coalesce("error", F.when(too_large, "two-byte charset in a file of more than one row"))
-    )
+    Places of archive entries come from the archives' directories, one read of each archive's end.
+    """
+    spark, at = lake.spark, lake.work_path(ingest_id, "files")
+    here = listed.where(F.col("source_zip") == "")
+    packed = listed.where(F.col("source_zip") != "")
+    work = loose.loose_work(here).join(here.select("path", "error"), "path")
+    zips = packed.select(F.col("source_zip").alias("path")).distinct()
+    if not zips.isEmpty():
+        directories_at = lake.work_path(ingest_id, "directories")
+        archives.directories(zips).write.mode("overwrite").parquet(directories_at)
+        entries = spark.read.schema(opened.ENTRIES).parquet(directories_at)
+        places = entries.where(F.col("path").isNotNull()).drop("entry_index", "length").withColumnRenamed("error", "entry_error")
+        places = places.withColumn("found", F.lit(True))
+        sizes = entries.where(F.col("path").isNotNull()).select(*wide.FILE_KEYS, "length")
+        broken = entries.where(F.col("path").isNull()).select("source_zip", F.col("error").alias("zip_error"))
+        found = packed.drop("length").join(places, wide.FILE_KEYS, "left").join(sizes, wide.FILE_KEYS, "left").join(broken, "source_zip", "left")
+        lost = F.when(F.col("found").isNull(), "missing archive entry")
+        found = found.withColumn("error", F.coalesce("error", "zip_error", "entry_error", lost))
+        work = work.unionByName(found.select(*opened.WORK_COLUMNS, "error"))
     readable = F.coalesce(F.col("error").isNull() & (F.col("length") > 0), F.lit(False))
-    kind = (
-        F.when(~readable, "known")
-        .when(~loose_file, _ARCHIVE)
-        .when(F.col("length") <= limit, _WHOLE)
-        .otherwise(_LINES)
-    )
-    return files.withColumn("kind", kind)
+    kind = F.when(~readable, _KNOWN).when(F.col("length") <= opt.whole_file_bytes, _WHOLE).otherwise(_LINES)
+    work.withColumn("kind", kind).write.mode("overwrite").parquet(at)
+    return spark.read.parquet(at)
 
 
-def _counts(sorted_files: DataFrame) -> dict[str, int]:
-    return {r["kind"]: r["count"] for r in sorted_files.groupBy("kind").count().collect()}
+def _amounts(work: DataFrame, *keys: str) -> dict[tuple, tuple[int, int]]:
+    """Bytes and rows of a work list by a few keys."""
+    counted = work.groupBy(*keys).agg(F.sum("length").alias("bytes"), F.count("*").alias("rows")).collect()
+    return {tuple(r[k] for k in keys): (r["bytes"] or 0, r["rows"]) for r in counted}
 
 
-def _lines_name(wave: int) -> str:
-    return f"lines-{wave}"
+# --- pass 1 ---------------------------------------------------------------------------------------------------
 
 
 def profile(lake: Lake, new_files: DataFrame, ingest_id: str, opt: Options) -> DataFrame:
     """Write and return one profile row per new file."""
     spark, at = lake.spark, lake.work_path(ingest_id, "profile")
-    forced_two_byte = opt.encoding.lower() != AUTO and is_two_byte(java_charset(spark, opt.encoding))
-    sorted_files = _sorted(new_files.withColumn("two_byte", F.lit(forced_two_byte)), opt)
-    n = _counts(sorted_files)
-    if opt.encoding.lower() == AUTO and n.get(_LINES):
-        two_byte = lake.work_path(ingest_id, "two-byte")
-        for i, paths in enumerate(waves(sorted_files.where(F.col("kind") == _LINES), "path", opt.max_paths, n[_LINES])):
-            found = two_byte_files(spark, paths, opt)
-            found.write.mode("append" if i else "overwrite").parquet(two_byte)
-        marked = new_files.join(spark.read.parquet(two_byte), "path", "left")
-        sorted_files = _sorted(marked.withColumn("two_byte", F.coalesce("two_byte", F.lit(False))), opt)
-        n = _counts(sorted_files)
+    work = work_list(lake, new_files, ingest_id, opt)
+    amounts = _amounts(work, "kind")
+    columns = PROFILE.fieldNames()
 
     def of_kind(name: str) -> DataFrame:
-        return sorted_files.where(F.col("kind") == name).drop("kind", "two_byte")
-
-    known = of_kind("known").select(
-        "path",
-        "source_zip",
-        "length",
-        F.when(F.col("length") == 0, _EMPTY_HASH).alias("file_hash"),
-        F.coalesce("error", F.lit("empty file")).alias("error"),
-        F.lit(wide.NOWHERE).alias("repeats"),
-        F.lit(_WHOLE).alias("mode"),
-    )
-    known.select(*PROFILE.fieldNames()).write.mode("overwrite").parquet(at)
-
-    def add(rows: DataFrame) -> None:
-        rows.select(*PROFILE.fieldNames()).write.mode("append").parquet(at)
-
-    for paths in waves(of_kind(_WHOLE), "path", opt.max_paths, n.get(_WHOLE, 0)):
-        add(profile_whole(spark, loose.read_contents(spark, paths, missing_ok=True), opt, _WHOLE))
-
-    for wave, paths in enumerate(waves(of_kind(_LINES), "path", opt.max_paths, n.get(_LINES, 0))):
-        table = lake.work_path(ingest_id, _lines_name(wave))
-        wide.profile_lines(decoded_lines(spark, paths, opt), opt.trailing).write.mode("overwrite").parquet(table)
-        profiled = spark.read.parquet(table).join(new_files.select("path", "source_zip", "length"), wide.FILE_KEYS)
-        add(profiled.withColumn("mode", F.lit(_LINES)))
-
-    archived = of_kind(_ARCHIVE)
-    for names in waves(archived, "source_zip", opt.max_paths, n.get(_ARCHIVE, 0)):
-        entries = archives.read_entries(spark, names)
-        # An inner join: a semi join would be pushed below the parse, where it would shuffle the bytes.
-        add(profile_whole(spark, entries, opt, _ARCHIVE).join(archived.select(*wide.FILE_KEYS), wide.FILE_KEYS))
-
-    seen = read_or_empty(spark, at, PROFILE)
-    lost = new_files.join(seen, wide.FILE_KEYS, "left_anti").select(
-        "path",
-        "source_zip",
-        "length",
-        F.lit(None).cast("string").alias("file_hash"),
-        F.lit("missing file").alias("error"),
-        F.lit(wide.NOWHERE).alias("repeats"),
-        F.lit(_WHOLE).alias("mode"),
+        return work.where(F.col("kind") == name).drop("kind")
+
+    known = of_kind(_KNOWN).withColumns({
+        "file_hash": F.when(F.col("length") == 0, _EMPTY_HASH),
+        "error": F.coalesce("error", F.lit("empty file")),
+        "repeats": F.lit(wide.NOWHERE),
+        "mode": F.lit(_WHOLE),
+    })
+    known.select(*columns).write.mode("overwrite").parquet(at)
+
+    if (_WHOLE,) in amounts:
+        read = opened.contents(opened.dealt(of_kind(_WHOLE), *amounts[_WHOLE,]))
+        parsed = wide.parse_files(spark, read.withColumn("file_hash", content_hash(F.col("content"))), opt.encoding, opt.trailing)
+        parsed.withColumn("mode", F.lit(_WHOLE)).select(*columns).write.mode("append").parquet(at)
+    if (_LINES,) in amounts:
+        _profile_lines(lake, of_kind(_LINES), ingest_id, opt, *amounts[_LINES,]).select(*columns).write.mode("append").parquet(at)
+    return spark.read.schema(PROFILE).parquet(at)
+
+
+def _profile_lines(lake: Lake, work: DataFrame, ingest_id: str, opt: Options, total: int, rows: int) -> DataFrame:
+    """Profiles of files that are read as lines. What pass 2 needs again (splits, sensors) stays in the work folder."""
+    spark = lake.spark
+
+    def kept(name: str, df: DataFrame) -> DataFrame:
+        df.write.mode("overwrite").parquet(lake.work_path(ingest_id, name))
+        return spark.read.parquet(lake.work_path(ingest_id, name))
+
+    n_splits = rows + total // opt.split_bytes
+    digested = kept("digests", opened.digests(opened.dealt(work, total, rows)))
+    readable = work.drop("error").join(digested.where(F.col("error").isNull()).select(*wide.FILE_KEYS, "head"), wide.FILE_KEYS)
+    coded = kept("charsets", wide_text.charsets(spark, readable, opt.encoding, opt.split_bytes, total, n_splits))
+    placed = wide_text.states(kept("scans", wide_text.scans(coded, opt.split_bytes, total, n_splits)))
+    scanned = kept("scanned", wide_text.scan_errors(placed))
+    sound = coded.join(scanned.where(F.col("scan_error").isNull()).select(*wide.FILE_KEYS), wide.FILE_KEYS)
+    kept("splits", wide_text.place(sound, placed, scanned, opt.split_bytes))
+    lines = wide_text.decoded(spark, _records(lake, ingest_id, opt, total, n_splits), opt.encoding)
+    profiled = kept("lines", wide.profile_lines(lines, opt.trailing))
+    joined = (
+        work.select(*wide.FILE_KEYS, "length")
+        .join(digested.select(*wide.FILE_KEYS, "file_hash", F.col("error").alias("read_error")), wide.FILE_KEYS)
+        .join(scanned.select(*wide.FILE_KEYS, "scan_error"), wide.FILE_KEYS, "left")
+        .join(profiled.select(*wide.FILE_KEYS, "error", "repeats", F.lit(True).alias("has_lines")), wide.FILE_KEYS, "left")
     )
-    return seen.unionByName(lost)
+    blank = F.when(F.col("has_lines").isNull(), "fewer than 3 header rows")
+    return joined.withColumns({
+        "error": F.coalesce("read_error", "scan_error", "error", blank),
+        "repeats": F.coalesce("repeats", F.lit(wide.NOWHERE)),
+        "mode": F.lit(_LINES),
+    })
+
+
+def _records(lake: Lake, ingest_id: str, opt: Options, total: int, n_splits: int, wanted: DataFrame | None = None) -> DataFrame:
+    cut = lake.spark.read.parquet(lake.work_path(ingest_id, "splits"))
+    if wanted is not None:
+        cut = cut.join(wanted.select(*wide.FILE_KEYS), wide.FILE_KEYS, "left_semi")
+    return opened.read_records(opened.dealt(cut, total, n_splits, "split"), opt.split_bytes)
 
 
 # --- decisions ------------------------------------------------------------------------------------------------
@@ -225,58 +188,70 @@ def decide(profiles: DataFrame, processed: DataFrame, opt: Options) -> DataFrame
 # --- pass 2 ---------------------------------------------------------------------------------------------------
 
 
-def _chosen(contents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Entries that are wanted. The bytes are not shuffled while the wanted names stay within the broadcast limit."""
-    keys = wanted.select(*wide.FILE_KEYS)
-    size = keys.agg(F.sum(F.length("path") + F.length("source_zip") + 64)).first()[0] or 0
-    return contents.join(F.broadcast(keys) if size <= wide.BROADCAST_BYTES else keys, wide.FILE_KEYS, "left_semi")
-
+def emit(lake: Lake, todo: DataFrame, ingest_id: str, opt: Options) -> DataFrame | None:
+    """Write the readings of all files to be processed. Files that failed on the way come back with their errors; then the
+    batch is to be written anew without them.
 
-def emit(lake: Lake, todo: DataFrame, ingest_id: str, opt: Options) -> int:
-    """Write the readings of all files to be processed; returns the number of rows."""
+    A file is parsed only if its bytes still have the hash that the decision was made on (in lines: the length).
+    """
     spark = lake.spark
-    rows, mode = 0, "overwrite"
+    work = spark.read.parquet(lake.work_path(ingest_id, "files")).drop("kind", "error")
+    chosen = work.join(todo.select(*wide.FILE_KEYS, "file_hash", "mode", "repeats"), wide.FILE_KEYS)
+    mode, failures = "overwrite", []
 
     def put(stored: DataFrame) -> None:
-        nonlocal rows, mode
-        rows += write_batch(stored, lake.readings_path, ingest_id, mode)
+        nonlocal mode
+        write_batch(stored, lake.readings_path, ingest_id, mode)
         mode = "append"
 
+    def watched(rows: DataFrame) -> tuple[DataFrame, Observation]:
+        seen = Observation()
+        return rows.observe(seen, F.count_if(F.col("error").isNotNull()).alias("errors")), seen
+
     def clear(cells: DataFrame) -> DataFrame:
         return for_storage(cells, opt.meta, named=True)
 
     def doubtful(cells: DataFrame) -> DataFrame:
         return for_storage(wide.distinct_readings(cells), opt.meta)
 
-    counted = todo.groupBy("mode", "repeats").count().collect()
-    n = {(r["mode"], r["repeats"]): r["count"] for r in counted}
-
-    for (mode_of, repeats), n_files in sorted(n.items()):
-        group = todo.where((F.col("mode") == mode_of) & (F.col("repeats") == repeats))
-        column = "source_zip" if mode_of == _ARCHIVE else "path"
-        for names in waves(group, column, opt.max_paths, n_files):
-            if mode_of == _LINES:
-                tables = f"{lake.work_path(ingest_id, 'lines-')}*"
-                profiles = spark.read.parquet(tables).join(group.select(*wide.FILE_KEYS), wide.FILE_KEYS, "left_semi")
-                lines = decoded_lines(spark, names, opt)
-                fits = wide.lookup_fits(profiles)
-                if repeats == wide.NOWHERE:
-                    put(clear(wide.readings_from_lines(lines, profiles, fits, scrub=True)))
-                else:
-                    put(doubtful(wide.readings_from_lines(lines, profiles, fits)))
-                continue
-            if mode_of == _ARCHIVE:
-                contents = _chosen(archives.read_entries(spark, names), group)
+    for (mode_of, repeats), (total, rows) in sorted(_amounts(chosen, "mode", "repeats").items()):
+        group = chosen.where((F.col("mode") == mode_of) & (F.col("repeats") == repeats))
+        if mode_of == _LINES:
+            profiles = spark.read.parquet(lake.work_path(ingest_id, "lines")).join(group.select(*wide.FILE_KEYS), wide.FILE_KEYS, "left_semi")
+            raw = _records(lake, ingest_id, opt, total, rows + total // opt.split_bytes, group)
+            read, seen = watched(raw)
+            lines, fits = wide_text.decoded(spark, read, opt.encoding), wide.lookup_fits(profiles)
+            if repeats == wide.NOWHERE:
+                put(clear(wide.readings_from_lines(lines, profiles, fits, scrub=True)))
             else:
-                contents = loose.read_contents(spark, names)
-            parsed = wide.parse_files(spark, contents, opt.encoding, opt.trailing)
+                put(doubtful(wide.readings_from_lines(lines, profiles, fits)))
+        else:
+            raw = opened.contents(opened.dealt(group, total, rows))
+            read, seen = watched(raw)
+            parsed = wide.parse_files(spark, read, opt.encoding, opt.trailing)
             named = wide.scrub_names(parsed)
             if repeats == wide.NOWHERE:
                 put(clear(wide.cells(wide.explode_lines(named))))
             else:
                 unique = clear(wide.cells(wide.explode_lines(named, wide.CLEAR)))
                 put(unique.unionByName(doubtful(wide.cells(wide.explode_lines(parsed, wide.DOUBTFUL)))))
-    return rows
+        if _count(seen) != 0:
+            failures.append(raw.where(F.col("error").isNotNull()).select(*wide.FILE_KEYS, "error"))
+    if not failures:
+        return None
+    at = lake.work_path(ingest_id, f"failures-{uuid.uuid4().hex}")
+    for i, rows in enumerate(failures):
+        rows.groupBy(*wide.FILE_KEYS).agg(F.max("error").alias("error")).write.mode("append" if i else "overwrite").parquet(at)
+    failed = spark.read.parquet(at)
+    return None if failed.isEmpty() else failed
+
+
+def _count(seen: Observation) -> int | None:
+    """Errors that a finished write has seen. None: the planner found the reading superfluous (no file has a sensor) and left it out."""
+    try:
+        return seen.get["errors"]
+    except Py4JJavaError:
+        return None
 
 
 # --- the job --------------------------------------------------------------------------------------------------
@@ -329,7 +304,20 @@ def _run(lake: Lake, listed: DataFrame, processed: DataFrame, ingest_id: str, op
     todo = plan.where(F.col("outcome") == skip.PROCESS)
     started = dt.datetime.now(dt.timezone.utc)
     lake.append_events(status_events(todo, IN_PROGRESS, started, ingest_id, 0, lake.ledger_key))
-    emit(lake, todo, ingest_id, opt)
+    for attempt in range(ATTEMPTS):
+        lake.clear_batch(ingest_id)
+        failed = emit(lake, todo, ingest_id, opt)
+        if failed is None:
+            break
+        lost = failed.withColumnRenamed("error", "lost")
+        late = plan.join(lost, wide.FILE_KEYS, "left").withColumns(
+            {"outcome": F.when(F.col("lost").isNotNull(), skip.FAILED_OUTCOME).otherwise(F.col("outcome")), "error": F.coalesce("error", "lost")}
+        )
+        late.drop("lost").write.mode("overwrite").parquet(f"{plan_at}-{attempt}")
+        plan = spark.read.parquet(f"{plan_at}-{attempt}")
+        todo = plan.where(F.col("outcome") == skip.PROCESS)
+    else:
+        raise RuntimeError(f"files of batch {ingest_id} failed in each of {ATTEMPTS} attempts to write it")
 
     now = dt.datetime.now(dt.timezone.utc)
     failed = plan.where(F.col("outcome") == skip.FAILED_OUTCOME).withColumn("reason", F.col("error"))
@@ -343,16 +331,11 @@ def _run(lake: Lake, listed: DataFrame, processed: DataFrame, ingest_id: str, op
 
 
 def find_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
-    """Loose and archived CSV files below a folder. Invalid archives hold no files; see ``invalid_archives``."""
-    entries = archives.find_csv_in_archives(spark, folder, pattern).where(F.col("path").isNotNull())
+    """Loose and archived CSV files below a folder. An archive that can't be opened is a row of its own, with the reason."""
+    entries = archives.as_listing(archives.find_csv_in_archives(spark, folder, pattern))
     return loose.union_listings(loose.find_csv_files(spark, folder, pattern), entries)
 
 
-def invalid_archives(spark: SparkSession, folder: str) -> DataFrame:
-    entries = archives.find_csv_in_archives(spark, folder, DEFAULTS["pattern"])
-    return entries.where(F.col("path").isNull()).select("source_zip", "error")
-
-
 def ingest_folder(
     lake: Lake,
     folder: str | None = None,

@@ -23,6 +23,7 @@ from gaugeline.functions.text import (
     parse_time,
     scrub_control_chars,
     split_fields,
+    split_lines,
 )
 from gaugeline.operators import ledger as led, skip, wide
 from gaugeline.operators.enrich import add_meta
@@ -31,7 +32,7 @@ from gaugeline.plans.ingest import Options, ingest_folder
 from gaugeline.plans.lake import Lake
 from gaugeline.schemas import COMPLETED, FAILED, LEDGER_EVENT, PENDING, STATUSES
 from gaugeline.session import configure, shared_dir
-from gaugeline.sources import archives, files
+from gaugeline.sources import archives, files, opened
 from gaugeline.streaming.incremental import stream_ingest
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -538,10 +539,29 @@ def ledger_merge(spark, sf_dir):
 )
 def sql_params(spark, sf_dir):
     table(spark, sf_dir, "orders").createOrReplaceTempView("gaugeline_orders")
-    return spark.sql(
+    return Lake(spark, shared_dir(spark, "lake")).execute(
         "SELECT o_orderstatus, count(*) AS n, max(o_orderdate) AS last_date FROM gaugeline_orders"
         " WHERE o_totalprice > ? AND o_orderstatus <> ? GROUP BY o_orderstatus",
-        args=[1000.0, "P"],
+        [1000.0, "P"],
+    )
+
+
+@query(
+    "sql_sensor_data",
+    f"""SELECT sensor_name, unit, count(*) AS n, min("Time") AS first_time, max("Time") AS last_time
+        FROM ({_EVENT_READINGS}) WHERE path <> '/plant/test_7.csv' AND length(value) > 5 GROUP BY sensor_name, unit""",
+)
+def sql_sensor_data(spark, sf_dir):
+    """A lake that doesn't exist yet: its tables are empty, then readings are inserted, then asked for with parameters."""
+    lake = Lake(spark, shared_dir(spark, "lake"))
+    assert lake.readings().isEmpty() and lake.processed_files().isEmpty()
+    readings = event_readings(spark, sf_dir).withColumn("Time", F.expr(parse_time("Time")))
+    inserted = lake.insert_sensor_data(add_meta(readings, META))
+    assert inserted == readings.count()
+    return lake.execute(
+        "SELECT sensor_name, unit, count(*) AS n, min(Time) AS first_time, max(Time) AS last_time FROM sensor_data"
+        " WHERE source_file <> :file AND length(value) > :size GROUP BY sensor_name, unit",
+        {"file": "/plant/test_7.csv", "size": 5},
     )
 
 
@@ -802,3 +822,201 @@ def folder_ledger(spark, sf_dir):
     ingest_folder(lake, folder, "part", options=options)
     ingest_folder(lake, folder, "part", options=options)
     return led.ledger_counts(lake.processed_files())
+
+
+# --- real files and archives derived from documents -----------------------------------------------------------
+
+
+def put_files(files_: DataFrame) -> None:
+    """Write ``(path, content)`` rows as files, each complete under its name at once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, content in zip(batch["path"].to_pylist(), batch["content"], strict=True):
+                system, at = opened.locate(path)
+                system.create_dir(at.rsplit("/", 1)[0])
+                with system.open_output_stream(f"{at}.new") as out:
+                    out.write(content.as_buffer())
+                system.move(f"{at}.new", at)
+            yield batch.select(["path"])
+
+    files_.select("path", "content").mapInArrow(run, "path string").write.format("noop").mode("overwrite").save()
+
+
+def put_archives(entries: DataFrame) -> None:
+    """Write ``(archive, name, content)`` rows as ZIP files of all their entries."""
+
+    def run(group: pa.Table) -> pa.Table:
+        system, at = opened.locate(group["archive"][0].as_py())
+        system.create_dir(at.rsplit("/", 1)[0])
+        rows = group.sort_by("name")
+        with system.open_output_stream(f"{at}.new") as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            for name, content in zip(rows["name"].to_pylist(), rows["content"].to_pylist(), strict=True):
+                z.writestr(name, content)
+        system.move(f"{at}.new", at)
+        return pa.table({"archive": [group["archive"][0].as_py()]})
+
+    entries.select("archive", "name", "content").groupBy("archive").applyInArrow(run, "archive string").write.format("noop").mode("overwrite").save()
+
+
+#: Files of more bytes are read as lines, in splits of so many bytes: low, so that the tables' texts go both ways.
+_BOTH_WAYS = {"whole_file_bytes": 3000, "split_bytes": 1024}
+_PIECE_HEAD = ", P1, P2\n, piece, size\n, text, chars\n"
+
+
+def piece_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, content``: every text as a wide file with a data row per sentence, quoted, line ends and all."""
+    row = """concat_ws(',', date_format(timestampadd(SECOND, i, TIMESTAMP_NTZ'2024-01-01 00:00:00'), 'yyyy/M/d H:mm:ss'),
+                concat('"', replace(piece, '"', '""'), '"'), length(piece), '')"""
+    body = f"array_join(transform(split(text, '[.] '), (piece, i) -> {row}), '\n')"
+    docs = dealt(table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "doc_id")
+    return docs.select("doc_id", F.encode(F.concat(F.lit(_PIECE_HEAD), F.expr(body)), "UTF-8").alias("content"))
+
+
+_PIECES = """
+    SELECT doc_id, TIMESTAMP '2024-01-01 00:00:00' + to_seconds(i) AS "Time", v.*
+    FROM (SELECT doc_id, unnest(string_split(t, '. ')) AS piece, generate_subscripts(string_split(t, '. '), 1) - 1 AS i
+          FROM (SELECT doc_id, coalesce(text, '') AS t FROM {0})),
+    LATERAL (VALUES (nullif(regexp_replace(piece, '[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]', '', 'g'), ''), ' P1'),
+                    (CAST(length(piece) AS VARCHAR), ' P2')) AS v(value, sensor_id)"""
+
+
+@query(
+    "mode_equality",
+    f"""SELECT "Time", value, sensor_id, count(*) AS n FROM ({_PIECES.format("(SELECT min(doc_id) AS doc_id, text FROM documents GROUP BY text)")})
+        GROUP BY "Time", value, sensor_id""",
+)
+def mode_equality(spark, sf_dir):
+    """Every text as a loose file and in an archive, small ones whole, larger ones in splits that cut quoted line ends: a content
+    is ingested once, and once more in a batch that reads all on the other way, never."""
+    folder, lake = shared_dir(spark, "files"), Lake(spark, shared_dir(spark, "lake"), ledger_key="path")
+    made = piece_files(spark, sf_dir)
+    put_files(made.select(F.concat(F.lit(f"{folder}/loose/test_"), "doc_id", F.lit(".csv")).alias("path"), "content"))
+    number = F.pmod(F.xxhash64("doc_id"), F.lit(24))
+    put_archives(made.select(F.concat(F.lit(f"{folder}/zip/"), number, F.lit(".zip")).alias("archive"), F.concat(F.lit("d/test_"), "doc_id", F.lit(".csv")).alias("name"), "content"))
+    ingest_folder(lake, folder, "^test", options=Options(encoding="utf-8", meta=META, **_BOTH_WAYS))
+    put_files(made.select(F.concat(F.lit(f"{folder}/again/test_"), "doc_id", F.lit(".csv")).alias("path"), "content"))
+    ingest_folder(lake, folder, "^test", options=Options(encoding="utf-8", meta=META, whole_file_bytes=40_000, split_bytes=9000))
+    return lake.readings().groupBy("Time", "value", "sensor_id").agg(F.count("*").alias("n"))
+
+
+_ARCHIVES = 16
+
+
+def document_zips(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """Texts in archives by id, one in ten of the entries is a table; and archives that are none, by language."""
+    made = piece_files(spark, sf_dir)
+    archive = F.concat(F.lit(f"{folder}/"), F.pmod("doc_id", F.lit(_ARCHIVES)), F.lit(".zip"))
+    name = F.when(F.col("doc_id") % 10 == 3, F.concat(F.lit("day/User_"), "doc_id", F.lit(".csv"))).otherwise(F.concat(F.lit("notes/"), "doc_id", F.lit(".txt")))
+    put_archives(made.select(archive.alias("archive"), name.alias("name"), "content"))
+    bad = table(spark, sf_dir, "documents").groupBy("lang").agg(F.min_by("text", "doc_id").alias("text"))
+    put_files(bad.select(F.concat(F.lit(f"{folder}/_bad/"), "lang", F.lit(".zip")).alias("path"), F.encode(F.substring("text", 1, 200), "UTF-8").alias("content")))
+
+
+_ZIP_OF = f"(doc_id % {_ARCHIVES}) || '.zip'"
+
+
+@query(
+    "archive_listing",
+    f"""SELECT {_ZIP_OF} AS archive, 'day/User_' || doc_id || '.csv' AS path, '' AS error FROM documents WHERE doc_id % 10 = 3
+        UNION ALL SELECT lang || '.zip', '/_bad/' || lang || '.zip', 'invalid archive' FROM documents GROUP BY lang""",
+)
+def archive_listing(spark, sf_dir):
+    """Entries from the archives' directories alone; a file that is no archive stands for itself, with the reason."""
+    folder = shared_dir(spark, "zips")
+    document_zips(spark, sf_dir, folder)
+    found = archives.as_listing(archives.find_csv_in_archives(spark, folder, "(Cond|User|test)"))
+    bad = F.col("error").isNotNull()
+    archive = basename(F.when(bad, F.col("path")).otherwise(F.col("source_zip")))
+    path = F.when(bad, F.regexp_extract("path", "/_bad/.*", 0)).otherwise(F.col("path"))
+    return found.select(archive.alias("archive"), path.alias("path"), F.coalesce(F.regexp_extract("error", "^[a-z ]+", 0), F.lit("")).alias("error"))
+
+
+@query(
+    "archive_extract",
+    f"""SELECT {_ZIP_OF} AS archive, requested, entry_path, text_hash, error FROM (SELECT doc_id, sha256(coalesce(text, '')) AS text_hash FROM documents),
+        LATERAL (VALUES (CASE WHEN doc_id % 10 = 3 THEN 'day' || chr(92) || 'User_' || doc_id || '.csv' ELSE 'x/' || doc_id || '.txt' END,
+                         CASE WHEN doc_id % 10 = 3 THEN 'day/User_' || doc_id || '.csv' ELSE 'notes/' || doc_id || '.txt' END, NULL)) AS v(requested, entry_path, error)""",
+)
+def archive_extract(spark, sf_dir):
+    """Every entry of every archive, asked for with a backslash or in another folder, read from its place; its text is put together
+    again from the sentences."""
+    folder = shared_dir(spark, "zips")
+    document_zips(spark, sf_dir, folder)
+    asked = table(spark, sf_dir, "documents").select(
+        F.concat(F.lit(f"{folder}/"), F.pmod("doc_id", F.lit(_ARCHIVES)), F.lit(".zip")).alias("source_zip"),
+        F.when(F.col("doc_id") % 10 == 3, F.concat(F.lit("day\\User_"), "doc_id", F.lit(".csv"))).otherwise(F.concat(F.lit("x/"), "doc_id", F.lit(".txt"))).alias("path"),
+    )
+    found = archives.extract_entries(asked).where(F.col("content").isNotNull())
+    lines = found.select("source_zip", "requested", "entry_path", "error", F.decode("content", "UTF-8").alias("text"))
+    rows = lines.selectExpr("*", f"{split_lines('text')} AS lines").selectExpr("*", "slice(lines, 4, size(lines)) AS rows")
+    cells = rows.withColumn("cells", F.expr(f"transform(rows, row -> {split_fields('row')}[1])"))
+    text = F.expr(f"array_join(transform(cells, cell -> coalesce({field_value('cell')}, '')), '. ')")
+    return cells.select(basename(F.col("source_zip")).alias("archive"), "requested", "entry_path", F.sha2(text.cast("binary"), 256).alias("text_hash"), "error")
+
+
+@query(
+    "archive_ingest",
+    f"""SELECT * FROM (SELECT {_ZIP_OF} AS archive, 'day/User_' || doc_id || '.csv' AS file, 'COMPLETED' AS status, count(*) AS n
+            FROM ({_PIECES.format("documents")}) WHERE doc_id % 10 = 3 GROUP BY doc_id)
+        UNION ALL SELECT '', lang || '.zip', 'FAILED', 0 FROM documents GROUP BY lang""",
+)
+def archive_ingest(spark, sf_dir):
+    """Tables in archives, read entry by entry from their places, large ones as lines; archives that are none fail alone, on record."""
+    folder, lake = shared_dir(spark, "zips"), Lake(spark, shared_dir(spark, "lake"))
+    document_zips(spark, sf_dir, folder)
+    ingest_folder(lake, folder, "(Cond|User|test)", options=Options(encoding="utf-8", meta=META, dedup_within_batch=False, **_BOTH_WAYS))
+    counts = rows_per_file(lake.readings()).select(F.col("source_file").alias("full_path"), "source_zip", "n_rows")
+    events = lake.events().where(F.col("status").isin(COMPLETED, FAILED))
+    joined = events.join(counts, ["full_path", "source_zip"], "left")
+    file = F.when(F.col("source_zip") == "", basename(F.col("full_path"))).otherwise(F.col("full_path"))
+    return joined.select(basename(F.col("source_zip")).alias("archive"), file.alias("file"), "status", F.coalesce("n_rows", F.lit(0)).alias("n"))
+
+
+@query(
+    "file_listing",
+    """SELECT CASE doc_id % 4 WHEN 0 THEN '_d/_test_' WHEN 1 THEN '.e/.test_' WHEN 2 THEN 'f [1]/test +%_' ELSE '日本/test_' END || doc_id || '.csv' AS path,
+              CAST(CASE WHEN doc_id % 7 = 0 THEN 0 ELSE strlen(text) END AS BIGINT) AS length
+       FROM documents WHERE doc_id % 5 <> 0""",
+)
+def file_listing(spark, sf_dir):
+    """Files of odd names, some hidden, some empty, found by tasks; those with another ending or name are not."""
+    folder, n = shared_dir(spark, "files"), F.col("doc_id")
+    place = F.when(n % 4 == 0, "_d/_test_").when(n % 4 == 1, ".e/.test_").when(n % 4 == 2, "f [1]/test +%_").otherwise("日本/test_")
+    ending = F.when(n % 5 != 0, ".csv").when(n % 2 == 0, ".CSV").otherwise(".csv.txt")
+    content = F.when(n % 7 == 0, F.lit("")).otherwise(F.col("text"))
+    docs = dealt(table(spark, sf_dir, "documents"), "doc_id")
+    put_files(docs.select(F.concat(F.lit(f"{folder}/"), place, n, ending).alias("path"), F.encode(content, "UTF-8").alias("content")))
+    found = files.find_csv_files(spark, folder, "(?P<kind>test)")
+    return found.select(F.substring("path", F.length(F.lit(opened.qualified(spark, folder))) + 2, F.length("path")).alias("path"), "length")
+
+
+_AUTO = ["UTF-8", "UTF-16LE", "UTF-16BE", "windows-31j", "EUC-JP", "ISO-2022-JP"]
+_KANA = "アイウエオ表ソ能キクケコサシスセ"
+
+
+@query(
+    "auto_charsets",
+    f"""SELECT doc_id, "Time", value FROM (
+            SELECT doc_id, TIMESTAMP '2024-01-01 00:00:00' + to_seconds(i) AS "Time", '日本' || chr(10) || translate(sha256(t || i), '0123456789abcdef', '{_KANA}') AS value
+            FROM (SELECT doc_id, coalesce(text, '') AS t, unnest(range(0, 3 + doc_id % 40)) AS i FROM documents))""",
+)
+def auto_charsets(spark, sf_dir):
+    """Japanese files in six charsets, with and without marks, detected the same whether read whole or in splits."""
+    configure(spark)
+    folder, lake = shared_dir(spark, "files"), Lake(spark, shared_dir(spark, "lake"))
+    docs = dealt(table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("t")), "doc_id")
+    value = f"concat('\"日本\\n', translate(sha2(cast(concat(t, i) AS binary), 256), '0123456789abcdef', '{_KANA}'), '\"')"
+    row = f"concat(date_format(timestampadd(SECOND, i, TIMESTAMP_NTZ'2024-01-01 00:00:00'), 'yyyy/M/d H:mm:ss'), ',', {value}, ',')"
+    body = f"array_join(transform(sequence(0, cast(2 + doc_id % 40 AS int)), i -> {row}), '\n')"
+    texts = docs.select("doc_id", F.concat(F.lit(", 温度\n, 温度ソ\n, ℃\n"), F.expr(body)).alias("text"))
+    kind = F.pmod(F.xxhash64("doc_id"), F.lit(len(_AUTO)))
+    marks = {"UTF-16LE": "FFFE", "UTF-16BE": "FEFF"}
+    content = F.lit(None).cast("binary")
+    for i, name in enumerate(_AUTO):
+        coded = F.encode("text", name)
+        content = F.when(kind == i, F.concat(F.unhex(F.lit(marks[name])), coded) if name in marks else coded).otherwise(content)
+    put_files(texts.select(F.concat(F.lit(f"{folder}/test_"), "doc_id", F.lit(".csv")).alias("path"), content.alias("content")))
+    ingest_folder(lake, folder, "test", options=Options(encoding="auto", meta=META, dedup_within_batch=False, **_BOTH_WAYS))
+    number = F.regexp_extract("source_file", r"test_(\d+)", 1).cast("bigint")
+    return lake.readings().select(number.alias("doc_id"), "Time", "value")

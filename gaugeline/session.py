@@ -41,10 +41,13 @@ def build_session(app_name: str = "gaugeline", master: str | None = None, **conf
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, which every executor can reach.
 
-    Where that isn't set, the warehouse takes its place, which the executors share as well.
+    Where that isn't set, the warehouse takes its place; on a cluster it must not be a folder of one machine.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    base = base or spark.conf.get("spark.sql.warehouse.dir")
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir")
+        if not spark.sparkContext.master.startswith("local") and (base.startswith("file:") or "://" not in base):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{base.rstrip('/')}/gaugeline/{label}-{uuid.uuid4().hex}"
 
 

@@ -1,4 +1,4 @@
-"""ZIP archives: every task opens the archives of its partition in memory and streams their entries out."""
+"""ZIP archives: listed by their directories, entries read from their places; and archives that are columns of bytes already."""
 
 from __future__ import annotations
 
@@ -10,12 +10,12 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gaugeline.functions.text import basename, local_path
+from gaugeline.functions.text import basename
 from gaugeline.schemas import LISTING
 from gaugeline.session import empty
-from gaugeline.sources.files import binary_files, escape_glob
+from gaugeline.sources import opened
 
 # The functions below travel to the executors with the job, which need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -87,51 +87,36 @@ def explode_archives(
     return archives.select("path", "content").mapInArrow(run, ENTRY_SCHEMA)
 
 
-def _fits(spark: SparkSession) -> Column:
-    """Files that a row can hold. The condition reaches the reader, which opens no other."""
-    return F.col("length") <= int(spark.conf.get("spark.sql.sources.binaryFile.maxLength", str((1 << 31) - 1)))
+def find_csv_in_archives(spark: SparkSession, folder: str, pattern: str, work: str | None = None) -> DataFrame:
+    """Matching entries of all archives below a folder, from the archives' directories. An archive that can't be opened is a row
+    with ``error`` and no ``path``."""
+    found = opened.walk(spark, folder, opened.named((".zip",)), work)
+    return directories(found.where(F.col("error").isNull()), pattern)
 
 
-def archive_contents(spark: SparkSession, folder: str) -> DataFrame:
-    found = binary_files(spark, folder, "*.zip").where(_fits(spark))
-    return found.select(local_path(F.col("path")).alias("path"), "content")
+def directories(archives: DataFrame, pattern: str | None = None, suffix: str = ".csv") -> DataFrame:
+    """``read_directories`` of many archives, dealt out to as many tasks as they are worth."""
+    n = archives.count()
+    tasks = max(1, min(n, 4 * archives.sparkSession.sparkContext.defaultParallelism, 100_000))
+    return opened.read_directories(archives.repartition(tasks, "path"), pattern, suffix)
 
 
-def _listed(spark: SparkSession, files: DataFrame, pattern: str) -> DataFrame:
-    """Matching entries of scanned archives, and a row with an error for each that is too large to be opened."""
-    zips = files.where(_fits(spark)).select(local_path(F.col("path")).alias("path"), "content")
-    large = files.where(~_fits(spark)).select(local_path(F.col("path")).alias("source_zip"))
-    entries = explode_archives(zips, pattern, with_content=False).drop("content")
-    none = {f.name: F.lit(None).cast(f.dataType) for f in entries.schema.fields if f.name not in ("source_zip", "error")}
-    refused = large.withColumns({**none, "error": F.lit("archive larger than a row can hold")})
-    return entries.unionByName(refused)
-
-
-def find_csv_in_archives(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
-    """Matching entries of all archives below a folder, without their bytes. Rows with a null path are bad archives."""
-    return _listed(spark, binary_files(spark, folder, "*.zip"), pattern)
+def as_listing(entries: DataFrame) -> DataFrame:
+    """Entries in the form of a listing. A bad archive stands for itself, with its reason."""
+    bad = F.col("path").isNull()
+    return entries.select(
+        F.when(bad, F.col("source_zip")).otherwise(F.col("path")).alias("path"),
+        F.when(bad, "").otherwise(F.col("source_zip")).alias("source_zip"),
+        "length",
+        "error",
+    )
 
 
 def entries_of(spark: SparkSession, archives: list[str], pattern: str) -> DataFrame:
-    """Matching entries of a bounded list of archives, in the form of a listing."""
+    """A listing of the matching entries of a bounded list of archives."""
     if not archives:
         return empty(spark, LISTING)
-    files = spark.read.format("binaryFile").load([escape_glob(p) for p in archives])
-    return _listed(spark, files, pattern).where(F.col("path").isNotNull()).select(*LISTING.fieldNames())
-
-
-def read_entries(spark: SparkSession, archives: list[str]) -> DataFrame:
-    """All CSV entries of a bounded list of archives, with bytes.
-
-    The entries are rebalanced: one archive may hold most of the data, and its entries must not stay in one task.
-    """
-    chosen = (
-        spark.read.format("binaryFile")
-        .load([escape_glob(p) for p in archives])
-        .where(_fits(spark))
-        .select(local_path(F.col("path")).alias("path"), "content")
-    )
-    return explode_archives(chosen).where(F.col("path").isNotNull()).hint("rebalance")
+    return as_listing(directories(spark.createDataFrame([(p,) for p in archives], "path string"), pattern))
 
 
 def resolve_entries(requests: DataFrame, entries: DataFrame) -> DataFrame:
@@ -164,17 +149,28 @@ def resolve_entries(requests: DataFrame, entries: DataFrame) -> DataFrame:
     )
 
 
-def extract_entries(spark: SparkSession, requests: DataFrame, archives: DataFrame) -> DataFrame:
-    """Bytes of requested entries. ``archives`` has ``(path, content)``; the answer has one row per request."""
-    listed = explode_archives(archives, suffix="", with_content=False)
+def work_of(entries: DataFrame) -> DataFrame:
+    """A work list of listed entries."""
+    return entries.where(F.col("path").isNotNull()).select(*opened.WORK_COLUMNS)
+
+
+def extract_entries(requests: DataFrame) -> DataFrame:
+    """Bytes of requested ``(source_zip, path)``, one row per request: ``source_zip, requested, entry_path, content, error``.
+
+    The archives' directories say where the entries stand; each is then read from its place by one task, whatever else its
+    archive holds. Several requests for one entry read it once.
+    """
+    listed = directories(requests.select(F.col("source_zip").alias("path")).distinct(), suffix="")
     resolved = resolve_entries(requests, listed)
-    bodies = explode_archives(archives, suffix="").select(
+    broken = listed.where(F.col("path").isNull()).select("source_zip", F.col("error").alias("archive_error"))
+    wanted = resolved.where(F.col("entry_path").isNotNull()).select("source_zip", F.col("entry_path").alias("path")).distinct()
+    work = work_of(listed).join(wanted, ["source_zip", "path"], "left_semi")
+    facts = work.agg(F.sum("length"), F.count("*")).first()
+    bodies = opened.contents(opened.dealt(work, facts[0] or 0, facts[1])).select(
         "source_zip", F.col("path").alias("entry_path"), "content", F.col("error").alias("read_error")
     )
-    return resolved.join(bodies, ["source_zip", "entry_path"], "left").select(
-        "source_zip",
-        "requested",
-        "entry_path",
-        "content",
-        F.coalesce("error", "read_error").alias("error"),
+    return (
+        resolved.join(broken, "source_zip", "left")
+        .join(bodies, ["source_zip", "entry_path"], "left")
+        .select("source_zip", "requested", "entry_path", "content", F.coalesce("read_error", "archive_error", "error").alias("error"))
     )

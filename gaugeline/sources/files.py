@@ -1,74 +1,27 @@
-"""Loose files: listing without reading bytes, and reading the bytes of chosen paths."""
+"""Loose files: listing without reading bytes, and the bytes of named paths."""
 
 from __future__ import annotations
 
 import re
 
-import pandas as pd
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gaugeline.functions.text import basename, local_path, metadata_path
+from gaugeline.functions.text import basename
 from gaugeline.schemas import LISTING
-from gaugeline.session import empty, path_exists
-
-_BINARY_FILE = T.StructType(
-    [
-        T.StructField("path", T.StringType()),
-        T.StructField("modificationTime", T.TimestampType()),
-        T.StructField("length", T.LongType()),
-        T.StructField("content", T.BinaryType()),
-    ]
-)
-
-
-def binary_files(spark: SparkSession, folder: str, glob: str) -> DataFrame:
-    """``binaryFile`` scan below a folder; a missing folder gives no rows. Select what you need: without
-    ``content`` the scan lists only."""
-    if not path_exists(spark, folder):
-        return empty(spark, _BINARY_FILE)
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", glob)
-        .load(escape_glob(folder))
-    )
-
-
-def with_empty_files(files: DataFrame) -> DataFrame:
-    """Add the zero-byte files, which the scan leaves out although its file index knows them.
-
-    The names are looked at only when the index, which is on the driver anyway, counts more files than the scan.
-    """
-    spark = files.sparkSession
-    names = files._jdf.inputFiles()
-    listed = files.select(local_path(F.col("path")).alias("path"), "length")
-    if len(names) == files.count():
-        return listed
-    uris = spark._jvm.org.apache.hadoop.util.StringUtils.join("\n", names).split("\n")
-    every = spark.createDataFrame(pd.DataFrame({"uri": uris})).select(metadata_path(F.col("uri")).alias("path"))
-    return every.join(listed, "path", "left").select("path", F.coalesce("length", F.lit(0).cast("long")).alias("length"))
-
-
-def find_csv_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
-    """CSV files anywhere below a folder whose basename contains a match of the regular expression."""
+from gaugeline.sources import opened
+
+
+def find_csv_files(spark: SparkSession, folder: str, pattern: str, work: str | None = None) -> DataFrame:
+    """CSV files anywhere below a folder whose basename contains a match of the (Python) regular expression."""
     if not pattern:
         raise ValueError("a search pattern is required")
-    files = with_empty_files(binary_files(spark, folder, "*.csv").select("path", "length"))
-    return as_listing(match_names(files, pattern))
+    return as_listing(opened.walk(spark, folder, opened.named((".csv",), pattern), work))
 
 
 def listing_of(spark: SparkSession, paths: list[str]) -> DataFrame:
     """A listing from paths the caller names. A path that is not there is kept, with an error."""
-    rows = []
-    for path in paths:
-        if path_exists(spark, path):
-            at = spark._jvm.org.apache.hadoop.fs.Path(path)
-            size = at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at).getLen()
-            rows.append((path, "", size, None))
-        else:
-            rows.append((path, "", None, "missing file"))
-    return spark.createDataFrame(rows, LISTING)
+    named = spark.createDataFrame([(opened.qualified(spark, p),) for p in paths], "path string")
+    return opened.stat(named).select(*LISTING.fieldNames())
 
 
 def match_names(files: DataFrame, pattern: str, column: str = "path") -> DataFrame:
@@ -76,36 +29,29 @@ def match_names(files: DataFrame, pattern: str, column: str = "path") -> DataFra
 
 
 def as_listing(files: DataFrame) -> DataFrame:
-    return files.select("path", F.lit("").alias("source_zip"), "length", F.lit(None).cast("string").alias("error"))
+    error = F.col("error") if "error" in files.columns else F.lit(None).cast("string")
+    return files.select("path", F.lit("").alias("source_zip"), "length", error.alias("error"))
 
 
 def find_files_with_extension(spark: SparkSession, folder: str, extension: str) -> DataFrame:
     dotted = extension if extension.startswith(".") else "." + extension
-    return with_empty_files(binary_files(spark, folder, f"*{dotted}").select("path", "length"))
+    return opened.walk(spark, folder, opened.named((dotted,))).where(F.col("error").isNull()).select("path", "length")
 
 
 def escape_glob(path: str) -> str:
-    """Paths are taken literally by the reader once their glob characters are escaped."""
+    """Paths are taken literally by Spark's readers once their glob characters are escaped."""
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
-def read_contents(spark: SparkSession, paths: list[str], missing_ok: bool = False) -> DataFrame:
-    """One row per file with its bytes, for a bounded list of paths. ``missing_ok`` leaves out files that are gone."""
-    if not paths:
-        return empty(spark, T.StructType(LISTING.fields[:3] + [T.StructField("content", T.BinaryType())]))
-    reader = spark.read.format("binaryFile").option("ignoreMissingFiles", missing_ok)
-    try:
-        found = reader.load([escape_glob(p) for p in paths])
-    except AnalysisException as e:
-        if not missing_ok or e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return read_contents(spark, [p for p in paths if path_exists(spark, p)], missing_ok)
-    return found.select(local_path(F.col("path")).alias("path"), F.lit("").alias("source_zip"), "length", "content")
+def loose_work(files: DataFrame) -> DataFrame:
+    """A work list of loose files (``path, length``)."""
+    none = {"offset": "bigint", "packed": "bigint", "method": "int", "crc": "bigint"}
+    return files.select("path", F.lit("").alias("source_zip"), "length", *[F.lit(None).cast(kind).alias(name) for name, kind in none.items()])
 
 
-def file_hashes(files: DataFrame) -> DataFrame:
-    """SHA-256 of every file's bytes, as lower-case hex."""
-    return files.select("path", "source_zip", F.sha2("content", 256).alias("file_hash"))
+def read_contents(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``path, source_zip, length, content, error`` of named files."""
+    return opened.contents(loose_work(listing_of(spark, paths)))
 
 
 def union_listings(loose: DataFrame, archived: DataFrame) -> DataFrame:

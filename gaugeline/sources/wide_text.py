@@ -1,43 +1,115 @@
-"""Large files as lines: a splittable text scan that keeps raw bytes, so that one file spreads over many tasks."""
+"""Large files as lines: each is cut into splits that tasks read on their own, quoted line ends and two-byte charsets included.
+
+1. ``charsets``: how a file's lines are found and decoded, from its first bytes and, where these don't say, from all its splits.
+2. ``place``: every split is read once for what it does to the state of quotes; a scan over one row per split gives the state in
+   which each begins. Where the header rows begin is read from the file's head, however long they are.
+3. ``opened.read_records``: every split gives the records that begin in it.
+
+An archive entry is one split, because it can only be inflated from its beginning.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from gaugeline.functions.text import metadata_path
+from gaugeline.functions.decode import AUTO, charset_of, decode_by, decode_text, java_charset, marked_charset, merged_facts
+from gaugeline.functions.text import chomp
 from gaugeline.session import configure
-from gaugeline.sources.files import escape_glob
+from gaugeline.sources import opened
 
-HEADER_ROWS = 3
+KEYS = ["path", "source_zip"]
+SPLIT_BYTES = 128 << 20
+TRANSCODED = re.compile("(?i)^(UTF-(16|32)|ISO-2022-JP)")
+
+
+def form_of(charset: Column, head: Column) -> Column:
+    """How lines are found. A charset that leaves the byte order open follows the mark, and is big-endian without one."""
+    little = F.coalesce(F.startswith(head, F.unhex(F.lit("FFFE"))), F.lit(False))
+    name = F.upper(charset)
+    return (
+        F.when(name == "UTF-16LE", opened.UTF16_LE)
+        .when(name == "UTF-16BE", opened.UTF16_BE)
+        .when(name == "UTF-16", F.when(little, opened.UTF16_LE).otherwise(opened.UTF16_BE))
+        .when(name == "UTF-32LE", opened.UTF32_LE)
+        .when(name == "UTF-32BE", opened.UTF32_BE)
+        .when(name == "UTF-32", F.when(little, opened.UTF32_LE).otherwise(opened.UTF32_BE))
+        .when(name == "ISO-2022-JP", opened.ISO_2022_JP)
+        .otherwise(opened.BYTES)
+    )
 
 
-def read_lines(spark: SparkSession, paths: list[str], split_bytes: int = 128 << 20) -> DataFrame:
-    """Non-blank lines of the given files: ``path, source_zip, length, chunk, header_no, raw``.
+def charsets(spark: SparkSession, work: DataFrame, encoding: str, split_bytes: int, total_bytes: int, rows: int) -> DataFrame:
+    """``work`` (with ``head``, the first bytes) and its ``charset, form, bom``."""
+    if encoding.lower() != AUTO:
+        known = work.withColumn("charset", F.lit(java_charset(spark, encoding)))
+    else:
+        configure(spark)
+        marked = work.withColumn("charset", marked_charset(F.col("head")))
+        plain = marked.where(F.col("charset").isNull()).withColumns({"form": F.lit(opened.BYTES), "bom": F.lit(False)})
+        cut = opened.dealt(opened.splits(plain, split_bytes), total_bytes, rows, "split")
+        facts = opened.read_blocks(cut).groupBy(*KEYS).agg(*merged_facts(F.col("raw")))
+        voted = facts.select(*KEYS, charset_of({c: F.col(c) for c in ("escapes", "jis", "utf8", "sjis", "euc")}).alias("voted"))
+        known = marked.join(voted, KEYS, "left").withColumn("charset", F.coalesce("charset", "voted", F.lit("UTF-8"))).drop("voted")
+    bom = F.startswith(F.upper("charset"), F.lit("UTF-"))
+    return known.withColumns({"form": form_of(F.col("charset"), F.col("head")), "bom": bom})
 
-    ``header_no`` is 0, 1, 2 on the three header rows and null on data rows; ``chunk`` numbers the file split a line
-    came from. The scan runs in a session of its own whose open cost equals the split size, so that a task reads
-    exactly one split and the row number within the task is the line number within the split.
+
+def scans(work: DataFrame, split_bytes: int, total_bytes: int, rows: int) -> DataFrame:
+    """What each split of ``work`` (with ``form, bom``) does, see ``opened.scan_splits``."""
+    return opened.scan_splits(opened.dealt(opened.splits(work, split_bytes), total_bytes, rows, "split"))
+
+
+def states(scanned: DataFrame) -> DataFrame:
+    """``scanned`` with ``state`` (before the split) and ``after``.
+
+    A split keeps the state, flips it, or sets it whatever it was. So the state is what was set last, flipped as often as flips
+    follow: two running aggregates over one narrow row per split.
     """
-    reader = configure(spark.newSession())
-    reader.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
-    reader.conf.set("spark.sql.files.openCostInBytes", str(split_bytes))
-    lines = (
-        reader.read.option("lineSep", "\n")
-        .text([escape_glob(p) for p in paths])
-        .select(
-            F.col("_metadata.file_path").alias("uri"),
-            F.col("_metadata.file_size").alias("length"),
-            F.col("_metadata.file_block_start").alias("start"),
-            F.col("value").cast("binary").alias("raw"),
-        )
-        .where(~F.col("raw").isin(b"", b"\r"))
-        .withColumn("line_no", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)))
-    )
-    return lines.select(
-        metadata_path(F.col("uri")).alias("path"),
-        F.lit("").alias("source_zip"),
-        "length",
-        F.floor(F.col("start") / split_bytes).alias("chunk"),
-        F.when((F.col("start") == 0) & (F.col("line_no") < HEADER_ROWS), F.col("line_no").cast("int")).alias("header_no"),
-        "raw",
-    )
+    order = Window.partitionBy(*KEYS).orderBy("split")
+    before, until = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(Window.unboundedPreceding, 0)
+    flips = ((F.col("if_none") == opened.OPEN) & (F.col("if_open") == opened.NONE)).cast("int")
+    counted = scanned.withColumn("flips", F.sum(flips).over(until))
+    odd = F.pmod("flips", F.lit(2)).cast("int")
+    counted = counted.withColumn("mark", F.when(F.col("if_none") == F.col("if_open"), F.col("if_none").bitwiseXOR(odd)))
+    last = F.coalesce(F.last("mark", ignorenulls=True).over(before), F.lit(opened.NONE))
+    flipped = F.coalesce(F.pmod(F.last("flips").over(before), F.lit(2)).cast("int"), F.lit(0))
+    placed = counted.withColumn("state", last.bitwiseXOR(flipped)).drop("flips", "mark")
+    return placed.withColumn("after", F.when(F.col("state") == opened.NONE, F.col("if_none")).otherwise(F.col("if_open")))
+
+
+def scan_errors(placed: DataFrame) -> DataFrame:
+    """``path, source_zip, scan_error, heads`` of every file of ``states``."""
+    open_at_end = F.max_by("after", "split") == opened.OPEN
+    error = F.coalesce(F.max("error"), F.when(open_at_end, "unbalanced quotes"))
+    return placed.groupBy(*KEYS).agg(error.alias("scan_error"), F.max_by("heads", F.when(F.col("split") == 0, 1)).alias("heads"))
+
+
+def place(work: DataFrame, placed: DataFrame, heads: DataFrame, split_bytes: int) -> DataFrame:
+    """Splits ready for ``opened.read_records``: those of ``work`` (with ``form, bom, charset``) with their states and header places."""
+    cut = opened.splits(work, split_bytes, "charset")
+    return cut.join(placed.select(*KEYS, "split", "state"), [*KEYS, "split"]).join(heads.select(*KEYS, "heads"), KEYS)
+
+
+def decoded(spark: SparkSession, lines: DataFrame, encoding: str) -> DataFrame:
+    """``line`` of records. What had to be decoded to find its lines is in UTF-8 already."""
+    if encoding.lower() != AUTO:
+        name = java_charset(spark, encoding)
+        text = decode_text(spark, F.col("raw"), "UTF-8" if TRANSCODED.match(name) else name)
+    else:
+        configure(spark)
+        text = decode_by(F.col("raw"), F.when(F.rlike("charset", F.lit(TRANSCODED.pattern)), "UTF-8").otherwise(F.col("charset")))
+    return lines.withColumn("line", text).withColumn("line", F.expr(chomp("line")))
+
+
+def read_lines(spark: SparkSession, paths: list[str], split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """Non-blank records of named files in a charset of single bytes: ``path, source_zip, length, chunk, header_no, raw, charset, error``."""
+    from gaugeline.sources.files import listing_of, loose_work
+
+    files = loose_work(listing_of(spark, paths))
+    work = files.withColumns({"charset": F.lit("UTF-8"), "form": F.lit(opened.BYTES), "bom": F.lit(False)})
+    total = files.agg(F.sum("length")).first()[0] or 0
+    rows = total // split_bytes + len(paths)
+    placed = states(scans(work, split_bytes, total, rows))
+    return opened.read_records(opened.dealt(place(work, placed, scan_errors(placed), split_bytes), total, rows, "split"), split_bytes)
