@@ -27,7 +27,7 @@ from gaugeline.operators import skip, wide
 from gaugeline.operators.enrich import for_storage
 from gaugeline.operators.ledger import status_events
 from gaugeline.operators.sinks import write_batch
-from gaugeline.plans.lake import Lake
+from gaugeline.plans.lake import CommitConflict, Lake
 from gaugeline.schemas import COMPLETED, DEFAULTS, FAILED, IN_PROGRESS, LISTING, PROFILE, STAT_COLUMNS
 from gaugeline.sources import archives, files as loose, opened, wide_text
 
@@ -268,9 +268,25 @@ def ingest_files(
     opt = options or Options(**changes)
     spark = lake.spark
     ingest_id = ingest_id or f"run-{uuid.uuid4().hex}"
-    listed_at, plan_at = lake.work_path(ingest_id, "listing"), lake.work_path(ingest_id, "plan")
     lake.clear_work(ingest_id)
-    named = listing.select(*LISTING.fieldNames())
+    given = lake.work_path(ingest_id, "given")
+    listing.select(*LISTING.fieldNames()).write.mode("overwrite").parquet(given)
+    for attempt in range(ATTEMPTS):
+        try:
+            stats = _attempt(lake, spark.read.schema(LISTING).parquet(given), ingest_id, opt)
+            break
+        except CommitConflict:
+            if attempt == ATTEMPTS - 1:
+                raise
+    lake.clear_work(ingest_id)
+    return spark.createDataFrame([tuple(stats.values())], ", ".join(f"{name} bigint" for name in stats))
+
+
+def _attempt(lake: Lake, named: DataFrame, ingest_id: str, opt: Options) -> dict[str, int]:
+    """Decide on the ledger as it is now, write, and commit; the statistics."""
+    spark = lake.spark
+    listed_at, plan_at = lake.work_path(ingest_id, "listing"), lake.work_path(ingest_id, "plan")
+    since = lake.state()[0]
     processed = lake.processed_files(settled=True)
     if opt.process_all:
         named = named.withColumn("by_name", F.lit(False))
@@ -282,16 +298,14 @@ def ingest_files(
     mark = listed.agg(F.concat_ws(":", F.count(F.lit(1)), F.bit_xor(file), F.bit_xor(F.xxhash64(file)))).first()[0]
 
     done = lake.commit_of(ingest_id)
-    if done is None:
-        lake.clear_batch(ingest_id)
-        stats = _run(lake, listed, processed, ingest_id, opt, plan_at)
-        lake.commit(ingest_id, mark, stats)
-    else:
+    if done is not None:
         if done["listing"] not in (None, mark):
             raise ValueError(f"batch {ingest_id} is committed with other files")
-        stats = {name: done[name] for name in STAT_COLUMNS}
-    lake.clear_work(ingest_id)
-    return spark.createDataFrame([tuple(stats.values())], ", ".join(f"{name} bigint" for name in stats))
+        return {name: done[name] for name in STAT_COLUMNS}
+    lake.clear_batch(ingest_id)
+    stats = _run(lake, listed, processed, ingest_id, opt, plan_at)
+    lake.commit(ingest_id, mark, stats, since)
+    return stats
 
 
 def _run(lake: Lake, listed: DataFrame, processed: DataFrame, ingest_id: str, opt: Options, plan_at: str) -> dict[str, int]:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
+import time
 import uuid
-
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F
@@ -24,15 +25,29 @@ from gaugeline.schemas import (
     STORED_READINGS,
     TIMEOUT,
 )
-from gaugeline.session import configure, delete_path, path_exists, rename_path
+from gaugeline.session import configure, delete_path, list_names, path_exists, put_if_absent, read_text
+
+
+class CommitConflict(RuntimeError):
+    """Another batch was committed since this one read the ledger: what it decided may no longer hold."""
+
+
+#: Log entries as Spark reads them.
+_LOG = "version bigint, kind string, ledger string, before string, ingest_id string, committed_us bigint, listing string, " + ", ".join(f"{c} bigint" for c in STAT_COLUMNS)
 
 
 class Lake:
-    """Readings and ledger below ``root``.
+    """Readings, ledger and log below ``root``.
+
+    The log is a folder of numbered entries, each put under a number that wasn't taken. Every change takes the next number, so
+    changes have one order, whoever makes them:
 
-    A batch becomes visible by its row in ``commits``, written last. Readings of an uncommitted batch are not read,
-    and its COMPLETED events do not count, so a run that dies half-way leaves nothing behind that a later run sees.
-    One writer at a time is assumed.
+    * ``commit`` makes a batch visible. Readings of a batch without one are not read and its COMPLETED events do not count, so a
+      run that dies half-way leaves nothing behind that a later run sees. A commit is refused if another batch was committed
+      since this one read the ledger; ``ingest_files`` then decides anew.
+    * ``events`` tells that events were added to the ledger.
+    * ``compact`` puts a rewritten ledger and list of commits in the place of the old ones. Until its entry stands the old ones
+      count. Events that were added to a ledger while it was replaced are added again to the new one.
     """
 
     def __init__(self, spark: SparkSession, root: str, ledger_key: str = "name") -> None:
@@ -45,12 +60,29 @@ class Lake:
         return f"{self.root}/readings"
 
     @property
-    def ledger_path(self) -> str:
-        return f"{self.root}/ledger"
+    def log_path(self) -> str:
+        return f"{self.root}/log"
 
-    @property
-    def commits_path(self) -> str:
-        return f"{self.root}/commits"
+    def ledger_path(self, ledger: str) -> str:
+        return f"{self.root}/ledger/{ledger}"
+
+    # --- log -------------------------------------------------------------------------------------------------
+
+    def versions(self) -> list[int]:
+        return sorted(int(n.removesuffix(".json")) for n in list_names(self.spark, self.log_path) if n.endswith(".json") and not n.startswith("."))
+
+    def entry(self, version: int) -> dict:
+        return json.loads(read_text(self.spark, f"{self.log_path}/{version:020d}.json"))
+
+    def state(self) -> tuple[int, str, str | None]:
+        """The last version, the ledger that counts, and the one before it."""
+        versions = self.versions()
+        last = self.entry(versions[-1]) if versions else {"ledger": "0", "before": None}
+        return (versions[-1] if versions else 0), last["ledger"], last["before"]
+
+    def _put(self, version: int, kind: str, ledger: str, before: str | None, **values) -> bool:
+        text = json.dumps({"version": version, "kind": kind, "ledger": ledger, "before": before, **values})
+        return put_if_absent(self.spark, f"{self.log_path}/{version:020d}.json", text)
 
     def work_path(self, ingest_id: str, name: str) -> str:
         return f"{self.root}/work/{ingest_id}/{name}"
@@ -58,7 +90,14 @@ class Lake:
     # --- reading ---------------------------------------------------------------------------------------------
 
     def commits(self) -> DataFrame:
-        return read_or_empty(self.spark, self.commits_path, COMMITS)
+        """Commits of the last compaction, and the log's entries since."""
+        _, ledger, _ = self.state()
+        old = read_or_empty(self.spark, f"{self.log_path}/{ledger}", COMMITS)
+        if not path_exists(self.spark, self.log_path):
+            return old
+        entries = self.spark.read.schema(_LOG).json(f"{self.log_path}/*.json")
+        new = entries.where((F.col("kind") == "commit") & (F.col("ledger") == ledger)).withColumn("committed_at", F.timestamp_micros("committed_us"))
+        return old.unionByName(new.select(*COMMITS.fieldNames()))
 
     def commit_of(self, ingest_id: str) -> Row | None:
         return self.commits().where(F.col("ingest_id") == ingest_id).first()
@@ -87,7 +126,7 @@ class Lake:
 
         ``settled`` leaves out everything that such batches wrote, so that a run which died changes no decision.
         """
-        events = read_or_empty(self.spark, self.ledger_path, LEDGER_EVENT)
+        events = read_or_empty(self.spark, self.ledger_path(self.state()[1]), LEDGER_EVENT)
         flagged = events.join(self._published().withColumn("published", F.lit(True)), "ingest_id", "left")
         counts = F.col("ingest_id").isNull() | F.col("published").isNotNull()
         if not settled:
@@ -106,7 +145,16 @@ class Lake:
     # --- ledger ----------------------------------------------------------------------------------------------
 
     def append_events(self, events: DataFrame) -> None:
-        events.write.mode("append").parquet(self.ledger_path)
+        """Add events to the ledger that counts. If it is replaced meanwhile they are added to the next one, too."""
+        _, written, _ = self.state()
+        events.write.mode("append").parquet(self.ledger_path(written))
+        while True:
+            version, ledger, before = self.state()
+            if ledger != written:
+                events.write.mode("append").parquet(self.ledger_path(ledger))
+                written = ledger
+            elif self._put(version + 1, "events", ledger, before):
+                return
 
     def append_status(self, files: DataFrame, status: str, ingest_id: str | None = None, seq: int = 0) -> None:
         """Put all files of a DataFrame in a state with one write."""
@@ -117,11 +165,20 @@ class Lake:
         now = dt.datetime.now(dt.timezone.utc)
         self.append_events(ledger_ops.removal_events(files, now, ledger_key=self.ledger_key))
 
-    def commit(self, ingest_id: str, listing: str | None = None, stats: Mapping[str, int] | None = None) -> None:
-        now = dt.datetime.now(dt.timezone.utc)
-        counts = [(stats or {}).get(name) for name in STAT_COLUMNS]
-        row = self.spark.createDataFrame([(ingest_id, now, listing, *counts)], COMMITS)
-        row.coalesce(1).write.mode("append").parquet(self.commits_path)
+    def commit(self, ingest_id: str, listing: str | None = None, stats: Mapping[str, int] | None = None, since: int | None = None) -> None:
+        """Make a batch visible. ``since`` is the version at which it read the ledger: later commits of others are a conflict."""
+        counts = {name: (stats or {}).get(name) for name in STAT_COLUMNS}
+        checked = since
+        while True:
+            version, ledger, before = self.state()
+            if since is not None:
+                for number in self.versions():
+                    if number > checked and self.entry(number)["kind"] == "commit":
+                        raise CommitConflict(f"batch {ingest_id}: version {number} was committed after version {since}")
+                checked = version
+            now = time.time_ns() // 1000
+            if self._put(version + 1, "commit", ledger, before, ingest_id=ingest_id, committed_us=now, listing=listing, **counts):
+                return
 
     def clear_batch(self, ingest_id: str) -> None:
         """Empty the readings of a batch that was not committed."""
@@ -131,17 +188,32 @@ class Lake:
         delete_path(self.spark, f"{self.root}/work/{ingest_id}")
 
     def compact(self) -> None:
-        """Rewrite ledger and commits, which grow by a few small files with every batch, as one file per task.
+        """Rewrite ledger and commits, which grow by a few small files with every batch, as few files under a new version.
 
-        Readers and writers must be at rest. The new table is complete before the old one goes.
+        Others may read and write meanwhile. Whatever happens before the last step leaves the lake as it was. Of what was
+        replaced, the last ledger stays for those who still read it; older ones and their log entries go.
         """
-        for path, schema in ((self.ledger_path, LEDGER_EVENT), (self.commits_path, COMMITS)):
-            rows = read_or_empty(self.spark, path, schema)
-            if not path_exists(self.spark, path):
-                continue
-            rows.coalesce(max(1, len(rows._jdf.inputFiles()) // 1000)).write.mode("overwrite").parquet(f"{path}.compact")
-            delete_path(self.spark, path)
-            rename_path(self.spark, f"{path}.compact", path)
+        while True:
+            version, ledger, before = self.state()
+            if not version:
+                return
+            new = uuid.uuid4().hex
+            for rows, path in (
+                (read_or_empty(self.spark, self.ledger_path(ledger), LEDGER_EVENT), self.ledger_path(new)),
+                (self.commits(), f"{self.log_path}/{new}"),
+            ):
+                rows.coalesce(max(1, len(rows._jdf.inputFiles()) // 1000)).write.mode("overwrite").parquet(path)
+            if self._put(version + 1, "compact", new, ledger):
+                break
+            delete_path(self.spark, self.ledger_path(new))
+            delete_path(self.spark, f"{self.log_path}/{new}")
+        for old in set(list_names(self.spark, f"{self.root}/ledger")) - {new, ledger}:
+            if old == before:
+                delete_path(self.spark, self.ledger_path(old))
+                delete_path(self.spark, f"{self.log_path}/{old}")
+        for number in self.versions():
+            if number <= version and self.entry(number)["ledger"] == before:
+                delete_path(self.spark, f"{self.log_path}/{number:020d}.json")
 
     def rollback(self, ingest_id: str) -> None:
         """Give up a batch. Nothing of it is visible before ``commit``; its folders are emptied."""

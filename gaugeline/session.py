@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 #: Needed by ``decode``: Japanese charsets, and bad bytes replaced by U+FFFD instead of failing the job.
@@ -62,10 +64,54 @@ def delete_path(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def rename_path(spark: SparkSession, old: str, new: str) -> None:
-    at = spark._jvm.org.apache.hadoop.fs.Path(old)
-    if not at.getFileSystem(spark._jsc.hadoopConfiguration()).rename(at, spark._jvm.org.apache.hadoop.fs.Path(new)):
-        raise OSError(f"{old} can't be renamed to {new}")
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, none if it isn't there."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in system.listStatus(at)] if system.exists(at) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file, read by the driver."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = at.getFileSystem(spark._jsc.hadoopConfiguration()).open(at)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def put_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a small file with this text under a name that isn't taken, complete at once; False if it is taken.
+
+    A link does that on local disks; elsewhere a rename that never replaces, as atomic as the file system's (HDFS, ABFS, GCS; plain S3
+    needs a committer of its own).
+    """
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(at.getParent())
+    draft = spark._jvm.org.apache.hadoop.fs.Path(at.getParent(), f".{uuid.uuid4().hex}")
+    stream = system.create(draft, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    try:
+        if system.getScheme() == "file":
+            local = [system.makeQualified(p).toUri().getPath() for p in (draft, at)]
+            os.link(*local)
+        else:
+            none = spark._jvm.org.apache.hadoop.fs.Options.Rename.NONE
+            options = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+            options[0] = none
+            spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(at.toUri(), spark._jsc.hadoopConfiguration()).rename(draft, at, options)
+    except FileExistsError:
+        return False
+    except Py4JJavaError as e:
+        if "FileAlreadyExistsException" in str(e.java_exception):
+            return False
+        raise
+    finally:
+        system.delete(draft, False)
+    return True
 
 
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:

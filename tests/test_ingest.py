@@ -296,6 +296,98 @@ def test_compaction_changes_nothing(lake, folder):
     assert (table(lake), sorted(map(tuple, lake.processed_files().collect()))) == before
 
 
+def test_a_crash_in_compaction_leaves_everything(spark, lake, folder, monkeypatch):
+    """It may die after each of its writes; the lake stays as it was and takes up no file again."""
+    from gaugeline.plans import lake as lake_module
+
+    for i in range(2):
+        folder.put(f"test_{i}.csv", HEAD + ROWS.replace(",1,", f",{i},"))
+        run(lake, folder)
+    before = table(lake), sorted(map(tuple, lake.processed_files().collect()))
+    written = lake_module.read_or_empty
+
+    def dying(after):
+        left = [after]
+
+        def read(*args):
+            left[0] -= 1
+            if left[0] < 0:
+                raise InterruptedError
+            return written(*args)
+
+        return read
+
+    for after in (0, 1, 2):
+        with monkeypatch.context() as m:
+            m.setattr(lake_module, "read_or_empty", dying(after))
+            try:
+                lake.compact()
+            except InterruptedError:
+                pass
+        assert (table(lake), sorted(map(tuple, lake.processed_files().collect()))) == before
+    with monkeypatch.context() as m:
+        m.setattr(Lake, "_put", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            lake.compact()
+    assert (table(lake), sorted(map(tuple, lake.processed_files().collect()))) == before
+    for _ in range(3):
+        lake.compact()
+        assert (table(lake), sorted(map(tuple, lake.processed_files().collect()))) == before
+    assert run(lake, folder) == (2, 2, 0, 0, 0, 0)
+    assert len(lake.versions()) < 8
+
+
+def test_two_writers_take_no_file_twice(spark, lake, folder, monkeypatch):
+    """A second writer commits, compacts and marks files while a batch is written: the batch decides anew."""
+    folder.put("test_1.csv", HEAD + ROWS)
+    folder.put("test_2.csv", HEAD + ROWS.replace(",1,", ",2,"))
+    other, emit, calls = Lake(spark, lake.root), plan.emit, []
+
+    def while_another_writes(*args):
+        calls.append(1)
+        if len(calls) == 1:
+            with monkeypatch.context() as m:
+                m.setattr(plan, "emit", emit)
+                one = listing_of(spark, [folder.path + "/test_1.csv"])
+                assert tuple(ingest_files(other, one, "other", Options(encoding="utf-8", meta=META)).first()) == (1, 0, 0, 1, 0, 0)
+            other.compact()
+            other.mark_file_as_timeout("later.csv", "h")
+        return emit(*args)
+
+    monkeypatch.setattr(plan, "emit", while_another_writes)
+    assert run(lake, folder, ingest_id="one") == (2, 1, 0, 1, 0, 0)
+    assert len(calls) == 2 and lake.readings().count() == 16
+    assert statuses(lake) == {("test_1.csv", ""): "COMPLETED", ("test_2.csv", ""): "COMPLETED", ("later.csv", ""): "TIMEOUT"}
+
+
+def test_a_number_is_taken_once(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from gaugeline.session import list_names, put_if_absent, read_text
+
+    path = str(tmp_path / "log" / "1.json")
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda i: put_if_absent(spark, path, f"text {i}"), range(8)))
+    assert won.count(True) == 1 and read_text(spark, path) == f"text {won.index(True)}"
+    assert list_names(spark, str(tmp_path / "log")) == ["1.json"] and list_names(spark, str(tmp_path / "no")) == []
+
+
+def test_events_of_a_replaced_ledger_are_kept(spark, lake, monkeypatch):
+    lake.mark_file_as_completed("a.csv", "h1")
+    state, other, calls = lake.state, Lake(spark, lake.root), []
+
+    def then_compact():
+        found = state()
+        if not calls:
+            calls.append(1)
+            other.compact()
+        return found
+
+    monkeypatch.setattr(lake, "state", then_compact)
+    lake.mark_file_as_failed("b.csv", "h2")
+    assert other.get_file_status("a.csv") == "COMPLETED" and other.get_file_status("b.csv") == "FAILED"
+
+
 def test_streams_with_other_checkpoints_and_archives(spark, lake, folder, tmp_path):
     options = Options(encoding="utf-8", meta=META)
     folder.put("x[1]/test_1.csv", HEAD + ROWS)
