@@ -1020,3 +1020,28 @@ def auto_charsets(spark, sf_dir):
     ingest_folder(lake, folder, "test", options=Options(encoding="auto", meta=META, dedup_within_batch=False, **_BOTH_WAYS))
     number = F.regexp_extract("source_file", r"test_(\d+)", 1).cast("bigint")
     return lake.readings().select(number.alias("doc_id"), "Time", "value")
+
+
+@query(
+    "stream_mixed",
+    f"""SELECT CASE WHEN doc_id % 3 = 2 THEN 'day/' ELSE '' END || CASE WHEN doc_id % 3 = 1 THEN '_' ELSE '' END || 'test_' || doc_id || '.csv' AS file,
+               CASE WHEN doc_id % 3 = 2 THEN {_ZIP_OF} ELSE '' END AS archive, CASE WHEN doc_id % 7 = 0 THEN 'FAILED' ELSE 'COMPLETED' END AS status,
+               CASE WHEN doc_id % 7 = 0 THEN 0 ELSE count(*) END AS n
+        FROM ({_PIECES.format("documents")}) GROUP BY doc_id""",
+)
+def stream_mixed(spark, sf_dir):
+    """A stream over loose, hidden, empty and archived files, in snapshots: its ledger and its readings per file."""
+    folder, root = shared_dir(spark, "files"), shared_dir(spark, "lake")
+    n, empty_one = F.col("doc_id"), F.col("doc_id") % 7 == 0
+    made = piece_files(spark, sf_dir).withColumn("content", F.when(empty_one, F.lit(b"")).otherwise(F.col("content")))
+    name = F.concat(F.when(n % 3 == 1, "_").otherwise(""), F.lit("test_"), n, F.lit(".csv"))
+    put_files(made.where(n % 3 != 2).select(F.concat(F.lit(f"{folder}/"), F.pmod(F.xxhash64(n), F.lit(7)), F.lit("/"), name).alias("path"), "content"))
+    archive = F.concat(F.lit(f"{folder}/_zip/"), F.pmod(n, F.lit(_ARCHIVES)), F.lit(".zip"))
+    put_archives(made.where(n % 3 == 2).select(archive.alias("archive"), F.concat(F.lit("day/"), name).alias("name"), "content"))
+    lake, options = Lake(spark, root), Options(encoding="utf-8", meta=META, process_all=True, whole_file_bytes=60_000, split_bytes=20_000)
+    files_per_snapshot = max(1, made.count() // 2)
+    stream_ingest(lake, folder, f"{root}-checkpoint", "test", max_files_per_trigger=files_per_snapshot, options=options).awaitTermination()
+    counts = rows_per_file(lake.readings()).select(F.col("source_file").alias("full_path"), "source_zip", "n_rows")
+    joined = lake.events().where(F.col("status").isin(COMPLETED, FAILED)).join(counts, ["full_path", "source_zip"], "left")
+    file = F.when(F.col("source_zip") == "", basename(F.col("full_path"))).otherwise(F.col("full_path"))
+    return joined.select(file.alias("file"), basename(F.col("source_zip")).alias("archive"), "status", F.coalesce("n_rows", F.lit(0)).alias("n"))

@@ -13,8 +13,6 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gaugeline.functions.text import basename
-from gaugeline.schemas import LISTING
-from gaugeline.session import empty
 from gaugeline.sources import opened
 
 # The functions below travel to the executors with the job, which need not have this package installed.
@@ -112,13 +110,6 @@ def as_listing(entries: DataFrame) -> DataFrame:
     )
 
 
-def entries_of(spark: SparkSession, archives: list[str], pattern: str) -> DataFrame:
-    """A listing of the matching entries of a bounded list of archives."""
-    if not archives:
-        return empty(spark, LISTING)
-    return as_listing(directories(spark.createDataFrame([(p,) for p in archives], "path string"), pattern))
-
-
 def resolve_entries(requests: DataFrame, entries: DataFrame) -> DataFrame:
     """Find requested ``(source_zip, path)`` among listed entries.
 

@@ -19,7 +19,6 @@ import sys
 import zipfile
 import zlib
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -61,10 +60,14 @@ WORK_COLUMNS = ["path", "source_zip", "length", "offset", "packed", "method", "c
 # --- file systems ---------------------------------------------------------------------------------------------------
 
 
-@lru_cache(maxsize=64)
+_SYSTEMS: dict[str, tuple] = {}
+
+
 def _file_system(root: str) -> tuple[pafs.FileSystem, str]:
-    found, base = pafs.FileSystem.from_uri(root)
-    return found, base.rstrip("/")
+    if root not in _SYSTEMS:
+        found, base = pafs.FileSystem.from_uri(root)
+        _SYSTEMS[root] = found, base.rstrip("/")
+    return _SYSTEMS[root]
 
 
 def locate(uri: str) -> tuple[pafs.FileSystem, str]:
