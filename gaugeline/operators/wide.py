@@ -10,7 +10,7 @@ Two input shapes share one core:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from gaugeline.functions.decode import decode_text
 from gaugeline.functions.text import (
@@ -24,6 +24,7 @@ from gaugeline.functions.text import (
     split_fields,
     split_lines,
 )
+from gaugeline.operators import order
 
 FILE_KEYS = ["path", "source_zip"]
 READING_KEYS = ["Time", "value", "sensor_id", "sensor_name", "unit"]
@@ -269,13 +270,8 @@ def decode_lines(spark: SparkSession, raw_lines: DataFrame, encoding: str) -> Da
     return decoded.withColumn("line", F.expr(chomp("line")))
 
 
-def profile_lines(lines: DataFrame, trailing: str = DROP_IF_BLANK) -> DataFrame:
-    """One row per file: fingerprint, sensors, error, repeats.
-
-    Lines are first grouped by file and time (partial sums on the map side), which tells whether times repeat; the
-    second grouping is by file. No group is gathered: only maxima, and the three header rows. Lines may carry an ``error`` from
-    reading, which becomes the file's.
-    """
+def _timed(lines: DataFrame, trailing: str) -> DataFrame:
+    """What a profile needs of every line."""
     kept = [*FILE_KEYS, "chunk", "header_no", "error AS read_error" if "error" in lines.columns else "CAST(NULL AS string) AS read_error"]
     raw = lines.selectExpr(
         *kept,
@@ -285,15 +281,49 @@ def profile_lines(lines: DataFrame, trailing: str = DROP_IF_BLANK) -> DataFrame:
         f"CASE WHEN header_no IS NULL THEN {first_field('line')} END AS first",
     )
     valued = raw.withColumn("first", F.expr(field_value("first")))
-    timed = valued.withColumns({"Time": F.expr(parse_time("first")), "has_time": F.col("first").isNotNull()})
+    return valued.withColumns({"Time": F.expr(parse_time("first")), "has_time": F.col("first").isNotNull()}).drop("first")
+
+
+def _with_sensors(per_file: DataFrame, trailing: str, *carried: str) -> DataFrame:
+    """Profiles from per-file facts."""
+    facts = [*FILE_KEYS, *carried, "read_error", "open_quote", "width", "bad_time", "repeats", "last_chunk", "head"]
+    texts = per_file.selectExpr(*facts, *[f"get(head, {i}).line AS h{i}" for i in range(3)])
+    heads = texts.selectExpr(*facts, *[f"{header_cells(f'h{i}')} AS h{i}" for i in range(3)])
+    sensors = heads.selectExpr(
+        *facts, f"{kept_sensors('h0', 'h1', 'h2', 'width' if trailing == DROP_LAST else None)} AS sensors"
+    )
+    sensors = sensors.selectExpr("*", f"{sensor_keys('sensors')} AS keys").withColumn("sensors", F.expr(mark_twins("sensors", "keys")))
+    return sensors.selectExpr(
+        *FILE_KEYS,
+        *carried,
+        """CASE WHEN read_error IS NOT NULL THEN read_error
+                WHEN open_quote THEN 'unbalanced quotes'
+                WHEN size(head) < 3 THEN 'fewer than 3 header rows'
+                WHEN size(sensors) > 0 AND bad_time THEN 'unparsable Time' END AS error""",
+        f"{_repeats('repeats')} AS repeats",
+        "last_chunk",
+        "sensors",
+    )
+
+
+def _by_time(lines: DataFrame, trailing: str = DROP_IF_BLANK) -> DataFrame:
     # The texts are keys (null on data rows): as aggregates they would rule out hashing.
-    by_time = timed.groupBy(*FILE_KEYS, "header_no", "header", "read_error", "Time", "has_time").agg(
+    return _timed(lines, trailing).groupBy(*FILE_KEYS, "header_no", "header", "read_error", "Time", "has_time").agg(
         F.expr("count(1) AS n"),
         F.expr("max(open_quote) AS open_quote"),
         F.expr("max(width) AS width"),
         F.expr("max(chunk) AS chunk"),
     )
-    per_file = by_time.groupBy(*FILE_KEYS).agg(
+
+
+def profile_lines(lines: DataFrame, trailing: str = DROP_IF_BLANK) -> DataFrame:
+    """One row per file: sensors, error, repeats.
+
+    Lines in any order: they are first grouped by file and time (partial sums on the map side), which tells whether times
+    repeat; the second grouping is by file. No group is gathered: only maxima, and the three header rows. Lines may carry an
+    ``error`` from reading, which becomes the file's.
+    """
+    per_file = _by_time(lines, trailing).groupBy(*FILE_KEYS).agg(
         F.expr("max(read_error) AS read_error"),
         F.expr("max(open_quote) AS open_quote"),
         F.expr("max(width) AS width"),
@@ -305,24 +335,35 @@ def profile_lines(lines: DataFrame, trailing: str = DROP_IF_BLANK) -> DataFrame:
             " THEN named_struct('no', header_no, 'line', header) END)) AS head"
         ),
     )
-    facts = ["read_error", "open_quote", "width", "bad_time", "repeats", "last_chunk", "head"]
-    facts = [*FILE_KEYS, *facts]
-    texts = per_file.selectExpr(*facts, *[f"get(head, {i}).line AS h{i}" for i in range(3)])
-    heads = texts.selectExpr(*facts, *[f"{header_cells(f'h{i}')} AS h{i}" for i in range(3)])
-    sensors = heads.selectExpr(
-        *facts, f"{kept_sensors('h0', 'h1', 'h2', 'width' if trailing == DROP_LAST else None)} AS sensors"
-    )
-    sensors = sensors.selectExpr("*", f"{sensor_keys('sensors')} AS keys").withColumn("sensors", F.expr(mark_twins("sensors", "keys")))
-    return sensors.selectExpr(
-        *FILE_KEYS,
-        """CASE WHEN read_error IS NOT NULL THEN read_error
-                WHEN open_quote THEN 'unbalanced quotes'
-                WHEN size(head) < 3 THEN 'fewer than 3 header rows'
-                WHEN size(sensors) > 0 AND bad_time THEN 'unparsable Time' END AS error""",
-        f"{_repeats('repeats')} AS repeats",
-        "last_chunk",
-        "sensors",
+    return _with_sensors(per_file, trailing)
+
+
+def profile_runs(lines: DataFrame, trailing: str = DROP_IF_BLANK) -> DataFrame:
+    """``profile_lines`` of lines that mostly come in the order of their files, without shuffling lines, and ``doubtful``.
+
+    Tasks sum up runs of lines (see ``order``), and only these, one row for thousands of lines, are compared. Times of a file that is
+    ``doubtful`` may repeat, which ``profile_lines`` can tell; all others don't.
+    """
+    timed = _timed(lines, trailing).withColumn("micros", F.unix_micros(F.col("Time").cast("timestamp"))).drop("Time")
+    found = timed.select(*FILE_KEYS, "chunk", "header_no", "header", "read_error", "open_quote", "width", "micros", "has_time").mapInArrow(order.runs, order.RUNS)
+    before = F.lag("last_time").over(Window.partitionBy(*FILE_KEYS, F.col("first_time").isNull()).orderBy("first_time", "last_time"))
+    found = found.withColumn("meets", F.coalesce(F.col("first_time") <= before, F.lit(False)))
+    per_file = found.groupBy(*FILE_KEYS).agg(
+        F.expr("max(read_error) AS read_error"),
+        F.expr("max(open_quote) AS open_quote"),
+        F.expr("max(width) AS width"),
+        F.expr("max(bad_time) AS bad_time"),
+        F.expr("max(meets) OR NOT min(rises) OR sum(without_time) > 1 AS doubtful"),
+        F.expr("max(chunk) AS last_chunk"),
+        F.expr("sort_array(flatten(collect_list(head))) AS head"),
     )
+    return _with_sensors(per_file.withColumn("repeats", F.lit(False)), trailing, "doubtful")
+
+
+def repeated_times(lines: DataFrame) -> DataFrame:
+    """``path, source_zip, Time`` of all times (null ones too) that several data lines of a file have."""
+    data = _by_time(lines).where(F.col("header_no").isNull() & F.col("read_error").isNull())
+    return data.groupBy(*FILE_KEYS, "Time").agg(F.sum("n").alias("n")).where("n > 1").drop("n")
 
 
 def attach_sensors(lines: DataFrame, profiles: DataFrame, broadcastable: bool) -> DataFrame:
@@ -352,13 +393,20 @@ def lookup_fits(profiles: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     return (total or 0) * 3 <= limit
 
 
-def readings_from_lines(
+def timed_lines(
     lines: DataFrame, profiles: DataFrame, broadcastable: bool, scrub: bool = False
 ) -> DataFrame:
-    """Readings of large files, before the distinct. ``scrub`` cleans names as ``scrub_names`` does."""
+    """Data lines of large files with their time and the sensors of their file."""
     joined = attach_sensors(lines, scrub_sensors(profiles) if scrub else profiles, broadcastable)
     if scrub:
         joined = scrub_keys(joined)
     first = joined.selectExpr(*FILE_KEYS, "sensors", "line", f"{first_field('line')} AS first")
     valued = first.selectExpr(*FILE_KEYS, "sensors", "line", f"{field_value('first')} AS first")
-    return cells(valued.selectExpr(*FILE_KEYS, "sensors", f"{parse_time('first')} AS Time", "line"))
+    return valued.selectExpr(*FILE_KEYS, "sensors", f"{parse_time('first')} AS Time", "line")
+
+
+def readings_from_lines(
+    lines: DataFrame, profiles: DataFrame, broadcastable: bool, scrub: bool = False
+) -> DataFrame:
+    """Readings of large files, before the distinct. ``scrub`` cleans names as ``scrub_names`` does."""
+    return cells(timed_lines(lines, profiles, broadcastable, scrub))

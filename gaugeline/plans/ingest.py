@@ -33,6 +33,8 @@ from gaugeline.sources import archives, files as loose, opened, wide_text
 
 #: Files above this size are read as lines, loose ones over many tasks.
 WHOLE_FILE_BYTES = 32 << 20
+#: Repeated times (a file and a time each) that are broadcast; more of them meet their lines in a shuffle.
+REPEATED_TIMES = 200_000
 #: How often the readings of a batch are written anew without files that failed meanwhile.
 ATTEMPTS = 4
 
@@ -135,7 +137,17 @@ def _profile_lines(lake: Lake, work: DataFrame, ingest_id: str, opt: Options, to
     sound = coded.join(scanned.where(F.col("scan_error").isNull()).select(*wide.FILE_KEYS), wide.FILE_KEYS)
     kept("splits", wide_text.place(sound, placed, scanned, opt.split_bytes))
     lines = wide_text.decoded(spark, _records(lake, ingest_id, opt, total, n_splits), opt.encoding)
-    profiled = kept("lines", wide.profile_lines(lines, opt.trailing))
+    first = kept("runs", wide.profile_runs(lines, opt.trailing))
+    doubtful = first.where("doubtful AND error IS NULL").select(*wide.FILE_KEYS)
+    if doubtful.isEmpty():
+        profiled = kept("lines", first.drop("doubtful"))
+    else:
+        # Only lines of files that aren't plainly in order are grouped by their times; the times that do repeat are kept.
+        again = wide_text.decoded(spark, _records(lake, ingest_id, opt, total, n_splits, doubtful), opt.encoding)
+        times = kept("repeated", wide.repeated_times(again)).select(*wide.FILE_KEYS).distinct().withColumn("again", F.lit(True))
+        marked = first.drop("doubtful").join(times, wide.FILE_KEYS, "left")
+        same_time = F.when((F.col("repeats") == wide.NOWHERE) & F.col("again"), wide.SAME_TIME).otherwise(F.col("repeats"))
+        profiled = kept("lines", marked.withColumn("repeats", same_time).drop("again"))
     joined = (
         work.select(*wide.FILE_KEYS, "length")
         .join(digested.select(*wide.FILE_KEYS, "file_hash", F.col("error").alias("read_error")), wide.FILE_KEYS)
@@ -223,8 +235,17 @@ def emit(lake: Lake, todo: DataFrame, ingest_id: str, opt: Options) -> DataFrame
             lines, fits = wide_text.decoded(spark, read, opt.encoding), wide.lookup_fits(profiles)
             if repeats == wide.NOWHERE:
                 put(clear(wide.readings_from_lines(lines, profiles, fits, scrub=True)))
-            else:
+            elif repeats == wide.ANYWHERE:
                 put(doubtful(wide.readings_from_lines(lines, profiles, fits)))
+            else:
+                # Only lines whose time repeats can be equal; the others go past the distinct.
+                times = spark.read.parquet(lake.work_path(ingest_id, "repeated")).withColumn("again", F.lit(True))
+                few = times.limit(REPEATED_TIMES + 1).count() <= REPEATED_TIMES
+                timed = wide.timed_lines(lines, profiles, fits)
+                same = F.col("l.Time").eqNullSafe(F.col("t.Time")) & (F.col("l.path") == F.col("t.path")) & (F.col("l.source_zip") == F.col("t.source_zip"))
+                split = timed.alias("l").join((F.broadcast(times) if few else times).alias("t"), same, "left").select("l.*", "again")
+                unique = clear(wide.cells(wide.scrub_names(split.where(F.col("again").isNull()).drop("again"))))
+                put(unique.unionByName(doubtful(wide.cells(split.where("again").drop("again")))))
         else:
             raw = opened.contents(opened.dealt(group, total, rows))
             read, seen = watched(raw)

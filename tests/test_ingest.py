@@ -164,6 +164,22 @@ def test_one_content_whole_large_and_archived(spark, folder, tmp_path, split_byt
     assert run(lake, folder, whole_file_bytes=1 << 20)[1:4] == (2, 2, 0)
 
 
+@pytest.mark.parametrize("few", [True, False])
+def test_only_repeated_times_reach_the_distinct(spark, folder, tmp_path, monkeypatch, few):
+    """Equal rows collapse in large files, wherever they lie; with many repeated times as with few."""
+    monkeypatch.setattr(plan, "REPEATED_TIMES", 10 if few else 0)
+    lines = [f"2024/3/{1 + i // 24} {i % 24}:00:00,{i},{i % 3},x,{i},\n" for i in range(200)]
+    folder.put("test_a.csv", HEAD + "".join(lines) + lines[7] + lines[7].replace(",7,", ",8,") + lines[150])
+    folder.put("test_b.csv", HEAD + "".join(lines[::-1]))
+    folder.put("test_c.csv", HEAD.replace("fan", "fan\x01") + "".join(lines) + ",1,2,3,4,\n" * 2)
+    got = []
+    for limit in (1 << 20, 100):
+        lake = Lake(spark, str(tmp_path / str(limit)))
+        assert run(lake, folder, whole_file_bytes=limit, split_bytes=700) == (3, 0, 0, 3, 0, 0)
+        got.append(table(lake))
+    assert got[0] == got[1] and len(got[0]) > 2000
+
+
 def test_headers_longer_than_a_split(spark, folder, tmp_path):
     wide_head = "".join("," + ",".join(f'"{n} {i}\nx"' for i in range(40)) + "\n" for n in ("id", "name", "unit"))
     folder.put("test.csv", wide_head + "2024/3/5 7:30:0," + ",".join(map(str, range(40))) + ",\n")

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from conftest import HEAD, readings
 
@@ -83,3 +85,32 @@ def test_broadcast_only_below_the_limit(spark, folder):
     lines = lines_of(spark, [path])
     salted = wide.attach_sensors(lines, profiles, False)._jdf.queryExecution().optimizedPlan().toString()
     assert "chunk" in salted and "broadcast" not in salted
+
+
+def test_runs_tell_what_grouping_by_time_tells(spark, folder):
+    """Ordered files are told apart without a shuffle of lines; doubtful ones are those that repeat or aren't in order."""
+    shuffled = body(60).splitlines(keepends=True)
+    random.Random(1).shuffle(shuffled)
+    texts = {
+        "ordered": HEAD + body(4000),
+        "repeats": HEAD + body(50) + body(1, 49),
+        "far": HEAD + body(3000) + body(1),
+        "shuffled": HEAD + "".join(shuffled),
+        "parts": HEAD + body(100, 100) + body(100),
+        "blank": HEAD + body(3) + ",1,2,3,4,\n" * 2,
+        "one_blank": HEAD + body(3) + ",1,2,3,4,\n",
+        "bad": HEAD + body(50) + "oops,1,2,3,4,\n",
+        "short": ",1\n,a\n",
+    }
+    at = {folder.put(f"{name}.csv", text): name for name, text in texts.items()}
+    lines = lines_of(spark, list(at), split=4000).persist()
+    found = {at[r.path]: r for r in wide.profile_runs(lines).collect()}
+    exact = {at[r.path]: r for r in wide.profile_lines(lines).collect()}
+    again = {at[r.path] for r in wide.repeated_times(lines).collect()}
+    assert again == {"repeats", "far", "blank"} == {n for n, r in exact.items() if r.repeats == wide.SAME_TIME}
+    for name, r in exact.items():
+        assert (found[name].error, found[name].sensors, found[name].last_chunk) == (r.error, r.sensors, r.last_chunk), name
+        assert found[name].doubtful or r.repeats == wide.NOWHERE
+    assert {n for n, r in found.items() if not r.doubtful} >= {"ordered", "one_blank", "bad", "short"}
+    plan = wide.profile_runs(lines)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("MapInArrow") > plan.index("Window")  # what is shuffled comes after the runs are made
