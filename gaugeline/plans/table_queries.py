@@ -860,65 +860,64 @@ def put_archives(entries: DataFrame) -> None:
 
 
 #: Files of more bytes are read as lines, in splits of so many bytes: low, so that the tables' texts go both ways.
-_BOTH_WAYS = {"whole_file_bytes": 3000, "split_bytes": 1024}
-_PIECE_HEAD = ", P1, P2\n, piece, size\n, text, chars\n"
+_BOTH_WAYS = {"whole_file_bytes": 60_000, "split_bytes": 16_384}
+#: Documents of a file, and files of an archive.
+_FILE_DOCS, _ZIP_FILES = 32, 8
+_PIECE_HEAD = ", P1, P2, P3\n, piece, size, document\n, text, chars, id\n"
+_SCRUB = "regexp_replace({0}, '[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]', '', 'g')"
 
 
 def piece_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``doc_id, content``: every text as a wide file with a data row per sentence, quoted, line ends and all."""
-    row = """concat_ws(',', date_format(timestampadd(SECOND, i, TIMESTAMP_NTZ'2024-01-01 00:00:00'), 'yyyy/M/d H:mm:ss'),
-                concat('"', replace(piece, '"', '""'), '"'), length(piece), '')"""
-    body = f"array_join(transform(split(text, '[.] '), (piece, i) -> {row}), '\n')"
-    docs = dealt(table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text")), "doc_id")
-    return docs.select("doc_id", F.encode(F.concat(F.lit(_PIECE_HEAD), F.expr(body)), "UTF-8").alias("content"))
+    """``n, content``: texts as wide files of ``_FILE_DOCS`` documents each, with a data row per sentence, quoted, line ends and all."""
+    row = f"""concat_ws(',', date_format(timestampadd(SECOND, i + 100000 * (doc_id % {_FILE_DOCS}), TIMESTAMP_NTZ'2024-01-01 00:00:00'), 'yyyy/M/d H:mm:ss'),
+                concat('"', replace(piece, '"', '""'), '"'), length(piece), doc_id, '')"""
+    body = F.expr(f"array_join(transform(split(text, '[.] '), (piece, i) -> {row}), '\n')")
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    made = docs.select("doc_id", body.alias("body")).groupBy(F.floor(F.col("doc_id") / _FILE_DOCS).alias("n")).agg(F.sort_array(F.collect_list(F.struct("doc_id", "body"))).alias("parts"))
+    return made.select("n", F.encode(F.concat(F.lit(_PIECE_HEAD), F.array_join("parts.body", "\n")), "UTF-8").alias("content"))
 
 
-_PIECES = """
-    SELECT doc_id, TIMESTAMP '2024-01-01 00:00:00' + to_seconds(i) AS "Time", v.*
+_PIECES = f"""
+    SELECT doc_id // {_FILE_DOCS} AS n, TIMESTAMP '2024-01-01 00:00:00' + to_seconds(i + 100000 * (doc_id % {_FILE_DOCS})) AS "Time", v.*
     FROM (SELECT doc_id, unnest(string_split(t, '. ')) AS piece, generate_subscripts(string_split(t, '. '), 1) - 1 AS i
-          FROM (SELECT doc_id, coalesce(text, '') AS t FROM {0})),
-    LATERAL (VALUES (nullif(regexp_replace(piece, '[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]', '', 'g'), ''), ' P1'),
-                    (CAST(length(piece) AS VARCHAR), ' P2')) AS v(value, sensor_id)"""
+          FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)),
+    LATERAL (VALUES (nullif({_SCRUB.format("piece")}, ''), ' P1'), (CAST(length(piece) AS VARCHAR), ' P2'), (CAST(doc_id AS VARCHAR), ' P3')) AS v(value, sensor_id)"""
 
 
-@query(
-    "mode_equality",
-    f"""SELECT "Time", value, sensor_id, count(*) AS n FROM ({_PIECES.format("(SELECT min(doc_id) AS doc_id, text FROM documents GROUP BY text)")})
-        GROUP BY "Time", value, sensor_id""",
-)
+@query("mode_equality", f'SELECT n AS file_no, "Time", value, sensor_id FROM ({_PIECES})')
 def mode_equality(spark, sf_dir):
-    """Every text as a loose file and in an archive, small ones whole, larger ones in splits that cut quoted line ends: a content
-    is ingested once, and once more in a batch that reads all on the other way, never."""
+    """Every content as a loose file and in an archive, some read whole, some in splits that cut quoted line ends, then all once
+    more on the other way: each is ingested once."""
     folder, lake = shared_dir(spark, "files"), Lake(spark, shared_dir(spark, "lake"), ledger_key="path")
     made = piece_files(spark, sf_dir)
-    put_files(made.select(F.concat(F.lit(f"{folder}/loose/test_"), "doc_id", F.lit(".csv")).alias("path"), "content"))
-    number = F.pmod(F.xxhash64("doc_id"), F.lit(24))
-    put_archives(made.select(F.concat(F.lit(f"{folder}/zip/"), number, F.lit(".zip")).alias("archive"), F.concat(F.lit("d/test_"), "doc_id", F.lit(".csv")).alias("name"), "content"))
+    named = F.concat(F.lit("test_"), "n", F.lit(".csv"))
+    put_files(made.select(F.concat(F.lit(f"{folder}/loose/"), named).alias("path"), "content"))
+    archive = F.concat(F.lit(f"{folder}/zip/"), F.floor(F.col("n") / _ZIP_FILES), F.lit(".zip"))
+    put_archives(made.select(archive.alias("archive"), F.concat(F.lit("d/"), named).alias("name"), "content"))
     ingest_folder(lake, folder, "^test", options=Options(encoding="utf-8", meta=META, **_BOTH_WAYS))
-    put_files(made.select(F.concat(F.lit(f"{folder}/again/test_"), "doc_id", F.lit(".csv")).alias("path"), "content"))
-    ingest_folder(lake, folder, "^test", options=Options(encoding="utf-8", meta=META, whole_file_bytes=40_000, split_bytes=9000))
-    return lake.readings().groupBy("Time", "value", "sensor_id").agg(F.count("*").alias("n"))
-
-
-_ARCHIVES = 16
+    put_files(made.select(F.concat(F.lit(f"{folder}/again/"), named).alias("path"), "content"))
+    ingest_folder(lake, folder, "^test", options=Options(encoding="utf-8", meta=META, whole_file_bytes=120_000, split_bytes=40_000))
+    number = F.regexp_extract("source_file", r"test_(\d+)", 1).cast("bigint")
+    return lake.readings().select(number.alias("file_no"), "Time", "value", "sensor_id")
 
 
 def document_zips(spark: SparkSession, sf_dir: str, folder: str) -> None:
-    """Texts in archives by id, one in ten of the entries is a table; and archives that are none, by language."""
+    """Files of texts in archives, one in three of the entries a table; and per language an archive that is none."""
     made = piece_files(spark, sf_dir)
-    archive = F.concat(F.lit(f"{folder}/"), F.pmod("doc_id", F.lit(_ARCHIVES)), F.lit(".zip"))
-    name = F.when(F.col("doc_id") % 10 == 3, F.concat(F.lit("day/User_"), "doc_id", F.lit(".csv"))).otherwise(F.concat(F.lit("notes/"), "doc_id", F.lit(".txt")))
+    archive = F.concat(F.lit(f"{folder}/"), F.floor(F.col("n") / _ZIP_FILES), F.lit(".zip"))
+    name = F.when(F.col("n") % 3 == 0, F.concat(F.lit("day/User_"), "n", F.lit(".csv"))).otherwise(F.concat(F.lit("notes/"), "n", F.lit(".txt")))
     put_archives(made.select(archive.alias("archive"), name.alias("name"), "content"))
     bad = table(spark, sf_dir, "documents").groupBy("lang").agg(F.min_by("text", "doc_id").alias("text"))
     put_files(bad.select(F.concat(F.lit(f"{folder}/_bad/"), "lang", F.lit(".zip")).alias("path"), F.encode(F.substring("text", 1, 200), "UTF-8").alias("content")))
 
 
-_ZIP_OF = f"(doc_id % {_ARCHIVES}) || '.zip'"
+_ZIP_OF = f"(n // {_ZIP_FILES}) || '.zip'"
+_FILE_NOS = f"(SELECT DISTINCT doc_id // {_FILE_DOCS} AS n FROM documents)"
 
 
 @query(
     "archive_listing",
-    f"""SELECT {_ZIP_OF} AS archive, 'day/User_' || doc_id || '.csv' AS path, '' AS error FROM documents WHERE doc_id % 10 = 3
+    f"""SELECT {_ZIP_OF} AS archive, 'day/User_' || n || '.csv' AS path, '' AS error FROM {_FILE_NOS} WHERE n % 3 = 0
         UNION ALL SELECT lang || '.zip', '/_bad/' || lang || '.zip', 'invalid archive' FROM documents GROUP BY lang""",
 )
 def archive_listing(spark, sf_dir):
@@ -934,20 +933,21 @@ def archive_listing(spark, sf_dir):
 
 @query(
     "archive_extract",
-    f"""SELECT {_ZIP_OF} AS archive, requested, entry_path, text_hash, error FROM (SELECT doc_id, sha256(coalesce(text, '')) AS text_hash FROM documents),
-        LATERAL (VALUES (CASE WHEN doc_id % 10 = 3 THEN 'day' || chr(92) || 'User_' || doc_id || '.csv' ELSE 'x/' || doc_id || '.txt' END,
-                         CASE WHEN doc_id % 10 = 3 THEN 'day/User_' || doc_id || '.csv' ELSE 'notes/' || doc_id || '.txt' END, NULL)) AS v(requested, entry_path, error)""",
+    f"""SELECT {_ZIP_OF} AS archive, CASE WHEN n % 3 = 0 THEN 'day' || chr(92) || 'User_' || n || '.csv' ELSE 'x/' || n || '.txt' END AS requested,
+               CASE WHEN n % 3 = 0 THEN 'day/User_' || n || '.csv' ELSE 'notes/' || n || '.txt' END AS entry_path, text_hash, CAST(NULL AS VARCHAR) AS error
+        FROM (SELECT doc_id // {_FILE_DOCS} AS n, sha256(string_agg(coalesce(text, ''), '. ' ORDER BY doc_id)) AS text_hash FROM documents GROUP BY 1)""",
 )
 def archive_extract(spark, sf_dir):
-    """Every entry of every archive, asked for with a backslash or in another folder, read from its place; its text is put together
-    again from the sentences."""
-    folder = shared_dir(spark, "zips")
+    """Every entry of every archive, asked for with a backslash or in another folder, read from its place; its texts are put
+    together again from the sentences."""
+    folder, n = shared_dir(spark, "zips"), F.col("n")
     document_zips(spark, sf_dir, folder)
-    asked = table(spark, sf_dir, "documents").select(
-        F.concat(F.lit(f"{folder}/"), F.pmod("doc_id", F.lit(_ARCHIVES)), F.lit(".zip")).alias("source_zip"),
-        F.when(F.col("doc_id") % 10 == 3, F.concat(F.lit("day\\User_"), "doc_id", F.lit(".csv"))).otherwise(F.concat(F.lit("x/"), "doc_id", F.lit(".txt"))).alias("path"),
+    numbers = table(spark, sf_dir, "documents").select(F.floor(F.col("doc_id") / _FILE_DOCS).alias("n")).distinct()
+    asked = numbers.select(
+        F.concat(F.lit(f"{folder}/"), F.floor(n / _ZIP_FILES), F.lit(".zip")).alias("source_zip"),
+        F.when(n % 3 == 0, F.concat(F.lit("day\\User_"), n, F.lit(".csv"))).otherwise(F.concat(F.lit("x/"), n, F.lit(".txt"))).alias("path"),
     )
-    found = archives.extract_entries(asked).where(F.col("content").isNotNull())
+    found = archives.extract_entries(asked)
     lines = found.select("source_zip", "requested", "entry_path", "error", F.decode("content", "UTF-8").alias("text"))
     rows = lines.selectExpr("*", f"{split_lines('text')} AS lines").selectExpr("*", "slice(lines, 4, size(lines)) AS rows")
     cells = rows.withColumn("cells", F.expr(f"transform(rows, row -> {split_fields('row')}[1])"))
@@ -955,38 +955,42 @@ def archive_extract(spark, sf_dir):
     return cells.select(basename(F.col("source_zip")).alias("archive"), "requested", "entry_path", F.sha2(text.cast("binary"), 256).alias("text_hash"), "error")
 
 
+def file_states(lake: Lake) -> DataFrame:
+    """Final events of a lake's files and their numbers of readings."""
+    counts = rows_per_file(lake.readings()).select(F.col("source_file").alias("full_path"), "source_zip", "n_rows")
+    joined = lake.events().where(F.col("status").isin(COMPLETED, FAILED)).join(counts, ["full_path", "source_zip"], "left")
+    file = F.when(F.col("source_zip") == "", basename(F.col("full_path"))).otherwise(F.col("full_path"))
+    return joined.select(file.alias("file"), basename(F.col("source_zip")).alias("archive"), "status", F.coalesce("n_rows", F.lit(0)).alias("n"))
+
+
 @query(
     "archive_ingest",
-    f"""SELECT * FROM (SELECT {_ZIP_OF} AS archive, 'day/User_' || doc_id || '.csv' AS file, 'COMPLETED' AS status, count(*) AS n
-            FROM ({_PIECES.format("documents")}) WHERE doc_id % 10 = 3 GROUP BY doc_id)
+    f"""SELECT {_ZIP_OF} AS archive, 'day/User_' || n || '.csv' AS file, 'COMPLETED' AS status, count(*) AS n
+        FROM ({_PIECES}) p WHERE p.n % 3 = 0 GROUP BY p.n
         UNION ALL SELECT '', lang || '.zip', 'FAILED', 0 FROM documents GROUP BY lang""",
 )
 def archive_ingest(spark, sf_dir):
     """Tables in archives, read entry by entry from their places, large ones as lines; archives that are none fail alone, on record."""
     folder, lake = shared_dir(spark, "zips"), Lake(spark, shared_dir(spark, "lake"))
     document_zips(spark, sf_dir, folder)
-    ingest_folder(lake, folder, "(Cond|User|test)", options=Options(encoding="utf-8", meta=META, dedup_within_batch=False, **_BOTH_WAYS))
-    counts = rows_per_file(lake.readings()).select(F.col("source_file").alias("full_path"), "source_zip", "n_rows")
-    events = lake.events().where(F.col("status").isin(COMPLETED, FAILED))
-    joined = events.join(counts, ["full_path", "source_zip"], "left")
-    file = F.when(F.col("source_zip") == "", basename(F.col("full_path"))).otherwise(F.col("full_path"))
-    return joined.select(basename(F.col("source_zip")).alias("archive"), file.alias("file"), "status", F.coalesce("n_rows", F.lit(0)).alias("n"))
+    ingest_folder(lake, folder, "(Cond|User|test)", options=Options(encoding="utf-8", meta=META, **_BOTH_WAYS))
+    return file_states(lake)
 
 
 @query(
     "file_listing",
-    """SELECT CASE doc_id % 4 WHEN 0 THEN '_d/_test_' WHEN 1 THEN '.e/.test_' WHEN 2 THEN 'f [1]/test +%_' ELSE '日本/test_' END || doc_id || '.csv' AS path,
-              CAST(CASE WHEN doc_id % 7 = 0 THEN 0 ELSE strlen(text) END AS BIGINT) AS length
-       FROM documents WHERE doc_id % 5 <> 0""",
+    f"""SELECT CASE n % 4 WHEN 0 THEN '_d/_test_' WHEN 1 THEN '.e/.test_' WHEN 2 THEN 'f [1]/test +%_' ELSE '日本/test_' END || n || '.csv' AS path,
+               CAST(CASE WHEN n % 7 = 0 THEN 0 ELSE bytes END AS BIGINT) AS length
+        FROM (SELECT doc_id // {_FILE_DOCS} AS n, sum(strlen(coalesce(text, ''))) AS bytes FROM documents GROUP BY 1) WHERE n % 5 <> 0""",
 )
 def file_listing(spark, sf_dir):
     """Files of odd names, some hidden, some empty, found by tasks; those with another ending or name are not."""
-    folder, n = shared_dir(spark, "files"), F.col("doc_id")
+    folder, n = shared_dir(spark, "files"), F.col("n")
     place = F.when(n % 4 == 0, "_d/_test_").when(n % 4 == 1, ".e/.test_").when(n % 4 == 2, "f [1]/test +%_").otherwise("日本/test_")
     ending = F.when(n % 5 != 0, ".csv").when(n % 2 == 0, ".CSV").otherwise(".csv.txt")
-    content = F.when(n % 7 == 0, F.lit("")).otherwise(F.col("text"))
-    docs = dealt(table(spark, sf_dir, "documents"), "doc_id")
-    put_files(docs.select(F.concat(F.lit(f"{folder}/"), place, n, ending).alias("path"), F.encode(content, "UTF-8").alias("content")))
+    grouped = table(spark, sf_dir, "documents").groupBy(F.floor(F.col("doc_id") / _FILE_DOCS).alias("n")).agg(F.array_join(F.collect_list("text"), "").alias("text"))
+    content = F.encode(F.when(n % 7 == 0, "").otherwise(F.col("text")), "UTF-8")
+    put_files(grouped.select(F.concat(F.lit(f"{folder}/"), place, n, ending).alias("path"), content.alias("content")))
     found = files.find_csv_files(spark, folder, "(?P<kind>test)")
     return found.select(F.substring("path", F.length(F.lit(opened.qualified(spark, folder))) + 2, F.length("path")).alias("path"), "length")
 
@@ -997,51 +1001,47 @@ _KANA = "アイウエオ表ソ能キクケコサシスセ"
 
 @query(
     "auto_charsets",
-    f"""SELECT doc_id, "Time", value FROM (
-            SELECT doc_id, TIMESTAMP '2024-01-01 00:00:00' + to_seconds(i) AS "Time", '日本' || chr(10) || translate(sha256(t || i), '0123456789abcdef', '{_KANA}') AS value
-            FROM (SELECT doc_id, coalesce(text, '') AS t, unnest(range(0, 3 + doc_id % 40)) AS i FROM documents))""",
+    f"""SELECT doc_id // {_FILE_DOCS} AS file_no, TIMESTAMP '2024-01-01 00:00:00' + to_seconds(i + 100000 * (doc_id % {_FILE_DOCS})) AS "Time",
+               '日本' || chr(10) || translate(sha256(t || i), '0123456789abcdef', '{_KANA}') AS value
+        FROM (SELECT doc_id, coalesce(text, '') AS t, unnest(range(0, 3 + doc_id % 40)) AS i FROM documents)""",
 )
 def auto_charsets(spark, sf_dir):
     """Japanese files in six charsets, with and without marks, detected the same whether read whole or in splits."""
     configure(spark)
     folder, lake = shared_dir(spark, "files"), Lake(spark, shared_dir(spark, "lake"))
-    docs = dealt(table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("t")), "doc_id")
-    value = f"concat('\"日本\\n', translate(sha2(cast(concat(t, i) AS binary), 256), '0123456789abcdef', '{_KANA}'), '\"')"
-    row = f"concat(date_format(timestampadd(SECOND, i, TIMESTAMP_NTZ'2024-01-01 00:00:00'), 'yyyy/M/d H:mm:ss'), ',', {value}, ',')"
-    body = f"array_join(transform(sequence(0, cast(2 + doc_id % 40 AS int)), i -> {row}), '\n')"
-    texts = docs.select("doc_id", F.concat(F.lit(", 温度\n, 温度ソ\n, ℃\n"), F.expr(body)).alias("text"))
-    kind = F.pmod(F.xxhash64("doc_id"), F.lit(len(_AUTO)))
-    marks = {"UTF-16LE": "FFFE", "UTF-16BE": "FEFF"}
+    value = f"concat('\"日本\\n', translate(sha2(cast(concat(coalesce(text, ''), i) AS binary), 256), '0123456789abcdef', '{_KANA}'), '\"')"
+    time = f"date_format(timestampadd(SECOND, i + 100000 * (doc_id % {_FILE_DOCS}), TIMESTAMP_NTZ'2024-01-01 00:00:00'), 'yyyy/M/d H:mm:ss')"
+    body = F.expr(f"array_join(transform(sequence(0, cast(2 + doc_id % 40 AS int)), i -> concat({time}, ',', {value}, ',')), '\n')")
+    n = F.floor(F.col("doc_id") / _FILE_DOCS)
+    parts = table(spark, sf_dir, "documents").select("doc_id", body.alias("body")).groupBy(n.alias("n")).agg(F.sort_array(F.collect_list(F.struct("doc_id", "body"))).alias("parts"))
+    texts = parts.select("n", F.concat(F.lit(", 温度\n, 温度ソ\n, ℃\n"), F.array_join("parts.body", "\n")).alias("text"))
+    kind, marks = F.pmod(F.xxhash64("n"), F.lit(len(_AUTO))), {"UTF-16LE": "FFFE", "UTF-16BE": "FEFF"}
     content = F.lit(None).cast("binary")
     for i, name in enumerate(_AUTO):
         coded = F.encode("text", name)
         content = F.when(kind == i, F.concat(F.unhex(F.lit(marks[name])), coded) if name in marks else coded).otherwise(content)
-    put_files(texts.select(F.concat(F.lit(f"{folder}/test_"), "doc_id", F.lit(".csv")).alias("path"), content.alias("content")))
-    ingest_folder(lake, folder, "test", options=Options(encoding="auto", meta=META, dedup_within_batch=False, **_BOTH_WAYS))
+    put_files(texts.select(F.concat(F.lit(f"{folder}/test_"), "n", F.lit(".csv")).alias("path"), content.alias("content")))
+    ingest_folder(lake, folder, "test", options=Options(encoding="auto", meta=META, **_BOTH_WAYS))
     number = F.regexp_extract("source_file", r"test_(\d+)", 1).cast("bigint")
-    return lake.readings().select(number.alias("doc_id"), "Time", "value")
+    return lake.readings().select(number.alias("file_no"), "Time", "value")
 
 
 @query(
     "stream_mixed",
-    f"""SELECT CASE WHEN doc_id % 3 = 2 THEN 'day/' ELSE '' END || CASE WHEN doc_id % 3 = 1 THEN '_' ELSE '' END || 'test_' || doc_id || '.csv' AS file,
-               CASE WHEN doc_id % 3 = 2 THEN {_ZIP_OF} ELSE '' END AS archive, CASE WHEN doc_id % 7 = 0 THEN 'FAILED' ELSE 'COMPLETED' END AS status,
-               CASE WHEN doc_id % 7 = 0 THEN 0 ELSE count(*) END AS n
-        FROM ({_PIECES.format("documents")}) GROUP BY doc_id""",
+    f"""SELECT CASE WHEN n % 3 = 2 THEN 'day/' ELSE '' END || CASE WHEN n % 3 = 1 THEN '_' ELSE '' END || 'test_' || n || '.csv' AS file,
+               CASE WHEN n % 3 = 2 THEN {_ZIP_OF} ELSE '' END AS archive, CASE WHEN n % 7 = 0 THEN 'FAILED' ELSE 'COMPLETED' END AS status,
+               CASE WHEN n % 7 = 0 THEN 0 ELSE count(*) END AS n
+        FROM ({_PIECES}) p GROUP BY p.n""",
 )
 def stream_mixed(spark, sf_dir):
-    """A stream over loose, hidden, empty and archived files, in snapshots: its ledger and its readings per file."""
-    folder, root = shared_dir(spark, "files"), shared_dir(spark, "lake")
-    n, empty_one = F.col("doc_id"), F.col("doc_id") % 7 == 0
-    made = piece_files(spark, sf_dir).withColumn("content", F.when(empty_one, F.lit(b"")).otherwise(F.col("content")))
+    """A stream over loose, hidden, empty and archived files, in two snapshots: its ledger and its readings per file."""
+    folder, root, n = shared_dir(spark, "files"), shared_dir(spark, "lake"), F.col("n")
+    made = piece_files(spark, sf_dir).withColumn("content", F.when(n % 7 == 0, F.lit(b"")).otherwise(F.col("content")))
     name = F.concat(F.when(n % 3 == 1, "_").otherwise(""), F.lit("test_"), n, F.lit(".csv"))
     put_files(made.where(n % 3 != 2).select(F.concat(F.lit(f"{folder}/"), F.pmod(F.xxhash64(n), F.lit(7)), F.lit("/"), name).alias("path"), "content"))
-    archive = F.concat(F.lit(f"{folder}/_zip/"), F.pmod(n, F.lit(_ARCHIVES)), F.lit(".zip"))
+    archive = F.concat(F.lit(f"{folder}/_zip/"), F.floor(n / _ZIP_FILES), F.lit(".zip"))
     put_archives(made.where(n % 3 == 2).select(archive.alias("archive"), F.concat(F.lit("day/"), name).alias("name"), "content"))
-    lake, options = Lake(spark, root), Options(encoding="utf-8", meta=META, process_all=True, whole_file_bytes=60_000, split_bytes=20_000)
-    files_per_snapshot = max(1, made.count() // 2)
-    stream_ingest(lake, folder, f"{root}-checkpoint", "test", max_files_per_trigger=files_per_snapshot, options=options).awaitTermination()
-    counts = rows_per_file(lake.readings()).select(F.col("source_file").alias("full_path"), "source_zip", "n_rows")
-    joined = lake.events().where(F.col("status").isin(COMPLETED, FAILED)).join(counts, ["full_path", "source_zip"], "left")
-    file = F.when(F.col("source_zip") == "", basename(F.col("full_path"))).otherwise(F.col("full_path"))
-    return joined.select(file.alias("file"), basename(F.col("source_zip")).alias("archive"), "status", F.coalesce("n_rows", F.lit(0)).alias("n"))
+    lake, options = Lake(spark, root), Options(encoding="utf-8", meta=META, **_BOTH_WAYS)
+    in_half = max(1, made.where(n % 3 != 2).count() // 2)
+    stream_ingest(lake, folder, f"{root}-checkpoint", "test", max_files_per_trigger=in_half, options=options).awaitTermination()
+    return file_states(lake)
