@@ -200,3 +200,17 @@ def test_repeated_runs_go_whole_wherever_borders_fall(documents):
     assert [[x for x in t.split("\n") if x] for t in got] == [[x for x in t.split("\n") if x] for t in want]
     for passage in passages:
         assert all(sum(x in t.split("\n") for t in got) == 1 for x in passage)
+
+
+def test_links_at_the_threshold_are_rarely_missed():
+    """Of pairs at exactly the threshold, the share that meets in no cell; at several sizes."""
+    for size in (16, 64):
+        rng = np.random.default_rng(size)
+        x = rng.normal(size=(6000, size))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        y = rng.normal(size=x.shape)
+        y -= (y * x).sum(1, keepdims=True) * x
+        y /= np.linalg.norm(y, axis=1, keepdims=True)
+        a, _ = embed.cells(x, 0.9)
+        b, _ = embed.cells(0.9 * x + np.sqrt(1 - 0.81) * y, 0.9)
+        assert (~(a == b).any(1)).mean() < 0.0075
