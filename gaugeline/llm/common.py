@@ -47,12 +47,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, allowed: Col
     """About ``fit_rows`` labelled documents (all, if there are fewer): ``doc_id, text, label``.
 
     ``allowed`` is a condition on ``doc_id``. The sample is chosen by a hash of the id, so it doesn't depend on file
-    layout. Only its ids, whose number ``fit_rows`` bounds, are broadcast. Several labels of one id count as the largest.
+    layout. Only its ids, whose number ``fit_rows`` bounds, are broadcast. Several labels of one id count as the largest; of several
+    texts of one id the one with the smallest hash is taken, so the sample has one row per id.
     """
     known = labels.select("doc_id", F.col(label).cast("int").alias("label")).where(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & allowed).groupBy("doc_id").agg(F.max("label").alias("label"))
     share = min(1.0, fit_rows / max(1, known.count()))
     chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < F.lit(round(share * 1_000_003)))
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    one = texts.groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one"))
+    return one.select("doc_id", F.col("one.text").alias("text"), "label")
 
 
 #: Bits of the map that ``split_by_key`` uses: 512 rows of 4 KiB at most.

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from gaugeline.llm import bpe, packing
@@ -104,3 +105,29 @@ def test_packing_of_odd_tables(documents):
     same = packing.sequences(documents(["x y z"] * 50, [None] * 50)).collect()
     assert len(same) == 50 and len({(r["sequence_id"], r["offset"]) for r in same}) == 50
     assert packing.sequences(documents([])).count() == 0
+
+
+def test_the_loss_limit_binds_on_conversations(spark, library):
+    """Turns of the assistant alone bear loss; with a limit below what a sequence could hold, it decides where sequences end."""
+    turns = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet").select(F.monotonically_increasing_id().alias("doc_id"), F.when(F.col("role") == "assistant", F.concat(F.lit("A "), "text")).otherwise(F.concat(F.lit("U "), "text")).alias("text"))
+    given = {r["doc_id"]: r["text"] for r in turns.collect()}
+    bears = lambda text, ids: np.full(len(ids), text.startswith("A "))
+    used = {}
+    for loss in (None, 200):
+        rows = packing.sequences(turns, loss=loss, loss_share=bears).collect()
+        own: dict = {}
+        for r in rows:
+            n, total = own.get(r["sequence_id"], (0, 0))
+            own[r["sequence_id"]] = n + r["loss"], total + r["length"]
+        assert sum(t for _, t in own.values()) == sum(len(library.encode(t, add_special_tokens=False).ids) + 1 for t in given.values())
+        used[loss] = len(own), max(n for n, _ in own.values())
+    assert used[None][1] > 200 >= used[200][1] and used[200][0] > used[None][0]
+
+
+def test_one_text_per_id_in_the_sample(spark, documents):
+    from gaugeline.llm.common import labelled_sample
+
+    docs = documents(["a"] * 500 + ["b", "c"], [7] * 501 + [8])
+    labels = spark.createDataFrame([(7, 1), (7, 0), (8, 0)], "doc_id bigint, toxic int")
+    got = sorted(tuple(r) for r in labelled_sample(docs, labels, "toxic", F.lit(True), 100).collect())
+    assert [g[0] for g in got] == [7, 8] and got[0][1] in "ab" and [g[2] for g in got] == [1, 0]
