@@ -895,7 +895,8 @@ def mode_equality(spark, sf_dir):
     archive = F.concat(F.lit(f"{folder}/zip/"), F.floor(F.col("n") / _ZIP_FILES), F.lit(".zip"))
     put_archives(made.select(archive.alias("archive"), F.concat(F.lit("d/"), named).alias("name"), "content"))
     ingest_folder(lake, folder, "^test", options=Options(encoding="utf-8", meta=META, **_BOTH_WAYS))
-    put_files(made.select(F.concat(F.lit(f"{folder}/again/"), named).alias("path"), "content"))
+    other = F.concat(F.lit(f"{folder}/again/"), F.pmod("n", F.lit(_ZIP_FILES)), F.lit("-"), F.floor(F.col("n") / _ZIP_FILES**2), F.lit(".zip"))
+    put_archives(made.select(other.alias("archive"), F.concat(F.lit("again/"), named).alias("name"), "content"))
     ingest_folder(lake, folder, "^test", options=Options(encoding="utf-8", meta=META, whole_file_bytes=120_000, split_bytes=40_000))
     number = F.regexp_extract("source_file", r"test_(\d+)", 1).cast("bigint")
     return lake.readings().select(number.alias("file_no"), "Time", "value", "sensor_id")
