@@ -214,3 +214,32 @@ def test_links_at_the_threshold_are_rarely_missed():
         a, _ = embed.cells(x, 0.9)
         b, _ = embed.cells(0.9 * x + np.sqrt(1 - 0.81) * y, 0.9)
         assert (~(a == b).any(1)).mean() < 0.0075
+
+
+def test_links_of_a_given_table_equal_brute_force(spark):
+    """The table, and noisy copies of its rows around the threshold: all pairs in double precision, and components by search.
+
+    Links between 0.9 and 0.905 may be missed with a small probability; these rows have none that is.
+    """
+    vectors = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").select("vec_id", "embedding")
+    rng = np.random.default_rng(11)
+    noisy = [(10_000 + i, (np.array(r["embedding"]) + rng.normal(size=64) * rng.uniform(0.02, 0.07)).tolist()) for i, r in enumerate(vectors.limit(300).collect())]
+    vectors = vectors.union(spark.createDataFrame(noisy, "vec_id bigint, embedding array<float>"))
+    rows = vectors.collect()
+    x = np.array([r["embedding"] for r in rows], float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = x @ x.T >= 0.9
+    np.fill_diagonal(near, False)
+    ids = [r["vec_id"] for r in rows]
+    component = {}
+    for i in sorted(range(len(ids)), key=ids.__getitem__):
+        if ids[i] not in component:
+            left = [i]
+            while left:
+                j = left.pop()
+                if ids[j] not in component:
+                    component[ids[j]] = ids[i]
+                    left += np.flatnonzero(near[j]).tolist()
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embed.neighbours(vectors).collect()}
+    found, there = sum(n for n, _ in got.values()), int(near.sum())
+    assert got == {ids[i]: (int(near[i].sum()), component[ids[i]]) for i in range(len(ids))} and found == there > 0
