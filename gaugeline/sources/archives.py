@@ -13,6 +13,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gaugeline.functions.text import basename
+from gaugeline.session import shared_dir
 from gaugeline.sources import opened
 
 # The functions below travel to the executors with the job, which need not have this package installed.
@@ -149,19 +150,16 @@ def extract_entries(requests: DataFrame) -> DataFrame:
     """Bytes of requested ``(source_zip, path)``, one row per request: ``source_zip, requested, entry_path, content, error``.
 
     The archives' directories say where the entries stand; each is then read from its place by one task, whatever else its
-    archive holds. Several requests for one entry read it once.
+    archive holds. Several requests for one entry read it once. Requests are joined with places, never with contents, so contents
+    are neither shuffled nor broadcast; the directories are written first, so that their size is known to the joins.
     """
-    listed = directories(requests.select(F.col("source_zip").alias("path")).distinct(), suffix="")
-    resolved = resolve_entries(requests, listed)
+    spark, at = requests.sparkSession, shared_dir(requests.sparkSession, "directories")
+    directories(requests.select(F.col("source_zip").alias("path")).distinct(), suffix="").write.parquet(at)
+    listed = spark.read.schema(opened.ENTRIES).parquet(at)
     broken = listed.where(F.col("path").isNull()).select("source_zip", F.col("error").alias("archive_error"))
-    wanted = resolved.where(F.col("entry_path").isNotNull()).select("source_zip", F.col("entry_path").alias("path")).distinct()
-    work = work_of(listed).join(wanted, ["source_zip", "path"], "left_semi")
+    resolved = resolve_entries(requests, listed).join(broken, "source_zip", "left")
+    asked = resolved.select("source_zip", "requested", F.col("entry_path").alias("path"), F.coalesce("archive_error", "error").alias("error"))
+    work = asked.join(work_of(listed), ["source_zip", "path"], "left")
     facts = work.agg(F.sum("length"), F.count("*")).first()
-    bodies = opened.contents(opened.dealt(work, facts[0] or 0, facts[1])).select(
-        "source_zip", F.col("path").alias("entry_path"), "content", F.col("error").alias("read_error")
-    )
-    return (
-        resolved.join(broken, "source_zip", "left")
-        .join(bodies, ["source_zip", "entry_path"], "left")
-        .select("source_zip", "requested", "entry_path", "content", F.coalesce("read_error", "archive_error", "error").alias("error"))
-    )
+    found = opened.contents(opened.dealt(work, facts[0] or 0, facts[1]).sortWithinPartitions("source_zip", "path"), "requested")
+    return found.select("source_zip", "requested", F.col("path").alias("entry_path"), "content", "error")

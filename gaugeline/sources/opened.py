@@ -335,28 +335,36 @@ CONTENTS = "path string, source_zip string, length bigint, content binary, error
 _CONTENTS = pa.schema([("path", pa.string()), ("source_zip", pa.string()), ("length", pa.int64()), ("content", pa.binary()), ("error", pa.string())])
 
 
-def contents(work: DataFrame) -> DataFrame:
+def contents(work: DataFrame, *carried: str) -> DataFrame:
     """The whole bytes of every work row, or the error that kept them from being read.
 
-    Where ``work`` has ``file_hash``, contents with another SHA-256 are an error.
+    Where ``work`` has ``file_hash``, contents with another SHA-256 are an error. ``carried`` are more text columns that come along, so
+    that contents need not be joined; then a row may have no path. Rows of one file that follow each other read it once. Rows that have
+    an ``error`` or no path aren't read.
     """
-    columns = [*WORK_COLUMNS, *(["file_hash"] if "file_hash" in work.columns else [])]
+    known = [c for c in ("file_hash", "error") if c in work.columns]
+    schema = pa.schema([*_CONTENTS, *[(c, pa.string()) for c in carried]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
+            last, content, error = None, None, None
             for row in each(batches):
-                try:
-                    with Opened(row) as f:
-                        content, error = b"".join(f.blocks()), None
-                    if row.get("file_hash") not in (None, hashlib.sha256(content).hexdigest()):
-                        raise ValueError("the file has changed")
-                except Exception as e:
-                    content, error = None, reason(e)
-                yield row["path"], row["source_zip"], row["length"] if content is None else len(content), content, error
+                mark = [row[c] for c in (*WORK_COLUMNS, *known)]
+                if mark != last:
+                    last, content, error = mark, None, row.get("error")
+                    try:
+                        if error is None and (row["path"] is not None or not carried):
+                            with Opened(row) as f:
+                                content = b"".join(f.blocks())
+                            if row.get("file_hash") not in (None, hashlib.sha256(content).hexdigest()):
+                                raise ValueError("the file has changed")
+                    except Exception as e:
+                        content, error = None, reason(e)
+                yield row["path"], row["source_zip"], row["length"] if content is None else len(content), content, error, *[row[c] for c in carried]
 
-        return _batches(rows(), _CONTENTS, lambda r: len(r[3] or b"") + 256)
+        return _batches(rows(), schema, lambda r: len(r[3] or b"") + 256)
 
-    return work.select(*columns).mapInArrow(run, CONTENTS)
+    return work.select(*WORK_COLUMNS, *known, *carried).mapInArrow(run, ", ".join([CONTENTS, *[f"{c} string" for c in carried]]))
 
 
 BLOCKS = "path string, source_zip string, raw binary"

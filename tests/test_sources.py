@@ -1,11 +1,13 @@
 import io
 import zipfile
 
+import pyarrow as pa
 import pytest
 from conftest import HEAD, ROWS
 from pyspark.sql import functions as F
 
 from gaugeline.plans.ingest import find_files
+from gaugeline.plans.table_queries import _zip_up
 from gaugeline.sources import archives, files
 
 
@@ -116,8 +118,37 @@ def test_extraction(spark, folder):
     }
 
 
+def test_extracted_contents_are_not_joined(spark, folder):
+    """Requests for one entry read it once and get a row each; no join, exchange or broadcast holds contents."""
+    at = folder.put("z.zip", zipped(**{"a/t.csv": "1" * 5000, "u.csv": "3"}))
+    names = ["a/t.csv", "a\\t.csv", "t.csv", "t.csv", "gone.csv", None]
+    found = archives.extract_entries(spark.createDataFrame([(at, p) for p in names], "source_zip string, path string"))
+    rows = sorted((r.requested or "", r.entry_path, r.content and len(r.content), r.error) for r in found.collect())
+    assert rows == [
+        ("", None, None, None),
+        ("a/t.csv", "a/t.csv", 5000, None),
+        ("a\\t.csv", "a/t.csv", 5000, None),
+        ("gone.csv", None, None, "not found in archive: gone.csv"),
+        ("t.csv", "a/t.csv", 5000, None),
+        ("t.csv", "a/t.csv", 5000, None),
+    ]
+    left = [found._jdf.queryExecution().optimizedPlan()]
+    while left:
+        node = left.pop()
+        assert node.nodeName() != "Join" or "content#" not in node.output().mkString(",")
+        left += [node.children().apply(i) for i in range(node.children().size())]
+
+
 def test_many_large_entries_stream_out(spark):
     data = zipped(**{f"t{i}.csv": "x" * (3 << 20) for i in range(12)})
     df = spark.createDataFrame([("/z", data)], "path string, content binary")
     got = archives.explode_archives(df).select(F.length("content").alias("n")).collect()
     assert [r.n for r in got] == [3 << 20] * 12
+
+
+def test_archives_are_made_a_few_at_a_time():
+    text = "".join(chr(33 + i * i * i % 90) + hex(i) for i in range(4000))
+    docs = pa.RecordBatch.from_pydict({"doc_id": list(range(700)), "text": [f"{i}{text}" for i in range(700)]})
+    made = list(_zip_up(iter([docs, docs.slice(0, 5)])))
+    assert [p for b in made for p in b["path"].to_pylist()] == [f"/zip/{i}.zip" for i in [*range(700), *range(5)]]
+    assert len(made) > 2 and max(b.nbytes for b in made) < 6 << 20
