@@ -568,9 +568,16 @@ def sql_sensor_data(spark, sf_dir):
 # --- archives derived from documents --------------------------------------------------------------------------
 
 
+#: Bytes of archives that a task holds before it passes them on, and texts that it holds as Python objects.
+_ZIP_BYTES, _ZIP_TEXTS = 4 << 20, 64
+
+
 def _zip_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        packed = []
+    def made() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(paths), pa.array(packed, pa.binary())], names=["path", "content"])
+
+    paths, packed, held = [], [], 0
+    for batch in (whole.slice(at, _ZIP_TEXTS) for whole in batches for at in range(0, whole.num_rows, _ZIP_TEXTS)):
         for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
             buffer = io.BytesIO()
             with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as z:
@@ -578,9 +585,14 @@ def _zip_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 z.writestr(f"day/User_{doc_id}.csv", text)
                 z.writestr("day/User.CSV", text)
                 z.writestr("Cond_0.csv", text[::-1])
+            paths.append(f"/zip/{doc_id}.zip")
             packed.append(buffer.getvalue())
-        paths = [f"/zip/{doc_id}.zip" for doc_id in batch["doc_id"].to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array(paths), pa.array(packed, pa.binary())], names=["path", "content"])
+            held += len(packed[-1])
+            if held >= _ZIP_BYTES:
+                yield made()
+                paths, packed, held = [], [], 0
+    if packed:
+        yield made()
 
 
 def document_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
