@@ -115,4 +115,4 @@ def placeholder(name: str, unit: str) -> str:
     def strip(t: str) -> str:
         return f"regexp_replace({t}, r'{OUTER_SPACE}', '')"
 
-    return f"({strip(name)} = '-' AND {strip(unit)} = '-')"
+    return f"(contains({name}, '-') AND contains({unit}, '-') AND {strip(name)} = '-' AND {strip(unit)} = '-')"

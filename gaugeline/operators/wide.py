@@ -40,7 +40,9 @@ BROADCAST_BYTES = 64 << 20
 
 
 def header_cells(line: str) -> str:
-    return f"transform({split_fields(line)}, cell -> {field_value('cell')})"
+    """Texts of a header row's cells; without quotes in it only empty cells are looked for."""
+    plain = f"transform(split({line}, ','), cell -> nullif(cell, ''))"
+    return f"CASE WHEN contains({line}, '\"') THEN transform({split_fields(line)}, cell -> {field_value('cell')}) ELSE {plain} END"
 
 
 def kept_sensors(ids: str, names: str, units: str, width: str | None = None) -> str:
@@ -71,14 +73,18 @@ def sensor_keys(sensors: str) -> str:
 def mark_twins(sensors: str, keys: str) -> str:
     """Add ``twin_idx`` (first earlier column of the same sensor) and ``copies`` (how many columns come earlier).
 
-    ``keys`` is the column of ``sensor_keys``. Each sensor looks for its first equal; only the few that have one count them.
+    ``keys`` is the column of ``sensor_keys``. Where two are equal, each sensor looks for its first equal; only those that have one
+    count them.
     """
+    texts = "'sensor_id', s.sensor_id, 'sensor_name', s.sensor_name, 'unit', s.unit"
+    alone = f"transform({sensors}, s -> named_struct('col_idx', s.col_idx, 'twin_idx', CAST(NULL AS int), 'copies', 0, {texts}))"
     first = f"cast(array_position({keys}, get({keys}, i)) AS int)"
     return (
-        f"transform({sensors}, (s, i) -> named_struct('col_idx', s.col_idx,"
+        f"CASE WHEN size(array_distinct({keys})) = size({keys}) THEN {alone} ELSE"
+        f" transform({sensors}, (s, i) -> named_struct('col_idx', s.col_idx,"
         f" 'twin_idx', CASE WHEN {first} <= i THEN get({sensors}, {first} - 1).col_idx END,"
         f" 'copies', CASE WHEN {first} <= i THEN size(filter(slice({keys}, 1, i), k -> k = get({keys}, i))) ELSE 0 END,"
-        f" 'sensor_id', s.sensor_id, 'sensor_name', s.sensor_name, 'unit', s.unit))"
+        f" {texts})) END"
     )
 
 
@@ -285,10 +291,11 @@ def _timed(lines: DataFrame, trailing: str) -> DataFrame:
 
 
 def _with_sensors(per_file: DataFrame, trailing: str, *carried: str) -> DataFrame:
-    """Profiles from per-file facts."""
-    facts = [*FILE_KEYS, *carried, "read_error", "open_quote", "width", "bad_time", "repeats", "last_chunk", "head"]
-    texts = per_file.selectExpr(*facts, *[f"get(head, {i}).line AS h{i}" for i in range(3)])
-    heads = texts.selectExpr(*facts, *[f"{header_cells(f'h{i}')} AS h{i}" for i in range(3)])
+    """Profiles from per-file facts, among them the header rows ``h0, h1, h2``."""
+    facts = [*FILE_KEYS, *carried, "read_error", "open_quote", "width", "bad_time", "repeats", "last_chunk"]
+    missing = "h0 IS NULL OR h1 IS NULL OR h2 IS NULL AS missing"
+    heads = per_file.selectExpr(*facts, missing, *[f"{header_cells(f'h{i}')} AS h{i}" for i in range(3)])
+    facts.append("missing")
     sensors = heads.selectExpr(
         *facts, f"{kept_sensors('h0', 'h1', 'h2', 'width' if trailing == DROP_LAST else None)} AS sensors"
     )
@@ -298,7 +305,7 @@ def _with_sensors(per_file: DataFrame, trailing: str, *carried: str) -> DataFram
         *carried,
         """CASE WHEN read_error IS NOT NULL THEN read_error
                 WHEN open_quote THEN 'unbalanced quotes'
-                WHEN size(head) < 3 THEN 'fewer than 3 header rows'
+                WHEN missing THEN 'fewer than 3 header rows'
                 WHEN size(sensors) > 0 AND bad_time THEN 'unparsable Time' END AS error""",
         f"{_repeats('repeats')} AS repeats",
         "last_chunk",
@@ -306,9 +313,9 @@ def _with_sensors(per_file: DataFrame, trailing: str, *carried: str) -> DataFram
     )
 
 
-def _by_time(lines: DataFrame, trailing: str = DROP_IF_BLANK) -> DataFrame:
-    # The texts are keys (null on data rows): as aggregates they would rule out hashing.
-    return _timed(lines, trailing).groupBy(*FILE_KEYS, "header_no", "header", "read_error", "Time", "has_time").agg(
+def _by_time(data: DataFrame) -> DataFrame:
+    """Data lines (of ``_timed``) by file and time. All aggregates are of fixed width, so that rows are hashed and not sorted."""
+    return data.groupBy(*FILE_KEYS, "Time", "has_time").agg(
         F.expr("count(1) AS n"),
         F.expr("max(open_quote) AS open_quote"),
         F.expr("max(width) AS width"),
@@ -316,26 +323,33 @@ def _by_time(lines: DataFrame, trailing: str = DROP_IF_BLANK) -> DataFrame:
     )
 
 
+_IS_DATA = "header_no IS NULL AND read_error IS NULL"
+
+
 def profile_lines(lines: DataFrame, trailing: str = DROP_IF_BLANK) -> DataFrame:
     """One row per file: sensors, error, repeats.
 
-    Lines in any order: they are first grouped by file and time (partial sums on the map side), which tells whether times
-    repeat; the second grouping is by file. No group is gathered: only maxima, and the three header rows. Lines may carry an
-    ``error`` from reading, which becomes the file's.
+    Lines in any order: data lines are first grouped by file and time (partial sums on the map side), which tells whether times
+    repeat; the second grouping is by file. No group is gathered: only maxima, and the header rows. Lines may carry an
+    ``error`` from reading, which becomes the file's. Header rows and errors take a way of their own, because texts as aggregates
+    would have all data lines sorted; the price is that ``lines`` are read twice.
     """
-    per_file = _by_time(lines, trailing).groupBy(*FILE_KEYS).agg(
-        F.expr("max(read_error) AS read_error"),
+    timed = _timed(lines, trailing)
+    per_file = _by_time(timed.where(_IS_DATA)).groupBy(*FILE_KEYS).agg(
         F.expr("max(open_quote) AS open_quote"),
         F.expr("max(width) AS width"),
-        F.expr("max(header_no IS NULL AND has_time AND Time IS NULL) AS bad_time"),
-        F.expr("max(header_no IS NULL AND read_error IS NULL AND n > 1) AS repeats"),
+        F.expr("max(has_time AND Time IS NULL) AS bad_time"),
+        F.expr("max(n > 1) AS repeats"),
         F.expr("max(chunk) AS last_chunk"),
-        F.expr(
-            "sort_array(collect_list(CASE WHEN header_no IS NOT NULL"
-            " THEN named_struct('no', header_no, 'line', header) END)) AS head"
-        ),
     )
-    return _with_sensors(per_file, trailing)
+    heads = [f"h{i}" for i in range(3)]
+    texts = timed.where(f"NOT ({_IS_DATA})").selectExpr(
+        *FILE_KEYS, "open_quote", "width", "header_no IS NULL AND has_time AND Time IS NULL AS bad_time", "false AS repeats", "chunk AS last_chunk",
+        "read_error", *[f"CASE WHEN header_no = {i} THEN header END AS {h}" for i, h in enumerate(heads)],
+    )
+    both = per_file.selectExpr("*", *[f"CAST(NULL AS string) AS {c}" for c in ("read_error", *heads)]).unionByName(texts)
+    facts = ("read_error", "open_quote", "width", "bad_time", "repeats", "last_chunk", *heads)
+    return _with_sensors(both.groupBy(*FILE_KEYS).agg(*[F.max(c).alias(c) for c in facts]), trailing)
 
 
 def profile_runs(lines: DataFrame, trailing: str = DROP_IF_BLANK) -> DataFrame:
@@ -357,13 +371,13 @@ def profile_runs(lines: DataFrame, trailing: str = DROP_IF_BLANK) -> DataFrame:
         F.expr("max(chunk) AS last_chunk"),
         F.expr("sort_array(flatten(collect_list(head))) AS head"),
     )
-    return _with_sensors(per_file.withColumn("repeats", F.lit(False)), trailing, "doubtful")
+    texts = per_file.selectExpr("*", "false AS repeats", *[f"get(head, {i}).line AS h{i}" for i in range(3)])
+    return _with_sensors(texts, trailing, "doubtful")
 
 
 def repeated_times(lines: DataFrame) -> DataFrame:
     """``path, source_zip, Time`` of all times (null ones too) that several data lines of a file have."""
-    data = _by_time(lines).where(F.col("header_no").isNull() & F.col("read_error").isNull())
-    return data.groupBy(*FILE_KEYS, "Time").agg(F.sum("n").alias("n")).where("n > 1").drop("n")
+    return _by_time(_timed(lines, DROP_IF_BLANK).where(_IS_DATA)).groupBy(*FILE_KEYS, "Time").agg(F.sum("n").alias("n")).where("n > 1").drop("n")
 
 
 def attach_sensors(lines: DataFrame, profiles: DataFrame, broadcastable: bool) -> DataFrame:

@@ -167,18 +167,23 @@ _ORDER_CELLS = """
         (NULL, ' L5', ' spare', ' x')) AS v(value, sensor_id, sensor_name, unit)"""
 
 
+def numbered(stem: str, number: str) -> Column:
+    """File names, as ``format_string`` makes them."""
+    return F.concat(F.lit(stem), F.coalesce(F.col(number).cast("string"), F.lit("null")), F.lit(".csv"))
+
+
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of one wide file per order: three header rows, then a row per item; the fourth sensor is a dash.
 
     Orders without items are files with a header only.
     """
     items = table(spark, sf_dir, "lineitem")
-    path = F.format_string("/plant/order_%d.csv", F.col("l_orderkey")).alias("path")
+    path = numbered("/plant/order_", "l_orderkey").alias("path")
     time = F.date_format(F.expr("timestampadd(SECOND, l_linenumber, l_shipdate)"), "yyyy/M/d H:mm:ss")
     cells = [decimal_text(c) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")]
     data = items.select(path, F.lit(1).cast("long").alias("chunk"), F.lit(None).cast("int").alias("header_no"), F.concat_ws(",", time, *cells, F.lit("")).alias("line"))
     heads = F.posexplode(F.array(*[F.lit(h) for h in _ORDER_HEAD])).alias("header_no", "line")
-    named = table(spark, sf_dir, "orders").select(F.format_string("/plant/order_%d.csv", F.col("o_orderkey")).alias("path"))
+    named = table(spark, sf_dir, "orders").select(numbered("/plant/order_", "o_orderkey").alias("path"))
     head = named.select("path", F.lit(0).cast("long").alias("chunk"), heads)
     return data.unionByName(head).withColumn("source_zip", F.lit(""))
 

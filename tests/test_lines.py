@@ -114,3 +114,17 @@ def test_runs_tell_what_grouping_by_time_tells(spark, folder):
     assert {n for n, r in found.items() if not r.doubtful} >= {"ordered", "one_blank", "bad", "short"}
     plan = wide.profile_runs(lines)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("MapInArrow") > plan.index("Window")  # what is shuffled comes after the runs are made
+
+
+def test_profiles_hash_data_lines_and_gather_nothing(spark, folder):
+    """Texts among the aggregates of data lines would have them all sorted, and gathered header rows would sort every file."""
+    head = [(0, ", A, B, A"), (1, ", a, b, a"), (2, ", u,, u")]
+    rows = [("f", "", 0, n, x) for n, x in head * 2] + [("f", "", c, None, f"2024/1/1 00:00:0{c % 2},1,2,3") for c in range(3)]
+    rows += [("g", "", 0, n, x) for n, x in head[:2]] + [(None, "", 0, n, x) for n, x in head] + [(None, "", 4, None, "x,1")] + [("h", "", 1, None, "2024/1/1 00:00:00,1")]
+    lines = spark.createDataFrame(rows, "path string, source_zip string, chunk bigint, header_no int, line string")
+    profiles = wide.profile_lines(lines)
+    got = {r.path: (r.error, r.repeats, r.last_chunk, [(s.sensor_id, s.twin_idx) for s in r.sensors or []]) for r in profiles.collect()}
+    sensors = [(" A", None), (" B", None), (" A", 1)]
+    assert got["f"] == (None, wide.SAME_TIME, 2, sensors) and got[None] == ("unparsable Time", wide.NOWHERE, 4, sensors)
+    assert {got["g"][0], got["h"][0]} == {"fewer than 3 header rows"} and len(got) == 4
+    assert "ObjectHashAggregate" not in profiles._jdf.queryExecution().sparkPlan().toString()
