@@ -379,7 +379,7 @@ def read_blocks(work: DataFrame) -> DataFrame:
             for row in each(batches):
                 try:
                     with Opened(row) as f:
-                        for at, data in whole_lines(f, row["start"], row["form"]):
+                        for at, data in whole_lines(f, row["start"], row["form"], border=row["end"]):
                             if row["end"] is not None and at >= row["end"]:
                                 break
                             yield row["path"], row["source_zip"], data
@@ -504,8 +504,11 @@ def newline_places(data: bytes, form: str) -> np.ndarray:
     return np.flatnonzero(np.frombuffer(data, np.uint8) == 10) + 1
 
 
-def whole_lines(f: Opened, start: int, form: str, size: int = BLOCK_BYTES) -> Iterator[tuple[int, bytes]]:
-    """Blocks of whole lines with their places, from the first line that begins at ``start`` or later."""
+def whole_lines(f: Opened, start: int, form: str, size: int = BLOCK_BYTES, border: int | None = None) -> Iterator[tuple[int, bytes]]:
+    """Blocks of whole lines with their places, from the first line that begins at ``start`` or later.
+
+    No block holds lines from both sides of ``border``, so that a split's own lines are all that is looked at, however much is read.
+    """
     unit = np.dtype(UNITS[form]).itemsize if form in UNITS else 1
     at = max(0, start - start % unit - unit) if start else 0
     held, first = b"", start == 0
@@ -518,7 +521,12 @@ def whole_lines(f: Opened, start: int, form: str, size: int = BLOCK_BYTES) -> It
         if not first:  # what stands before the first newline belongs to a line that began earlier
             at, data, cuts, first = at + int(cuts[0]), data[int(cuts[0]) :], cuts[1:] - cuts[0], True
         end = int(cuts[-1]) if len(cuts) else 0
-        if end:
+        if border is not None and at < border < at + end:
+            own = int(cuts[np.searchsorted(cuts, border - at)])
+            yield at, data[:own]
+            if own < end:
+                yield at + own, data[own:end]
+        elif end:
             yield at, data[:end]
         at, held = at + end, data[end:]
     if held and first:
@@ -567,17 +575,19 @@ class Records:
         end = float("inf") if self.end is None else self.end
         pending: list[tuple[int, bytes]] = []  # lines since the one whose quote is open
         anchor, foreign, state = -1, self.state == OPEN, self.state
+        kept = None  # what a block before the end held, while its last record isn't complete
 
-        for at, data in whole_lines(self.f, self.start, self.form, self.size):
+        for at, data in whole_lines(self.f, self.start, self.form, self.size, self.end):
             if at >= end and not pending and not (foreign and state == OPEN):
                 return
-            if state == NONE and at >= slow_until and at + len(data) <= end:
+            if state == NONE and at >= slow_until and at < end:
                 plain = text_of(at, data, self.form, self.bom)
                 if b'"' not in plain or not _MAYBE_OPEN.search(plain):
                     found = plain.split(b"\n")
                     yield at, None, found[:-1] if not found[-1] else found
                     continue
-            places, records = [], []
+            first, places, records = kept or (at, [], [])
+            kept = None
 
             def put(place: int, parts: list[bytes], places=places, records=records) -> None:
                 if self.start <= place < end:
@@ -610,7 +620,12 @@ class Records:
                     pending, anchor, state = [(place, line)], 0, OPEN
                 else:
                     put(place, [line])
-            yield at, places, records
+            if pending and at < end <= at + len(data):
+                kept = first, places, records
+            else:
+                yield first, places, records
+        if kept:
+            yield kept
         if pending and not foreign:  # never closed: the file has an error, and this is only its last record
             yield pending[0][0], [pending[0][0]], [b"\n".join(x for _, x in pending)]
 
@@ -619,14 +634,13 @@ def split_states(f: Opened, start: int, end: int | None, form: str, bom: bool) -
     """The states after the lines that begin in a stretch, if it begins in NONE and in OPEN."""
     limit = float("inf") if end is None else end
     none, opened = NONE, OPEN
-    for at, data in whole_lines(f, start, form):
+    for at, data in whole_lines(f, start, form, border=end):
         if at >= limit:
             break
-        inner = at + len(data) <= limit
         plain = text_of(at, data, form, bom)
-        if inner and b'"' not in plain:
+        if b'"' not in plain:
             continue
-        calm = inner and none == NONE and not _MAYBE_OPEN.search(plain)
+        calm = none == NONE and not _MAYBE_OPEN.search(plain)
         if calm and opened == NONE:
             continue
         for place, line in lines_of(at, data, form, bom):

@@ -99,8 +99,10 @@ def decoded(spark: SparkSession, lines: DataFrame, encoding: str) -> DataFrame:
         text = decode_text(spark, F.col("raw"), "UTF-8" if TRANSCODED.match(name) else name)
     else:
         configure(spark)
-        text = decode_by(F.col("raw"), F.when(F.rlike("charset", F.lit(TRANSCODED.pattern)), "UTF-8").otherwise(F.col("charset")))
-    return lines.withColumn("line", text).withColumn("line", F.expr(chomp("line")))
+        # a step of its own, so that the pattern runs once and not for every charset
+        lines = lines.withColumn("text_as", F.when(F.rlike("charset", F.lit(TRANSCODED.pattern)), "UTF-8").otherwise(F.col("charset")))
+        text = decode_by(F.col("raw"), F.col("text_as"))
+    return lines.withColumn("line", text).withColumn("line", F.expr(chomp("line"))).drop("text_as")
 
 
 def read_lines(spark: SparkSession, paths: list[str], split_bytes: int = SPLIT_BYTES) -> DataFrame:

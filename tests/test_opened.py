@@ -166,3 +166,22 @@ def test_errors_are_rows(spark, folder):
     got = sorted((r.path, r.file_hash, r.error) for r in op.digests(work).collect())
     assert got == sorted([(here, hashlib.sha256(b"abc" * 5_000_000).hexdigest(), None), (gone, None, "missing file"), (here + "0", None, "missing file"), (gone, None, "missing file")], key=lambda r: (r[0], r[1] or ""))
     assert sorted((r.path, len(r.content or b""), r.error) for r in op.contents(work).collect())[0] == (here, 15_000_000, None)
+
+
+def test_a_split_is_read_for_its_own_lines(tmp_path):
+    """Blocks end at the split's border: what lies behind it is looked at only as far as an open quote goes."""
+    text = "".join(f'{i},"a\n{i}",b\n' if i % 3 else f"{i},plain\n" for i in range(3000)).encode()
+    (tmp_path / "t.csv").write_bytes(text)
+    row = {"path": str(tmp_path / "t.csv"), "source_zip": "", "length": len(text)}
+    with op.Opened(row) as f:
+        (whole,) = [r for _, _, r in op.Records(f, 0, None, op.NONE).blocks(slow_until=1 << 62)]
+    found, state, blocks, seen = [], op.NONE, 0, 0
+    for start in range(0, len(text), 1000):
+        end = start + 1000 if start + 1000 < len(text) else None
+        with op.Opened(row) as f:
+            for _, _, records in op.Records(f, start, end, state).blocks():
+                found, blocks = found + records, blocks + 1
+            seen += sum(len(data) for at, data in op.whole_lines(f, start, op.BYTES, border=end) if end is None or at < end)
+            state = op.split_states(f, start, end, op.BYTES, False)[state]
+    assert [r for r in found if r] == [r for r in whole if r] and seen == len(text)
+    assert blocks <= -(-len(text) // 1000) + 1
