@@ -380,8 +380,8 @@ def repeated_times(lines: DataFrame) -> DataFrame:
     return _by_time(_timed(lines, DROP_IF_BLANK).where(_IS_DATA)).groupBy(*FILE_KEYS, "Time").agg(F.sum("n").alias("n")).where("n > 1").drop("n")
 
 
-def attach_sensors(lines: DataFrame, profiles: DataFrame, broadcastable: bool) -> DataFrame:
-    """Join data lines to the sensors of their file.
+def attach_sensors(lines: DataFrame, profiles: DataFrame, broadcastable: bool, *carried: str) -> DataFrame:
+    """Join data lines to the sensors of their file (and ``carried`` columns of its profile).
 
     ``broadcastable`` is the answer of a size check on ``profiles`` (see ``lookup_fits``). Otherwise both sides are
     keyed by file and chunk, the profile repeated once per chunk of the file, so that even a file holding a third of
@@ -391,10 +391,10 @@ def attach_sensors(lines: DataFrame, profiles: DataFrame, broadcastable: bool) -
     if "error" in lines.columns:
         data = data.where(F.col("error").isNull()).drop("error")
     if broadcastable:
-        good = _each(profiles, FILE_KEYS, "CASE WHEN error IS NULL THEN array(sensors) END", "sensors")
+        good = _each(profiles, [*FILE_KEYS, *carried], "CASE WHEN error IS NULL THEN array(sensors) END", "sensors")
         return data.join(F.broadcast(good), FILE_KEYS)
     chunks = "CASE WHEN error IS NULL THEN sequence(0L, last_chunk) END"
-    return data.join(_each(profiles, [*FILE_KEYS, "sensors"], chunks, "chunk"), [*FILE_KEYS, "chunk"])
+    return data.join(_each(profiles, [*FILE_KEYS, *carried, "sensors"], chunks, "chunk"), [*FILE_KEYS, "chunk"])
 
 
 def lookup_fits(profiles: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
@@ -411,9 +411,12 @@ def timed_lines(
     lines: DataFrame, profiles: DataFrame, broadcastable: bool, scrub: bool = False
 ) -> DataFrame:
     """Data lines of large files with their time and the sensors of their file."""
-    joined = attach_sensors(lines, scrub_sensors(profiles) if scrub else profiles, broadcastable)
-    if scrub:
-        joined = scrub_keys(joined)
+    if scrub:  # once per file: lines take the cleaned names from the join
+        clean = {f"clean_{k}": F.expr(_CLEAN.format(k)) for k in FILE_KEYS}
+        joined = attach_sensors(lines, scrub_sensors(profiles).withColumns(clean), broadcastable, *clean)
+        joined = joined.withColumns({k: F.col(f"clean_{k}") for k in FILE_KEYS})
+    else:
+        joined = attach_sensors(lines, profiles, broadcastable)
     first = joined.selectExpr(*FILE_KEYS, "sensors", "line", f"{first_field('line')} AS first")
     valued = first.selectExpr(*FILE_KEYS, "sensors", "line", f"{field_value('first')} AS first")
     return valued.selectExpr(*FILE_KEYS, "sensors", f"{parse_time('first')} AS Time", "line")

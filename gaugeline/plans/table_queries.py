@@ -7,6 +7,7 @@ The tables hold no sensor files, so each query derives its input from whole tabl
 from __future__ import annotations
 
 import io
+import itertools
 import sys
 import zipfile
 from collections.abc import Callable, Iterator
@@ -860,22 +861,47 @@ def put_files(files_: DataFrame) -> None:
     files_.select("path", "content").mapInArrow(run, "path string").write.format("noop").mode("overwrite").save()
 
 
+def write_archive(uri: str, entries: Iterator[tuple[str, bytes]]) -> pa.Table:
+    """Write names and contents as a ZIP file, complete under its name at once."""
+    system, at = opened.locate(uri)
+    system.create_dir(at.rsplit("/", 1)[0])
+    with system.open_output_stream(f"{at}.new") as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for name, content in entries:
+            z.writestr(name, content)
+    system.move(f"{at}.new", at)
+    return pa.table({"archive": [uri]})
+
+
 def put_archives(entries: DataFrame) -> None:
     """Write ``(archive, name, content)`` rows as ZIP files of all their entries."""
 
     def run(group: pa.Table) -> pa.Table:
-        system, at = opened.locate(group["archive"][0].as_py())
-        system.create_dir(at.rsplit("/", 1)[0])
         rows = group.sort_by("name")
-        with system.open_output_stream(f"{at}.new") as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-            for name, content in zip(rows["name"].to_pylist(), rows["content"].to_pylist(), strict=True):
-                z.writestr(name, content)
-        system.move(f"{at}.new", at)
-        return pa.table({"archive": [group["archive"][0].as_py()]})
+        return write_archive(group["archive"][0].as_py(), zip(rows["name"].to_pylist(), rows["content"].to_pylist(), strict=True))
 
     entries.select("archive", "name", "content").groupBy("archive").applyInArrow(run, "archive string").write.format("noop").mode("overwrite").save()
 
 
+def put_piece_archives(docs: DataFrame) -> None:
+    """Write ``(archive, name, doc_id, text)`` rows as ZIP files; an entry holds the table of its documents in the order of their ids.
+
+    Texts are shuffled once, by archive; the tables, which are longer, are made behind the shuffle.
+    """
+
+    def run(group: pa.Table) -> pa.Table:
+        names = group["name"].to_pylist()
+        rows = zip(names, group["body"].cast(pa.binary()).to_pylist(), strict=True)
+        parts = ((name, _PIECE_HEAD.encode() + b"\n".join(body for _, body in same)) for name, same in itertools.groupby(rows, lambda r: r[0]))
+        return write_archive(group["archive"][0].as_py(), parts)
+
+    spark = docs.sparkSession
+    # a number of its own: by their bytes too few tasks would be made for the work of packing them
+    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    bodies = docs.select("archive", "name", "doc_id", "text").repartition(tasks, "archive").select("archive", "name", "doc_id", piece_body().alias("body"))
+    ordered = bodies.sortWithinPartitions("archive", "name", "doc_id", "body").select("archive", "name", "body")
+    ordered.groupBy("archive").applyInArrow(run, "archive string").write.format("noop").mode("overwrite").save()
+
+
 #: Files of more bytes are read as lines, in splits of so many bytes: low, so that the tables' texts go both ways.
 _BOTH_WAYS = {"whole_file_bytes": 60_000, "split_bytes": 16_384}
 #: Documents of a file, and files of an archive.
@@ -884,13 +910,17 @@ _PIECE_HEAD = ", P1, P2, P3\n, piece, size, document\n, text, chars, id\n"
 _SCRUB = "regexp_replace({0}, '[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]', '', 'g')"
 
 
-def piece_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``n, content``: texts as wide files of ``_FILE_DOCS`` documents each, with a data row per sentence, quoted, line ends and all."""
+def piece_body() -> Column:
+    """The lines of a document (``doc_id, text``): a data row per sentence, quoted, line ends and all."""
     row = f"""concat_ws(',', date_format(timestampadd(SECOND, i + 100000 * (doc_id % {_FILE_DOCS}), TIMESTAMP_NTZ'2024-01-01 00:00:00'), 'yyyy/M/d H:mm:ss'),
                 concat('"', replace(piece, '"', '""'), '"'), length(piece), doc_id, '')"""
-    body = F.expr(f"array_join(transform(split(text, '[.] '), (piece, i) -> {row}), '\n')")
+    return F.expr(f"array_join(transform(split(text, '[.] '), (piece, i) -> {row}), '\n')")
+
+
+def piece_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``n, content``: texts as wide files of ``_FILE_DOCS`` documents each."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    made = docs.select("doc_id", body.alias("body")).groupBy(F.floor(F.col("doc_id") / _FILE_DOCS).alias("n")).agg(F.sort_array(F.collect_list(F.struct("doc_id", "body"))).alias("parts"))
+    made = docs.select("doc_id", piece_body().alias("body")).groupBy(F.floor(F.col("doc_id") / _FILE_DOCS).alias("n")).agg(F.sort_array(F.collect_list(F.struct("doc_id", "body"))).alias("parts"))
     return made.select("n", F.encode(F.concat(F.lit(_PIECE_HEAD), F.array_join("parts.body", "\n")), "UTF-8").alias("content"))
 
 
@@ -921,10 +951,10 @@ def mode_equality(spark, sf_dir):
 
 def document_zips(spark: SparkSession, sf_dir: str, folder: str) -> None:
     """Files of texts in archives, one in three of the entries a table; and per language an archive that is none."""
-    made = piece_files(spark, sf_dir)
+    docs = table(spark, sf_dir, "documents").select(F.floor(F.col("doc_id") / _FILE_DOCS).alias("n"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
     archive = F.concat(F.lit(f"{folder}/"), F.floor(F.col("n") / _ZIP_FILES), F.lit(".zip"))
     name = F.when(F.col("n") % 3 == 0, F.concat(F.lit("day/User_"), "n", F.lit(".csv"))).otherwise(F.concat(F.lit("notes/"), "n", F.lit(".txt")))
-    put_archives(made.select(archive.alias("archive"), name.alias("name"), "content"))
+    put_piece_archives(docs.select(archive.alias("archive"), name.alias("name"), "doc_id", "text"))
     bad = table(spark, sf_dir, "documents").groupBy("lang").agg(F.min_by("text", "doc_id").alias("text"))
     put_files(bad.select(F.concat(F.lit(f"{folder}/_bad/"), "lang", F.lit(".zip")).alias("path"), F.encode(F.substring("text", 1, 200), "UTF-8").alias("content")))
 

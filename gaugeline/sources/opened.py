@@ -560,6 +560,53 @@ def text_of(at: int, data: bytes, form: str, bom: bool) -> bytes:
     return text.removeprefix(_MARK) if bom and at == 0 else text
 
 
+def quote_states(text: bytes, state: int = NONE) -> tuple[np.ndarray, np.ndarray, int] | None:
+    """Places of the newlines in whole lines that begin in ``state``, the state behind each of them, and the state at the end.
+
+    None unless every second quote stands at the start of a field and each of the others at the end of one (or both are one of two
+    that stand for one): then the number of quotes before a place tells its state, and no line has to be looked at on its own.
+    """
+    padded = np.frombuffer(b"\n" + text + b"\n\n", np.uint8)
+    quotes = np.flatnonzero(padded == 34)
+    opening, closing = quotes[state::2], quotes[1 - state :: 2]
+    before, behind = padded[opening - 1], padded[closing + 1]
+    if not ((before == 44) | (before == 10) | (before == 34)).all():
+        return None
+    if not ((behind == 44) | (behind == 10) | (behind == 34) | ((behind == 13) & (padded[closing + 2] == 10))).all():
+        return None
+    newlines = np.flatnonzero(padded[1:-2] == 10)
+    return newlines, (np.searchsorted(quotes, newlines + 1) + state) & 1, (len(quotes) + state) & 1
+
+
+def split_records(at: int, data: bytes, form: str, bom: bool) -> tuple[list[bytes], int]:
+    """Records of a block of whole lines that begins outside quotes, and how many of its bytes they take: all but those of a last
+    record that isn't complete. 0 bytes: the lines have to be looked at one by one."""
+    text = text_of(at, data, form, bom)
+    if b'"' not in text or not _MAYBE_OPEN.search(text):
+        found = text.split(b"\n")
+        return found if found[-1] else found[:-1], len(data)
+    known = quote_states(text)
+    if known is None:
+        return [], 0
+    newlines, states, last = known
+    ends = newlines[states == NONE]
+    taken = len(data)
+    if last == OPEN:
+        if not len(ends):
+            return [], 0
+        places = newline_places(data, form)
+        if len(places) != len(newlines):
+            return [], 0
+        taken = int(places[np.flatnonzero(states == NONE)[-1]])
+    cuts = ends.tolist()
+    if last == NONE and (not cuts or cuts[-1] + 1 < len(text)):
+        cuts.append(len(text))  # the file's last line, without a line end
+    found = [text[a:b] for a, b in zip([0, *[c + 1 for c in cuts]], cuts)]
+    if b"\r" in text:
+        found = [r.replace(b"\r\n", b"\n").removesuffix(b"\r") for r in found]
+    return found, taken
+
+
 class Records:
     """Records (lines, joined where a quoted field goes over line ends) that begin in a stretch of a file.
 
@@ -577,49 +624,56 @@ class Records:
         anchor, foreign, state = -1, self.state == OPEN, self.state
         kept = None  # what a block before the end held, while its last record isn't complete
 
+        def put(place: int, parts: list[bytes]) -> None:
+            if self.start <= place < end:
+                if places is not None:
+                    places.append(place)
+                records.append(b"\n".join(parts))
+
         for at, data in whole_lines(self.f, self.start, self.form, self.size, self.end):
             if at >= end and not pending and not (foreign and state == OPEN):
                 return
-            if state == NONE and at >= slow_until and at < end:
-                plain = text_of(at, data, self.form, self.bom)
-                if b'"' not in plain or not _MAYBE_OPEN.search(plain):
-                    found = plain.split(b"\n")
-                    yield at, None, found[:-1] if not found[-1] else found
-                    continue
             first, places, records = kept or (at, [], [])
-            kept = None
-
-            def put(place: int, parts: list[bytes], places=places, records=records) -> None:
-                if self.start <= place < end:
-                    places.append(place)
-                    records.append(b"\n".join(parts))
-
-            for place, line in lines_of(at, data, self.form, self.bom):
-                if state == NONE and place >= end:
-                    break
-                what = resume(line) if state == OPEN else None
-                if what in (PASSED, REOPENED):
-                    pending.append((place, line))
-                    if what == REOPENED:
-                        anchor = len(pending) - 1
-                    continue
-                if what == ENDED:
-                    if not foreign:
-                        put(pending[0][0], [x for _, x in pending] + [line])
-                    pending, anchor, foreign, state = [], -1, False, NONE
-                    continue
-                if what == BROKEN:  # lines up to the one with the quote are a record, each line behind it is one
-                    if not foreign:
-                        put(pending[0][0], [x for _, x in pending[: anchor + 1]])
-                    for p, x in pending[anchor + 1 :]:
-                        put(p, [x])
-                    pending, anchor, foreign, state = [], -1, False, NONE
-                    if place >= end:
+            kept, tried = None, at >= end
+            lines = lines_of(at, data, self.form, self.bom)
+            while lines is not None:
+                rest = None
+                for place, line in lines:
+                    if state == NONE and place >= end:
                         break
-                if opens(line):
-                    pending, anchor, state = [(place, line)], 0, OPEN
-                else:
-                    put(place, [line])
+                    if state == NONE and not tried and place >= slow_until:
+                        tried = True
+                        found, taken = split_records(place, data[place - at :], self.form, self.bom)
+                        if taken:
+                            if records:
+                                yield first, places, records
+                            first, places, records = place, None, found
+                            rest = lines_of(place + taken, data[place - at + taken :], self.form, self.bom)
+                            break
+                    what = resume(line) if state == OPEN else None
+                    if what in (PASSED, REOPENED):
+                        pending.append((place, line))
+                        if what == REOPENED:
+                            anchor = len(pending) - 1
+                        continue
+                    if what == ENDED:
+                        if not foreign:
+                            put(pending[0][0], [x for _, x in pending] + [line])
+                        pending, anchor, foreign, state = [], -1, False, NONE
+                        continue
+                    if what == BROKEN:  # lines up to the one with the quote are a record, each line behind it is one
+                        if not foreign:
+                            put(pending[0][0], [x for _, x in pending[: anchor + 1]])
+                        for p, x in pending[anchor + 1 :]:
+                            put(p, [x])
+                        pending, anchor, foreign, state = [], -1, False, NONE
+                        if place >= end:
+                            break
+                    if opens(line):
+                        pending, anchor, state = [(place, line)], 0, OPEN
+                    else:
+                        put(place, [line])
+                lines = rest
             if pending and at < end <= at + len(data):
                 kept = first, places, records
             else:
@@ -630,10 +684,11 @@ class Records:
             yield pending[0][0], [pending[0][0]], [b"\n".join(x for _, x in pending)]
 
 
-def split_states(f: Opened, start: int, end: int | None, form: str, bom: bool) -> tuple[int, int]:
-    """The states after the lines that begin in a stretch, if it begins in NONE and in OPEN."""
+def split_states(f: Opened, start: int, end: int | None, form: str, bom: bool, known: bool = False) -> tuple[int, int]:
+    """The states after the lines that begin in a stretch, if it begins in NONE and in OPEN. ``known``: it begins in NONE, and the
+    first of the two is given for both."""
     limit = float("inf") if end is None else end
-    none, opened = NONE, OPEN
+    none, opened = NONE, NONE if known else OPEN
     for at, data in whole_lines(f, start, form, border=end):
         if at >= limit:
             break
@@ -641,19 +696,24 @@ def split_states(f: Opened, start: int, end: int | None, form: str, bom: bool) -
         if b'"' not in plain:
             continue
         calm = none == NONE and not _MAYBE_OPEN.search(plain)
-        if calm and opened == NONE:
-            continue
+        tried = False
         for place, line in lines_of(at, data, form, bom):
             if place >= limit:
                 break
+            same = none == opened
+            if same and calm:
+                break
+            if same and not tried:
+                tried = True
+                found = quote_states(text_of(place, data[place - at :], form, bom), none)
+                if found is not None:
+                    none = opened = found[2]
+                    break
             if b'"' not in line:
                 continue
             opened = after(line, opened)
-            if calm:
-                if opened == NONE:
-                    break
-                continue
-            none = after(line, none)
+            if not calm:
+                none = opened if same else after(line, none)
     return none, opened
 
 
@@ -685,7 +745,7 @@ def scan_splits(work: DataFrame) -> DataFrame:
                 none, opened, heads, error = NONE, OPEN, None, None
                 try:
                     with Opened(row) as f:
-                        none, opened = split_states(f, row["start"], row["end"], row["form"], row["bom"])
+                        none, opened = split_states(f, row["start"], row["end"], row["form"], row["bom"], known=row["split"] == 0)
                     if row["split"] == 0:
                         heads = []
                         with Opened(row) as f:

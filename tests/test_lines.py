@@ -128,3 +128,15 @@ def test_profiles_hash_data_lines_and_gather_nothing(spark, folder):
     assert got["f"] == (None, wide.SAME_TIME, 2, sensors) and got[None] == ("unparsable Time", wide.NOWHERE, 4, sensors)
     assert {got["g"][0], got["h"][0]} == {"fewer than 3 header rows"} and len(got) == 4
     assert "ObjectHashAggregate" not in profiles._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_names_are_scrubbed_once_per_file(spark, folder):
+    """Lines take cleaned names from the join with their file's profile; no expression over a path runs for every line."""
+    path = folder.put("a\x01b.csv", HEAD.replace("fan", "f\x02an") + body(300))
+    lines = lines_of(spark, [path])
+    profiles = wide.profile_lines(lines).persist()
+    for broadcastable in (True, False):
+        got = wide.readings_from_lines(lines, profiles, broadcastable, scrub=True)
+        assert {r.path for r in got.select("path").collect()} == {path.replace("\x01", "")} and got.where("sensor_name = ' fan'").count() == 300
+        above = got._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
+        assert "regexp_replace(path" not in above and "regexp_replace(source_zip" not in above

@@ -185,3 +185,45 @@ def test_a_split_is_read_for_its_own_lines(tmp_path):
             state = op.split_states(f, start, end, op.BYTES, False)[state]
     assert [r for r in found if r] == [r for r in whole if r] and seen == len(text)
     assert blocks <= -(-len(text) // 1000) + 1
+
+
+def test_regular_quotes_are_not_looked_at_line_by_line(tmp_path, monkeypatch):
+    """Behind the header rows, quoted line ends cost no call per line, in an archive's entry neither; odd quotes still do."""
+    head = b', a\n,"b\nc"\n, d\n'
+    regular = b"".join(b'%d,"x ""%d""\r\ny",""\n\n' % (i, i) if i % 2 else b"%d,plain,z\r\n" % i for i in range(2000))
+    calls, opens = [0], op.opens
+    monkeypatch.setattr(op, "opens", lambda *a: calls.__setitem__(0, calls[0] + 1) or opens(*a))
+
+    def records(data, slow_until):
+        (tmp_path / "t.csv").write_bytes(data)
+        calls[0] = 0
+        with op.Opened({"path": str(tmp_path / "t.csv"), "source_zip": "", "length": len(data)}) as f:
+            found = [r for _, _, rs in op.Records(f, 0, None, op.NONE).blocks(slow_until) for r in rs]
+            n = calls[0]
+            states = [op.split_states(f, 0, None, op.BYTES, False, known) for known in (False, True)]
+        return [r.removesuffix(b"\r") for r in found if r not in (b"", b"\r")], n, calls[0] - n, states
+
+    for data in (head + regular, head + regular + b'last,"open\nended"', head + regular + b'last,"open\nended,'):
+        slow, n, _, _ = records(data, 1 << 62)
+        fast, few, of_states, states = records(data, len(head) - 2)
+        assert fast == slow and n > 2000 and few < 10 and of_states < 10
+        assert states[0][0] == states[1][0] == states[1][1] == (op.OPEN if data.endswith(b",") else op.NONE)
+    odd = head + regular + b'3" pipe,"a\nb"\n'
+    assert records(odd, len(head) - 2)[:2] == records(odd, 1 << 62)[:2]
+
+
+@settings(max_examples=400, deadline=None)
+@given(TEXT, st.sampled_from([op.NONE, op.OPEN]))
+def test_states_by_counting_quotes(data, state):
+    """Where quotes are regular, counting them tells what looking at every line tells."""
+    found = op.quote_states(data, state)
+    if found is None:
+        return
+    newlines, states, last = found
+    at = state
+    lines = data.split(b"\n")
+    for line, want in zip(lines, states):
+        at = op.after(line, at)
+        assert at == want
+    assert len(newlines) == len(states) == len(lines) - 1
+    assert (op.after(lines[-1], at) if lines[-1] else at) == last
