@@ -191,6 +191,69 @@ def explode_lines(parsed: DataFrame, share: str | None = None) -> DataFrame:
     )
 
 
+#: Cells of lines with one time that are compared within a row; lines of times with more of them meet in a shuffle.
+CELLS_AT_ONCE = 100_000
+
+
+def _spans(parsed: DataFrame, at_once: int) -> DataFrame:
+    """Lines of the files without an error in the order of their times, and ``spans``: where each time begins, its number of lines, and
+    whether these hold more than ``at_once`` cells."""
+    rows = "transform(data, (line, i) -> named_struct('Time', get(times, i), 'line', line))"
+    kept = [*FILE_KEYS, "sensors"]
+    ordered = parsed.selectExpr(*kept, f"CASE WHEN error IS NULL THEN sort_array({rows}) END AS by_time")
+    first = "filter(transform(by_time, (r, i) -> i), i -> i = 0 OR NOT (get(by_time, i - 1).Time <=> get(by_time, i).Time))"
+    cut = ordered.selectExpr(*kept, "by_time", f"{first} AS first")
+    counted = cut.selectExpr(*kept, "by_time", "transform(first, (i, j) -> named_struct('at', i, 'n', coalesce(get(first, j + 1), size(by_time)) - i)) AS spans")
+    many = f"p.n > 1 AND CAST(p.n AS long) * size(sensors) > {at_once}"
+    return counted.selectExpr(*kept, "by_time", f"transform(spans, p -> named_struct('at', p.at, 'n', p.n, 'many', {many})) AS spans")
+
+
+def explode_times(parsed: DataFrame, at_once: int = CELLS_AT_ONCE) -> DataFrame:
+    """One row per time of the files without an error: ``line`` where the time stands once, else ``same``, all its lines, or neither and
+    ``many``, if they hold more than ``at_once`` cells. Out of generated code for the reason that ``explode_lines`` gives."""
+    row = (
+        "named_struct('Time', get(by_time, p.at).Time, 'line', CASE WHEN p.n = 1 THEN get(by_time, p.at).line END,"
+        " 'same', CASE WHEN p.n > 1 AND NOT p.many THEN transform(slice(by_time, p.at + 1, p.n), r -> r.line) END, 'many', p.many)"
+    )
+    rows = _each(_spans(parsed, at_once), [*FILE_KEYS, "sensors"], f"transform(spans, p -> {row})", "row")
+    return rows.select(*FILE_KEYS, "sensors", "row.*")
+
+
+def explode_many(parsed: DataFrame, at_once: int = CELLS_AT_ONCE) -> DataFrame:
+    """The lines that ``explode_times`` leaves out, one row each as in ``explode_lines``."""
+    rows = "flatten(transform(filter(spans, p -> p.many), p -> slice(by_time, p.at + 1, p.n)))"
+    return _each(_spans(parsed, at_once), [*FILE_KEYS, "sensors"], rows, "row").select(*FILE_KEYS, "sensors", "row.*")
+
+
+def distinct_cells(times: DataFrame) -> DataFrame:
+    """Distinct readings of ``explode_times`` (but those of ``many``) of files whose sensors fill at most two columns, without a shuffle.
+
+    Lines that share their time are compared sensor by sensor within their row: a second column of a sensor adds the values that its
+    first one lacks, nulls being equal. Any other line goes the way of ``cells``.
+    """
+    wide = times.where("NOT many").selectExpr(
+        *FILE_KEYS,
+        "Time",
+        "sensors",
+        f"CASE WHEN line IS NOT NULL THEN {split_fields('line')} END AS fields",
+        f"CASE WHEN same IS NOT NULL THEN transform(same, line -> {split_fields('line')}) END AS rows",
+    )
+
+    def column(at: str) -> str:
+        return f"transform(transform(rows, fields -> get(fields, {at})), raw -> {field_value('raw')})"
+
+    values = f"CASE WHEN s.twin_idx IS NULL THEN array_distinct({column('s.col_idx')}) ELSE array_except({column('s.col_idx')}, {column('s.twin_idx')}) END"
+    found = f"flatten(transform(sensors, (s, k) -> transform({values}, v -> named_struct('k', k, 'found', true, 'value', v))))"
+    alone = "transform(sensors, (s, k) -> named_struct('k', k, 'found', false, 'value', CAST(NULL AS string)))"
+    picked = wide.selectExpr(*FILE_KEYS, "Time", "sensors", "fields", f"CASE WHEN rows IS NULL THEN {alone} ELSE {found} END AS picks")
+    each = picked.select(*FILE_KEYS, "Time", "sensors", "fields", F.explode_outer("picks").alias("pick")).where(F.col("pick").isNotNull())
+    each = each.selectExpr(*FILE_KEYS, "Time", "get(sensors, pick.k) AS s", "fields", "pick")
+    each = each.selectExpr(*FILE_KEYS, "Time", "s", "pick", "get(fields, s.col_idx) AS raw", "get(fields, s.twin_idx) AS raw_twin")
+    repeated = f"NOT pick.found AND s.twin_idx IS NOT NULL AND ({field_value('raw')}) <=> ({field_value('raw_twin')})"
+    value = f"CASE WHEN pick.found THEN pick.value ELSE {field_value('raw')} END AS value"
+    return each.where(f"NOT ({repeated})").selectExpr(*FILE_KEYS, "Time", value, "s.sensor_id", "s.sensor_name", "s.unit")
+
+
 def cells(lines: DataFrame) -> DataFrame:
     """Unpivot: one row per data line and kept sensor. Null readings stay.
 

@@ -51,6 +51,7 @@ class Options:
     trailing: str = wide.DROP_IF_BLANK
     whole_file_bytes: int = WHOLE_FILE_BYTES
     split_bytes: int = wide_text.SPLIT_BYTES
+    cells_at_once: int = wide.CELLS_AT_ONCE
 
 
 # --- work lists -----------------------------------------------------------------------------------------------
@@ -250,12 +251,17 @@ def emit(lake: Lake, todo: DataFrame, ingest_id: str, opt: Options) -> DataFrame
             raw = opened.contents(opened.dealt(group, total, rows))
             read, seen = watched(raw)
             parsed = wide.parse_files(spark, read, opt.encoding, opt.trailing)
-            named = wide.scrub_names(parsed)
             if repeats == wide.NOWHERE:
-                put(clear(wide.cells(wide.explode_lines(named))))
+                put(clear(wide.cells(wide.explode_lines(wide.scrub_names(parsed)))))
+            elif repeats == wide.ANYWHERE:
+                put(doubtful(wide.cells(wide.explode_lines(parsed, wide.DOUBTFUL))))
             else:
-                unique = clear(wide.cells(wide.explode_lines(named, wide.CLEAR)))
-                put(unique.unionByName(doubtful(wide.cells(wide.explode_lines(parsed, wide.DOUBTFUL)))))
+                # Equal readings share file and time, so they meet in one row; only times with very many cells are left to a shuffle.
+                left = Observation()
+                times = wide.explode_times(wide.scrub_names(parsed), opt.cells_at_once).observe(left, F.count_if(F.col("many")).alias("errors"))
+                put(clear(wide.distinct_cells(times)))
+                if _count(left) != 0:
+                    put(doubtful(wide.cells(wide.explode_many(parsed, opt.cells_at_once))))
         if _count(seen) != 0:
             failures.append(raw.where(F.col("error").isNotNull()).select(*wide.FILE_KEYS, "error"))
     if not failures:
@@ -268,7 +274,7 @@ def emit(lake: Lake, todo: DataFrame, ingest_id: str, opt: Options) -> DataFrame
 
 
 def _count(seen: Observation) -> int | None:
-    """Errors that a finished write has seen. None: the planner found the reading superfluous (no file has a sensor) and left it out."""
+    """Errors (or what else was counted under that name) that a finished write has seen. None: the planner found the reading superfluous (no file has a sensor) and left it out."""
     try:
         return seen.get["errors"]
     except Py4JJavaError:

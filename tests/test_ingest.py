@@ -180,6 +180,20 @@ def test_only_repeated_times_reach_the_distinct(spark, folder, tmp_path, monkeyp
     assert got[0] == got[1] and len(got[0]) > 2000
 
 
+@pytest.mark.parametrize("at_once", [100_000, 4])
+def test_files_with_repeated_times_are_read_once_in_the_second_pass(spark, lake, folder, monkeypatch, at_once):
+    """Neither a second parse nor a shuffle, unless a time has more cells than a row is to hold."""
+    lines = [f"2024/3/{1 + i // 24} {i % 24}:00:00,{i},{i % 3},x,{i},\n" for i in range(50)]
+    folder.put("test_a.csv", HEAD + "".join(lines) + lines[7] + lines[7].replace(",7,", ",8,"))
+    folder.put("test_b.csv", HEAD.replace("fan", "fan\x01") + "".join(lines[::-1]) + ",1,2,3,4,\n" * 2)
+    plans, write = [], plan.write_batch
+    monkeypatch.setattr(plan, "write_batch", lambda df, *a: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df, *a))
+    assert run(lake, folder, cells_at_once=at_once) == (2, 0, 0, 2, 0, 0)
+    assert len(table(lake)) == len(set(table(lake))) == 2 * 50 * 4 + 2 + 4
+    assert [p.count("MapInArrow") for p in plans] == ([1] if at_once > 4 else [1, 1])
+    assert "StringDecode" in plans[0] and plans[0].count("Exchange hashpartitioning") == plans[0].count("REPARTITION_BY_NUM") == 1
+
+
 def test_headers_longer_than_a_split(spark, folder, tmp_path):
     wide_head = "".join("," + ",".join(f'"{n} {i}\nx"' for i in range(40)) + "\n" for n in ("id", "name", "unit"))
     folder.put("test.csv", wide_head + "2024/3/5 7:30:0," + ",".join(map(str, range(40))) + ",\n")

@@ -106,6 +106,25 @@ def test_shares_make_up_the_whole(spark):
     assert readings(got) == readings(want) and got.exceptAll(want).isEmpty() and got.count() == want.count()
 
 
+@pytest.mark.parametrize("at_once", [0, 12, 100_000])
+def test_repeated_times_are_compared_within_a_row(spark, at_once):
+    """Null times and values, twin columns, quotes and short lines; only times of more cells than allowed are left to the distinct."""
+    head = ",A,B,A\n,a,b,a\n,x,y,x\n"
+    cells = ["1", "2", "", '"1"', '"a,""\nb"']
+    mixed = "".join(f"{f'2024/1/1 0:{i % 9}:0' if i % 5 else ''},{cells[i % 5]},{cells[i % 2]},{cells[(i + i // 7) % 5]}\n" for i in range(200))
+    df = contents(spark, ("/mixed", head + mixed + "2024/1/1 0:0:0\n" * 2 + "2024/1/2 0:0:0,1,1,1\n"), ("/again", head + "2024/1/1 0:0:0,3,,3\n" * 3), ("/bad", head + "x,1,1,1\n" * 2))
+    parsed = wide.parse_files(spark, df, "utf-8")
+    assert {r.repeats for r in parsed.select("repeats").collect()} == {wide.SAME_TIME}
+    want = wide.distinct_readings(wide.cells(wide.explode_lines(parsed)))
+    times = wide.explode_times(parsed, at_once)
+    few, many = wide.distinct_cells(times), wide.distinct_readings(wide.cells(wide.explode_many(parsed, at_once)))
+    got = few.unionByName(many)
+    assert readings(got) == readings(want) and got.exceptAll(want).isEmpty() and got.count() == want.count()
+    assert many.isEmpty() == (times.where("many").isEmpty()) == (at_once == 100_000)
+    executed = few._jdf.queryExecution().executedPlan().toString()
+    assert sum("StringDecode" in line for line in executed.split("\n")) == 1 and "Exchange" not in executed and "Join" not in executed
+
+
 def test_quoted_newline_and_crlf(spark):
     body = ',A,B\r\n,"na,me",b\r\n,x,y\r\n2024/3/5 7:30:0,"1,\n""2""",e,\r\n\r\n\n2024/3/5 7:30:1,"",z,\r\n'
     assert long(spark, body) == [
