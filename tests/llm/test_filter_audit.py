@@ -99,6 +99,25 @@ def test_later_files_retract_what_earlier_ones_counted(spark, tmp_path):
     assert got(audit.audit(spark, path, known, home)) == expected(earlier + later, flags)  # nothing new: nothing changes
 
 
+def test_more_than_few_labels_are_not_broadcast(spark, tmp_path, monkeypatch):
+    known, flags = labels(spark)
+    path, made, plans = str(tmp_path / "docs"), audit.masked, []
+    put(spark, rows(), path, 2)
+
+    def planned(*args):
+        plans.append(made(*args))
+        return plans[-1]
+
+    monkeypatch.setattr(audit, "masked", planned)
+    want = expected(rows(), flags)
+    for limit in (3, 1000):
+        monkeypatch.setattr(audit, "FEW_IDS", limit, raising=False)
+        assert got(audit.audit(spark, path, known)) == want
+    many, few = (df._jdf.queryExecution().analyzed().toString() for df in plans)
+    assert "strategy=merge" in many and "strategy=broadcast" not in many  # a small file is no reason for a broadcast
+    assert "strategy=broadcast" in few
+
+
 def test_state_keeps_the_smallest_id():
     texts: dict = {}
     assert audit.change(texts, iter([(b"t", "p", 1, 0, 9, 2, 3)])) == Counter({("p", 1, 0): 2, ("p", 17, 0): 3})
