@@ -29,6 +29,7 @@ from gaugeline.operators.ledger import status_events
 from gaugeline.operators.sinks import write_batch
 from gaugeline.plans.lake import CommitConflict, Lake
 from gaugeline.schemas import COMPLETED, DEFAULTS, FAILED, IN_PROGRESS, LISTING, PROFILE, STAT_COLUMNS
+from gaugeline.session import sized
 from gaugeline.sources import archives, files as loose, opened, wide_text
 
 #: Files above this size are read as lines, loose ones over many tasks.
@@ -65,12 +66,13 @@ def work_list(lake: Lake, listed: DataFrame, ingest_id: str, opt: Options) -> Da
     spark, at = lake.spark, lake.work_path(ingest_id, "files")
     here = listed.where(F.col("source_zip") == "")
     packed = listed.where(F.col("source_zip") != "")
-    work = loose.loose_work(here).join(here.select("path", "error"), "path")
+    work = loose.loose_work(here).join(sized(here.select("path", "error"), listed.count()), "path")
     zips = packed.select(F.col("source_zip").alias("path")).distinct()
     if not zips.isEmpty():
         directories_at = lake.work_path(ingest_id, "directories")
         archives.directories(zips).write.mode("overwrite").parquet(directories_at)
         entries = spark.read.schema(opened.ENTRIES).parquet(directories_at)
+        entries = sized(entries, entries.count())
         places = entries.where(F.col("path").isNotNull()).drop("entry_index", "length").withColumnRenamed("error", "entry_error")
         places = places.withColumn("found", F.lit(True))
         sizes = entries.where(F.col("path").isNotNull()).select(*wide.FILE_KEYS, "length")
@@ -129,14 +131,17 @@ def _profile_lines(lake: Lake, work: DataFrame, ingest_id: str, opt: Options, to
         df.write.mode("overwrite").parquet(lake.work_path(ingest_id, name))
         return spark.read.parquet(lake.work_path(ingest_id, name))
 
+    def per_file(df: DataFrame, *columns: str) -> DataFrame:
+        return sized(df.select(*wide.FILE_KEYS, *columns), rows)
+
     n_splits = rows + total // opt.split_bytes
     digested = kept("digests", opened.digests(opened.dealt(work, total, rows)))
-    readable = work.drop("error").join(digested.where(F.col("error").isNull()).select(*wide.FILE_KEYS, "head"), wide.FILE_KEYS)
+    readable = work.drop("error").join(per_file(digested.where(F.col("error").isNull()), "head"), wide.FILE_KEYS)
     coded = kept("charsets", wide_text.charsets(spark, readable, opt.encoding, opt.split_bytes, total, n_splits))
     placed = wide_text.states(kept("scans", wide_text.scans(coded, opt.split_bytes, total, n_splits)))
     scanned = kept("scanned", wide_text.scan_errors(placed))
-    sound = coded.join(scanned.where(F.col("scan_error").isNull()).select(*wide.FILE_KEYS), wide.FILE_KEYS)
-    kept("splits", wide_text.place(sound, placed, scanned, opt.split_bytes))
+    sound = coded.join(per_file(scanned.where(F.col("scan_error").isNull())), wide.FILE_KEYS)
+    kept("splits", wide_text.place(sound, placed, scanned, opt.split_bytes, rows, n_splits))
     lines = wide_text.decoded(spark, _records(lake, ingest_id, opt, total, n_splits), opt.encoding)
     first = kept("runs", wide.profile_runs(lines, opt.trailing))
     doubtful = first.where("doubtful AND error IS NULL").select(*wide.FILE_KEYS)
@@ -144,16 +149,16 @@ def _profile_lines(lake: Lake, work: DataFrame, ingest_id: str, opt: Options, to
         profiled = kept("lines", first.drop("doubtful"))
     else:
         # Only lines of files that aren't plainly in order are grouped by their times; the times that do repeat are kept.
-        again = wide_text.decoded(spark, _records(lake, ingest_id, opt, total, n_splits, doubtful), opt.encoding)
+        again = wide_text.decoded(spark, _records(lake, ingest_id, opt, total, n_splits, sized(doubtful, rows)), opt.encoding)
         times = kept("repeated", wide.repeated_times(again)).select(*wide.FILE_KEYS).distinct().withColumn("again", F.lit(True))
-        marked = first.drop("doubtful").join(times, wide.FILE_KEYS, "left")
+        marked = first.drop("doubtful").join(per_file(times, "again"), wide.FILE_KEYS, "left")
         same_time = F.when((F.col("repeats") == wide.NOWHERE) & F.col("again"), wide.SAME_TIME).otherwise(F.col("repeats"))
         profiled = kept("lines", marked.withColumn("repeats", same_time).drop("again"))
     joined = (
         work.select(*wide.FILE_KEYS, "length")
-        .join(digested.select(*wide.FILE_KEYS, "file_hash", F.col("error").alias("read_error")), wide.FILE_KEYS)
-        .join(scanned.select(*wide.FILE_KEYS, "scan_error"), wide.FILE_KEYS, "left")
-        .join(profiled.select(*wide.FILE_KEYS, "error", "repeats", F.lit(True).alias("has_lines")), wide.FILE_KEYS, "left")
+        .join(per_file(digested, "file_hash", F.col("error").alias("read_error")), wide.FILE_KEYS)
+        .join(per_file(scanned, "scan_error"), wide.FILE_KEYS, "left")
+        .join(per_file(profiled, "error", "repeats", F.lit(True).alias("has_lines")), wide.FILE_KEYS, "left")
     )
     blank = F.when(F.col("has_lines").isNull(), "fewer than 3 header rows")
     return joined.withColumns({
@@ -209,7 +214,8 @@ def emit(lake: Lake, todo: DataFrame, ingest_id: str, opt: Options) -> DataFrame
     """
     spark = lake.spark
     work = spark.read.parquet(lake.work_path(ingest_id, "files")).drop("kind", "error")
-    chosen = work.join(todo.select(*wide.FILE_KEYS, "file_hash", "mode", "repeats"), wide.FILE_KEYS)
+    n_files = work.count()
+    chosen = work.join(sized(todo.select(*wide.FILE_KEYS, "file_hash", "mode", "repeats"), n_files), wide.FILE_KEYS)
     mode, failures = "overwrite", []
 
     def put(stored: DataFrame) -> None:
@@ -230,10 +236,12 @@ def emit(lake: Lake, todo: DataFrame, ingest_id: str, opt: Options) -> DataFrame
     for (mode_of, repeats), (total, rows) in sorted(_amounts(chosen, "mode", "repeats").items()):
         group = chosen.where((F.col("mode") == mode_of) & (F.col("repeats") == repeats))
         if mode_of == _LINES:
-            profiles = spark.read.parquet(lake.work_path(ingest_id, "lines")).join(group.select(*wide.FILE_KEYS), wide.FILE_KEYS, "left_semi")
-            raw = _records(lake, ingest_id, opt, total, rows + total // opt.split_bytes, group)
+            wanted = sized(group.select(*wide.FILE_KEYS), n_files)
+            profiles = spark.read.parquet(lake.work_path(ingest_id, "lines")).join(wanted, wide.FILE_KEYS, "left_semi")
+            raw = _records(lake, ingest_id, opt, total, rows + total // opt.split_bytes, wanted)
             read, seen = watched(raw)
             lines, fits = wide_text.decoded(spark, read, opt.encoding), wide.lookup_fits(profiles)
+            profiles = profiles if fits else profiles.hint("merge")
             if repeats == wide.NOWHERE:
                 put(clear(wide.readings_from_lines(lines, profiles, fits, scrub=True)))
             elif repeats == wide.ANYWHERE:
@@ -244,7 +252,7 @@ def emit(lake: Lake, todo: DataFrame, ingest_id: str, opt: Options) -> DataFrame
                 few = times.limit(REPEATED_TIMES + 1).count() <= REPEATED_TIMES
                 timed = wide.timed_lines(lines, profiles, fits)
                 same = F.col("l.Time").eqNullSafe(F.col("t.Time")) & (F.col("l.path") == F.col("t.path")) & (F.col("l.source_zip") == F.col("t.source_zip"))
-                split = timed.alias("l").join((F.broadcast(times) if few else times).alias("t"), same, "left").select("l.*", "again")
+                split = timed.alias("l").join((F.broadcast(times) if few else times.hint("merge")).alias("t"), same, "left").select("l.*", "again")
                 unique = clear(wide.cells(wide.scrub_names(split.where(F.col("again").isNull()).drop("again"))))
                 put(unique.unionByName(doubtful(wide.cells(split.where("again").drop("again")))))
         else:
@@ -350,7 +358,7 @@ def _run(lake: Lake, listed: DataFrame, processed: DataFrame, ingest_id: str, op
         failed = emit(lake, todo, ingest_id, opt)
         if failed is None:
             break
-        lost = failed.withColumnRenamed("error", "lost")
+        lost = sized(failed.withColumnRenamed("error", "lost"), failed.count())
         late = plan.join(lost, wide.FILE_KEYS, "left").withColumns(
             {"outcome": F.when(F.col("lost").isNotNull(), skip.FAILED_OUTCOME).otherwise(F.col("outcome")), "error": F.coalesce("error", "lost")}
         )

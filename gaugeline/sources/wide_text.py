@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from gaugeline.functions.decode import AUTO, charset_of, decode_by, decode_text, java_charset, marked_charset, merged_facts
 from gaugeline.functions.text import chomp
-from gaugeline.session import configure
+from gaugeline.session import configure, sized
 from gaugeline.sources import opened
 
 KEYS = ["path", "source_zip"]
@@ -86,10 +86,11 @@ def scan_errors(placed: DataFrame) -> DataFrame:
     return placed.groupBy(*KEYS).agg(error.alias("scan_error"), F.max_by("heads", F.when(F.col("split") == 0, 1)).alias("heads"))
 
 
-def place(work: DataFrame, placed: DataFrame, heads: DataFrame, split_bytes: int) -> DataFrame:
+def place(work: DataFrame, placed: DataFrame, heads: DataFrame, split_bytes: int, n_files: int, n_splits: int) -> DataFrame:
     """Splits ready for ``opened.read_records``: those of ``work`` (with ``form, bom, charset``) with their states and header places."""
     cut = opened.splits(work, split_bytes, "charset")
-    return cut.join(placed.select(*KEYS, "split", "state"), [*KEYS, "split"]).join(heads.select(*KEYS, "heads"), KEYS)
+    stated = cut.join(sized(placed.select(*KEYS, "split", "state"), n_splits), [*KEYS, "split"])
+    return stated.join(sized(heads.select(*KEYS, "heads"), n_files), KEYS)
 
 
 def decoded(spark: SparkSession, lines: DataFrame, encoding: str) -> DataFrame:
@@ -114,4 +115,5 @@ def read_lines(spark: SparkSession, paths: list[str], split_bytes: int = SPLIT_B
     total = files.agg(F.sum("length")).first()[0] or 0
     rows = total // split_bytes + len(paths)
     placed = states(scans(work, split_bytes, total, rows))
-    return opened.read_records(opened.dealt(place(work, placed, scan_errors(placed), split_bytes), total, rows, "split"), split_bytes)
+    cut = place(work, placed, scan_errors(placed), split_bytes, len(paths), rows)
+    return opened.read_records(opened.dealt(cut, total, rows, "split"), split_bytes)

@@ -194,6 +194,46 @@ def test_files_with_repeated_times_are_read_once_in_the_second_pass(spark, lake,
     assert "StringDecode" in plans[0] and plans[0].count("Exchange hashpartitioning") == plans[0].count("REPARTITION_BY_NUM") == 1
 
 
+@pytest.mark.parametrize("encoding", ["utf-8"])
+def test_tables_of_names_are_broadcast_by_their_rows_only(spark, folder, tmp_path, monkeypatch, encoding):
+    """The files of such tables are small, however much their names take in memory."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    body = "".join(f'2024/1/1 0:00:{i:02d},{i},"x\ny",{i % 3},4,\n' for i in range(50))
+    folder.put("test_0.csv", HEAD + ROWS)
+    folder.put("test_1.csv", HEAD + body)
+    folder.put("test_2.csv", HEAD + body.replace(":07,", ":08,"))  # a time that repeats
+    folder.put("sub/test_3.csv", HEAD + body.replace("x", "日本"))
+    with zipfile.ZipFile(f"{folder.path}/a.zip", "w") as z:
+        z.writestr("d/test_4.csv", HEAD + body.replace("x", "z"))
+        z.writestr("d/test_5.csv", HEAD + ROWS.replace("2,", "9,"))
+    plain, plans = DataFrameWriter.parquet, {}
+
+    def parquet(self, path, *args, **kw):
+        if "/work/" in path or "/readings/" in path:
+            plans.setdefault(path.split("/work/")[-1].split("/")[-1], []).append(self._df._jdf.queryExecution().executedPlan().toString())
+        return plain(self, path, *args, **kw)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+
+    def ingested(name):
+        plans.clear()
+        lake = Lake(spark, str(tmp_path / name))
+        options = Options(encoding=encoding, meta=META, whole_file_bytes=600, split_bytes=300)
+        assert tuple(ingest_folder(lake, folder.path, "test", "one", options).first()) == (6, 0, 0, 6, 0, 0)
+        return table(lake)
+
+    want = ingested("few")
+    monkeypatch.setattr("gaugeline.session.FEW_ROWS", 0, raising=False)
+    monkeypatch.setattr(plan.wide, "lookup_fits", lambda profiles: False)
+    monkeypatch.setattr(plan, "REPEATED_TIMES", 0)
+    assert ingested("many") == want
+    # what the others join (hashes of the ledger, first files of a content) comes out of a shuffle, whose size in memory is known
+    joined = {name: texts for name, texts in plans.items() if name in ("files", "charsets", "scanned", "splits", "runs", "repeated", "lines", "ingest_id=one")}
+    assert len(joined) == 8 and len(joined["ingest_id=one"]) > 1
+    assert not {name for name, texts in joined.items() if any("Broadcast" in t for t in texts)}
+
+
 def test_headers_longer_than_a_split(spark, folder, tmp_path):
     wide_head = "".join("," + ",".join(f'"{n} {i}\nx"' for i in range(40)) + "\n" for n in ("id", "name", "unit"))
     folder.put("test.csv", wide_head + "2024/3/5 7:30:0," + ",".join(map(str, range(40))) + ",\n")
