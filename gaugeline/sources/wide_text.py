@@ -51,7 +51,7 @@ def charsets(spark: SparkSession, work: DataFrame, encoding: str, split_bytes: i
         cut = opened.dealt(opened.splits(plain, split_bytes), total_bytes, rows, "split")
         facts = opened.read_blocks(cut).groupBy(*KEYS).agg(*merged_facts(F.col("raw")))
         voted = facts.select(*KEYS, charset_of({c: F.col(c) for c in ("escapes", "jis", "utf8", "sjis", "euc")}).alias("voted"))
-        known = marked.join(voted, KEYS, "left").withColumn("charset", F.coalesce("charset", "voted", F.lit("UTF-8"))).drop("voted")
+        known = marked.join(sized(voted, rows), KEYS, "left").withColumn("charset", F.coalesce("charset", "voted", F.lit("UTF-8"))).drop("voted")
     bom = F.startswith(F.upper("charset"), F.lit("UTF-"))
     return known.withColumns({"form": form_of(F.col("charset"), F.col("head")), "bom": bom})
 

@@ -194,7 +194,7 @@ def test_files_with_repeated_times_are_read_once_in_the_second_pass(spark, lake,
     assert "StringDecode" in plans[0] and plans[0].count("Exchange hashpartitioning") == plans[0].count("REPARTITION_BY_NUM") == 1
 
 
-@pytest.mark.parametrize("encoding", ["utf-8"])
+@pytest.mark.parametrize("encoding", ["utf-8", "auto"])
 def test_tables_of_names_are_broadcast_by_their_rows_only(spark, folder, tmp_path, monkeypatch, encoding):
     """The files of such tables are small, however much their names take in memory."""
     from pyspark.sql.readwriter import DataFrameWriter
